@@ -18,20 +18,23 @@ from monthwise.functions import labels as L
 # thousand rows; 2 million narrow rows stay well below executor memory.
 DIM_MAX_ROWS = 2_000_000
 
-_CHECKED: dict[int, tuple] = {}
+_CHECKED: dict[int, list] = {}
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (``limit`` stops early) and is
-    done once per DataFrame object.
+    done once per distinct plan (matched by semantic equality).
     """
-    key = id(df)
-    if key not in _CHECKED:
+    bucket = _CHECKED.setdefault(df.semanticHash(), [])
+    for seen, small in bucket:
+        if seen.sameSemantics(df):
+            break
+    else:
         small = df.limit(max_rows + 1).count() <= max_rows
-        _CHECKED[key] = (df, small)
-    return F.broadcast(df) if _CHECKED[key][1] else df
+        bucket.append((df, small))
+    return F.broadcast(df) if small else df
 
 
 def _col(c) -> Column:
@@ -44,9 +47,9 @@ def remap_successor(df: DataFrame, key: str, mapping: DataFrame, old: str, new:
     Several mapping rows for one code fan the row out (kept, as in the source).
     """
     m = mapping.select(F.col(old).alias("__old"), F.col(new).alias("__new"))
-    return (df.join(bounded_broadcast(m), F.col(key) == F.col("__old"), "left")
-              .withColumn(out, F.coalesce(F.col("__new"), F.col(key)))
-              .drop("__old", "__new"))
+    j = df.join(bounded_broadcast(m), F.col(key) == F.col("__old"), "left")
+    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return j.select(*keep, F.coalesce(F.col("__new"), F.col(key)).alias(out))
 
 
 def current_rows(dim: DataFrame, effective_to: str = "Effective_To") -> DataFrame:
@@ -64,11 +67,11 @@ def current_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dic
     """
     d = current_rows(dim, effective_to).select(
         F.col(code).alias("__code"), *[F.col(c).alias(f"__{o}") for o, c in cols.items()])
-    out = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
-    for o in cols:
-        v = F.col(f"__{o}")
-        out = out.withColumn(o, F.coalesce(v, F.lit(default)) if default is not None else v)
-    return out.drop("__code", *[f"__{o}" for o in cols])
+    j = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    looked = [(F.coalesce(F.col(f"__{o}"), F.lit(default)) if default is not None else F.col(f"__{o}")).alias(o)
+              for o in cols]
+    return j.select(*keep, *looked)
 
 
 def snapshot_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dict,
@@ -76,10 +79,9 @@ def snapshot_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: di
     """Left join to one dated snapshot of a dimension; unmatched stays NULL."""
     d = dim.where(F.col(snapshot_col) == F.lit(snapshot_date).cast("date")).select(
         F.col(code).alias("__code"), *[F.col(c).alias(f"__{o}") for o, c in cols.items()])
-    out = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
-    for o in cols:
-        out = out.withColumn(o, F.col(f"__{o}"))
-    return out.drop("__code", *[f"__{o}" for o in cols])
+    j = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    return j.select(*keep, *[F.col(f"__{o}").alias(o) for o in cols])
 
 
 # ---------------------------------------------------------------------------
@@ -106,7 +108,7 @@ def commissioner_geography(df: DataFrame, code_changes: DataFrame, hierarchy: Da
     """Retired commissioner codes remapped, then the current Sub-ICB/ICB/region."""
     out = remap_successor(df, key, code_changes, "Org_Code", "New_Code", "__comm_code")
     out = current_lookup(out, "__comm_code", hierarchy, "Organisation_Code", cols or COMMISSIONER_COLS)
-    return out.drop("__comm_code")
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__comm_code"])
 
 
 def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame,
@@ -114,4 +116,4 @@ def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame
     """Provider codes moved to their successor, then the current provider/region."""
     out = remap_successor(df, key, successor, "Prov_original", "Prov_Successor", "__prov_code")
     out = current_lookup(out, "__prov_code", hierarchy, "Organisation_Code", cols or PROVIDER_COLS)
-    return out.drop("__prov_code")
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__prov_code"])

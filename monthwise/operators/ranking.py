@@ -80,7 +80,7 @@ def first_last_ranks(df: DataFrame, keys: list, date: str, tiebreak: list[str],
     desc = [F.col(date).desc_nulls_last()] + [F.col(f"`{t}`").desc_nulls_last() for t in tiebreak]
     part = [_col(k) for k in keys]
     dated = F.col(date).isNotNull()
-    return (df.withColumn(first_name, F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*asc)))
-                          .otherwise(F.lit(0)))
-              .withColumn(last_name, F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*desc)))
-                          .otherwise(F.lit(0))))
+    # BIGINT, like ROW_NUMBER in the source database.
+    first = F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*asc))).otherwise(F.lit(0))
+    last = F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*desc))).otherwise(F.lit(0))
+    return df.select("*", first.cast("bigint").alias(first_name), last.cast("bigint").alias(last_name))

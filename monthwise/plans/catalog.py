@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from monthwise.plans import indicator as _indicator
+from monthwise.plans import status as _status
 from monthwise.plans.common import FIXTURE_PARAMS
 from monthwise.sources.tables import fixture_sources
 
@@ -22,4 +23,7 @@ def _pipeline(fn):
 
 QUERIES = {
     "indicator": _pipeline(_indicator.indicator),
+    "first_and_last_status": _pipeline(_status.first_and_last_status),
+    "benefits": _pipeline(_status.benefits),
+    "finished_treatment": _pipeline(_status.finished_treatment),
 }

@@ -9,11 +9,13 @@ sampled for inference.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from monthwise.session import checkpoint_dir
 from monthwise.sources.fixture import FIXTURE_TABLES, spark_tables
 
 _TYPES = {
@@ -89,8 +91,17 @@ _CACHE: dict = {}
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Fixture sources, built once per (session, folder)."""
-    key = (id(spark), sf_dir)
+    """Fixture sources for ``sf_dir``, written once per session as parquet.
+
+    The projection is materialised under the session's checkpoint folder (the
+    shared folder named by ``spark.checkpoint.dir``), which cuts its lineage
+    and gives the pipelines real parquet scans with column pruning and filter
+    pushdown, as with stored domain tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Sources.from_fixture(spark, sf_dir)
+        base = f"{checkpoint_dir(spark)}/fixture-{uuid.uuid4().hex[:12]}"
+        for name, df in spark_tables(spark, sf_dir).items():
+            df.write.mode("overwrite").parquet(f"{base}/{name}")
+        _CACHE[key] = Sources.from_parquet(spark, base)
     return _CACHE[key]

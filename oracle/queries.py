@@ -4,4 +4,7 @@ from oracle import pipelines as P
 
 ORACLE = {
     "indicator": P.indicator,
+    "first_and_last_status": P.first_and_last_status,
+    "benefits": P.benefits,
+    "finished_treatment": P.finished_treatment,
 }
