@@ -93,10 +93,10 @@ def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, h
     in the published table).  Measure names must be the same for all scopes.
     """
     measure_names = list(scopes[0].measures)
-    cat = F.explode(F.array(*[
+    cats = F.array(*[
         F.struct(F.lit(label).alias("Category"), _col(col).cast("string").alias("Variable"))
-        for label, col in categories.items()])).alias("__cat")
-    lv = F.explode(F.array(*[lvl.struct() for lvl in levels])).alias("__lvl")
+        for label, col in categories.items()]).alias("__cats")
+    lvls = F.array(*[lvl.struct() for lvl in levels]).alias("__lvls")
     scope_structs = []
     for sc in scopes:
         fields = [F.lit(sc.name).alias("AppointmentType"),
@@ -111,8 +111,9 @@ def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, h
     sc_arr = F.filter(F.array(*scope_structs), lambda x: x.isNotNull())
     hid = [f"__h{i}" for i in range(len(hidden))]
     base = df.select(*[_col(k) for k in keys], *[_col(h).alias(a) for h, a in zip(hidden, hid)],
-                     F.explode(sc_arr).alias("__sc"))
-    fanned = base.select("*", cat).select("*", lv)
+                     cats, lvls, F.explode(sc_arr).alias("__sc"))
+    fanned = (base.select("*", F.explode("__cats").alias("__cat"))
+                  .select("*", F.explode("__lvls").alias("__lvl")))
     group = [*[_col(k) for k in keys],
              *[F.col("__lvl").getField(n).alias(n) for n in ORG_NAMES],
              F.col("__cat").getField("Category").alias("Category"),

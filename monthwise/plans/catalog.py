@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthwise.plans import clinical as _clinical
 from monthwise.plans import indicator as _indicator
 from monthwise.plans import status as _status
 from monthwise.plans.common import FIXTURE_PARAMS
@@ -26,4 +27,7 @@ QUERIES = {
     "first_and_last_status": _pipeline(_status.first_and_last_status),
     "benefits": _pipeline(_status.benefits),
     "finished_treatment": _pipeline(_status.finished_treatment),
+    "active_providers": _pipeline(_clinical.active_providers),
+    "open_refs_no_contact": _pipeline(_clinical.open_refs_no_contact),
+    "clinical_outcomes": _pipeline(_clinical.clinical_outcomes),
 }

@@ -7,4 +7,7 @@ ORACLE = {
     "first_and_last_status": P.first_and_last_status,
     "benefits": P.benefits,
     "finished_treatment": P.finished_treatment,
+    "active_providers": P.active_providers,
+    "open_refs_no_contact": P.open_refs_no_contact,
+    "clinical_outcomes": P.clinical_outcomes,
 }
