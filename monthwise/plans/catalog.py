@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthwise.plans import assessments as _assessments
 from monthwise.plans import clinical as _clinical
 from monthwise.plans import indicator as _indicator
 from monthwise.plans import status as _status
+from monthwise.plans import student as _student
 from monthwise.plans.common import FIXTURE_PARAMS
 from monthwise.sources.tables import fixture_sources
 
@@ -30,4 +32,7 @@ QUERIES = {
     "active_providers": _pipeline(_clinical.active_providers),
     "open_refs_no_contact": _pipeline(_clinical.open_refs_no_contact),
     "clinical_outcomes": _pipeline(_clinical.clinical_outcomes),
+    "assessment_counts": _pipeline(_assessments.assessment_counts),
+    "assessment_coverage": _pipeline(_assessments.assessment_coverage),
+    "student": _pipeline(_student.student),
 }

@@ -10,4 +10,7 @@ ORACLE = {
     "active_providers": P.active_providers,
     "open_refs_no_contact": P.open_refs_no_contact,
     "clinical_outcomes": P.clinical_outcomes,
+    "assessment_counts": P.assessment_counts,
+    "assessment_coverage": P.assessment_coverage,
+    "student": P.student,
 }
