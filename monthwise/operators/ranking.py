@@ -25,7 +25,7 @@ def _col(c) -> Column:
 def rank_within(df: DataFrame, keys: list, order: list, name: str) -> DataFrame:
     """1-based ``row_number`` per key in ``order`` (Columns with asc/desc)."""
     w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+    return df.select("*", F.row_number().over(w).cast("bigint").alias(name))
 
 
 def pick_first(df: DataFrame, keys: list, prefer: list) -> DataFrame:

@@ -14,6 +14,7 @@ from monthwise.plans import indicator as _indicator
 from monthwise.plans import status as _status
 from monthwise.plans import student as _student
 from monthwise.plans.common import FIXTURE_PARAMS
+from monthwise.plans.operator_queries import OPERATOR_QUERIES
 from monthwise.sources.tables import fixture_sources
 
 
@@ -36,3 +37,4 @@ QUERIES = {
     "assessment_coverage": _pipeline(_assessments.assessment_coverage),
     "student": _pipeline(_student.student),
 }
+QUERIES.update(OPERATOR_QUERIES)

@@ -1,6 +1,7 @@
 """Oracle SQL registry: query name -> function returning DuckDB SQL."""
 
 from oracle import pipelines as P
+from oracle.operators import OPERATOR_ORACLE
 
 ORACLE = {
     "indicator": P.indicator,
@@ -14,3 +15,4 @@ ORACLE = {
     "assessment_coverage": P.assessment_coverage,
     "student": P.student,
 }
+ORACLE.update(OPERATOR_ORACLE)
