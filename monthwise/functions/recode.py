@@ -18,12 +18,56 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_col(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _case_sql(whens: list, default: str | None) -> str:
+    tail = f" ELSE {sql_str(default)}" if default is not None else ""
+    return "CASE " + " ".join(f"WHEN {c} THEN {sql_str(v)}" for c, v in whens) + tail + " END"
+
+
+def _case(whens: list, default: str | None) -> Column:
+    """One ``CASE`` expression parsed once in the JVM (a single call, however
+    many rules), instead of one client call per rule."""
+    return F.expr(_case_sql(whens, default))
+
+
+def recode_sql(col: str, mapping: dict, default: str | None = L.UNSPECIFIED) -> str:
+    """O13 as Spark SQL text (see ``recode``)."""
+    c = sql_col(col)
+    whens = []
+    for key, value in mapping.items():
+        if isinstance(value, (list, tuple)):
+            whens.append((f"{c} IN ({', '.join(sql_str(v) for v in value)})", key))
+        else:
+            whens.append((f"{c} = {sql_str(key)}", value))
+    return _case_sql(whens, default)
+
+
+def band_sql(col: str, bands: list, default: str | None = L.UNSPECIFIED) -> str:
+    """O15 as Spark SQL text (see ``band``)."""
+    c = sql_col(col)
+    whens = []
+    for lo, hi, label in bands:
+        conds = ([f"{c} >= {lo}"] if lo is not None else []) + ([f"{c} <= {hi}"] if hi is not None else [])
+        whens.append((" AND ".join(conds), label))
+    return _case_sql(whens, default)
+
+
 def recode(col, mapping: dict, default: str | None = L.UNSPECIFIED) -> Column:
     """Single-column code -> label; first match wins.
 
     ``mapping`` is either ``{code: label}`` or ``{label: [codes]}``.  Codes are
     compared exactly (case matters, as in the published rules).
     """
+    if isinstance(col, str):
+        return F.expr(recode_sql(col, mapping, default))
     c = _col(col)
     rules = []
     for key, value in mapping.items():
@@ -44,6 +88,8 @@ def recode_rules(rules: list, default: str | None = L.UNSPECIFIED) -> Column:
 
 def band(col, bands: list, default: str | None = L.UNSPECIFIED) -> Column:
     """Inclusive numeric bands ``(lo, hi, label)``; ``None`` leaves a side open."""
+    if isinstance(col, str):
+        return F.expr(band_sql(col, bands, default))
     c = _col(col)
     rules = []
     for lo, hi, label in bands:
@@ -59,70 +105,99 @@ def band(col, bands: list, default: str | None = L.UNSPECIFIED) -> Column:
 # ---------------------------------------------------------------------------
 # The published recodes
 # ---------------------------------------------------------------------------
-def ssp_ind(ssp="SSPInd", sick_absence="SickAbsenceInd") -> Column:
+def ssp_ind_sql(ssp="SSPInd", sick_absence="SickAbsenceInd") -> str:
     """Statutory sick pay; 'Not stated' tests the sickness-absence code."""
-    s, a = _col(ssp), _col(sick_absence)
-    rules = [(s == code, label) for code, label in L.SSP_IND.items()]
-    rules.append((a == L.SSP_NOT_STATED_SICK_ABSENCE_CODE, L.SSP_NOT_STATED))
-    return recode_rules(rules)
+    s, a = sql_col(ssp), sql_col(sick_absence)
+    whens = [(f"{s} = {sql_str(code)}", label) for code, label in L.SSP_IND.items()]
+    whens.append((f"{a} = {sql_str(L.SSP_NOT_STATED_SICK_ABSENCE_CODE)}", L.SSP_NOT_STATED))
+    return _case_sql(whens, L.UNSPECIFIED)
 
 
-def general_benefit(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> Column:
+def ssp_ind(ssp="SSPInd", sick_absence="SickAbsenceInd") -> Column:
+    return F.expr(ssp_ind_sql(ssp, sick_absence))
+
+
+def general_benefit_sql(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> str:
     """Any-benefit roll-up: any 'Y' -> received, else any 'N' -> not received."""
-    cols = [_col(benefit), _col(esa), _col(pip), _col(uc)]
-    any_y = reduce(lambda a, b: a | b, [c == "Y" for c in cols])
-    any_n = reduce(lambda a, b: a | b, [c == "N" for c in cols])
-    return recode_rules([(any_y, L.BENEFIT_RECEIVED), (any_n, L.NO_BENEFIT_RECEIVED)],
-                        L.BENEFIT_UNKNOWN)
+    cols = [sql_col(c) for c in (benefit, esa, pip, uc)]
+    any_y = " OR ".join(f"{c} = 'Y'" for c in cols)
+    any_n = " OR ".join(f"{c} = 'N'" for c in cols)
+    return _case_sql([(f"({any_y})", L.BENEFIT_RECEIVED), (f"({any_n})", L.NO_BENEFIT_RECEIVED)],
+                     L.BENEFIT_UNKNOWN)
+
+
+def general_benefit(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> Column:
+    return F.expr(general_benefit_sql(benefit, esa, pip, uc))
 
 
 def problem_descriptor(higher="PresentingComplaintHigherCategory", lower="PresentingComplaintLowerCategory",
                        primary="PrimaryPresentingComplaint", secondary="SecondaryPresentingComplaint") -> Column:
     """The 17-rule problem descriptor (first match wins)."""
-    h, lo, p, s = _col(higher), _col(lower), _col(primary), _col(secondary)
-    rules = [((h == code) | (p == code), label) for code, label in L.PROBLEM_HIGHER]
-    anxious = (h == L.ANXIETY) | (p == L.ANXIETY)
-    rules += [(anxious & ((lo == code) | (s == code)), label) for code, label in L.PROBLEM_ANXIETY_LOWER]
-    rules.append((anxious & (lo.isNull() | s.isNull()), L.PROBLEM_NO_CODE))
-    return recode_rules(rules, L.PROBLEM_OTHER)
+    return F.expr(problem_descriptor_sql(higher, lower, primary, secondary))
 
 
-def status_labels(prefix: str = "") -> dict[str, Column]:
-    """The eleven employment-status recodes plus the any-benefit roll-up."""
-    c = (lambda n: F.col(prefix + n))
+def problem_descriptor_sql(higher="PresentingComplaintHigherCategory", lower="PresentingComplaintLowerCategory",
+                           primary="PrimaryPresentingComplaint", secondary="SecondaryPresentingComplaint") -> str:
+    h, lo, p, s = (sql_col(c) for c in (higher, lower, primary, secondary))
+    whens = [(f"({h} = {sql_str(code)} OR {p} = {sql_str(code)})", label) for code, label in L.PROBLEM_HIGHER]
+    anxious = f"({h} = {sql_str(L.ANXIETY)} OR {p} = {sql_str(L.ANXIETY)})"
+    whens += [(f"{anxious} AND ({lo} = {sql_str(code)} OR {s} = {sql_str(code)})", label)
+              for code, label in L.PROBLEM_ANXIETY_LOWER]
+    whens.append((f"{anxious} AND ({lo} IS NULL OR {s} IS NULL)", L.PROBLEM_NO_CODE))
+    return _case_sql(whens, L.PROBLEM_OTHER)
+
+
+def status_labels_sql(prefix: str = "") -> dict[str, str]:
+    """The ten employment-status recodes plus the any-benefit roll-up (SQL text)."""
+    c = (lambda n: prefix + n)
     return {
-        "EmployStatus": recode(c("EmployStatus"), L.EMPLOY_STATUS),
-        "WeekHoursWorked": recode(c("WeekHoursWorked"), L.WEEK_HOURS_WORKED),
-        "SelfEmployInd": recode(c("SelfEmployInd"), L.SELF_EMPLOY_IND),
-        "SickAbsenceInd": recode(c("SickAbsenceInd"), L.SICK_ABSENCE_IND),
-        "SSPInd": ssp_ind(c("SSPInd"), c("SickAbsenceInd")),
-        "BenefitRecInd": recode(c("BenefitRecInd"), L.BENEFIT_REC_IND),
-        "ESAInd": recode(c("ESAInd"), L.ESA_IND),
-        "UCInd": recode(c("UCInd"), L.UC_IND),
-        "PIPInd": recode(c("PIPInd"), L.PIP_IND),
-        "EmpSupportInd": recode(c("EmpSupportInd"), L.EMP_SUPPORT_IND),
-        "GeneralBenefitReceived": general_benefit(c("BenefitRecInd"), c("ESAInd"), c("PIPInd"), c("UCInd")),
+        "EmployStatus": recode_sql(c("EmployStatus"), L.EMPLOY_STATUS),
+        "WeekHoursWorked": recode_sql(c("WeekHoursWorked"), L.WEEK_HOURS_WORKED),
+        "SelfEmployInd": recode_sql(c("SelfEmployInd"), L.SELF_EMPLOY_IND),
+        "SickAbsenceInd": recode_sql(c("SickAbsenceInd"), L.SICK_ABSENCE_IND),
+        "SSPInd": ssp_ind_sql(c("SSPInd"), c("SickAbsenceInd")),
+        "BenefitRecInd": recode_sql(c("BenefitRecInd"), L.BENEFIT_REC_IND),
+        "ESAInd": recode_sql(c("ESAInd"), L.ESA_IND),
+        "UCInd": recode_sql(c("UCInd"), L.UC_IND),
+        "PIPInd": recode_sql(c("PIPInd"), L.PIP_IND),
+        "EmpSupportInd": recode_sql(c("EmpSupportInd"), L.EMP_SUPPORT_IND),
+        "GeneralBenefitReceived": general_benefit_sql(c("BenefitRecInd"), c("ESAInd"), c("PIPInd"), c("UCInd")),
     }
 
 
-def protected_characteristics() -> dict[str, Column]:
-    """Gender, ethnicity, gender identity, age band and problem descriptor labels."""
+def status_labels(prefix: str = "") -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in status_labels_sql(prefix).items()}
+
+
+def protected_characteristics_sql() -> dict[str, str]:
+    """Gender, ethnicity, gender identity, age band and problem descriptor labels (SQL text)."""
     return {
-        "GenderDesc": recode("Gender", L.GENDER),
-        "EthnicityDesc": recode("Validated_EthnicCategory", L.ETHNICITY),
-        "GenderIdentityDesc": recode("GenderIdentity", L.GENDER_IDENTITY),
-        "AgeGroups": band("Age_ReferralRequest_ReceivedDate", L.AGE_BANDS),
-        "ProblemDescriptor": problem_descriptor(),
+        "GenderDesc": recode_sql("Gender", L.GENDER),
+        "EthnicityDesc": recode_sql("Validated_EthnicCategory", L.ETHNICITY),
+        "GenderIdentityDesc": recode_sql("GenderIdentity", L.GENDER_IDENTITY),
+        "AgeGroups": band_sql("Age_ReferralRequest_ReceivedDate", L.AGE_BANDS),
+        "ProblemDescriptor": problem_descriptor_sql(),
     }
 
 
+def protected_characteristics() -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in protected_characteristics_sql().items()}
+
+
+def sexual_orientation_sql(col="SocPerCircumstance") -> str:
+    return recode_sql(col, L.SEXUAL_ORIENTATION)
+
+
 def sexual_orientation(col="SocPerCircumstance") -> Column:
-    return recode(col, L.SEXUAL_ORIENTATION)
+    return F.expr(sexual_orientation_sql(col))
 
 
 def coverage_band(count_col="NumberOfPresenteeismAssessments") -> Column:
     """Assessment count: 0 or NULL / 1 / 2+ (NULL only if negative)."""
-    c = _col(count_col)
-    return recode_rules([((c == 0) | c.isNull(), L.COVERAGE_NONE),
-                         (c == 1, L.COVERAGE_ONE),
-                         (c >= 2, L.COVERAGE_TWO_PLUS)], None)
+    return F.expr(coverage_band_sql(count_col))
+
+
+def coverage_band_sql(count_col="NumberOfPresenteeismAssessments") -> str:
+    c = sql_col(count_col)
+    return _case_sql([(f"{c} = 0 OR {c} IS NULL", L.COVERAGE_NONE), (f"{c} = 1", L.COVERAGE_ONE),
+                      (f"{c} >= 2", L.COVERAGE_TWO_PLUS)], None)

@@ -29,57 +29,44 @@ from monthwise.functions.labels import SUPPORT_ACTIVITY_CODE
 from monthwise.operators.submissions import latest_submission
 
 
-def _code_num(col: str):
-    return F.col(col).try_cast("int")
-
-
 def qualifying_contact_count(referrals: DataFrame, submissions: DataFrame, contacts: DataFrame,
                              activities: DataFrame, status: DataFrame) -> DataFrame:
     """``(PathwayID, Count_EmpSupp)`` for pathways with a qualifying contact."""
     ref = latest_submission(
-        referrals.select("PathwayID", "RecordNumber", "UniqueSubmissionID", "AuditId",
-                         "ReferralRequestReceivedDate", "ServDischDate"),
+        referrals.selectExpr("PathwayID", "RecordNumber", "UniqueSubmissionID", "AuditId",
+                             "ReferralRequestReceivedDate", "ServDischDate"),
         submissions, keep=("ReportingPeriodStartDate", "ReportingPeriodEndDate"))
 
     con = (contacts
-           .where(_code_num("AttendOrDNACode").isin(5, 6) | (F.col("PlannedCareContIndicator") == "N"))
-           .select(F.col("RecordNumber").alias("c_rec"), F.col("UniqueSubmissionID").alias("c_sid"),
-                   F.col("AuditId").alias("c_aid"), F.col("PathwayID").alias("c_path"),
-                   "CareContactID", "CareContDate", _code_num("AppType").alias("app")))
+           .where("try_cast(AttendOrDNACode AS INT) IN (5, 6) OR PlannedCareContIndicator = 'N'")
+           .selectExpr("RecordNumber AS c_rec", "UniqueSubmissionID AS c_sid", "AuditId AS c_aid",
+                       "PathwayID AS c_path", "CareContactID", "CareContDate", "try_cast(AppType AS INT) AS app"))
 
     # One row per contact key: does any of its activities carry the support code?
     act = (activities
-           .groupBy(F.col("PathwayID").alias("a_path"), F.col("RecordNumber").alias("a_rec"),
-                    F.col("CareContactID").alias("a_cid"), F.col("AuditId").alias("a_aid"))
-           .agg(F.max(F.when(F.col("CodeProcAndProcStatus") == SUPPORT_ACTIVITY_CODE, 1).otherwise(0))
-                .alias("has_code")))
+           .selectExpr("PathwayID AS a_path", "RecordNumber AS a_rec", "CareContactID AS a_cid", "AuditId AS a_aid",
+                       f"CASE WHEN CodeProcAndProcStatus = '{SUPPORT_ACTIVITY_CODE}' THEN 1 ELSE 0 END AS code")
+           .groupBy("a_path", "a_rec", "a_cid", "a_aid").agg(F.expr("max(code) AS has_code")))
 
     # One row per (record, audit): the latest support discharge, and whether any
     # status row has none (NULL discharge lets the period end bound the contact).
     st = (status
-          .groupBy(F.col("RecordNumber").alias("e_rec"), F.col("AuditId").alias("e_aid"))
-          .agg(F.max("EmpSupportDischargeDate").alias("max_disch"),
-               F.max(F.when(F.col("EmpSupportDischargeDate").isNull(), 1).otherwise(0)).alias("open_disch")))
-
-    j = (ref.join(con, (F.col("RecordNumber") == F.col("c_rec")) & (F.col("UniqueSubmissionID") == F.col("c_sid"))
-                  & (F.col("AuditId") == F.col("c_aid")))
-            .join(act, (F.col("c_path") == F.col("a_path")) & (F.col("c_rec") == F.col("a_rec"))
-                  & (F.col("CareContactID") == F.col("a_cid")) & (F.col("c_aid") == F.col("a_aid")), "left")
-            .join(st, (F.col("RecordNumber") == F.col("e_rec")) & (F.col("AuditId") == F.col("e_aid")), "left"))
-
-    d = F.col("CareContDate")
-    code = F.col("has_code") == 1
-    referred = F.col("ReferralRequestReceivedDate") <= d
-    disch = F.col("ServDischDate")
-    end = F.col("ReportingPeriodEndDate")
-    branch_a = (F.col("app") != 6) & referred & ((d <= disch) | (disch.isNull() & (d <= end))) & code
-    branch_b = (F.col("app") == 6) & (d > disch) & code
+          .selectExpr("RecordNumber AS e_rec", "AuditId AS e_aid", "EmpSupportDischargeDate AS disch",
+                      "CASE WHEN EmpSupportDischargeDate IS NULL THEN 1 ELSE 0 END AS open")
+          .groupBy("e_rec", "e_aid").agg(F.expr("max(disch) AS max_disch"), F.expr("max(open) AS open_disch")))
+
+    j = (ref.join(con, F.expr("RecordNumber = c_rec AND UniqueSubmissionID = c_sid AND AuditId = c_aid"))
+            .join(act, F.expr("c_path = a_path AND c_rec = a_rec AND CareContactID = a_cid AND c_aid = a_aid"), "left")
+            .join(st, F.expr("RecordNumber = e_rec AND AuditId = e_aid"), "left"))
+
+    d, end, disch = "CareContDate", "ReportingPeriodEndDate", "ServDischDate"
+    code, referred = "has_code = 1", f"ReferralRequestReceivedDate <= {d}"
+    branch_a = f"app <> 6 AND {referred} AND ({d} <= {disch} OR ({disch} IS NULL AND {d} <= {end})) AND {code}"
+    branch_b = f"app = 6 AND {d} > {disch} AND {code}"
     # No status row at all behaves like a NULL support discharge.
-    no_status = F.col("e_rec").isNull()
-    support_ok = (d <= F.col("max_disch")) | ((no_status | (F.col("open_disch") == 1)) & (d <= end))
-    branch_c = ((F.col("app") == 10) | (code & (F.col("app") == 6))) & referred & support_ok
-
-    in_period = d.between(F.col("ReportingPeriodStartDate"), end)
-    return (j.where(branch_a | branch_b | branch_c)
+    support_ok = f"({d} <= max_disch OR ((e_rec IS NULL OR open_disch = 1) AND {d} <= {end}))"
+    branch_c = f"(app = 10 OR ({code} AND app = 6)) AND {referred} AND {support_ok}"
+    in_period = f"{d} BETWEEN ReportingPeriodStartDate AND {end}"
+    return (j.where(f"({branch_a}) OR ({branch_b}) OR ({branch_c})")
              .groupBy("PathwayID")
-             .agg(F.count_distinct(F.when(in_period, F.col("CareContactID"))).alias("Count_EmpSupp")))
+             .agg(F.expr(f"count(DISTINCT CASE WHEN {in_period} THEN CareContactID END) AS Count_EmpSupp")))

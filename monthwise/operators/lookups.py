@@ -13,30 +13,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions import labels as L
+from monthwise.functions.flags import q
 
 # Largest dimension broadcast without question (rows).  Hierarchies have a few
 # thousand rows; 2 million narrow rows stay well below executor memory.
 DIM_MAX_ROWS = 2_000_000
 
-_CHECKED: dict[int, list] = {}
+_BUILT: dict[tuple, tuple] = {}
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early) and is
-    done once per distinct plan (matched by semantic equality).
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).
     """
-    bucket = _CHECKED.setdefault(df.semanticHash(), [])
-    for seen, small in bucket:
-        if seen.sameSemantics(df):
-            break
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        bucket.append((df, small))
+    small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
 
 
+def small_side(anchor: DataFrame, shape: tuple, build) -> DataFrame:
+    """The prepared (filtered, projected, size-checked) form of a dimension.
+
+    Built and checked once per (dimension, lookup shape) and then reused, so a
+    session running many queries counts each dimension once.
+    """
+    key = (id(anchor), shape)
+    hit = _BUILT.get(key)
+    if hit is None or hit[0] is not anchor:
+        hit = (anchor, bounded_broadcast(build()))
+        _BUILT[key] = hit
+    return hit[1]
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -46,15 +54,15 @@ def remap_successor(df: DataFrame, key: str, mapping: DataFrame, old: str, new:
 
     Several mapping rows for one code fan the row out (kept, as in the source).
     """
-    m = mapping.select(F.col(old).alias("__old"), F.col(new).alias("__new"))
-    j = df.join(bounded_broadcast(m), F.col(key) == F.col("__old"), "left")
-    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return j.select(*keep, F.coalesce(F.col("__new"), F.col(key)).alias(out))
+    m = small_side(mapping, ("remap", old, new),
+                   lambda: mapping.selectExpr(f"{q(old)} AS __old", f"{q(new)} AS __new"))
+    j = df.join(m, F.expr(f"{q(key)} = __old"), "left")
+    return j.withColumns({out: F.expr(f"coalesce(__new, {q(key)})")}).drop("__old", "__new")
 
 
 def current_rows(dim: DataFrame, effective_to: str = "Effective_To") -> DataFrame:
     """Current rows of a type-2 dimension (open-ended validity)."""
-    return dim.where(F.col(effective_to).isNull())
+    return dim.where(f"{q(effective_to)} IS NULL")
 
 
 def current_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dict,
@@ -65,23 +73,23 @@ def current_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dic
     ``cols`` maps output name -> dimension column.  Several current rows for one
     code fan out (kept).
     """
-    d = current_rows(dim, effective_to).select(
-        F.col(code).alias("__code"), *[F.col(c).alias(f"__{o}") for o, c in cols.items()])
-    j = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in cols]
-    looked = [(F.coalesce(F.col(f"__{o}"), F.lit(default)) if default is not None else F.col(f"__{o}")).alias(o)
-              for o in cols]
-    return j.select(*keep, *looked)
+    d = small_side(dim, ("current", code, effective_to, tuple(cols.items())),
+                   lambda: current_rows(dim, effective_to).selectExpr(
+                       f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()]))
+    j = df.join(d, F.expr(f"{q(key)} = __code"), "left")
+    dflt = f", '{default}'" if default is not None else ""
+    looked = {o: F.expr(f"coalesce({q('__' + o)}{dflt})") for o in cols}
+    return j.withColumns(looked).drop("__code", *[f"__{o}" for o in cols])
 
 
 def snapshot_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dict,
                     snapshot_col: str, snapshot_date: str) -> DataFrame:
     """Left join to one dated snapshot of a dimension; unmatched stays NULL."""
-    d = dim.where(F.col(snapshot_col) == F.lit(snapshot_date).cast("date")).select(
-        F.col(code).alias("__code"), *[F.col(c).alias(f"__{o}") for o, c in cols.items()])
-    j = df.join(bounded_broadcast(d), F.col(key) == F.col("__code"), "left")
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in cols]
-    return j.select(*keep, *[F.col(f"__{o}").alias(o) for o in cols])
+    d = small_side(dim, ("snapshot", code, snapshot_col, snapshot_date, tuple(cols.items())),
+                   lambda: dim.where(f"{q(snapshot_col)} = DATE '{snapshot_date}'").selectExpr(
+                       f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()]))
+    j = df.join(d, F.expr(f"{q(key)} = __code"), "left")
+    return j.withColumns({o: F.col(f"`__{o}`") for o in cols}).drop("__code", *[f"__{o}" for o in cols])
 
 
 # ---------------------------------------------------------------------------
@@ -108,7 +116,7 @@ def commissioner_geography(df: DataFrame, code_changes: DataFrame, hierarchy: Da
     """Retired commissioner codes remapped, then the current Sub-ICB/ICB/region."""
     out = remap_successor(df, key, code_changes, "Org_Code", "New_Code", "__comm_code")
     out = current_lookup(out, "__comm_code", hierarchy, "Organisation_Code", cols or COMMISSIONER_COLS)
-    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__comm_code"])
+    return out.drop("__comm_code")
 
 
 def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame,
@@ -116,4 +124,4 @@ def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame
     """Provider codes moved to their successor, then the current provider/region."""
     out = remap_successor(df, key, successor, "Prov_original", "Prov_Successor", "__prov_code")
     out = current_lookup(out, "__prov_code", hierarchy, "Organisation_Code", cols or PROVIDER_COLS)
-    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__prov_code"])
+    return out.drop("__prov_code")

@@ -13,14 +13,11 @@ map-side like any other group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.dates import month_label
-
-
-def _col(c) -> Column:
-    return F.col(f"`{c}`") if isinstance(c, str) else c
+from monthwise.functions.flags import q
 
 
 def pair_first_last(ranked: DataFrame, keys: list, first_rank: str, last_rank: str,
@@ -31,19 +28,14 @@ def pair_first_last(ranked: DataFrame, keys: list, first_rank: str, last_rank: s
 
     ``first_cols`` / ``last_cols`` map output name -> column of that side.
     """
-    a = ranked.where(F.col(first_rank) == 1).select(
-        *[_col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col(first_rank).alias("__fr1"),
-        *[_col(src).alias(out) for out, src in first_cols.items()])
-    b = ranked.where(F.col(last_rank) == 1).select(
-        *[_col(k).alias(f"__j{i}") for i, k in enumerate(keys)],
-        F.col(first_rank).alias("__fr2"),
-        *[_col(src).alias(out) for out, src in last_cols.items()])
-    cond = F.col("__fr1") != F.col("__fr2")
-    for i in range(len(keys)):
-        cond = cond & (F.col(f"__k{i}") == F.col(f"__j{i}"))
-    out = a.join(b, cond)
-    return out.select(*[_col(c) for c in [*first_cols, *last_cols]])
+    a = ranked.where(f"{q(first_rank)} = 1").selectExpr(
+        *[f"{q(k)} AS __k{i}" for i, k in enumerate(keys)], f"{q(first_rank)} AS __fr1",
+        *[f"{q(src)} AS {q(out)}" for out, src in first_cols.items()])
+    b = ranked.where(f"{q(last_rank)} = 1").selectExpr(
+        *[f"{q(k)} AS __j{i}" for i, k in enumerate(keys)], f"{q(first_rank)} AS __fr2",
+        *[f"{q(src)} AS {q(out)}" for out, src in last_cols.items()])
+    cond = " AND ".join(["__fr1 <> __fr2", *[f"__k{i} = __j{i}" for i in range(len(keys))]])
+    return a.join(b, F.expr(cond)).selectExpr(*[q(c) for c in [*first_cols, *last_cols]])
 
 
 def pair_first_last_answers(answers: DataFrame, keys: list, date: str, time: str, uid: str,
@@ -56,30 +48,26 @@ def pair_first_last_answers(answers: DataFrame, keys: list, date: str, time: str
     columns: keys, ``First<c>`` and ``Last<c>`` for each carried column, and
     ``n_answers``.
     """
-    order = [F.col(date).alias("__d"), F.col(time).alias("__t"), (-F.col(uid)).alias("__u")]
-    row = [_col(c).alias(c) for c in carry]
-    agg = (answers.groupBy(*[_col(k) for k in keys])
-                  .agg(F.count(F.lit(1)).alias("n_answers"),
-                       F.min(F.struct(*order, *row)).alias("__first"),
-                       F.max(F.struct(*order, *row)).alias("__last")))
-    last_date = F.col("__last").getField("__d")
-    out = agg.where((F.col("n_answers") >= 2) & last_date.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
-    return out.select(*[_col(k) for k in keys], "n_answers",
-                      *[F.col("__first").getField(c).alias(f"First{c}") for c in carry],
-                      *[F.col("__last").getField(c).alias(f"Last{c}") for c in carry])
+    fields = [f"'__d', {q(date)}", f"'__t', {q(time)}", f"'__u', -{q(uid)}", *[f"'{c}', {q(c)}" for c in carry]]
+    row = "named_struct(" + ", ".join(fields) + ")"
+    agg = answers.groupBy(*keys).agg(F.expr("count(1) AS n_answers"), F.expr(f"min({row}) AS __first"),
+                                     F.expr(f"max({row}) AS __last"))
+    out = agg.where(f"n_answers >= 2 AND __last.__d BETWEEN DATE '{lo}' AND DATE '{hi}'")
+    return out.selectExpr(*[q(k) for k in keys], "n_answers",
+                          *[f"__first.{q(c)} AS {q('First' + c)}" for c in carry],
+                          *[f"__last.{q(c)} AS {q('Last' + c)}" for c in carry])
 
 
 def score_distribution(pairs: DataFrame, score_cols: dict, keys: list, count_col: str = "PathwayID",
                        out_name: str = "Count_Referrals") -> DataFrame:
     """First and last scores unpivoted to ``(ScoreType, Score)``; distinct
     pathways per score type x score x keys (exact distinct count)."""
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(label).alias("ScoreType"), _col(col).alias("Score"))
-        for label, col in score_cols.items()])).alias("__s")
-    return (pairs.select(*[_col(k) for k in keys], _col(count_col), stacked)
-                 .groupBy(*[_col(k) for k in keys], F.col("__s").getField("ScoreType").alias("ScoreType"),
-                          F.col("__s").getField("Score").alias("Score"))
-                 .agg(F.count_distinct(_col(count_col)).alias(out_name)))
+    arr = "array(" + ", ".join(f"named_struct('ScoreType', '{label}', 'Score', {q(col)})"
+                               for label, col in score_cols.items()) + ")"
+    stacked = pairs.selectExpr(*[q(k) for k in keys], q(count_col), f"explode({arr}) AS __s").selectExpr(
+        *[q(k) for k in keys], q(count_col), "__s.ScoreType AS ScoreType", "__s.Score AS Score")
+    return stacked.groupBy(*keys, "ScoreType", "Score").agg(
+        F.expr(f"count(DISTINCT {q(count_col)}) AS {q(out_name)}"))
 
 
 __all__ = ["pair_first_last", "pair_first_last_answers", "score_distribution", "month_label"]

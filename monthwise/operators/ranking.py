@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthwise.functions.flags import q
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -76,11 +78,12 @@ def first_last_ranks(df: DataFrame, keys: list, date: str, tiebreak: list[str],
     no row ranked 1 ascending.  The descending order is the exact reverse of
     the ascending one, ties included.
     """
-    asc = [F.col(date).asc_nulls_first()] + [F.col(f"`{t}`").asc_nulls_first() for t in tiebreak]
-    desc = [F.col(date).desc_nulls_last()] + [F.col(f"`{t}`").desc_nulls_last() for t in tiebreak]
-    part = [_col(k) for k in keys]
-    dated = F.col(date).isNotNull()
+    part = ", ".join(q(k) for k in keys)
+    asc = ", ".join([f"{q(date)} ASC NULLS FIRST", *[f"{q(t)} ASC NULLS FIRST" for t in tiebreak]])
+    desc = ", ".join([f"{q(date)} DESC NULLS LAST", *[f"{q(t)} DESC NULLS LAST" for t in tiebreak]])
     # BIGINT, like ROW_NUMBER in the source database.
-    first = F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*asc))).otherwise(F.lit(0))
-    last = F.when(dated, F.row_number().over(Window.partitionBy(*part).orderBy(*desc))).otherwise(F.lit(0))
-    return df.select("*", first.cast("bigint").alias(first_name), last.cast("bigint").alias(last_name))
+    first = (f"CAST(CASE WHEN {q(date)} IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {asc}) "
+             f"ELSE 0 END AS BIGINT) AS {q(first_name)}")
+    last = (f"CAST(CASE WHEN {q(date)} IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {desc}) "
+            f"ELSE 0 END AS BIGINT) AS {q(last_name)}")
+    return df.selectExpr("*", first, last)

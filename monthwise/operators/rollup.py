@@ -9,20 +9,23 @@ sums all cells.  All measures are sums of 0/1 flags or counts, so Spark's
 partial aggregation combines rows map-side before the single shuffle; the
 shuffle carries at most (output groups x tasks) rows however skewed the keys
 are (the National level is one hot group per cell by design).
+
+Expressions are Spark SQL text (``selectExpr`` / ``F.expr``), which keeps plan
+construction to a handful of client calls.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthwise.functions.flags import q
 from monthwise.functions.labels import NATIONAL
+from monthwise.functions.recode import sql_str
 
-
-def _col(c) -> Column:
-    return F.col(f"`{c}`") if isinstance(c, str) else c
+ORG_NAMES = ("OrgType", "Region", "OrgCode", "OrgName")
 
 
 @dataclass(frozen=True)
@@ -35,14 +38,14 @@ class Level:
     code: str | None
     name: str | None
 
-    def struct(self, names=("OrgType", "Region", "OrgCode", "OrgName")) -> Column:
-        t, r, c, n = names
+    def struct_sql(self, names=ORG_NAMES) -> str:
         if self.code is None:
             _, region, code, name = NATIONAL
-            vals = [F.lit(self.org_type), F.lit(region), F.lit(code), F.lit(name)]
+            vals = [sql_str(self.org_type), sql_str(region), sql_str(code), sql_str(name)]
         else:
-            vals = [F.lit(self.org_type), _col(self.region), _col(self.code), _col(self.name)]
-        return F.struct(*[v.cast("string").alias(a) for v, a in zip(vals, (t, r, c, n))])
+            vals = [sql_str(self.org_type), q(self.region), q(self.code), q(self.name)]
+        fields = ", ".join(f"{sql_str(n)}, CAST({v} AS STRING)" for n, v in zip(names, vals))
+        return f"named_struct({fields})"
 
 
 PROVIDER = Level("Provider", "RegionNameProv", "ProviderCode", "ProviderName")
@@ -51,37 +54,47 @@ ICB = Level("ICB", "RegionNameComm", "ICBCode", "ICBName")
 NATIONAL_LEVEL = Level("National", None, None, None)
 LEVELS = [PROVIDER, SUB_ICB, ICB, NATIONAL_LEVEL]
 
-ORG_NAMES = ("OrgType", "Region", "OrgCode", "OrgName")
+
+def _levels_array(levels, names=ORG_NAMES) -> str:
+    return "array(" + ", ".join(lvl.struct_sql(names) for lvl in levels) + ")"
 
 
 def org_rollup(df: DataFrame, keys: list, measures: dict, levels: list = LEVELS,
                names: tuple = ORG_NAMES, count: bool = False) -> DataFrame:
     """The same measures at every organisation level in one aggregate.
 
-    ``measures`` maps output name -> column; each is summed (or counted
+    ``measures`` maps output name -> source column; each is summed (or counted
     non-null when ``count``).  Output: keys, the four level columns named by
     ``names``, then the measures.
     """
-    lv = F.explode(F.array(*[lvl.struct(names) for lvl in levels])).alias("__lvl")
-    exploded = df.select(*[_col(k) for k in keys], lv,
-                         *[_col(v).alias(k) if isinstance(v, str) else v.alias(k) for k, v in measures.items()])
-    agg = F.count if count else F.sum
-    out = (exploded.groupBy(*[_col(k) for k in keys], *[F.col("__lvl").getField(n).alias(n) for n in names])
-                   .agg(*[agg(_col(m)).alias(m) for m in measures]))
-    return out.select(*[_col(k) for k in keys], *names, *[_col(m) for m in measures])
+    exploded = df.selectExpr(*[q(k) for k in keys], f"explode({_levels_array(levels, names)}) AS __lvl",
+                             *[f"{q(src)} AS {q(m)}" for m, src in measures.items()])
+    flat = exploded.selectExpr(*[q(k) for k in keys], *[f"__lvl.{q(n)} AS {q(n)}" for n in names],
+                               *[q(m) for m in measures])
+    agg = "count" if count else "sum"
+    out = flat.groupBy(*keys, *names).agg(*[F.expr(f"{agg}({q(m)}) AS {q(m)}") for m in measures])
+    return out.selectExpr(*[q(k) for k in keys], *[q(n) for n in names], *[q(m) for m in measures])
 
 
 @dataclass(frozen=True)
 class Scope:
-    """An appointment scope: row filter, dosage column, printed discharge flag and
-    the measure columns (output name -> base column)."""
+    """An appointment scope: row filter (SQL text, or None for all rows), dosage
+    column, whether the real discharge flag is printed (else 'NA'), and the
+    measure columns (output name -> base column)."""
 
     name: str
-    where: Column | None
+    where: str | None
     dosage: str
     prints_flag: bool
     measures: dict
 
+    def struct_sql(self, flag_col: str) -> str:
+        flag = f"CAST({q(flag_col)} AS STRING)" if self.prints_flag else "'NA'"
+        fields = [("AppointmentType", sql_str(self.name)), ("Dosage", f"CAST({q(self.dosage)} AS BIGINT)"),
+                  (flag_col, flag), *[(m, f"CAST({q(src)} AS INT)") for m, src in self.measures.items()]]
+        s = "named_struct(" + ", ".join(f"{sql_str(n)}, {v}" for n, v in fields) + ")"
+        return s if self.where is None else f"CASE WHEN {self.where} THEN {s} END"
+
 
 def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, hidden: list,
                     levels: list = LEVELS, flag_col: str = "EmpSupportDischargeDatePresent") -> DataFrame:
@@ -92,45 +105,28 @@ def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, h
     grouped but not output (so rows that differ only there stay separate, as
     in the published table).  Measure names must be the same for all scopes.
     """
-    measure_names = list(scopes[0].measures)
-    cats = F.array(*[
-        F.struct(F.lit(label).alias("Category"), _col(col).cast("string").alias("Variable"))
-        for label, col in categories.items()]).alias("__cats")
-    lvls = F.array(*[lvl.struct() for lvl in levels]).alias("__lvls")
-    scope_structs = []
-    for sc in scopes:
-        fields = [F.lit(sc.name).alias("AppointmentType"),
-                  _col(sc.dosage).cast("bigint").alias("Dosage"),
-                  (_col(flag_col).cast("string") if sc.prints_flag else F.lit("NA")).alias(flag_col),
-                  *[_col(src).cast("int").alias(m) for m, src in sc.measures.items()]]
-        s = F.struct(*fields)
-        if sc.where is not None:
-            s = F.when(sc.where, s)
-        scope_structs.append(s)
+    measures = list(scopes[0].measures)
+    cats = "array(" + ", ".join(f"named_struct('Category', {sql_str(label)}, 'Variable', CAST({q(col)} AS STRING))"
+                                for label, col in categories.items()) + ")"
     # Scopes a row is outside of become NULL structs and are dropped by filter().
-    sc_arr = F.filter(F.array(*scope_structs), lambda x: x.isNotNull())
+    scope_arr = "filter(array(" + ", ".join(sc.struct_sql(flag_col) for sc in scopes) + "), x -> x IS NOT NULL)"
     hid = [f"__h{i}" for i in range(len(hidden))]
-    base = df.select(*[_col(k) for k in keys], *[_col(h).alias(a) for h, a in zip(hidden, hid)],
-                     cats, lvls, F.explode(sc_arr).alias("__sc"))
-    fanned = (base.select("*", F.explode("__cats").alias("__cat"))
-                  .select("*", F.explode("__lvls").alias("__lvl")))
-    group = [*[_col(k) for k in keys],
-             *[F.col("__lvl").getField(n).alias(n) for n in ORG_NAMES],
-             F.col("__cat").getField("Category").alias("Category"),
-             F.col("__cat").getField("Variable").alias("Variable"),
-             F.col("__sc").getField("AppointmentType").alias("AppointmentType"),
-             F.col("__sc").getField("Dosage").alias("Dosage"),
-             F.col("__sc").getField(flag_col).alias(flag_col),
-             *[F.col(a) for a in hid]]
-    out = fanned.groupBy(*group).agg(*[F.sum(F.col("__sc").getField(m)).alias(m) for m in measure_names])
-    return out.select(*[_col(k) for k in keys], "OrgType", "OrgName", "OrgCode", "Region", "Category",
-                      "Variable", "AppointmentType", "Dosage", flag_col, *measure_names)
-
-
-def appointment_scope(df: DataFrame, scope: Scope, keys: list, measures_sum: bool = True) -> DataFrame:
-    """O26 on its own: filter to one scope and project its dosage, printed flag
-    and measures under the scope-independent names."""
+    base = df.selectExpr(*[q(k) for k in keys], *[f"{q(h)} AS {a}" for h, a in zip(hidden, hid)],
+                         f"{cats} AS __cats", f"{_levels_array(levels)} AS __lvls", f"explode({scope_arr}) AS __sc")
+    fanned = base.selectExpr("*", "explode(__cats) AS __cat").selectExpr("*", "explode(__lvls) AS __lvl")
+    group = [*keys, *ORG_NAMES, "Category", "Variable", "AppointmentType", "Dosage", flag_col, *hid]
+    flat = fanned.selectExpr(
+        *[q(k) for k in keys], *[f"__lvl.{n} AS {n}" for n in ORG_NAMES], "__cat.Category AS Category",
+        "__cat.Variable AS Variable", "__sc.AppointmentType AS AppointmentType", "__sc.Dosage AS Dosage",
+        f"__sc.{q(flag_col)} AS {q(flag_col)}", *hid, *[f"__sc.{q(m)} AS {q(m)}" for m in measures])
+    out = flat.groupBy(*group).agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
+    return out.selectExpr(*[q(k) for k in keys], "OrgType", "OrgName", "OrgCode", "Region", "Category",
+                          "Variable", "AppointmentType", "Dosage", q(flag_col), *[q(m) for m in measures])
+
+
+def appointment_scope(df: DataFrame, scope: Scope, keys: list) -> DataFrame:
+    """O26 on its own: filter to one scope and project its dosage and measures
+    under the scope-independent names."""
     out = df if scope.where is None else df.where(scope.where)
-    return out.select(*[_col(k) for k in keys], F.lit(scope.name).alias("AppointmentType"),
-                      _col(scope.dosage).alias("Dosage"),
-                      *[_col(src).alias(m) for m, src in scope.measures.items()])
+    return out.selectExpr(*[q(k) for k in keys], f"{sql_str(scope.name)} AS AppointmentType",
+                          f"{q(scope.dosage)} AS Dosage", *[f"{q(src)} AS {q(m)}" for m, src in scope.measures.items()])

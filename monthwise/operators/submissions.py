@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.operators.lookups import bounded_broadcast
-from monthwise.operators.periods import period_bounds
+from monthwise.operators.lookups import small_side
+from monthwise.operators.periods import period_bounds_sql
 
 SUBMISSION_KEYS = ["UniqueSubmissionID", "AuditId"]
 
@@ -14,9 +14,9 @@ SUBMISSION_KEYS = ["UniqueSubmissionID", "AuditId"]
 def latest_submissions(submissions: DataFrame, lo=None, hi=None,
                        start_col: str = "ReportingPeriodStartDate") -> DataFrame:
     """Latest audit of each submission, optionally limited to period starts in [lo, hi]."""
-    s = submissions.where(F.col("IsLatest") == 1)
+    s = submissions.where("IsLatest = 1")
     if lo is not None:
-        s = s.where(period_bounds(start_col, lo, hi))
+        s = s.where(period_bounds_sql(start_col, lo, hi))
     return s
 
 
@@ -28,10 +28,10 @@ def latest_submission(facts: DataFrame, submissions: DataFrame, lo=None, hi=None
     filtered first (IsLatest = 1, period bounds as literals) and broadcast when
     small, so the fact side is never shuffled for this join.
     """
-    s = latest_submissions(submissions, lo, hi).select(
-        F.col("UniqueSubmissionID").alias("__sid"), F.col("AuditId").alias("__aid"), *keep)
-    j = facts.join(bounded_broadcast(s),
-                   (F.col("UniqueSubmissionID") == F.col("__sid")) & (F.col("AuditId") == F.col("__aid")))
+    s = small_side(submissions, ("latest", str(lo), str(hi), tuple(keep)),
+                   lambda: latest_submissions(submissions, lo, hi).selectExpr(
+                       "UniqueSubmissionID AS __sid", "AuditId AS __aid", *keep))
+    j = facts.join(s, F.expr("UniqueSubmissionID = __sid AND AuditId = __aid"))
     return j.drop("__sid", "__aid")
 
 

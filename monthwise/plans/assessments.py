@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_date, month_label
-from monthwise.functions.flags import open_caseload
+from monthwise.functions.flags import open_caseload_sql
 from monthwise.functions.labels import PRESENTEEISM_QUESTIONS
-from monthwise.functions.recode import coverage_band
+from monthwise.functions.recode import coverage_band_sql
 from monthwise.operators.lookups import provider_geography
 from monthwise.operators.pairing import pair_first_last_answers, score_distribution
 from monthwise.operators.submissions import latest_audit_rows, latest_submission
@@ -27,7 +26,8 @@ PROVIDER = {"ProviderCode": "Organisation_Code", "ProviderName": "Organisation_N
 
 def coded_assessments(src: Sources) -> DataFrame:
     """Answers to the three questions at their newest audit, with provider labels."""
-    answers = src.assessments.where(F.col("CodedAssToolType").isin(PRESENTEEISM_QUESTIONS))
+    codes = ", ".join(f"'{c}'" for c in PRESENTEEISM_QUESTIONS)
+    answers = src.assessments.where(f"CodedAssToolType IN ({codes})")
     latest = latest_audit_rows(answers, src.submissions)
     return provider_geography(latest, src.prov_successor, src.prov_hierarchy, cols=PROVIDER)
 
@@ -39,12 +39,11 @@ def presenteeism_pairs(src: Sources, params: RunParams) -> DataFrame:
         coded_assessments(src), ["PathwayID", "CodedAssToolType"], "AssToolCompDate", "AssToolCompTime",
         "UniqueID_IDS606", carry=["PersScore", "ProviderName", "ProviderCode", "RegionNameProv", "AuditId",
                                   "AssToolCompDate"], lo=p.floor, hi=p.start)
-    return pairs.select(
-        "PathwayID", F.col("FirstProviderName").alias("Provider Name"),
-        F.col("FirstProviderCode").alias("Provider Code"), F.col("FirstRegionNameProv").alias("Region Name"),
-        "CodedAssToolType", "FirstPersScore", "LastPersScore", F.col("LastAuditId").alias("AuditID"),
-        month_label("LastAssToolCompDate").alias("Month"),
-        F.col("FirstAssToolCompDate").alias("FirstDate"), F.col("LastAssToolCompDate").alias("LastDate"))
+    return pairs.selectExpr(
+        "PathwayID", "FirstProviderName AS `Provider Name`", "FirstProviderCode AS `Provider Code`",
+        "FirstRegionNameProv AS `Region Name`", "CodedAssToolType", "FirstPersScore", "LastPersScore",
+        "LastAuditId AS AuditID", "date_format(LastAssToolCompDate, 'MMMM yyyy') AS Month",
+        "FirstAssToolCompDate AS FirstDate", "LastAssToolCompDate AS LastDate")
 
 
 def assessment_counts(src: Sources, params: RunParams) -> DataFrame:
@@ -52,21 +51,22 @@ def assessment_counts(src: Sources, params: RunParams) -> DataFrame:
     out = score_distribution(presenteeism_pairs(src, params),
                              {"FirstPersScore": "FirstPersScore", "LastPersScore": "LastPersScore"},
                              keys=["CodedAssToolType", "Month", "Provider Name", "Provider Code", "Region Name"])
-    return out.select("CodedAssToolType", "ScoreType", "Score", "Count_Referrals", "Month",
-                      F.col("`Provider Name`"), F.col("`Provider Code`"), F.col("`Region Name`"))
+    return out.selectExpr("CodedAssToolType", "ScoreType", "Score", "Count_Referrals", "Month",
+                          "`Provider Name`", "`Provider Code`", "`Region Name`")
 
 
 def assessment_coverage(src: Sources, params: RunParams) -> DataFrame:
     """Referrals open or discharged in their month by number of answers
     (all time) per question: none / one / two or more."""
     p = period_for(src, params)
-    n_answers = (coded_assessments(src).groupBy(F.col("PathwayID").alias("__a_path"), "CodedAssToolType")
-                 .agg(F.count("AssToolCompDate").alias("NumberOfPresenteeismAssessments")))
-    r = latest_submission(used_referrals(src), src.submissions, p.floor, p.start).where(open_caseload())
-    j = r.join(n_answers, F.col("PathwayID") == F.col("__a_path"), "left")
+    n_answers = (coded_assessments(src).groupBy("PathwayID", "CodedAssToolType")
+                 .agg(F.expr("count(AssToolCompDate) AS NumberOfPresenteeismAssessments"))
+                 .withColumnRenamed("PathwayID", "__a_path"))
+    r = latest_submission(used_referrals(src), src.submissions, p.floor, p.start).where(open_caseload_sql())
+    j = r.join(n_answers, F.expr("PathwayID = __a_path"), "left")
     j = provider_geography(j, src.prov_successor, src.prov_hierarchy, cols=PROVIDER)
-    base = j.select(month_date("ReportingPeriodStartDate").alias("Month"), "PathwayID", "ProviderCode",
-                    "ProviderName", "RegionNameProv", coverage_band().alias("PresenteeismCoverage"),
-                    "CodedAssToolType").distinct()
+    base = j.selectExpr("trunc(ReportingPeriodStartDate, 'MM') AS Month", "PathwayID", "ProviderCode",
+                        "ProviderName", "RegionNameProv", f"{coverage_band_sql()} AS PresenteeismCoverage",
+                        "CodedAssToolType").distinct()
     keys = ["Month", "ProviderName", "ProviderCode", "RegionNameProv", "PresenteeismCoverage", "CodedAssToolType"]
-    return base.groupBy(*keys).agg(F.count("PathwayID").alias("NumberOfReferrals"))
+    return base.groupBy(*keys).agg(F.expr("count(PathwayID) AS NumberOfReferrals"))

@@ -12,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_date
-from monthwise.functions.flags import condition_flag, days_open_bands, in_period_flag, is_true
-from monthwise.functions.recode import protected_characteristics
+from monthwise.functions.flags import days_open_bands_sql, flag_sql, in_period_flag_sql, q, true_sql
+from monthwise.functions.recode import protected_characteristics_sql, sql_str
 from monthwise.operators.rollup import Scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_submission
 from monthwise.plans.common import (RunParams, contact_counts, join_mpi, period_for, used_referrals,
@@ -41,9 +40,9 @@ def clinical_base(src: Sources, params: RunParams, counts: DataFrame | None = No
     # Only the two support dates of the status rows reach the output, so the
     # status side is reduced to its distinct (record, dates) before the join;
     # the DISTINCT of the base would collapse the rest anyway.
-    emp = (src.empstatus.select(F.col("RecordNumber").alias("__e_rec"), "EmpSupportReferral",
-                                "EmpSupportDischargeDate").distinct())
-    j = r.join(emp, F.col("RecordNumber") == F.col("__e_rec"), "left")
+    emp = src.empstatus.selectExpr("RecordNumber AS __e_rec", "EmpSupportReferral",
+                                   "EmpSupportDischargeDate").distinct()
+    j = r.join(emp, F.expr("RecordNumber = __e_rec"), "left")
     j = join_mpi(j, src)
     j = with_sexual_orientation(j, src)
     j = with_deprivation(j, src)
@@ -54,64 +53,64 @@ def clinical_base(src: Sources, params: RunParams, counts: DataFrame | None = No
                                               "ProviderName": "Organisation_Name",
                                               "RegionNameProv": "Region_Name"})
 
-    open_ref = F.col("ServDischDate").isNull()
-    finished = [is_true("CompletedTreatment_Flag")]
-    chars = protected_characteristics()
+    open_ref = "ServDischDate IS NULL"
+    done = true_sql("CompletedTreatment_Flag")
+    chars = protected_characteristics_sql()
+
+    def bands(from_date, prefix, suffix, extra=()):
+        return [f"{v} AS {q(k)}" for k, v in days_open_bands_sql(from_date, prefix, suffix, still_open=open_ref,
+                                                                  extra=extra).items()]
     cols = [
-        month_date("ReportingPeriodStartDate").alias("Month"),
+        "trunc(ReportingPeriodStartDate, 'MM') AS Month",
         "PathwayID", "Person_ID", "RecordNumber", "UniqueSubmissionID", "Unique_MonthID", "EFFECTIVE_FROM",
         "ReferralRequestReceivedDate",
-        in_period_flag("ReferralRequestReceivedDate").alias("AllReferrals"),
+        f"{in_period_flag_sql('ReferralRequestReceivedDate')} AS AllReferrals",
         "EmpSupportReferral",
-        in_period_flag("EmpSupportReferral").alias("EmpReferrals"),
+        f"{in_period_flag_sql('EmpSupportReferral')} AS EmpReferrals",
         "TherapySession_LastDate",
-        *[v.alias(k) for k, v in days_open_bands("TherapySession_LastDate", "AllOpenReferral",
-                                                 "TimeSinceLastContact", still_open=open_ref).items()],
+        *bands("TherapySession_LastDate", "AllOpenReferral", "TimeSinceLastContact"),
         "EmpSupport_LastDate",
-        *[v.alias(k) for k, v in days_open_bands("EmpSupport_LastDate", "EmpOpenReferral",
-                                                 "TimeSinceLastContact", still_open=open_ref).items()],
-        *[v.alias(k) for k, v in days_open_bands(
-            "ReferralRequestReceivedDate", "AllOpenReferral", "ReferraltoReportingPeriodEnd", still_open=open_ref,
-            extra=[F.col("TherapySession_FirstDate").isNull()]).items()],
-        *[v.alias(k) for k, v in days_open_bands(
-            "EmpSupportReferral", "EmpOpenReferral", "ReferraltoReportingPeriodEnd", still_open=open_ref,
-            extra=[F.col("EmpSupport_FirstDate").isNull()]).items()],
+        *bands("EmpSupport_LastDate", "EmpOpenReferral", "TimeSinceLastContact"),
+        *bands("ReferralRequestReceivedDate", "AllOpenReferral", "ReferraltoReportingPeriodEnd",
+               ["TherapySession_FirstDate IS NULL"]),
+        *bands("EmpSupportReferral", "EmpOpenReferral", "ReferraltoReportingPeriodEnd",
+               ["EmpSupport_FirstDate IS NULL"]),
         "TherapySession_FirstDate",
-        in_period_flag("TherapySession_FirstDate").alias("AllAccess"),
+        f"{in_period_flag_sql('TherapySession_FirstDate')} AS AllAccess",
         "EmpSupport_FirstDate",
-        in_period_flag("EmpSupport_FirstDate").alias("EmpAccess"),
+        f"{in_period_flag_sql('EmpSupport_FirstDate')} AS EmpAccess",
         "CompletedTreatment_Flag", "ServDischDate",
-        in_period_flag("ServDischDate", *finished).alias("AllFinishedTreatment"),
+        f"{in_period_flag_sql('ServDischDate', done)} AS AllFinishedTreatment",
         "EmpSupportDischargeDate",
-        condition_flag(F.col("EmpSupportDischargeDate").isNotNull()).alias(DISCHARGE_FLAG),
+        f"{flag_sql('EmpSupportDischargeDate IS NOT NULL')} AS {DISCHARGE_FLAG}",
         "Recovery_Flag", "NotCaseness_Flag", "ReliableImprovement_Flag", "ReliableDeterioration_Flag",
-        in_period_flag("ServDischDate", *finished, is_true("Recovery_Flag")).alias("AllCompTreatFlagRecFlag"),
-        in_period_flag("ServDischDate", *finished, is_true("NotCaseness_Flag")).alias("AllNotCaseness"),
-        in_period_flag("ServDischDate", *finished, is_true("ReliableImprovement_Flag"))
-        .alias("AllCompTreatFlagRelImpFlag"),
-        in_period_flag("ServDischDate", *finished, is_true("ReliableDeterioration_Flag"))
-        .alias("AllCompTreatFlagRelDetFlag"),
-        F.col("TreatmentCareContact_Count").alias("AllTreatmentCareContact_Count"),
+        f"{in_period_flag_sql('ServDischDate', done, true_sql('Recovery_Flag'))} AS AllCompTreatFlagRecFlag",
+        f"{in_period_flag_sql('ServDischDate', done, true_sql('NotCaseness_Flag'))} AS AllNotCaseness",
+        f"{in_period_flag_sql('ServDischDate', done, true_sql('ReliableImprovement_Flag'))} "
+        "AS AllCompTreatFlagRelImpFlag",
+        f"{in_period_flag_sql('ServDischDate', done, true_sql('ReliableDeterioration_Flag'))} "
+        "AS AllCompTreatFlagRelDetFlag",
+        "TreatmentCareContact_Count AS AllTreatmentCareContact_Count",
         "AllEmploymentSupport_Count",
-        *[F.col(f"`{c}`") for c in CLIN_GEOGRAPHY],
-        chars["GenderDesc"].alias("GenderDesc"),
-        chars["EthnicityDesc"].alias("EthnicityDesc"),
-        chars["GenderIdentityDesc"].alias("GenderIdentityDesc"),
+        *[q(c) for c in CLIN_GEOGRAPHY],
+        f"{chars['GenderDesc']} AS GenderDesc",
+        f"{chars['EthnicityDesc']} AS EthnicityDesc",
+        f"{chars['GenderIdentityDesc']} AS GenderIdentityDesc",
         "IMD_Decile",
-        chars["AgeGroups"].alias("AgeGroups"),
-        chars["ProblemDescriptor"].alias("ProblemDescriptor"),
+        f"{chars['AgeGroups']} AS AgeGroups",
+        f"{chars['ProblemDescriptor']} AS ProblemDescriptor",
         "SexualOrientationDesc",
     ]
-    return j.select(*cols).distinct()
+    return j.selectExpr(*cols).distinct()
 
 
 def active_providers(src: Sources, params: RunParams, counts: DataFrame | None = None,
                      base: DataFrame | None = None) -> DataFrame:
     """T4: providers with at least one record with a support contact, per month."""
     base = base if base is not None else clinical_base(src, params, counts)
-    return (base.where(F.col("AllEmploymentSupport_Count") > 0)
-                .select(F.col("ProviderCode").alias("OrgID_Provider"), F.col("ProviderName").alias("Prov_Name"),
-                        F.col("RegionNameProv").alias("Prov_Region"), "Month")
+    return (base.where("AllEmploymentSupport_Count > 0")
+                .selectExpr("ProviderCode AS OrgID_Provider", "ProviderName AS Prov_Name",
+                            "RegionNameProv AS Prov_Region", "Month")
                 .distinct())
 
 
@@ -126,19 +125,20 @@ def open_refs_no_contact(src: Sources, params: RunParams, counts: DataFrame | No
     """T5: open referrals without a first contact, by days since referral, for the
     support scope (split by discharge flag) and any appointment type ('NA')."""
     base = base if base is not None else clinical_base(src, params, counts)
-    scopes = F.explode(F.array(
-        F.struct(F.lit("Employment Support").alias("AppointmentType"),
-                 F.col(DISCHARGE_FLAG).cast("string").alias(DISCHARGE_FLAG),
-                 *[F.col(f"`Emp{m}`").alias(m) for m in NO_CONTACT]),
-        F.struct(F.lit("Any Appointment Type").alias("AppointmentType"), F.lit("NA").alias(DISCHARGE_FLAG),
-                 *[F.col(f"`All{m}`").alias(m) for m in NO_CONTACT]))).alias("__sc")
-    levels = [*[F.col(f"`{c}`") for c in ("RegionNameProv", "ProviderCode", "ProviderName", "RegionNameComm",
-                                          "Sub-ICBCode", "Sub-ICBName", "ICBCode", "ICBName")]]
-    scoped = base.select("Month", *levels, scopes).select(
-        "*", *[F.col("__sc").getField(c).alias(c) for c in ("AppointmentType", DISCHARGE_FLAG, *NO_CONTACT)])
+
+    def struct(scope, flag, prefix):
+        fields = [f"'AppointmentType', {sql_str(scope)}", f"{sql_str(DISCHARGE_FLAG)}, {flag}",
+                  *[f"{sql_str(m)}, {q(prefix + m)}" for m in NO_CONTACT]]
+        return "named_struct(" + ", ".join(fields) + ")"
+    scopes = (f"explode(array({struct('Employment Support', f'CAST({DISCHARGE_FLAG} AS STRING)', 'Emp')}, "
+              f"{struct('Any Appointment Type', sql_str('NA'), 'All')})) AS __sc")
+    levels = ["RegionNameProv", "ProviderCode", "ProviderName", "RegionNameComm", "Sub-ICBCode", "Sub-ICBName",
+              "ICBCode", "ICBName"]
+    scoped = base.selectExpr("Month", *[q(c) for c in levels], scopes).selectExpr(
+        "*", *[f"__sc.{q(c)} AS {q(c)}" for c in ("AppointmentType", DISCHARGE_FLAG, *NO_CONTACT)])
     out = org_rollup(scoped, ["Month", "AppointmentType", DISCHARGE_FLAG], {m: m for m in NO_CONTACT})
-    return out.select("Month", "OrgType", "OrgName", "OrgCode", "Region", "AppointmentType", DISCHARGE_FLAG,
-                      *[F.col(f"`{m}`") for m in NO_CONTACT])
+    return out.selectExpr("Month", "OrgType", "OrgName", "OrgCode", "Region", "AppointmentType", DISCHARGE_FLAG,
+                          *[q(m) for m in NO_CONTACT])
 
 
 OUTCOME_MEASURES = ["Referrals", "OpenReferralLessThan61DaysTimeSinceLastContact",
@@ -161,12 +161,12 @@ def _scope_measures(prefix: str) -> dict:
 
 def outcome_scopes() -> list[Scope]:
     """The three appointment scopes of the clinical outcomes table."""
-    count = F.col("AllEmploymentSupport_Count")
     return [
-        Scope("Employment Support", count > 0, "AllEmploymentSupport_Count", True, _scope_measures("Emp")),
+        Scope("Employment Support", "AllEmploymentSupport_Count > 0", "AllEmploymentSupport_Count", True,
+              _scope_measures("Emp")),
         Scope("Any Appointment Type", None, "AllTreatmentCareContact_Count", False, _scope_measures("All")),
-        Scope("Any Appointment Type except Employment Support", count == 0, "AllTreatmentCareContact_Count", False,
-              _scope_measures("All")),
+        Scope("Any Appointment Type except Employment Support", "AllEmploymentSupport_Count = 0",
+              "AllTreatmentCareContact_Count", False, _scope_measures("All")),
     ]
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions import labels as L
-from monthwise.functions.flags import is_true
-from monthwise.functions.recode import sexual_orientation
+from monthwise.functions.flags import true_sql
+from monthwise.functions.recode import sexual_orientation_sql
 from monthwise.operators.contacts import qualifying_contact_count
 from monthwise.operators.lookups import (COMMISSIONER_COLS, PROVIDER_COLS, commissioner_geography,
                                          provider_geography, snapshot_lookup)
@@ -43,7 +43,7 @@ def period_for(src: Sources, params: RunParams) -> Period:
 
 
 def used_referrals(src: Sources) -> DataFrame:
-    return src.referral.where(is_true("UsePathway_Flag"))
+    return src.referral.where(true_sql("UsePathway_Flag"))
 
 
 def contact_counts(src: Sources, pathways: DataFrame | None = None) -> DataFrame:
@@ -57,9 +57,9 @@ def contact_counts(src: Sources, pathways: DataFrame | None = None) -> DataFrame
 
 def with_contact_count(df: DataFrame, counts: DataFrame, out: str) -> DataFrame:
     """Left join the count on PathwayID; no qualifying contact gives 0."""
-    c = counts.select(F.col("PathwayID").alias("__ec_path"), F.col("Count_EmpSupp").alias("__ec"))
-    return (df.join(c, F.col("PathwayID") == F.col("__ec_path"), "left")
-              .withColumn(out, F.coalesce(F.col("__ec"), F.lit(0)).cast("bigint"))
+    c = counts.selectExpr("PathwayID AS __ec_path", "Count_EmpSupp AS __ec")
+    return (df.join(c, F.expr("PathwayID = __ec_path"), "left")
+              .withColumns({out: F.expr("CAST(coalesce(__ec, 0) AS BIGINT)")})
               .drop("__ec_path", "__ec"))
 
 
@@ -72,13 +72,13 @@ def sexual_orientation_latest(src: Sources) -> DataFrame:
 
 
 def with_sexual_orientation(df: DataFrame, src: Sources) -> DataFrame:
-    spc = sexual_orientation_latest(src).select(
-        F.col("RecordNumber").alias("__s_rec"), F.col("AuditID").alias("__s_aid"),
-        F.col("UniqueSubmissionID").alias("__s_sid"), "SocPerCircumstance")
-    j = df.join(spc, (F.col("RecordNumber") == F.col("__s_rec")) & (F.col("AuditId") == F.col("__s_aid"))
-                & (F.col("UniqueSubmissionID") == F.col("__s_sid")), "left")
-    return j.withColumn("SexualOrientationDesc", sexual_orientation("SocPerCircumstance")).drop(
-        "__s_rec", "__s_aid", "__s_sid", "SocPerCircumstance")
+    spc = sexual_orientation_latest(src).selectExpr(
+        "RecordNumber AS __s_rec", "AuditID AS __s_aid", "UniqueSubmissionID AS __s_sid",
+        f"{sexual_orientation_sql('SocPerCircumstance')} AS __s_desc")
+    j = df.join(spc, F.expr("RecordNumber = __s_rec AND AuditId = __s_aid AND UniqueSubmissionID = __s_sid"), "left")
+    # No answer at all is 'Unspecified' too.
+    return (j.withColumns({"SexualOrientationDesc": F.expr(f"coalesce(__s_desc, '{L.UNSPECIFIED}')")})
+             .drop("__s_rec", "__s_aid", "__s_sid", "__s_desc"))
 
 
 def with_deprivation(df: DataFrame, src: Sources) -> DataFrame:
@@ -97,9 +97,9 @@ def with_geography(df: DataFrame, src: Sources, commissioner: bool = True, provi
 
 
 def mpi_columns(src: Sources) -> DataFrame:
-    return src.mpi.select(F.col("RecordNumber").alias("__m_rec"), "Gender", "GenderIdentity",
-                          "Validated_EthnicCategory", "LSOA", "Age_RP_EndDate")
+    return src.mpi.selectExpr("RecordNumber AS __m_rec", "Gender", "GenderIdentity", "Validated_EthnicCategory",
+                              "LSOA", "Age_RP_EndDate")
 
 
 def join_mpi(df: DataFrame, src: Sources) -> DataFrame:
-    return df.join(mpi_columns(src), F.col("RecordNumber") == F.col("__m_rec")).drop("__m_rec")
+    return df.join(mpi_columns(src), F.expr("RecordNumber = __m_rec")).drop("__m_rec")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_label
-from monthwise.functions.flags import condition_flag, in_period, is_true
+from monthwise.functions.flags import flag_sql, in_period_sql, q, true_sql
 from monthwise.operators.rollup import org_rollup
 from monthwise.operators.submissions import latest_submission
 from monthwise.plans.common import RunParams, contact_counts, period_for, used_referrals, with_contact_count, \
     with_geography
 from monthwise.sources.tables import Sources
 
+GEOGRAPHY = ["Sub-ICBCode", "Sub-ICBName", "ICBCode", "ICBName", "RegionNameComm", "RegionCodeComm",
+             "ProviderCode", "ProviderName", "RegionNameProv", "RegionCodeProv"]
 MEASURES = ["FinishedTreatEmpSuppFirstAppAndEmpSuppIndYes", "FinishedTreatEmpSuppIndYes",
             "EmpSuppFirstAppAndEmpSuppIndYes", "EmpSuppIndYes"]
 
@@ -22,27 +23,24 @@ def indicator_base(src: Sources, params: RunParams, counts: DataFrame | None = N
     marking them eligible for support (DISTINCT rows)."""
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
-    r = r.where(in_period("ServDischDate"))
-    emp = (src.empstatus.where(F.col("EmpSupportInd") == "Y")
-           .select(F.col("RecordNumber").alias("__e_rec"), F.col("AuditId").alias("__e_aid"), "EmpSupportInd"))
-    j = r.join(emp, (F.col("RecordNumber") == F.col("__e_rec")) & (F.col("AuditId") == F.col("__e_aid")))
+    r = r.where(in_period_sql("ServDischDate"))
+    emp = (src.empstatus.where("EmpSupportInd = 'Y'")
+           .selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmpSupportInd"))
+    j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     if counts is None:
         counts = contact_counts(src, r)
     j = with_contact_count(j, counts, "Count_EmpSupp")
     j = with_geography(j, src)
-    eligible = F.col("EmpSupportInd") == "Y"
-    has_contact = F.col("Count_EmpSupp") > 0
-    done = is_true("CompletedTreatment_Flag")
-    path = F.col("PathwayID").isNotNull()
-    return j.select(
-        month_label("ReportingPeriodStartDate").alias("Month"), "Person_ID", "PathwayID",
-        F.col("__e_rec").alias("RecordNumber"),
-        condition_flag(done, eligible, path).alias("FinishedTreatEmpSuppIndYes"),
-        condition_flag(done, eligible, has_contact, path).alias("FinishedTreatEmpSuppFirstAppAndEmpSuppIndYes"),
-        condition_flag(eligible, path).alias("EmpSuppIndYes"),
-        condition_flag(eligible, has_contact, path).alias("EmpSuppFirstAppAndEmpSuppIndYes"),
-        "Sub-ICBCode", "Sub-ICBName", "ICBCode", "ICBName", "RegionNameComm", "RegionCodeComm",
-        "ProviderCode", "ProviderName", "RegionNameProv", "RegionCodeProv",
+    eligible, has_contact = "EmpSupportInd = 'Y'", "Count_EmpSupp > 0"
+    done, path = true_sql("CompletedTreatment_Flag"), "PathwayID IS NOT NULL"
+    return j.selectExpr(
+        f"date_format(ReportingPeriodStartDate, 'MMMM yyyy') AS Month", "Person_ID", "PathwayID",
+        "__e_rec AS RecordNumber",
+        f"{flag_sql(done, eligible, path)} AS FinishedTreatEmpSuppIndYes",
+        f"{flag_sql(done, eligible, has_contact, path)} AS FinishedTreatEmpSuppFirstAppAndEmpSuppIndYes",
+        f"{flag_sql(eligible, path)} AS EmpSuppIndYes",
+        f"{flag_sql(eligible, has_contact, path)} AS EmpSuppFirstAppAndEmpSuppIndYes",
+        *[q(c) for c in GEOGRAPHY],
     ).distinct()
 
 
@@ -50,4 +48,4 @@ def indicator(src: Sources, params: RunParams, counts: DataFrame | None = None)
     """The four indicator sums at Provider, Sub-ICB, ICB and National level."""
     base = indicator_base(src, params, counts)
     out = org_rollup(base, ["Month"], {m: m for m in MEASURES})
-    return out.select("Month", "OrgType", "OrgCode", "OrgName", "Region", *MEASURES)
+    return out.selectExpr("Month", "OrgType", "OrgCode", "OrgName", "Region", *MEASURES)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from monthwise.functions import labels as L
 from monthwise.functions.dates import month_date, month_label
-from monthwise.functions.flags import (condition_flag, days_open_bands, in_period_flag, is_true, open_caseload,
-                                       same_value_flags)
+from monthwise.functions.flags import (condition_flag, days_open_bands, in_period_flag, open_caseload,
+                                       same_value_flags, true_sql)
 from monthwise.functions.recode import (band, coverage_band, general_benefit, problem_descriptor, recode,
                                         ssp_ind, status_labels)
 from monthwise.operators.contacts import qualifying_contact_count
@@ -164,24 +164,24 @@ def q_month_text_and_date(spark, sf_dir):
 def q_in_period_flags(spark, sf_dir):
     s = _src(spark, sf_dir)
     r = latest_submission(s.referral, s.submissions)
-    done = is_true("CompletedTreatment_Flag")
+    done = true_sql("CompletedTreatment_Flag")
     return r.select("RecordNumber", "AuditId",
                     in_period_flag("ReferralRequestReceivedDate").alias("AllReferrals"),
                     in_period_flag("TherapySession_FirstDate").alias("AllAccess"),
                     in_period_flag("EmpSupport_FirstDate").alias("EmpAccess"),
                     in_period_flag("ServDischDate", done).alias("AllFinishedTreatment"),
-                    in_period_flag("ServDischDate", done, is_true("Recovery_Flag")).alias("AllCompTreatFlagRecFlag"),
-                    in_period_flag("ServDischDate", done, is_true("NotCaseness_Flag")).alias("AllNotCaseness"))
+                    in_period_flag("ServDischDate", done, true_sql("Recovery_Flag")).alias("AllCompTreatFlagRecFlag"),
+                    in_period_flag("ServDischDate", done, true_sql("NotCaseness_Flag")).alias("AllNotCaseness"))
 
 
 def q_condition_flags(spark, sf_dir):
     s = _src(spark, sf_dir)
     e = s.empstatus
-    eligible = F.col("EmpSupportInd") == "Y"
+    eligible = "EmpSupportInd = 'Y'"
     return e.select("RecordNumber", "UniqueID_IDS004",
                     condition_flag(eligible).alias("EmpSuppIndYes"),
-                    condition_flag(F.col("EmpSupportDischargeDate").isNotNull()).alias("EmpSupportDischargeDatePresent"),
-                    condition_flag(eligible, F.col("EmployStatus") == "03").alias("EligibleStudent"))
+                    condition_flag("EmpSupportDischargeDate IS NOT NULL").alias("EmpSupportDischargeDatePresent"),
+                    condition_flag(eligible, "EmployStatus = '03'").alias("EligibleStudent"))
 
 
 # --- O19 -----------------------------------------------------------------------------
@@ -191,7 +191,7 @@ def q_days_open_bands(spark, sf_dir):
     # a single row), the scalar-subquery pattern.
     end = om.agg(F.last_day(F.max("OrderDate")).alias("ReportingPeriodEndDate"))
     o = om.select("o_orderkey", "o_orderstatus", "OrderDate").crossJoin(F.broadcast(end))
-    flags = days_open_bands("OrderDate", "Open", "SinceOrder", still_open=F.col("o_orderstatus") == "P",
+    flags = days_open_bands("OrderDate", "Open", "SinceOrder", still_open="o_orderstatus = 'P'",
                             require="o_orderkey")
     return o.select("o_orderkey", *[v.alias(k) for k, v in flags.items()])
 

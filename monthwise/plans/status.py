@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_date, month_label
-from monthwise.functions.flags import condition_flag, in_period, is_true, same_value_flags
-from monthwise.functions.recode import protected_characteristics, status_labels
+from monthwise.functions.flags import flag_sql, in_period_sql, q, same_value_flags_sql, true_sql
+from monthwise.functions.recode import protected_characteristics_sql, status_labels_sql
 from monthwise.operators.pairing import pair_first_last
 from monthwise.operators.ranking import first_last_ranks
 from monthwise.operators.rollup import org_rollup
@@ -40,12 +39,12 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
     """DISTINCT status rows with labels, characteristics and geography, ranked
     (``EmpFirstRecord`` ascending, ``EmpLastRecord`` descending by date)."""
     p = period_for(src, params)
-    r = used_referrals(src).where(is_true("CompletedTreatment_Flag"))
-    r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period("ServDischDate"))
-    emp = src.empstatus.select(
-        F.col("RecordNumber").alias("__e_rec"), F.col("AuditId").alias("__e_aid"), "UniqueID_IDS004",
-        "EmployStatusRecDate", *STATUS_FIELDS, "EmpSupportDischargeDate")
-    j = r.join(emp, (F.col("RecordNumber") == F.col("__e_rec")) & (F.col("AuditId") == F.col("__e_aid")))
+    r = used_referrals(src).where(true_sql("CompletedTreatment_Flag"))
+    r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period_sql("ServDischDate"))
+    emp = src.empstatus.selectExpr(
+        "RecordNumber AS __e_rec", "AuditId AS __e_aid", "UniqueID_IDS004", "EmployStatusRecDate",
+        *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate")
+    j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     j = join_mpi(j, src)
     j = with_sexual_orientation(j, src)
     j = with_deprivation(j, src)
@@ -53,17 +52,17 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
         counts = contact_counts(src, r)
     j = with_contact_count(j, counts, "Count_EmpSupp")
     j = with_geography(j, src)
-    labels = status_labels()
-    chars = protected_characteristics()
-    base = j.select(
-        month_label("ReportingPeriodStartDate").alias("Month"),
-        "Person_ID", "PathwayID", F.col("__e_rec").alias("RecordNumber"), "UniqueID_IDS004", "EmployStatusRecDate",
-        *[labels[c].alias(c) for c in STATUS_FIELDS],
-        labels["GeneralBenefitReceived"].alias("GeneralBenefitReceived"),
-        *[(chars[c] if c in chars else F.col(c)).alias(c) for c in CHARACTERISTICS],
-        *[F.col(f"`{c}`") for c in GEOGRAPHY],
+    labels = status_labels_sql("__e_")
+    chars = protected_characteristics_sql()
+    base = j.selectExpr(
+        "date_format(ReportingPeriodStartDate, 'MMMM yyyy') AS Month",
+        "Person_ID", "PathwayID", "__e_rec AS RecordNumber", "UniqueID_IDS004", "EmployStatusRecDate",
+        *[f"{labels[c]} AS {c}" for c in STATUS_FIELDS],
+        f"{labels['GeneralBenefitReceived']} AS GeneralBenefitReceived",
+        *[f"{chars[c]} AS {c}" if c in chars else q(c) for c in CHARACTERISTICS],
+        *[q(c) for c in GEOGRAPHY],
         "Count_EmpSupp",
-        condition_flag(F.col("EmpSupportDischargeDate").isNotNull()).alias("EmpSupportDischargeDatePresent"),
+        f"{flag_sql('EmpSupportDischargeDate IS NOT NULL')} AS EmpSupportDischargeDatePresent",
     ).distinct()
     return first_last_ranks(base, RANK_KEYS, "EmployStatusRecDate", RANK_TIEBREAK,
                             "EmpFirstRecord", "EmpLastRecord")
@@ -109,11 +108,11 @@ def first_and_last_status(src: Sources, params: RunParams, counts: DataFrame | N
     last_cols["__last_flag"] = "EmpSupportDischargeDatePresent"
     pairs = pair_first_last(base, ["PathwayID", "RecordNumber"], "EmpFirstRecord", "EmpLastRecord",
                             first_cols, last_cols)
-    flags = same_value_flags({out: (f + "First", f + "Last") for out, f in SAME_FLAGS.items()})
+    flags = same_value_flags_sql({out: (f + "First", f + "Last") for out, f in SAME_FLAGS.items()})
     ordered = [*FIRST_LAST_COLUMNS, "EmploymentSupport_Count", *_side("First"), *_side("Last")]
-    return pairs.select(*[F.col(f"`{c}`") for c in ordered], *[v.alias(k) for k, v in flags.items()],
-                        "EmpFirstRecord", "EmpLastRecord",
-                        F.col("__last_flag").alias("EmpSupportDischargeDatePresent")).distinct()
+    return pairs.selectExpr(*[q(c) for c in ordered], *[f"{v} AS {k}" for k, v in flags.items()],
+                            "EmpFirstRecord", "EmpLastRecord",
+                            "__last_flag AS EmpSupportDischargeDatePresent").distinct()
 
 
 def benefits(src: Sources, params: RunParams, counts: DataFrame | None = None,
@@ -121,13 +120,13 @@ def benefits(src: Sources, params: RunParams, counts: DataFrame | None = None,
     """Finished courses (first status row) per month x 4 levels x discharge
     flag x any-benefit group; ``COUNT(PathwayID)``."""
     base = base if base is not None else status_base(src, params, counts)
-    first = base.where(F.col("EmpFirstRecord") == 1).withColumn("MonthDate", F.to_date("Month", "MMMM yyyy"))
+    first = base.where("EmpFirstRecord = 1").withColumns({"MonthDate": F.expr("to_date(Month, 'MMMM yyyy')")})
     out = org_rollup(first, ["MonthDate", "EmpSupportDischargeDatePresent", "GeneralBenefitReceived"],
                      {"NumberFinishingCourseOfTreatment": "PathwayID"},
                      names=("OrganisationType", "Region", "OrganisationCode", "OrganisationName"), count=True)
-    return out.select(F.col("MonthDate").alias("Month"), "OrganisationType", "Region", "OrganisationCode",
-                      "OrganisationName", "EmpSupportDischargeDatePresent", "GeneralBenefitReceived",
-                      "NumberFinishingCourseOfTreatment")
+    return out.selectExpr("MonthDate AS Month", "OrganisationType", "Region", "OrganisationCode",
+                          "OrganisationName", "EmpSupportDischargeDatePresent", "GeneralBenefitReceived",
+                          "NumberFinishingCourseOfTreatment")
 
 
 COMPLETENESS = ["FinishedTreatmentOneEmpStatus", "FinishedTreatmentTwoEmpStatus", "FinishedTreatmentOneSickAbsence",
@@ -136,16 +135,15 @@ COMPLETENESS = ["FinishedTreatmentOneEmpStatus", "FinishedTreatmentTwoEmpStatus"
 
 def completeness_flags(base: DataFrame) -> DataFrame:
     """Status base plus the five recording-completeness flags."""
-    rank = F.col("EmpFirstRecord")
-    dated = F.col("EmployStatusRecDate").isNotNull()
-    stated = F.col("EmployStatus") != "Unspecified"
-    sick = F.col("SickAbsenceInd") != "Unspecified"
-    return base.select("*",
-                       condition_flag(rank == 1, dated, stated).alias("FinishedTreatmentOneEmpStatus"),
-                       condition_flag(rank == 2, dated, stated).alias("FinishedTreatmentTwoEmpStatus"),
-                       condition_flag(rank == 1, dated, sick).alias("FinishedTreatmentOneSickAbsence"),
-                       condition_flag(rank == 2, dated, sick).alias("FinishedTreatmentTwoSickAbsence"),
-                       condition_flag(rank.isin(0, 1)).alias("FinishedTreatment"))
+    dated = "EmployStatusRecDate IS NOT NULL"
+    stated, sick = "EmployStatus <> 'Unspecified'", "SickAbsenceInd <> 'Unspecified'"
+    return base.selectExpr(
+        "*",
+        f"{flag_sql('EmpFirstRecord = 1', dated, stated)} AS FinishedTreatmentOneEmpStatus",
+        f"{flag_sql('EmpFirstRecord = 2', dated, stated)} AS FinishedTreatmentTwoEmpStatus",
+        f"{flag_sql('EmpFirstRecord = 1', dated, sick)} AS FinishedTreatmentOneSickAbsence",
+        f"{flag_sql('EmpFirstRecord = 2', dated, sick)} AS FinishedTreatmentTwoSickAbsence",
+        f"{flag_sql('EmpFirstRecord IN (0, 1)')} AS FinishedTreatment")
 
 
 def finished_treatment(src: Sources, params: RunParams, counts: DataFrame | None = None,
@@ -153,14 +151,12 @@ def finished_treatment(src: Sources, params: RunParams, counts: DataFrame | None
     """National completeness sums per month for two scopes (any appointment;
     records with a support contact) in one aggregate."""
     base = base if base is not None else status_base(src, params, counts)
-    flagged = completeness_flags(base)
-    scope = F.explode(F.array(
-        F.lit("Any Appointment Type"),
-        F.when(F.col("Count_EmpSupp") > 0, F.lit("Employment Support")))).alias("AppointmentType")
-    scoped = flagged.select("Month", *COMPLETENESS, scope).where(F.col("AppointmentType").isNotNull())
-    out = scoped.groupBy("Month", "AppointmentType").agg(*[F.sum(c).alias(c) for c in COMPLETENESS])
-    return out.select("Month", F.lit("National").alias("OrgType"), F.lit("All Regions").alias("Region"),
-                      F.lit("England").alias("OrgName"), "AppointmentType", *COMPLETENESS)
+    scope = ("explode(filter(array('Any Appointment Type', "
+             "CASE WHEN Count_EmpSupp > 0 THEN 'Employment Support' END), x -> x IS NOT NULL)) AS AppointmentType")
+    scoped = completeness_flags(base).selectExpr("Month", *COMPLETENESS, scope)
+    out = scoped.groupBy("Month", "AppointmentType").agg(*[F.expr(f"sum({c}) AS {c}") for c in COMPLETENESS])
+    return out.selectExpr("Month", "'National' AS OrgType", "'All Regions' AS Region", "'England' AS OrgName",
+                          "AppointmentType", *COMPLETENESS)
 
 
-__all__ = ["status_base", "first_and_last_status", "benefits", "finished_treatment", "month_date"]
+__all__ = ["status_base", "first_and_last_status", "benefits", "finished_treatment"]

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_date
-from monthwise.functions.flags import in_period_flag, is_true
-from monthwise.operators.lookups import bounded_broadcast, current_lookup, remap_successor
+from monthwise.functions.flags import in_period_flag_sql, q, true_sql
+from monthwise.operators.lookups import current_lookup, remap_successor, small_side
 from monthwise.operators.ranking import pick_first, rank_within
 from monthwise.operators.submissions import latest_submission
 from monthwise.plans.common import RunParams, join_mpi, period_for, used_referrals
@@ -30,9 +29,8 @@ def site_postcodes(src: Sources) -> DataFrame:
              *[F.col(f"`{c}`").asc_nulls_first() for c in ("Grid Reference", "X (easting)", "Y (northing)",
                                                             "Latitude", "Longitude", "Address4")]]
     ranked = rank_within(src.sites, ["SiteCode"], order, "PostcodeRank")
-    return ranked.where(F.col("PostcodeRank") == 1).select(
-        F.col("SiteCode").alias("__site"), *[F.col(f"`{src_col}`").alias(out)
-                                             for out, src_col in SITE_COLUMNS.items()])
+    return ranked.where("PostcodeRank = 1").selectExpr(
+        "SiteCode AS __site", *[f"{q(src_col)} AS {out}" for out, src_col in SITE_COLUMNS.items()])
 
 
 def latest_status(src: Sources) -> DataFrame:
@@ -47,44 +45,44 @@ def student_base(src: Sources, params: RunParams) -> DataFrame:
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
     r = join_mpi(r, src)
-    e = latest_status(src).select(F.col("RecordNumber").alias("__e_rec"), F.col("AuditId").alias("__e_aid"),
-                                  "EmployStatus")
-    j = r.join(e, (F.col("RecordNumber") == F.col("__e_rec")) & (F.col("AuditId") == F.col("__e_aid")), "left")
+    e = latest_status(src).selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmployStatus")
+    j = r.join(e, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"), "left")
     j = remap_successor(j, "OrgID_Provider", src.prov_successor, "Prov_original", "Prov_Successor", "__prov")
     j = current_lookup(j, "__prov", src.prov_hierarchy, "Organisation_Code",
                        {"__ph_code": "Organisation_Code", "__ph_name": "Organisation_Name"}, default=None)
     # The site is matched on the provider's hierarchy code itself (NULL when unmatched).
-    j = j.join(bounded_broadcast(site_postcodes(src)), F.col("__ph_code") == F.col("__site"), "left")
+    sites = small_side(src.sites, ("postcodes",), lambda: site_postcodes(src))
+    j = j.join(sites, F.expr("__ph_code = __site"), "left")
 
-    st = F.col("EmployStatus") == STUDENT_CODE
-    age = F.col("Age_RP_EndDate")
-    n2 = F.col("TreatmentCareContact_Count") >= 2
+    st, n2 = f"EmployStatus = '{STUDENT_CODE}'", "TreatmentCareContact_Count >= 2"
+    a1825, a25 = "Age_RP_EndDate BETWEEN 18 AND 25", "Age_RP_EndDate > 25"
     referred, entered, disch = "ReferralRequestReceivedDate", "TherapySession_FirstDate", "ServDischDate"
+    rec, nc = true_sql("Recovery_Flag"), true_sql("NotCaseness_Flag")
+    ri, done = true_sql("ReliableImprovement_Flag"), true_sql("CompletedTreatment_Flag")
     flags = {
-        "TotalReferrals": in_period_flag(referred),
-        "StudentReferralsTotal": in_period_flag(referred, st),
-        "StudentReferrals1825": in_period_flag(referred, st, age.between(18, 25)),
-        "StudentReferrals25Plus": in_period_flag(referred, st, age > 25),
-        "TotalEnteringTreatment": in_period_flag(entered),
-        "StudentEnteringTreatmentTotal": in_period_flag(entered, st),
-        "StudentEnteringTreatment1825": in_period_flag(entered, st, age.between(18, 25)),
-        "StudentEnteringTreatment25Plus": in_period_flag(entered, st, age > 25),
-        "RecoveredTotal": in_period_flag(disch, is_true("Recovery_Flag")),
-        "FinishingTreatmentTotal": in_period_flag(disch, n2),
-        "NotCasenessTotal": in_period_flag(disch, n2, is_true("NotCaseness_Flag")),
-        "RecoveredStudent": in_period_flag(disch, n2, st, is_true("Recovery_Flag")),
-        "FinishingTreatmentStudent": in_period_flag(disch, n2, st, is_true("CompletedTreatment_Flag")),
-        "NotCasenessStudent": in_period_flag(disch, n2, is_true("NotCaseness_Flag"), st),
-        "Reliable Improvement STUDENT": in_period_flag(disch, n2, is_true("ReliableImprovement_Flag"), st),
-        "Reliable Improvement": in_period_flag(disch, n2, is_true("ReliableImprovement_Flag")),
+        "TotalReferrals": in_period_flag_sql(referred),
+        "StudentReferralsTotal": in_period_flag_sql(referred, st),
+        "StudentReferrals1825": in_period_flag_sql(referred, st, a1825),
+        "StudentReferrals25Plus": in_period_flag_sql(referred, st, a25),
+        "TotalEnteringTreatment": in_period_flag_sql(entered),
+        "StudentEnteringTreatmentTotal": in_period_flag_sql(entered, st),
+        "StudentEnteringTreatment1825": in_period_flag_sql(entered, st, a1825),
+        "StudentEnteringTreatment25Plus": in_period_flag_sql(entered, st, a25),
+        "RecoveredTotal": in_period_flag_sql(disch, rec),
+        "FinishingTreatmentTotal": in_period_flag_sql(disch, n2),
+        "NotCasenessTotal": in_period_flag_sql(disch, n2, nc),
+        "RecoveredStudent": in_period_flag_sql(disch, n2, st, rec),
+        "FinishingTreatmentStudent": in_period_flag_sql(disch, n2, st, done),
+        "NotCasenessStudent": in_period_flag_sql(disch, n2, nc, st),
+        "Reliable Improvement STUDENT": in_period_flag_sql(disch, n2, ri, st),
+        "Reliable Improvement": in_period_flag_sql(disch, n2, ri),
     }
-    return j.select(
-        month_date("ReportingPeriodStartDate").alias("Month"), "PathwayID",
-        F.coalesce(F.col("__ph_code"), F.lit("Other")).alias("Provider Code"),
-        F.coalesce(F.col("__ph_name"), F.lit("Other")).alias("Provider Name"),
-        *[flags[f].alias(f) for f in REFERRAL_FLAGS],
-        *[F.col(c) for c in SITE_COLUMNS],
-        *[flags[f].alias(f) for f in OUTCOME_FLAGS],
+    return j.selectExpr(
+        "trunc(ReportingPeriodStartDate, 'MM') AS Month", "PathwayID",
+        "coalesce(__ph_code, 'Other') AS `Provider Code`", "coalesce(__ph_name, 'Other') AS `Provider Name`",
+        *[f"{flags[f]} AS {q(f)}" for f in REFERRAL_FLAGS],
+        *SITE_COLUMNS,
+        *[f"{flags[f]} AS {q(f)}" for f in OUTCOME_FLAGS],
     ).distinct()
 
 
@@ -92,8 +90,6 @@ def student(src: Sources, params: RunParams) -> DataFrame:
     """16 sums per month x provider x site, tagged 'Refresh' / 'England'."""
     base = student_base(src, params)
     keys = ["Month", "Provider Code", "Provider Name", *SITE_COLUMNS]
-    out = base.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        *[F.sum(F.col(f"`{f}`")).alias(f) for f in [*REFERRAL_FLAGS, *OUTCOME_FLAGS]])
-    return out.select("Month", F.lit("Refresh").alias("DataSource"), F.lit("England").alias("GroupType"),
-                      F.col("`Provider Code`"), F.col("`Provider Name`"), *REFERRAL_FLAGS, *SITE_COLUMNS,
-                      *[F.col(f"`{f}`") for f in OUTCOME_FLAGS])
+    out = base.groupBy(*keys).agg(*[F.expr(f"sum({q(f)}) AS {q(f)}") for f in [*REFERRAL_FLAGS, *OUTCOME_FLAGS]])
+    return out.selectExpr("Month", "'Refresh' AS DataSource", "'England' AS GroupType", "`Provider Code`",
+                          "`Provider Name`", *REFERRAL_FLAGS, *SITE_COLUMNS, *[q(f) for f in OUTCOME_FLAGS])

@@ -32,7 +32,7 @@ def test_days_open_band_edges(spark):
     days = [60, 61, 90, 91, 120, 121, -1]
     rows = [(1, end - dt.timedelta(days=d), end) for d in days]
     df = spark.createDataFrame(rows, "PathwayID long, LastDate date, ReportingPeriodEndDate date")
-    flags = days_open_bands("LastDate", "Open", "", still_open=F.lit(True))
+    flags = days_open_bands("LastDate", "Open", "", still_open="true")
     got = [tuple(r) for r in df.select(*[v.alias(k) for k, v in flags.items()]).collect()]
     assert got == [(1, 0, 0, 0), (0, 1, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 1, 0), (0, 0, 0, 1),
                    (0, 0, 0, 0)]  # a date after the period end never counts

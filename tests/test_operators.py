@@ -146,7 +146,7 @@ def test_category_rollup_keeps_hidden_flag_rows(spark):
     for c in ("ProviderCode", "ProviderName", "RegionNameProv", "Sub-ICBCode", "Sub-ICBName", "ICBCode", "ICBName",
               "RegionNameComm"):
         df = df.withColumn(c, F.lit("X"))
-    scopes = [Scope("Support", F.col("cnt") > 0, "cnt", True, {"m": "m"}),
+    scopes = [Scope("Support", "cnt > 0", "cnt", True, {"m": "m"}),
               Scope("Any", None, "dose", False, {"m": "m"})]
     out = category_rollup(df, ["Month"], {"Gender": "GenderDesc"}, scopes, hidden=["flag"], levels=LEVELS[3:],
                           flag_col="flag")
