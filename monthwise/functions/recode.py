@@ -32,6 +32,83 @@ def _case_sql(whens: list, default: str | None) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {sql_str(v)}" for c, v in whens) + tail + " END"
 
 
+class Recode:
+    """A first-match-wins recode as data: ``whens`` are (SQL condition, label).
+
+    ``sql()`` gives the label; ``code_sql()`` gives a small integer code, one
+    per distinct label (codes follow first appearance, the default last), and
+    ``decode_sql(col)`` turns a code column back into the label.  Carrying the
+    code instead of long label text keeps rows narrow through DISTINCT, sorts
+    and shuffles; labels are restored on the output rows only.
+    """
+
+    def __init__(self, whens: list, default: str | None):
+        self.whens, self.default = list(whens), default
+        labels = []
+        for _, label in self.whens:
+            if label not in labels:
+                labels.append(label)
+        if default is not None and default not in labels:
+            labels.append(default)
+        self.labels = labels
+
+    def sql(self) -> str:
+        return _case_sql(self.whens, self.default)
+
+    def code_sql(self) -> str:
+        tail = f" ELSE {self.labels.index(self.default)}" if self.default is not None else ""
+        return ("CASE " + " ".join(f"WHEN {c} THEN {self.labels.index(v)}" for c, v in self.whens) + tail + " END")
+
+    def code_of(self, label: str) -> int:
+        return self.labels.index(label)
+
+    def decode_sql(self, code_col: str) -> str:
+        return f"element_at(array({', '.join(sql_str(v) for v in self.labels)}), {sql_col(code_col)} + 1)"
+
+
+def recode_spec(col: str, mapping: dict, default: str | None = L.UNSPECIFIED) -> Recode:
+    c = sql_col(col)
+    whens = []
+    for key, value in mapping.items():
+        if isinstance(value, (list, tuple)):
+            whens.append((f"{c} IN ({', '.join(sql_str(v) for v in value)})", key))
+        else:
+            whens.append((f"{c} = {sql_str(key)}", value))
+    return Recode(whens, default)
+
+
+def ssp_spec(ssp="SSPInd", sick_absence="SickAbsenceInd") -> Recode:
+    s, a = sql_col(ssp), sql_col(sick_absence)
+    whens = [(f"{s} = {sql_str(code)}", label) for code, label in L.SSP_IND.items()]
+    whens.append((f"{a} = {sql_str(L.SSP_NOT_STATED_SICK_ABSENCE_CODE)}", L.SSP_NOT_STATED))
+    return Recode(whens, L.UNSPECIFIED)
+
+
+def general_benefit_spec(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> Recode:
+    cols = [sql_col(c) for c in (benefit, esa, pip, uc)]
+    any_y = " OR ".join(f"{c} = 'Y'" for c in cols)
+    any_n = " OR ".join(f"{c} = 'N'" for c in cols)
+    return Recode([(f"({any_y})", L.BENEFIT_RECEIVED), (f"({any_n})", L.NO_BENEFIT_RECEIVED)], L.BENEFIT_UNKNOWN)
+
+
+def status_recodes(prefix: str = "") -> dict[str, Recode]:
+    """The ten employment-status recodes plus the any-benefit roll-up."""
+    c = (lambda n: prefix + n)
+    return {
+        "EmployStatus": recode_spec(c("EmployStatus"), L.EMPLOY_STATUS),
+        "WeekHoursWorked": recode_spec(c("WeekHoursWorked"), L.WEEK_HOURS_WORKED),
+        "SelfEmployInd": recode_spec(c("SelfEmployInd"), L.SELF_EMPLOY_IND),
+        "SickAbsenceInd": recode_spec(c("SickAbsenceInd"), L.SICK_ABSENCE_IND),
+        "SSPInd": ssp_spec(c("SSPInd"), c("SickAbsenceInd")),
+        "BenefitRecInd": recode_spec(c("BenefitRecInd"), L.BENEFIT_REC_IND),
+        "ESAInd": recode_spec(c("ESAInd"), L.ESA_IND),
+        "UCInd": recode_spec(c("UCInd"), L.UC_IND),
+        "PIPInd": recode_spec(c("PIPInd"), L.PIP_IND),
+        "EmpSupportInd": recode_spec(c("EmpSupportInd"), L.EMP_SUPPORT_IND),
+        "GeneralBenefitReceived": general_benefit_spec(c("BenefitRecInd"), c("ESAInd"), c("PIPInd"), c("UCInd")),
+    }
+
+
 def _case(whens: list, default: str | None) -> Column:
     """One ``CASE`` expression parsed once in the JVM (a single call, however
     many rules), instead of one client call per rule."""
@@ -149,20 +226,7 @@ def problem_descriptor_sql(higher="PresentingComplaintHigherCategory", lower="Pr
 
 def status_labels_sql(prefix: str = "") -> dict[str, str]:
     """The ten employment-status recodes plus the any-benefit roll-up (SQL text)."""
-    c = (lambda n: prefix + n)
-    return {
-        "EmployStatus": recode_sql(c("EmployStatus"), L.EMPLOY_STATUS),
-        "WeekHoursWorked": recode_sql(c("WeekHoursWorked"), L.WEEK_HOURS_WORKED),
-        "SelfEmployInd": recode_sql(c("SelfEmployInd"), L.SELF_EMPLOY_IND),
-        "SickAbsenceInd": recode_sql(c("SickAbsenceInd"), L.SICK_ABSENCE_IND),
-        "SSPInd": ssp_ind_sql(c("SSPInd"), c("SickAbsenceInd")),
-        "BenefitRecInd": recode_sql(c("BenefitRecInd"), L.BENEFIT_REC_IND),
-        "ESAInd": recode_sql(c("ESAInd"), L.ESA_IND),
-        "UCInd": recode_sql(c("UCInd"), L.UC_IND),
-        "PIPInd": recode_sql(c("PIPInd"), L.PIP_IND),
-        "EmpSupportInd": recode_sql(c("EmpSupportInd"), L.EMP_SUPPORT_IND),
-        "GeneralBenefitReceived": general_benefit_sql(c("BenefitRecInd"), c("ESAInd"), c("PIPInd"), c("UCInd")),
-    }
+    return {k: r.sql() for k, r in status_recodes(prefix).items()}
 
 
 def status_labels(prefix: str = "") -> dict[str, Column]:

@@ -28,6 +28,8 @@ def pair_first_last(ranked: DataFrame, keys: list, first_rank: str, last_rank: s
 
     ``first_cols`` / ``last_cols`` map output name -> column of that side.
     """
+    # When ``ranked`` is hash-partitioned on ``keys`` (as the status base is),
+    # both sides read the same reused exchange and the join adds no shuffle.
     a = ranked.where(f"{q(first_rank)} = 1").selectExpr(
         *[f"{q(k)} AS __k{i}" for i, k in enumerate(keys)], f"{q(first_rank)} AS __fr1",
         *[f"{q(src)} AS {q(out)}" for out, src in first_cols.items()])

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.flags import flag_sql, in_period_sql, q, same_value_flags_sql, true_sql
-from monthwise.functions.recode import protected_characteristics_sql, status_labels_sql
+from monthwise.functions import labels as L
+from monthwise.functions.recode import protected_characteristics_sql, status_recodes
 from monthwise.operators.pairing import pair_first_last
 from monthwise.operators.ranking import first_last_ranks
 from monthwise.operators.rollup import org_rollup
@@ -31,7 +32,8 @@ BASE_COLUMNS = ["Month", "Person_ID", "PathwayID", "RecordNumber", "UniqueID_IDS
                 *STATUS_FIELDS, "GeneralBenefitReceived", *CHARACTERISTICS, *GEOGRAPHY, "Count_EmpSupp",
                 "EmpSupportDischargeDatePresent"]
 RANK_KEYS = ["Person_ID", "PathwayID", "RecordNumber"]
-# Unique tiebreak for equal status dates: the status id, then every other column.
+# Unique tiebreak for equal status dates: the status id, then every other column
+# (status labels by their code, see ``Recode``).
 RANK_TIEBREAK = [c for c in BASE_COLUMNS if c not in (*RANK_KEYS, "EmployStatusRecDate")]
 
 
@@ -52,18 +54,22 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
         counts = contact_counts(src, r)
     j = with_contact_count(j, counts, "Count_EmpSupp")
     j = with_geography(j, src)
-    labels = status_labels_sql("__e_")
+    # The eleven status labels travel as integer codes (see ``Recode``) and are
+    # decoded on the published rows.
+    codes = status_recodes("__e_")
     chars = protected_characteristics_sql()
     base = j.selectExpr(
         "date_format(ReportingPeriodStartDate, 'MMMM yyyy') AS Month",
         "Person_ID", "PathwayID", "__e_rec AS RecordNumber", "UniqueID_IDS004", "EmployStatusRecDate",
-        *[f"{labels[c]} AS {c}" for c in STATUS_FIELDS],
-        f"{labels['GeneralBenefitReceived']} AS GeneralBenefitReceived",
+        *[f"{codes[c].code_sql()} AS {c}" for c in STATUS_FIELDS],
+        f"{codes['GeneralBenefitReceived'].code_sql()} AS GeneralBenefitReceived",
         *[f"{chars[c]} AS {c}" if c in chars else q(c) for c in CHARACTERISTICS],
         *[q(c) for c in GEOGRAPHY],
         "Count_EmpSupp",
         f"{flag_sql('EmpSupportDischargeDate IS NOT NULL')} AS EmpSupportDischargeDatePresent",
-    ).distinct()
+    # One shuffle on (PathwayID, RecordNumber) serves the DISTINCT, the rank
+    # window (partitioned by a superset of these keys) and T1's self-join.
+    ).repartition("PathwayID", "RecordNumber").distinct()
     return first_last_ranks(base, RANK_KEYS, "EmployStatusRecDate", RANK_TIEBREAK,
                             "EmpFirstRecord", "EmpLastRecord")
 
@@ -108,9 +114,17 @@ def first_and_last_status(src: Sources, params: RunParams, counts: DataFrame | N
     last_cols["__last_flag"] = "EmpSupportDischargeDatePresent"
     pairs = pair_first_last(base, ["PathwayID", "RecordNumber"], "EmpFirstRecord", "EmpLastRecord",
                             first_cols, last_cols)
+    # Equal codes <=> equal labels, so the flags compare codes.
     flags = same_value_flags_sql({out: (f + "First", f + "Last") for out, f in SAME_FLAGS.items()})
+    codes = status_recodes()
+
+    def out_col(c):
+        field = c[:-5] if c.endswith("First") else c[:-4] if c.endswith("Last") else None
+        if field in codes:
+            return f"{codes[field].decode_sql(c)} AS {q(c)}"
+        return q(c)
     ordered = [*FIRST_LAST_COLUMNS, "EmploymentSupport_Count", *_side("First"), *_side("Last")]
-    return pairs.selectExpr(*[q(c) for c in ordered], *[f"{v} AS {k}" for k, v in flags.items()],
+    return pairs.selectExpr(*[out_col(c) for c in ordered], *[f"{v} AS {k}" for k, v in flags.items()],
                             "EmpFirstRecord", "EmpLastRecord",
                             "__last_flag AS EmpSupportDischargeDatePresent").distinct()
 
@@ -124,8 +138,10 @@ def benefits(src: Sources, params: RunParams, counts: DataFrame | None = None,
     out = org_rollup(first, ["MonthDate", "EmpSupportDischargeDatePresent", "GeneralBenefitReceived"],
                      {"NumberFinishingCourseOfTreatment": "PathwayID"},
                      names=("OrganisationType", "Region", "OrganisationCode", "OrganisationName"), count=True)
+    benefit = status_recodes()["GeneralBenefitReceived"]
     return out.selectExpr("MonthDate AS Month", "OrganisationType", "Region", "OrganisationCode",
-                          "OrganisationName", "EmpSupportDischargeDatePresent", "GeneralBenefitReceived",
+                          "OrganisationName", "EmpSupportDischargeDatePresent",
+                          f"{benefit.decode_sql('GeneralBenefitReceived')} AS GeneralBenefitReceived",
                           "NumberFinishingCourseOfTreatment")
 
 
@@ -136,7 +152,9 @@ COMPLETENESS = ["FinishedTreatmentOneEmpStatus", "FinishedTreatmentTwoEmpStatus"
 def completeness_flags(base: DataFrame) -> DataFrame:
     """Status base plus the five recording-completeness flags."""
     dated = "EmployStatusRecDate IS NOT NULL"
-    stated, sick = "EmployStatus <> 'Unspecified'", "SickAbsenceInd <> 'Unspecified'"
+    codes = status_recodes()
+    stated = f"EmployStatus <> {codes['EmployStatus'].code_of(L.UNSPECIFIED)}"
+    sick = f"SickAbsenceInd <> {codes['SickAbsenceInd'].code_of(L.UNSPECIFIED)}"
     return base.selectExpr(
         "*",
         f"{flag_sql('EmpFirstRecord = 1', dated, stated)} AS FinishedTreatmentOneEmpStatus",

@@ -89,6 +89,9 @@ class Sources:
 
 _CACHE: dict = {}
 
+FACT_TABLES = {"IDS101referral", "IDS001mpi", "IDS004empstatus", "IDS011socpercircumstances", "IDS201carecontact",
+               "IDS202careactivity", "IDS606codedscoreassessmentrefer"}
+
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Fixture sources for ``sf_dir``, written once per session as parquet.
@@ -101,7 +104,11 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         base = f"{checkpoint_dir(spark)}/fixture-{uuid.uuid4().hex[:12]}"
+        # Fact tables are spread over one file per core so scans run in
+        # parallel (stored tables have many files); dimensions are one file.
+        files = spark.sparkContext.defaultParallelism
         for name, df in spark_tables(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(f"{base}/{name}")
+            out = df.repartition(files) if name in FACT_TABLES else df.coalesce(1)
+            out.write.mode("overwrite").parquet(f"{base}/{name}")
         _CACHE[key] = Sources.from_parquet(spark, base)
     return _CACHE[key]
