@@ -62,10 +62,11 @@ def latest_by_date_then_priority(df: DataFrame, keys: list, date: str, code: str
     """Per key, the row with the newest date; on equal dates the best tier
     (lowest number), then the highest ``tiebreak``.  Rows with codes outside
     the tiers are dropped first; exact duplicates are removed (DISTINCT)."""
-    allowed = [c for tier in tiers for c in tier]
-    ranked = (df.where(F.col(code).isin(allowed))
-                .distinct()
-                .withColumn(priority_name, code_priority(code, tiers)))
+    allowed = ", ".join("'" + c + "'" for tier in tiers for c in tier)
+    tier = " ".join(f"WHEN {q(code)} IN ({', '.join(chr(39) + c + chr(39) for c in codes)}) THEN {i}"
+                    for i, codes in enumerate(tiers, start=1))
+    ranked = (df.where(f"{q(code)} IN ({allowed})").distinct()
+                .selectExpr("*", f"CASE {tier} END AS {q(priority_name)}"))
     return pick_first(ranked, keys, [F.col(date), -F.col(priority_name), F.col(tiebreak)])
 
 
@@ -80,10 +81,13 @@ def first_last_ranks(df: DataFrame, keys: list, date: str, tiebreak: list[str],
     """
     part = ", ".join(q(k) for k in keys)
     asc = ", ".join([f"{q(date)} ASC NULLS FIRST", *[f"{q(t)} ASC NULLS FIRST" for t in tiebreak]])
-    desc = ", ".join([f"{q(date)} DESC NULLS LAST", *[f"{q(t)} DESC NULLS LAST" for t in tiebreak]])
-    # BIGINT, like ROW_NUMBER in the source database.
-    first = (f"CAST(CASE WHEN {q(date)} IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {asc}) "
-             f"ELSE 0 END AS BIGINT) AS {q(first_name)}")
-    last = (f"CAST(CASE WHEN {q(date)} IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {desc}) "
-            f"ELSE 0 END AS BIGINT) AS {q(last_name)}")
-    return df.selectExpr("*", first, last)
+    dated = f"{q(date)} IS NOT NULL"
+    # The descending order is the exact reverse of the ascending one, so the
+    # descending rank is (rows in the key) - (ascending rank) + 1: one sort.
+    # Both BIGINT, like ROW_NUMBER in the source database.
+    ranked = df.selectExpr("*", f"ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {asc}) AS __asc",
+                           f"COUNT(1) OVER (PARTITION BY {part}) AS __n")
+    return ranked.selectExpr(
+        *[q(c) for c in df.columns],
+        f"CAST(CASE WHEN {dated} THEN __asc ELSE 0 END AS BIGINT) AS {q(first_name)}",
+        f"CAST(CASE WHEN {dated} THEN __n - __asc + 1 ELSE 0 END AS BIGINT) AS {q(last_name)}")

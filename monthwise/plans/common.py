@@ -65,8 +65,12 @@ def with_contact_count(df: DataFrame, counts: DataFrame, out: str) -> DataFrame:
 
 def sexual_orientation_latest(src: Sources) -> DataFrame:
     """Newest sexual-orientation answer per (person, record, audit, submission)."""
+    # Only the columns the pick orders by or returns; the DISTINCT and the pick
+    # see the same rows for these columns.
+    answers = src.socpercirc.select("Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID",
+                                    "SocPerCircumstanceRecDate", "SocPerCircumstance", "UniqueID_IDS011")
     return latest_by_date_then_priority(
-        src.socpercirc, ["Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID"],
+        answers, ["Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID"],
         date="SocPerCircumstanceRecDate", code="SocPerCircumstance", tiers=L.SEXUAL_ORIENTATION_TIERS,
         tiebreak="UniqueID_IDS011", priority_name="SocPerCircumstanceRank")
 
