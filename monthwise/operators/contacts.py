@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.labels import SUPPORT_ACTIVITY_CODE
-from monthwise.operators.submissions import latest_submission
+from monthwise.operators.submissions import keep_latest_audits, latest_submission
 
 
 def qualifying_contact_count(referrals: DataFrame, submissions: DataFrame, contacts: DataFrame,
@@ -37,6 +37,11 @@ def qualifying_contact_count(referrals: DataFrame, submissions: DataFrame, conta
                              "ReferralRequestReceivedDate", "ServDischDate"),
         submissions, keep=("ReportingPeriodStartDate", "ReportingPeriodEndDate"))
 
+    # Contacts, activities and status rows of stale audits can never join a
+    # latest referral: drop them before any shuffle.
+    contacts = keep_latest_audits(contacts, submissions, keys=("UniqueSubmissionID", "AuditId"))
+    activities = keep_latest_audits(activities, submissions)
+    status = keep_latest_audits(status, submissions)
     con = (contacts
            .where("try_cast(AttendOrDNACode AS INT) IN (5, 6) OR PlannedCareContIndicator = 'N'")
            .selectExpr("RecordNumber AS c_rec", "UniqueSubmissionID AS c_sid", "AuditId AS c_aid",

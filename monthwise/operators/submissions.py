@@ -35,6 +35,23 @@ def latest_submission(facts: DataFrame, submissions: DataFrame, lo=None, hi=None
     return j.drop("__sid", "__aid")
 
 
+def keep_latest_audits(facts: DataFrame, submissions: DataFrame, lo=None, hi=None,
+                       keys=("AuditId",)) -> DataFrame:
+    """Drop fact rows whose audit is not a latest audit (optionally of periods
+    in [lo, hi]) before they are shuffled.
+
+    Used where a fact table is joined on the audit id of already-filtered
+    referrals, so rows outside this small set can never match: a broadcast
+    left-semi join prunes them at the scan, e.g. one month's status rows
+    instead of the whole history.
+    """
+    s = small_side(submissions, ("audits", str(lo), str(hi), tuple(keys)),
+                   lambda: latest_submissions(submissions, lo, hi).selectExpr(
+                       *[f"{k} AS __a{i}" for i, k in enumerate(keys)]).distinct())
+    cond = " AND ".join(f"{k} = __a{i}" for i, k in enumerate(keys))
+    return facts.join(s, F.expr(cond), "left_semi")
+
+
 def latest_audit_rows(answers: DataFrame, submissions: DataFrame,
                       answer_keys=("AssToolCompDate", "PathwayID", "Unique_ServiceRequestID", "AssToolCompTime"),
                       group_extra=("OrgID_Provider",), audit: str = "AuditId") -> DataFrame:

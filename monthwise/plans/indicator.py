@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from monthwise.functions.flags import flag_sql, in_period_sql, q, true_sql
 from monthwise.operators.rollup import org_rollup
-from monthwise.operators.submissions import latest_submission
+from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import RunParams, contact_counts, period_for, used_referrals, with_contact_count, \
     with_geography
 from monthwise.sources.tables import Sources
@@ -24,7 +24,7 @@ def indicator_base(src: Sources, params: RunParams, counts: DataFrame | None = N
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
     r = r.where(in_period_sql("ServDischDate"))
-    emp = (src.empstatus.where("EmpSupportInd = 'Y'")
+    emp = (keep_latest_audits(src.empstatus, src.submissions, p.start, p.start).where("EmpSupportInd = 'Y'")
            .selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmpSupportInd"))
     j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     if counts is None:

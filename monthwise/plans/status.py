@@ -17,7 +17,7 @@ from monthwise.functions.recode import protected_characteristics_sql, status_rec
 from monthwise.operators.pairing import pair_first_last
 from monthwise.operators.ranking import first_last_ranks
 from monthwise.operators.rollup import org_rollup
-from monthwise.operators.submissions import latest_submission
+from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import (RunParams, contact_counts, join_mpi, period_for, used_referrals,
                                     with_contact_count, with_deprivation, with_geography, with_sexual_orientation)
 from monthwise.sources.tables import Sources
@@ -43,7 +43,7 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
     p = period_for(src, params)
     r = used_referrals(src).where(true_sql("CompletedTreatment_Flag"))
     r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period_sql("ServDischDate"))
-    emp = src.empstatus.selectExpr(
+    emp = keep_latest_audits(src.empstatus, src.submissions, p.floor, p.start).selectExpr(
         "RecordNumber AS __e_rec", "AuditId AS __e_aid", "UniqueID_IDS004", "EmployStatusRecDate",
         *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate")
     j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))

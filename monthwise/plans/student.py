@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthwise.functions.flags import in_period_flag_sql, q, true_sql
 from monthwise.operators.lookups import current_lookup, remap_successor, small_side
 from monthwise.operators.ranking import pick_first, rank_within
-from monthwise.operators.submissions import latest_submission
+from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import RunParams, join_mpi, period_for, used_referrals
 from monthwise.sources.tables import Sources
 
@@ -33,9 +33,14 @@ def site_postcodes(src: Sources) -> DataFrame:
         "SiteCode AS __site", *[f"{q(src_col)} AS {out}" for out, src_col in SITE_COLUMNS.items()])
 
 
-def latest_status(src: Sources) -> DataFrame:
-    """Newest status row per (record, audit, month) (O5): date, then status id."""
-    e = src.empstatus.select("RecordNumber", "AuditId", "Unique_MonthID", "EmployStatusRecDate",
+def latest_status(src: Sources, lo=None, hi=None) -> DataFrame:
+    """Newest status row per (record, audit, month) (O5): date, then status id.
+
+    With bounds, only status rows of latest audits of those periods are ranked
+    (a rank partition holds one audit, so the kept partitions are unchanged).
+    """
+    e = src.empstatus if lo is None else keep_latest_audits(src.empstatus, src.submissions, lo, hi)
+    e = e.select("RecordNumber", "AuditId", "Unique_MonthID", "EmployStatusRecDate",
                              "UniqueID_IDS004", "EmployStatus")
     return pick_first(e, ["RecordNumber", "AuditId", "Unique_MonthID"],
                       [F.col("EmployStatusRecDate"), F.col("UniqueID_IDS004")])
@@ -45,7 +50,7 @@ def student_base(src: Sources, params: RunParams) -> DataFrame:
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
     r = join_mpi(r, src)
-    e = latest_status(src).selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmployStatus")
+    e = latest_status(src, p.start, p.start).selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmployStatus")
     j = r.join(e, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"), "left")
     j = remap_successor(j, "OrgID_Provider", src.prov_successor, "Prov_original", "Prov_Successor", "__prov")
     j = current_lookup(j, "__prov", src.prov_hierarchy, "Organisation_Code",
