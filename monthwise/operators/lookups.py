@@ -111,17 +111,43 @@ PROVIDER_COLS = {
 }
 
 
+def resolved_lookup(df: DataFrame, key: str, mapping: DataFrame, old: str, new: str, dim: DataFrame, code: str,
+                    cols: dict, effective_to: str = "Effective_To", default: str | None = L.OTHER) -> DataFrame:
+    """O10 then O11 in one join: the code is moved to its successor, then the
+    current dimension row of the successor is looked up.
+
+    Both steps depend on the code alone, so the result per code is computed on
+    the (small) dimension side: every code known to either table, its
+    successors (several fan out, as in the two-join form) and their current
+    rows.  A fact code known to neither table matches nothing and gets
+    ``default``, exactly as with the two joins.
+    """
+    def build() -> DataFrame:
+        codes = (mapping.selectExpr(f"{q(old)} AS __x")
+                 .union(current_rows(dim, effective_to).selectExpr(f"{q(code)} AS __x"))
+                 .union(dim.selectExpr(f"{q(code)} AS __x")).distinct())
+        moved = codes.join(mapping.selectExpr(f"{q(old)} AS __old", f"{q(new)} AS __new"),
+                           F.expr("__x = __old"), "left").selectExpr("__x", "coalesce(__new, __x) AS __n")
+        rows = current_rows(dim, effective_to).selectExpr(
+            f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()])
+        return moved.join(rows, F.expr("__n = __code"), "left").drop("__n", "__code")
+
+    d = small_side(dim, ("resolved", id(mapping), old, new, code, effective_to, tuple(cols.items())), build)
+    j = df.join(d, F.expr(f"{q(key)} = __x"), "left")
+    dflt = f", '{default}'" if default is not None else ""
+    looked = {o: F.expr(f"coalesce({q('__' + o)}{dflt})") for o in cols}
+    return j.withColumns(looked).drop("__x", *[f"__{o}" for o in cols])
+
+
 def commissioner_geography(df: DataFrame, code_changes: DataFrame, hierarchy: DataFrame,
                            key: str = "OrgIDComm", cols: dict | None = None) -> DataFrame:
     """Retired commissioner codes remapped, then the current Sub-ICB/ICB/region."""
-    out = remap_successor(df, key, code_changes, "Org_Code", "New_Code", "__comm_code")
-    out = current_lookup(out, "__comm_code", hierarchy, "Organisation_Code", cols or COMMISSIONER_COLS)
-    return out.drop("__comm_code")
+    return resolved_lookup(df, key, code_changes, "Org_Code", "New_Code", hierarchy, "Organisation_Code",
+                           cols or COMMISSIONER_COLS)
 
 
 def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame,
                        key: str = "OrgID_Provider", cols: dict | None = None) -> DataFrame:
     """Provider codes moved to their successor, then the current provider/region."""
-    out = remap_successor(df, key, successor, "Prov_original", "Prov_Successor", "__prov_code")
-    out = current_lookup(out, "__prov_code", hierarchy, "Organisation_Code", cols or PROVIDER_COLS)
-    return out.drop("__prov_code")
+    return resolved_lookup(df, key, successor, "Prov_original", "Prov_Successor", hierarchy, "Organisation_Code",
+                           cols or PROVIDER_COLS)

@@ -167,3 +167,21 @@ def test_publish_append_month_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
     publish(july, path, "rebuild")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_resolved_lookup_equals_two_joins(spark):
+    from monthwise.operators.lookups import resolved_lookup
+    facts = spark.createDataFrame([("A",), ("B",), ("C",), ("D",), ("E",), (None,)], "code string")
+    # A moves to A2 and A3 (fan-out); B moves to a code with no current row;
+    # C is current twice; D is not current; E is unknown everywhere.
+    succ = spark.createDataFrame([("A", "A2"), ("A", "A3"), ("B", "Z")], "old string, new string")
+    dim = spark.createDataFrame([("A2", "Alpha2", None), ("A3", "Alpha3", None), ("C", "Gamma", None),
+                                 ("C", "Gamma bis", None), ("D", "Delta", D(2000, 1, 1)), ("Z", "Zed", D(1999, 1, 1))],
+                                "Organisation_Code string, Organisation_Name string, Effective_To date")
+    two = current_lookup(remap_successor(facts, "code", succ, "old", "new", "m"), "m", dim, "Organisation_Code",
+                         {"Name": "Organisation_Name"})
+    one = resolved_lookup(facts, "code", succ, "old", "new", dim, "Organisation_Code", {"Name": "Organisation_Name"})
+    key = lambda df: sorted((r.code or "-", r.Name) for r in df.collect())
+    assert key(one) == key(two)
+    assert key(one) == [("-", "Other"), ("A", "Alpha2"), ("A", "Alpha3"), ("B", "Other"), ("C", "Gamma"),
+                        ("C", "Gamma bis"), ("D", "Other"), ("E", "Other")]
