@@ -22,13 +22,17 @@ DIM_MAX_ROWS = 2_000_000
 _BUILT: dict[tuple, tuple] = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS, cache: bool = False) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).  A
+    proven-small side can also be cached, so the many queries of a run that
+    reuse it do not re-run its (small) plan; a lost executor recomputes it.
     """
     small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    if not small:
+        return df
+    return F.broadcast(df.cache() if cache else df)
 
 
 def small_side(anchor: DataFrame, shape: tuple, build) -> DataFrame:
@@ -40,7 +44,7 @@ def small_side(anchor: DataFrame, shape: tuple, build) -> DataFrame:
     key = (id(anchor), shape)
     hit = _BUILT.get(key)
     if hit is None or hit[0] is not anchor:
-        hit = (anchor, bounded_broadcast(build()))
+        hit = (anchor, bounded_broadcast(build(), cache=True))
         _BUILT[key] = hit
     return hit[1]
 
@@ -142,12 +146,14 @@ def resolved_lookup(df: DataFrame, key: str, mapping: DataFrame, old: str, new:
 def commissioner_geography(df: DataFrame, code_changes: DataFrame, hierarchy: DataFrame,
                            key: str = "OrgIDComm", cols: dict | None = None) -> DataFrame:
     """Retired commissioner codes remapped, then the current Sub-ICB/ICB/region."""
-    return resolved_lookup(df, key, code_changes, "Org_Code", "New_Code", hierarchy, "Organisation_Code",
-                           cols or COMMISSIONER_COLS)
+    out = remap_successor(df, key, code_changes, "Org_Code", "New_Code", "__comm_code")
+    out = current_lookup(out, "__comm_code", hierarchy, "Organisation_Code", cols or COMMISSIONER_COLS)
+    return out.drop("__comm_code")
 
 
 def provider_geography(df: DataFrame, successor: DataFrame, hierarchy: DataFrame,
                        key: str = "OrgID_Provider", cols: dict | None = None) -> DataFrame:
     """Provider codes moved to their successor, then the current provider/region."""
-    return resolved_lookup(df, key, successor, "Prov_original", "Prov_Successor", hierarchy, "Organisation_Code",
-                           cols or PROVIDER_COLS)
+    out = remap_successor(df, key, successor, "Prov_original", "Prov_Successor", "__prov_code")
+    out = current_lookup(out, "__prov_code", hierarchy, "Organisation_Code", cols or PROVIDER_COLS)
+    return out.drop("__prov_code")
