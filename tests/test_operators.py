@@ -185,3 +185,33 @@ def test_resolved_lookup_equals_two_joins(spark):
     assert key(one) == key(two)
     assert key(one) == [("-", "Other"), ("A", "Alpha2"), ("A", "Alpha3"), ("B", "Other"), ("C", "Gamma"),
                         ("C", "Gamma bis"), ("D", "Other"), ("E", "Other")]
+
+
+def test_keep_latest_audits_prunes_only_unreachable_rows(spark):
+    from monthwise.operators.submissions import keep_latest_audits
+    subs = spark.createDataFrame(SUBS, SUB_SCHEMA)   # latest audits: 11 (May), 20 (June)
+    facts = spark.createDataFrame([(1, 10), (2, 11), (3, 20), (4, 99)], "RecordNumber long, AuditId int")
+    assert sorted(r.RecordNumber for r in keep_latest_audits(facts, subs).collect()) == [2, 3]
+    june = keep_latest_audits(facts, subs, D(2001, 6, 1), D(2001, 6, 1))
+    assert [r.RecordNumber for r in june.collect()] == [3]
+    two_keys = spark.createDataFrame([(1, 1, 11), (2, 2, 11), (3, 2, 20)],
+                                     "RecordNumber long, UniqueSubmissionID int, AuditId int")
+    kept = keep_latest_audits(two_keys, subs, keys=("UniqueSubmissionID", "AuditId"))
+    assert sorted(r.RecordNumber for r in kept.collect()) == [1, 3]
+
+
+def test_bounded_broadcast_falls_back_above_the_bound(spark):
+    from monthwise.operators.lookups import bounded_broadcast
+    dim = spark.range(10).toDF("k")
+    facts = spark.range(1000).toDF("k")
+    hinted = facts.join(bounded_broadcast(dim, max_rows=100), "k")
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    # Above the bound no hint is added: the plan is left to Spark (here: no broadcast
+    # once automatic broadcasting is switched off).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = facts.join(bounded_broadcast(dim, max_rows=5), "k")
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert plain.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
