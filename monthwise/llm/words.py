@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.compute as pc
 
 U = np.uint64
 BYTE_BASE = U(0x9E3779B97F4A7C15)
@@ -19,7 +20,7 @@ CHUNK_BYTES = 1 << 20
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
-    x = x + U(seed * 2 + 1) * U(0xA0761D6478BD642F) if seed else x.copy()
+    x = x + U((seed * 2 + 1) * 0xA0761D6478BD642F % (1 << 64)) if seed else x.copy()
     x ^= x >> U(30)
     x *= U(0xBF58476D1CE4E5B9)
     x ^= x >> U(27)
@@ -114,3 +115,36 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
 def owners(words: Words, positions: np.ndarray) -> np.ndarray:
     """The document of each word position."""
     return np.repeat(np.arange(len(words.counts)), words.counts)[positions]
+
+
+def pieces(table, text: str, size: int = 4 << 20, rows: int = 2000):
+    """Consecutive slices of an Arrow table or batch with at most ``rows`` rows and about ``size`` bytes of text."""
+    lengths = pc.fill_null(pc.binary_length(table[text]), 0).to_numpy(zero_copy_only=False)
+    begin = held = 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > begin and (held + n > size or i - begin >= rows):
+            yield table.slice(begin, i - begin)
+            begin, held = i, 0
+        held += n
+    if begin < table.num_rows:
+        yield table.slice(begin, table.num_rows - begin)
+
+
+def shingle_sets(texts: list, k: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``k``-word shingles as (document, hash), ordered by both; a shorter text is one shingle."""
+    words = word_hashes(texts, lower)
+    h, start = window_hashes(words, k)
+    doc = owners(words, start)
+    counts = words.counts
+    for n in range(1, k):
+        short = np.flatnonzero(counts == n)
+        total = np.zeros(len(short), dtype=U)
+        for j in range(n):
+            total = total * WORD_BASE + words.hashes[words.offsets[short] + j]
+        h, doc = np.concatenate((h, mix(total, seed=n))), np.concatenate((doc, short))
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(texts) < 1 << 16 else np.int64), kind="stable")]
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return doc[new], h[new]
