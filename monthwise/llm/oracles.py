@@ -20,3 +20,78 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone),
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM words LEFT JOIN gone_list USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+OP10 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[p + 1:p + 3], ' ') FOR p IN range(len(w) - 2)] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS r FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.r),
+lowest AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+OP1 = r"""
+WITH words AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') END AS w FROM documents),
+items AS (
+  SELECT item_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') END AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 13 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[p + 1:p + 13], ' ') FOR p IN range(len(w) - 12)] END) AS s FROM items),
+sizes AS (SELECT DISTINCT len(string_split(s, ' ')) AS n FROM item_windows),
+starts AS (
+  SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS p FROM words, sizes WHERE len(w) >= n),
+doc_windows AS (SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS s FROM starts),
+hits AS (SELECT doc_id, n, p, item_id FROM doc_windows JOIN item_windows USING (s)),
+hit_words AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS pos FROM hits),
+n_hits AS (SELECT doc_id, count(*) AS n_hit FROM hit_words GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN n_hits USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+OP4 = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+f AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+firsts AS (SELECT digest, min(page_id) AS first_id FROM f WHERE n >= 100 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, f.digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f LEFT JOIN firsts ON firsts.digest = f.digest AND f.n >= 100
+"""
+
+OP9 = r"""
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

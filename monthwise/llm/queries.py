@@ -8,22 +8,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.llm import oracles
+from monthwise.llm.common import new_folder
+from monthwise.llm.decontamination import contamination
+from monthwise.llm.minhash_dedup import near_duplicates
 from monthwise.llm.substring_dedup import dedup_substrings
+from monthwise.llm.token_counts import token_counts
+from monthwise.llm.topk_products import top_products
+from monthwise.llm.warc import archive_pages, read_archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archive")
+    archive_pages(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.regexp_extract(c, "^urn:page:(.*)$", 1).try_cast("long")
+    return read_archive(spark, path, payload=False, verify=True).select(
+        page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page(F.col("refers_to")).alias("refers_to"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_warc": op4_warc,
+    "op6_token_counts": op6_token_counts,
+    "op9_exact_topk": op9_exact_topk,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_benchmark_decontamination": oracles.OP1,
     "op2_substring_dedup": oracles.OP2,
+    "op4_warc": oracles.OP4,
+    "op9_exact_topk": oracles.OP9,
+    "op10_minhash_near_dedup": oracles.OP10,
 }
