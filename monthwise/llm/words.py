@@ -61,16 +61,21 @@ class Words:
         return np.diff(self.offsets)
 
 
-def _span_hashes(buf: bytes) -> np.ndarray:
-    """Hashes of the words of ``buf``, words being separated by exactly one space."""
+def _sums(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Running polynomial of ``buf`` and the starts and ends of its words, which one space each separates."""
     b = np.frombuffer(buf, dtype=np.uint8)
     cut = np.flatnonzero(b == 32)
-    starts = np.concatenate(([0], cut + 1))
-    ends = np.concatenate((cut, [len(b)]))
-    up, down = powers(int(BYTE_BASE), len(b) + 1)
+    up, _ = powers(int(BYTE_BASE), len(b) + 1)
     total = np.empty(len(b) + 1, dtype=U)
     total[0] = 0
     np.cumsum((b.astype(U) + U(1)) * up[:-1], out=total[1:])
+    return total, np.concatenate(([0], cut + 1)), np.concatenate((cut, [len(b)]))
+
+
+def _span_hashes(buf: bytes) -> np.ndarray:
+    """Hashes of the words of ``buf``."""
+    total, starts, ends = _sums(buf)
+    _, down = powers(int(BYTE_BASE), len(buf) + 1)
     return mix((total[ends] - total[starts]) * down[starts])
 
 
@@ -148,3 +153,24 @@ def shingle_sets(texts: list, k: int, lower: bool = True) -> tuple[np.ndarray, n
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     return doc[new], h[new]
+
+
+#: Bytes of plain words: digits, letters (A-Z lower-cased) and everything past ASCII; the rest separates.
+PLAIN = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def prefix_hashes(texts: list, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Plain words per text, and a row per size (and one for whole words): hashes of the words' first bytes."""
+    counts, parts = np.zeros(len(texts), dtype=np.int64), []
+    for i, text in enumerate(texts):
+        words = text.encode().translate(PLAIN).split() if text else []
+        counts[i] = len(words)
+        if words:
+            parts.append(b" ".join(words))
+    buf = b" ".join(parts)
+    if not buf:
+        return counts, np.empty((len(sizes) + 1, 0), dtype=U)
+    total, starts, ends = _sums(buf)
+    _, down = powers(int(BYTE_BASE), len(buf) + 1)
+    cuts = [np.minimum(starts + n, ends) for n in sizes] + [ends]
+    return counts, np.stack([mix((total[e] - total[starts]) * down[starts]) for e in cuts])
