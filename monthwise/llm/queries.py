@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +13,18 @@ from monthwise.llm import oracles
 from monthwise.llm.common import new_folder
 from monthwise.llm.decontamination import contamination
 from monthwise.llm.minhash_dedup import near_duplicates
+from monthwise.llm.quality import score_quality
 from monthwise.llm.substring_dedup import dedup_substrings
 from monthwise.llm.token_counts import token_counts
 from monthwise.llm.topk_products import top_products
+from monthwise.llm.toxicity import score_toxicity
 from monthwise.llm.warc import archive_pages, read_archive
 
 
+# Executors need not have this package: what tasks run travels with them.
+cloudpickle.register_pickle_by_value(sys.modules["monthwise.llm"])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,6 +45,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "archive")
     archive_pages(table(spark, sf_dir, "pages"), path)
@@ -46,6 +58,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page(F.col("refers_to")).alias("refers_to"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -61,7 +77,9 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_quality": op3_quality,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op9_exact_topk": op9_exact_topk,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

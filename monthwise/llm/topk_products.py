@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from monthwise.llm.common import col, written
 
@@ -183,7 +184,7 @@ def top_products(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col:
               .agg(F.collect_list(F.struct("id", "vec")).alias("all"), F.max("norm").alias("longest")))
     blocks = written(blocks.select("dim", "bucket", "block", "longest", F.col("all.id").alias("ids"),
                                    F.col("all.vec").alias("vecs")), "blocks")
-    queries = rows.where("is_query").mapInArrow(_thresholds(seeds, k), rows.schema.add("least", "double"))
+    queries = rows.where("is_query").mapInArrow(_thresholds(seeds, k), StructType([*rows.schema.fields, StructField("least", DoubleType())]))
     count = rows.where("is_query").groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))
     asked = (queries.join(count, "dim").withColumn("query_block", F.pmod(F.xxhash64("id"), F.col("blocks")))
              .groupBy("dim", "query_block")
