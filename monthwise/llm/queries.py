@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from monthwise.llm import oracles
 from monthwise.llm.common import new_folder
 from monthwise.llm.decontamination import contamination
+from monthwise.llm.licences import scan_licences
 from monthwise.llm.minhash_dedup import near_duplicates
+from monthwise.llm.packing import pack
 from monthwise.llm.quality import score_quality
 from monthwise.llm.substring_dedup import dedup_substrings
 from monthwise.llm.token_counts import token_counts
@@ -66,6 +68,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_findings", F.array_join("families", ",").alias("families"),
+        F.size(F.filter("findings", lambda x: x["confirmed"])).cast("long").alias("n_confirmed"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -81,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
+    "op7_licence_scan": op7_licence_scan,
+    "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
