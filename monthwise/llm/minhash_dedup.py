@@ -8,10 +8,14 @@
 3. Every band of a signature names a bucket.  Per bucket one centre is compared with the members: pairs grow with
    the members, never with their square.
 4. Candidate pairs are confirmed on the full sets; links make components (large-star, small-star).
-5. A bucket whose members are not yet in one component takes further centres, one from each of ``CENTRES`` shares
-   of its components, against the members outside the centre's component, until every pair in it is in one
-   component or compared.  So stars lose no link that the bands find; with 40 bands of 5 rows, a pair at 0.85 is
-   missed with probability 7e-11.
+5. Members of buckets that are not in one component yet are completed exactly: each names new buckets by its
+   rarest shingles among them (of two sets at the threshold, both hold one of the ``n - ceil(share * n) + 1`` rarest
+   of each), and a bucket takes further centres, one from each of ``CENTRES`` shares of its components, against the
+   members outside the centre's component, until every pair in it is in one component or compared.  Edited copies
+   of one text that aren't near each other rarely share a rare shingle, so these pairs stay few as well.
+
+So stars lose no link that the bands find, and ``bands_for`` takes as many bands as miss a pair at the threshold with
+a probability of at most ``MISS``.
 """
 
 from __future__ import annotations
@@ -21,15 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import col, written
 from monthwise.llm.components import components
 from monthwise.llm.words import U, mix, pieces, shingle_sets
 
-BANDS, ROWS = 40, 5
-CENTRES = 8
+MISS = 1e-8
+CENTRES = 16
+
+
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and rows a band: rows keep chance pairs apart, bands keep pairs at the threshold together."""
+    share = percent / 100
+    rows = 7 if percent >= 85 else 6
+    return (math.ceil(math.log(MISS) / math.log(1 - share ** rows)) if percent < 100 else 1), rows
 
 
 def _orders(bins: int) -> np.ndarray:
@@ -83,6 +94,28 @@ def _sketch(shingle: int, bands: int, rows: int):
     return run
 
 
+def _shingles(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                doc, h = shingle_sets(part["text"].to_pylist(), shingle)
+                n = np.bincount(doc, minlength=part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"].take(pa.array(doc)), pa.array(n[doc]), pa.array(h.view(np.int64))], ["rep", "n", "h"])
+    return run
+
+
+def _rare_buckets(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(key, rep, n, at): each text under its rarest shingles, as many as a set at the threshold can't do without;
+    ``at`` is the place of the shingle among the text's, from the rarest."""
+    rows = texts.mapInArrow(_shingles(shingle), "rep long, n long, h long")
+    often = rows.groupBy("h").agg(F.count("*").alias("k"))
+    rarest = Window.partitionBy("rep").orderBy("k", "h")
+    need = F.expr(f"n - ceil({percent} * n / 100) + 1")
+    ranked = rows.join(often, "h").withColumn("at", F.row_number().over(rarest)).where(F.col("at") <= need)
+    return ranked.where("k > 1").select(F.col("h").alias("key"), "rep", "n", "at")
+
+
 def _confirm(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +133,7 @@ def _confirm(shingle: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    percent: int = 80) -> DataFrame:
     """Link documents with ``100 * |A & B| >= percent * |A | B|`` on their sets of ``shingle``-word shingles.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; with fewer words than ``shingle`` the whole sequence
@@ -112,6 +145,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one document where that id is the smallest of its class.  Ties can't occur: ids order the choice.  An empty
     table gives an empty result.  Other columns are dropped, so extra names can't clash; ids are integers.
     """
+    bands, rows = bands_for(percent)
     rows_in = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
     sketch = written(rows_in.mapInArrow(_sketch(shingle, bands, rows),
                                         "id long, n long, fp1 long, fp2 long, keys array<long>"), "sketch")
@@ -135,32 +169,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     tested = written(crowded.where("rep != centre.rep").where(fits)
                      .select(F.col("rep").alias("a"), F.col("centre.rep").alias("b")).distinct(), "pairs")
-    links = written(confirmed(tested), "linked")
-    found = components(links, "a", "b")
-    left = crowded.where("rep != centre.rep").select("key", "rep", "n")
+    found = components(confirmed(tested), "a", "b")
+    component_of = lambda df: df.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "c", F.coalesce("component", "rep"))
+    torn = (component_of(crowded.select("key", "rep")).groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+            .where("lo != hi").select("key"))
+    torn = crowded.join(torn, "key", "left_semi").select(F.col("rep").alias("id")).distinct()
+    left = written(_rare_buckets(texts.join(torn, "id", "left_semi"), shingle, percent), "buckets")
+    # A pair at the threshold meets under its first common shingle, where what follows must still suffice.
+    enough = F.expr(f"{100 + percent} * (1 + least(n - at, centre.n - centre.at)) >= {percent} * (n + centre.n)")
+    centres = CENTRES
     while True:
-        now = left.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        each = now.groupBy("key", "c").agg(F.min(F.struct("rep", "n")).alias("r"), F.count("*").alias("k"))
+        now = component_of(left).select("key", "rep", "n", "at", "c")
+        each = now.groupBy("key", "c").agg(F.min(F.struct("rep", "n", "at")).alias("r"), F.count("*").alias("k"))
         split = each.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
-        shares = (each.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(CENTRES)).alias("share"))
+        shares = (each.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(centres)).alias("share"))
                   .agg(F.min(F.struct("k", "r", "c")).alias("pick"))
                   .join(split.select("key"), "key", "left_semi")
-                  .select("key", F.struct("pick.r.rep", "pick.r.n", "pick.c").alias("centre")))
+                  .select("key", F.struct("pick.r.rep", "pick.r.n", "pick.r.at", "pick.c").alias("centre")))
         shares = written(shares, "centres")
         if shares.isEmpty():
             break
         paired = now.join(shares, "key")
-        new = paired.where("c != centre.c").where(fits).select(
+        new = paired.where("c != centre.c").where(fits).where(enough).select(
             F.greatest("rep", "centre.rep").alias("a"), F.least("rep", "centre.rep").alias("b")).distinct()
         new = written(new.join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = written(confirmed(new), "linked")
-        tested, links = tested.unionByName(new), links.unionByName(more)
-        if not more.isEmpty():
-            found = components(found.selectExpr("node AS a", "component AS b").unionByName(more), "a", "b")
+        if not new.isEmpty():
+            more = written(confirmed(new), "linked")
+            tested = tested.unionByName(new)
+            if not more.isEmpty():
+                found = components(found.selectExpr("node AS a", "component AS b").unionByName(more), "a", "b")
         left = written(now.join(shares.select("key").distinct(), "key", "left_semi").join(
             shares.select("key", F.col("centre.rep").alias("rep")), ["key", "rep"], "left_anti")
-            .select("key", "rep", "n"), "buckets")
+            .select("key", "rep", "n", "at"), "buckets")
+        centres *= 4
 
     per_class = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))

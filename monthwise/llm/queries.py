@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +21,6 @@ from monthwise.llm.toxicity import score_toxicity
 from monthwise.llm.warc import archive_pages, read_archive
 
 
-# Executors need not have this package: what tasks run travels with them.
-cloudpickle.register_pickle_by_value(sys.modules["monthwise.llm"])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
