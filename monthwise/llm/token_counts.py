@@ -1,17 +1,19 @@
 """Token counts: pieces are counted once per distinct pre-token and joined to per-document pre-token frequencies.
 
-1. A batch of texts is split into pre-tokens; it is written as its distinct pre-tokens and, per document, the
-   places in that list with their frequencies (packed).  No token id is ever made.
-2. The batches' pre-tokens meet by their text; each distinct one goes through the tokenizer once.  A pre-token
-   comes at most once from a batch, so no key is hot.
-3. Counts return to their batch and are summed by the frequencies.
+1. A batch of texts is split into pre-tokens.  It is written as, per document, the places of its pre-tokens in the
+   batch's list with their frequencies, and that list itself, dealt by a hash into packed buckets.  No token id is
+   ever made.
+2. A bucket holds the pre-tokens of its hash share from all batches; each distinct one goes through the tokenizer
+   once, and every batch gets its counts back.  A pre-token comes at most once from a batch, so no bucket is hot.
+3. The counts meet their batch and are summed by the frequencies.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +24,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col, partitions, written
+from monthwise.llm.common import col, partitions, text_bytes, written
 from monthwise.llm.words import pieces
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut text before any merge.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BATCH_BYTES = 16 << 20
+BUCKET_BYTES = 64 << 20
 
 
-def _pack(values) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.fromiter(values, dtype=np.uint32).tobytes())
+def _pack(values, dtype=np.uint32) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(np.asarray(values, dtype=dtype).tobytes())
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint32).astype(np.int64)
+def _unpack(raw: bytes, dtype=np.uint32) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=dtype).astype(np.int64)
 
 
 def _tokenizer(path: str):
@@ -46,7 +49,15 @@ def _tokenizer(path: str):
     return tokenizer, special
 
 
-def _split(path: str):
+SCHEMA = ("batch long, bucket int, ids array<long>, bytes array<long>, whole array<long>, sizes binary, "
+          "places binary, times binary, lengths binary, pieces binary")
+ARROW = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())),
+                   ("bytes", pa.list_(pa.int64())), ("whole", pa.list_(pa.int64())), ("sizes", pa.binary()),
+                   ("places", pa.binary()), ("times", pa.binary()), ("lengths", pa.binary()),
+                   ("pieces", pa.binary())])
+
+
+def _split(path: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(PATTERN).findall
         _, special = _tokenizer(path)
@@ -69,52 +80,54 @@ def _split(path: str):
                     times.extend(found.values())
                     sizes.append(len(found))
                     whole.append(specials)
-                length = pc.fill_null(pc.binary_length(part["text"]), 0)
-                yield pa.RecordBatch.from_pydict({
-                    "batch": pa.array([TaskContext.get().partitionId() << 32 | seq], pa.int64()),
-                    "ids": pa.array([part["id"].to_pylist()], pa.list_(pa.int64())),
-                    "bytes": pa.array([length.to_pylist()], pa.list_(pa.int64())),
-                    "whole": pa.array([whole], pa.list_(pa.int64())),
-                    "sizes": pa.array([_pack(sizes)], pa.binary()),
-                    "places": pa.array([_pack(where)], pa.binary()),
-                    "times": pa.array([_pack(times)], pa.binary()),
-                    "pieces": pa.array([list(places)], pa.list_(pa.string()))})
+                number = TaskContext.get().partitionId() << 32 | seq
                 seq += 1
+                encoded = [p.encode() for p in places]
+                keyed = sorted((zlib.crc32(p) % buckets, p, i) for i, p in enumerate(encoded))
+                place = np.empty(len(keyed), dtype=np.int64)
+                place[[i for _, _, i in keyed]] = np.arange(len(keyed))
+                length = pc.fill_null(pc.binary_length(part["text"]), 0)
+                rows = [{"batch": number, "ids": part["id"].to_pylist(), "bytes": length.to_pylist(), "whole": whole,
+                         "sizes": _pack(sizes), "places": _pack(place[where] if where else []),
+                         "times": _pack(times)}]
+                for bucket, own in groupby(keyed, key=lambda x: x[0]):
+                    own = [p for _, p, _ in own]
+                    rows.append({"batch": number, "bucket": bucket, "lengths": _pack([len(p) for p in own]),
+                                 "pieces": zstandard.ZstdCompressor(level=3).compress(b"".join(own))})
+                yield pa.RecordBatch.from_pylist(rows, ARROW)
     return run
 
 
 def _count(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(key: tuple, lists: pa.Table) -> pa.Table:
         tokenizer, _ = _tokenizer(path)
-        last, last_n = None, 0  # equal pre-tokens are neighbours, also across batches
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            runs = pc.run_end_encode(batch["piece"])
-            values = runs.values.to_pylist()
-            fresh = values[1:] if values[0] == last else values
-            n = [last_n] * (len(values) - len(fresh)) + [
-                len(e) for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            last, last_n = values[-1], n[-1]
-            times = np.diff(runs.run_ends.to_numpy(), prepend=0)
-            yield pa.RecordBatch.from_arrays(
-                [batch["batch"], batch["pos"], pa.array(np.repeat(np.asarray(n, dtype=np.int32), times))],
-                ["batch", "pos", "n"])
+        each = []
+        for lengths, raw in zip(lists["lengths"].to_pylist(), lists["pieces"].to_pylist()):
+            raw = zstandard.ZstdDecompressor().decompress(raw)
+            ends = np.cumsum(_unpack(lengths)).tolist()
+            each.append([raw[i:j] for i, j in zip([0, *ends], ends)])
+        distinct = list(set(chain.from_iterable(each)))
+        known: dict[bytes, int] = {}
+        for begin in range(0, len(distinct), 10_000):
+            some = distinct[begin:begin + 10_000]
+            known.update(zip(some, map(len, tokenizer.encode_batch_fast([p.decode() for p in some],
+                                                                        add_special_tokens=False))))
+        return pa.table({"batch": lists["batch"], "bucket": lists["bucket"],
+                         "counts": pa.array([_pack([known[p] for p in own]) for own in each], pa.binary())})
     return run
 
 
 def _sum(key: tuple, packed: pa.Table, counted: pa.Table) -> pa.Table:
-    n = np.zeros(counted.num_rows, dtype=np.int64)
-    n[counted["pos"].to_numpy()] = counted["n"].to_numpy()
+    counted = counted.sort_by("bucket")
+    n = np.concatenate([np.empty(0, dtype=np.int64), *map(_unpack, counted["counts"].to_pylist())])
     out = []
     for row in packed.to_pylist():
-        sizes = _unpack(row["sizes"])
         each = n[_unpack(row["places"])] * _unpack(row["times"])
-        edge = np.concatenate(([0], np.cumsum(sizes)))
+        edge = np.concatenate(([0], np.cumsum(_unpack(row["sizes"]))))
         total = np.concatenate(([0], np.cumsum(each)))
         out.append(pa.table({"id": pa.array(row["ids"], pa.int64()), "n_bytes": pa.array(row["bytes"], pa.int64()),
-                             "n_tokens": pa.array(total[edge[1:]] - total[edge[:-1]] + np.asarray(row["whole"], dtype=np.int64),
-                                                  pa.int64())}))
+                             "n_tokens": pa.array(total[edge[1:]] - total[edge[:-1]]
+                                                  + np.asarray(row["whole"], dtype=np.int64), pa.int64())}))
     return pa.concat_tables(out)
 
 
@@ -128,12 +141,12 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     columns are dropped, so extra names can't clash; ids are integers.
     """
     spark = docs.sparkSession
-    packed = written(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).mapInArrow(
-        _split(tokenizer), "batch long, ids array<long>, bytes array<long>, whole array<long>, sizes binary, "
-        "places binary, times binary, pieces array<string>"), "pretokens")
-    counted = (packed.select("batch", F.posexplode("pieces").alias("pos", "piece"))
-               .repartition(partitions(spark), "piece").sortWithinPartitions("piece")
-               .mapInArrow(_count(tokenizer), "batch long, pos int, n int"))
-    out = (packed.drop("pieces").groupBy("batch").cogroup(counted.groupBy("batch"))
+    buckets = max(partitions(spark), text_bytes(docs, text_col) // BUCKET_BYTES)
+    rows = written(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
+                   .mapInArrow(_split(tokenizer, buckets), SCHEMA), "pretokens")
+    counted = (rows.where("bucket IS NOT NULL").select("batch", "bucket", "lengths", "pieces").groupBy("bucket")
+               .applyInArrow(_count(tokenizer), "batch long, bucket int, counts binary"))
+    packed = rows.where("bucket IS NULL").select("batch", "ids", "bytes", "whole", "sizes", "places", "times")
+    out = (packed.groupBy("batch").cogroup(counted.groupBy("batch"))
            .applyInArrow(_sum, "id long, n_bytes long, n_tokens long"))
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
