@@ -43,3 +43,8 @@ def col(name: str) -> Column:
 def text_bytes(docs: DataFrame, text: str) -> int:
     """UTF-8 bytes of all texts: one narrow aggregate that sizes batches by the data."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(col(text))), F.lit(0)).alias("b")).first()["b"]
+
+
+def without(carry: tuple[str, ...], *results: str) -> tuple[str, ...]:
+    """Columns to carry; where an operator's result has the name of one, the result's column is meant."""
+    return tuple(c for c in carry if c not in results)

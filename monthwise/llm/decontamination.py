@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col
+from monthwise.llm.common import col, without
 
 BROADCAST_WINDOWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,8 +48,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Null and empty texts have no words and are clean; so is everything against an empty benchmark.  Items with a
     null id, or without words, take no part; rows that repeat an item's id belong to that item.  Null ids and
     repeated rows get their own rows with the same figures as any row of that text.  An empty table gives an empty
-    result.  Columns not named are dropped, so extra names can't clash.
+    result.  Columns not named are dropped, and a result
+    column takes the place of a carried one of its name.
     """
+    carry = without(carry, id_col, "n_words", "n_hit", "n_items", "items", "spans", "contaminated")
     found = benchmark_windows(benchmark, item_col, item_text, window).cache()
     try:
         sizes = {r["len"]: r["n"] for r in found.groupBy("len").agg(F.count("*").alias("n")).collect()}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col, partitions
+from monthwise.llm.common import col, partitions, without
 
 EXACT = 8192
 SHARE_ROWS = 100_000
@@ -87,8 +87,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
 
     Null and empty texts have length 0 and are packed too, so are rows with a null id; a negative or null length
     counts as 0.  Equal ids, ties and repeated rows take neighbouring slots in any order.  An empty table gives an
-    empty result.  Columns not named are dropped, so extra names can't clash.
+    empty result.  Columns not named are dropped, and a result
+    column takes the place of a carried one of its name.
     """
+    carry = without(carry, id_col, "length", "bucket", "padded", "batch", "slot")
     spark = docs.sparkSession
     measure = word_count(col(text_col)) if length is None else F.greatest(F.coalesce(length, F.lit(0)), F.lit(0))
     carried = [f"carry{i}" for i in range(len(carry))]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from monthwise.llm.common import col
+from monthwise.llm.common import col, without
 from monthwise.llm.labels import held_out_column, labelled_ids, with_labels
 from monthwise.llm.words import U, pieces, word_hashes
 
@@ -176,8 +176,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     ``predicted`` (1 from ``threshold`` on).  Null and empty texts are one passage without anything.  Null labels
     and labels without a document teach nothing; repeated label rows take their mean (0.5 counts as 1); without
     labels every score is 0.5.  A null id is scored and not held out; repeated rows are scored each.  An empty table
-    gives an empty result.  Columns not named are dropped, so extra names can't clash.
+    gives an empty result.  Columns not named are dropped, and a result
+    column takes the place of a carried one of its name.
     """
+    carry = without(carry, id_col, "held_out", "score", "predicted")
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
     model = fit(rows, labelled_ids(labels, id_col, label_col, folds, held_out))
     carried = [f"carry{i}" for i in range(len(carry))]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from monthwise.llm.common import col, partitions, text_bytes
+from monthwise.llm.common import col, partitions, text_bytes, without
 from monthwise.llm.words import U, Words, owners, window_hashes, word_hashes
 
 BATCH_BYTES = 12 << 20
@@ -87,6 +87,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     neither is smaller, so they don't remove each other's words.  An empty table gives an empty result.  Columns
     not named are dropped, so extra names can't clash; ids are integers.
     """
+    carry = without(carry, id_col, "n_words", "n_removed", "kept_text", "removed")
     spark = docs.sparkSession
     size = text_bytes(docs, text_col)
     batches = max(partitions(spark), -(-size // BATCH_BYTES))
