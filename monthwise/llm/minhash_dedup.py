@@ -33,7 +33,7 @@ from monthwise.llm.components import components
 from monthwise.llm.words import U, mix, pieces, shingle_sets
 
 MISS = 1e-8
-CENTRES = 16
+CENTRES, MORE_CENTRES = 64, 16
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -194,15 +194,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         new = paired.where("c != centre.c").where(fits).where(enough).select(
             F.greatest("rep", "centre.rep").alias("a"), F.least("rep", "centre.rep").alias("b")).distinct()
         new = written(new.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not new.isEmpty():
-            more = written(confirmed(new), "linked")
-            tested = tested.unionByName(new)
-            if not more.isEmpty():
-                found = components(found.selectExpr("node AS a", "component AS b").unionByName(more), "a", "b")
+        tested = tested.unionByName(new)
+        more = written(confirmed(new), "linked")
+        if not more.isEmpty():
+            found = components(found.selectExpr("node AS a", "component AS b").unionByName(more), "a", "b")
         left = written(now.join(shares.select("key").distinct(), "key", "left_semi").join(
             shares.select("key", F.col("centre.rep").alias("rep")), ["key", "rep"], "left_anti")
             .select("key", "rep", "n", "at"), "buckets")
-        centres *= 4
+        centres *= MORE_CENTRES
 
     per_class = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))
