@@ -140,12 +140,6 @@ def status_recodes(prefix: str = "") -> dict[str, Recode]:
     }
 
 
-def _case(whens: list, default: str | None) -> Column:
-    """One ``CASE`` expression parsed once in the JVM (a single call, however
-    many rules), instead of one client call per rule."""
-    return F.expr(_case_sql(whens, default))
-
-
 def recode_sql(col: str, mapping: dict, default: str | None = L.UNSPECIFIED) -> str:
     """O13 as Spark SQL text (see ``recode``): a constant-map lookup."""
     return recode_spec(col, mapping, default).sql()
@@ -206,31 +200,6 @@ def band(col, bands: list, default: str | None = L.UNSPECIFIED) -> Column:
 # ---------------------------------------------------------------------------
 # The published recodes
 # ---------------------------------------------------------------------------
-def ssp_ind_sql(ssp="SSPInd", sick_absence="SickAbsenceInd") -> str:
-    """Statutory sick pay; 'Not stated' tests the sickness-absence code."""
-    s, a = sql_col(ssp), sql_col(sick_absence)
-    whens = [(f"{s} = {sql_str(code)}", label) for code, label in L.SSP_IND.items()]
-    whens.append((f"{a} = {sql_str(L.SSP_NOT_STATED_SICK_ABSENCE_CODE)}", L.SSP_NOT_STATED))
-    return _case_sql(whens, L.UNSPECIFIED)
-
-
-def ssp_ind(ssp="SSPInd", sick_absence="SickAbsenceInd") -> Column:
-    return F.expr(ssp_ind_sql(ssp, sick_absence))
-
-
-def general_benefit_sql(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> str:
-    """Any-benefit roll-up: any 'Y' -> received, else any 'N' -> not received."""
-    cols = [sql_col(c) for c in (benefit, esa, pip, uc)]
-    any_y = " OR ".join(f"{c} = 'Y'" for c in cols)
-    any_n = " OR ".join(f"{c} = 'N'" for c in cols)
-    return _case_sql([(f"({any_y})", L.BENEFIT_RECEIVED), (f"({any_n})", L.NO_BENEFIT_RECEIVED)],
-                     L.BENEFIT_UNKNOWN)
-
-
-def general_benefit(benefit="BenefitRecInd", esa="ESAInd", pip="PIPInd", uc="UCInd") -> Column:
-    return F.expr(general_benefit_sql(benefit, esa, pip, uc))
-
-
 def problem_descriptor(higher="PresentingComplaintHigherCategory", lower="PresentingComplaintLowerCategory",
                        primary="PrimaryPresentingComplaint", secondary="SecondaryPresentingComplaint") -> Column:
     """The 17-rule problem descriptor (first match wins)."""
@@ -285,10 +254,6 @@ def protected_characteristics_sql() -> dict[str, str]:
     }
 
 
-def protected_characteristics() -> dict[str, Column]:
-    return {k: F.expr(v) for k, v in protected_characteristics_sql().items()}
-
-
 def sexual_orientation_sql(col="SocPerCircumstance") -> str:
     return recode_sql(col, L.SEXUAL_ORIENTATION)
 

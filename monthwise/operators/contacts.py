@@ -42,16 +42,20 @@ def qualifying_contact_count(referrals: DataFrame, submissions: DataFrame, conta
     contacts = keep_latest_audits(contacts, submissions, keys=("UniqueSubmissionID", "AuditId"))
     activities = keep_latest_audits(activities, submissions)
     status = keep_latest_audits(status, submissions)
+    # Neither can rows of other records than the referrals'.
+    records = ref.select("RecordNumber").distinct()
+    contacts, activities, status = (t.join(records, "RecordNumber", "left_semi")
+                                    for t in (contacts, activities, status))
     con = (contacts
            .where("try_cast(AttendOrDNACode AS INT) IN (5, 6) OR PlannedCareContIndicator = 'N'")
            .selectExpr("RecordNumber AS c_rec", "UniqueSubmissionID AS c_sid", "AuditId AS c_aid",
                        "PathwayID AS c_path", "CareContactID", "CareContDate", "try_cast(AppType AS INT) AS app"))
 
-    # One row per contact key: does any of its activities carry the support code?
-    act = (activities
-           .selectExpr("PathwayID AS a_path", "RecordNumber AS a_rec", "CareContactID AS a_cid", "AuditId AS a_aid",
-                       f"CASE WHEN CodeProcAndProcStatus = '{SUPPORT_ACTIVITY_CODE}' THEN 1 ELSE 0 END AS code")
-           .groupBy("a_path", "a_rec", "a_cid", "a_aid").agg(F.expr("max(code) AS has_code")))
+    # One row per contact key with an activity that carries the support code;
+    # no such activity and no activity at all mean the same in every branch.
+    act = (activities.where(f"CodeProcAndProcStatus = '{SUPPORT_ACTIVITY_CODE}'")
+           .selectExpr("PathwayID AS a_path", "RecordNumber AS a_rec", "CareContactID AS a_cid", "AuditId AS a_aid")
+           .distinct().withColumn("has_code", F.lit(1)))
 
     # One row per (record, audit): the latest support discharge, and whether any
     # status row has none (NULL discharge lets the period end bound the contact).

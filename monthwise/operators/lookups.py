@@ -2,9 +2,11 @@
 and the organisation geography built from them.
 
 Dimensions (code changes, successors, hierarchies, deprivation, sites) are
-small and slowly changing.  They are broadcast only after a bounded row count
-proves them small (``bounded_broadcast``); a dimension above the bound falls
-back to Spark's own choice (sort-merge join, or AQE's runtime conversion).
+small and slowly changing.  They are projected and filtered here and joined
+without a hint: Spark broadcasts a side by its size in bytes
+(``spark.sql.autoBroadcastJoinThreshold``, also at run time under AQE) and
+sorts and merges beyond it.  Nothing is kept between calls, so a lookup always
+sees the rows its table has when the query runs.
 """
 
 from __future__ import annotations
@@ -15,39 +17,6 @@ from pyspark.sql import functions as F
 from monthwise.functions import labels as L
 from monthwise.functions.flags import q
 
-# Largest dimension broadcast without question (rows).  Hierarchies have a few
-# thousand rows; 2 million narrow rows stay well below executor memory.
-DIM_MAX_ROWS = 2_000_000
-
-_BUILT: dict[tuple, tuple] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS, cache: bool = False) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early).  A
-    proven-small side can also be cached, so the many queries of a run that
-    reuse it do not re-run its (small) plan; a lost executor recomputes it.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if not small:
-        return df
-    return F.broadcast(df.cache() if cache else df)
-
-
-def small_side(anchor: DataFrame, shape: tuple, build) -> DataFrame:
-    """The prepared (filtered, projected, size-checked) form of a dimension.
-
-    Built and checked once per (dimension, lookup shape) and then reused, so a
-    session running many queries counts each dimension once.
-    """
-    key = (id(anchor), shape)
-    hit = _BUILT.get(key)
-    if hit is None or hit[0] is not anchor:
-        hit = (anchor, bounded_broadcast(build(), cache=True))
-        _BUILT[key] = hit
-    return hit[1]
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -58,8 +27,7 @@ def remap_successor(df: DataFrame, key: str, mapping: DataFrame, old: str, new:
 
     Several mapping rows for one code fan the row out (kept, as in the source).
     """
-    m = small_side(mapping, ("remap", old, new),
-                   lambda: mapping.selectExpr(f"{q(old)} AS __old", f"{q(new)} AS __new"))
+    m = mapping.selectExpr(f"{q(old)} AS __old", f"{q(new)} AS __new")
     j = df.join(m, F.expr(f"{q(key)} = __old"), "left")
     return j.withColumns({out: F.expr(f"coalesce(__new, {q(key)})")}).drop("__old", "__new")
 
@@ -77,9 +45,8 @@ def current_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dic
     ``cols`` maps output name -> dimension column.  Several current rows for one
     code fan out (kept).
     """
-    d = small_side(dim, ("current", code, effective_to, tuple(cols.items())),
-                   lambda: current_rows(dim, effective_to).selectExpr(
-                       f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()]))
+    d = current_rows(dim, effective_to).selectExpr(
+        f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()])
     j = df.join(d, F.expr(f"{q(key)} = __code"), "left")
     dflt = f", '{default}'" if default is not None else ""
     looked = {o: F.expr(f"coalesce({q('__' + o)}{dflt})") for o in cols}
@@ -89,9 +56,8 @@ def current_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dic
 def snapshot_lookup(df: DataFrame, key: str, dim: DataFrame, code: str, cols: dict,
                     snapshot_col: str, snapshot_date: str) -> DataFrame:
     """Left join to one dated snapshot of a dimension; unmatched stays NULL."""
-    d = small_side(dim, ("snapshot", code, snapshot_col, snapshot_date, tuple(cols.items())),
-                   lambda: dim.where(f"{q(snapshot_col)} = DATE '{snapshot_date}'").selectExpr(
-                       f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()]))
+    d = dim.where(f"{q(snapshot_col)} = DATE '{snapshot_date}'").selectExpr(
+        f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()])
     j = df.join(d, F.expr(f"{q(key)} = __code"), "left")
     return j.withColumns({o: F.col(f"`__{o}`") for o in cols}).drop("__code", *[f"__{o}" for o in cols])
 
@@ -115,32 +81,11 @@ PROVIDER_COLS = {
 }
 
 
-def resolved_lookup(df: DataFrame, key: str, mapping: DataFrame, old: str, new: str, dim: DataFrame, code: str,
-                    cols: dict, effective_to: str = "Effective_To", default: str | None = L.OTHER) -> DataFrame:
-    """O10 then O11 in one join: the code is moved to its successor, then the
-    current dimension row of the successor is looked up.
-
-    Both steps depend on the code alone, so the result per code is computed on
-    the (small) dimension side: every code known to either table, its
-    successors (several fan out, as in the two-join form) and their current
-    rows.  A fact code known to neither table matches nothing and gets
-    ``default``, exactly as with the two joins.
-    """
-    def build() -> DataFrame:
-        codes = (mapping.selectExpr(f"{q(old)} AS __x")
-                 .union(current_rows(dim, effective_to).selectExpr(f"{q(code)} AS __x"))
-                 .union(dim.selectExpr(f"{q(code)} AS __x")).distinct())
-        moved = codes.join(mapping.selectExpr(f"{q(old)} AS __old", f"{q(new)} AS __new"),
-                           F.expr("__x = __old"), "left").selectExpr("__x", "coalesce(__new, __x) AS __n")
-        rows = current_rows(dim, effective_to).selectExpr(
-            f"{q(code)} AS __code", *[f"{q(c)} AS {q('__' + o)}" for o, c in cols.items()])
-        return moved.join(rows, F.expr("__n = __code"), "left").drop("__n", "__code")
-
-    d = small_side(dim, ("resolved", id(mapping), old, new, code, effective_to, tuple(cols.items())), build)
-    j = df.join(d, F.expr(f"{q(key)} = __x"), "left")
-    dflt = f", '{default}'" if default is not None else ""
-    looked = {o: F.expr(f"coalesce({q('__' + o)}{dflt})") for o in cols}
-    return j.withColumns(looked).drop("__x", *[f"__{o}" for o in cols])
+def duplicate_current_codes(dim: DataFrame, code: str, effective_to: str = "Effective_To") -> DataFrame:
+    """Codes with more than one current row, ``(code, current_rows)``: a lookup of such a code fans out (kept, as
+    in the source), so a hierarchy load that overlaps should be seen before it is published."""
+    return (current_rows(dim, effective_to).groupBy(F.col(code).alias("code"))
+            .agg(F.count("*").alias("current_rows")).where("current_rows > 1"))
 
 
 def commissioner_geography(df: DataFrame, code_changes: DataFrame, hierarchy: DataFrame,

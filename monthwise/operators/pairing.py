@@ -1,8 +1,7 @@
 """First-to-last record pairing (O20 pair_first_last, O27 score_distribution).
 
-Variant A pairs the first and the last employment-status row of a record with
-an equi-join of the two rank-filtered sides (at most one row per key on each
-side, so the join never multiplies).
+Variant A pairs the first and the last employment-status row of a record in one
+grouping of the rows that rank first in either order (one or two per person).
 
 Variant B pairs the first and last answer to an assessment question.  Only
 the two extreme rows of each (pathway, question) are needed, so it is one
@@ -16,28 +15,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.dates import month_label
 from monthwise.functions.flags import q
 
 
 def pair_first_last(ranked: DataFrame, keys: list, first_rank: str, last_rank: str,
                     first_cols: dict, last_cols: dict) -> DataFrame:
-    """O20 variant A: the rank-1-ascending row joined to the rank-1-descending
+    """O20 variant A: the rank-1-ascending row with the rank-1-descending
     row of the same key, only when they are different records (the last row's
     ascending rank is not 1, i.e. at least two dated rows).
 
     ``first_cols`` / ``last_cols`` map output name -> column of that side.
     """
-    # When ``ranked`` is hash-partitioned on ``keys`` (as the status base is),
-    # both sides read the same reused exchange and the join adds no shuffle.
-    a = ranked.where(f"{q(first_rank)} = 1").selectExpr(
-        *[f"{q(k)} AS __k{i}" for i, k in enumerate(keys)], f"{q(first_rank)} AS __fr1",
-        *[f"{q(src)} AS {q(out)}" for out, src in first_cols.items()])
-    b = ranked.where(f"{q(last_rank)} = 1").selectExpr(
-        *[f"{q(k)} AS __j{i}" for i, k in enumerate(keys)], f"{q(first_rank)} AS __fr2",
-        *[f"{q(src)} AS {q(out)}" for out, src in last_cols.items()])
-    cond = " AND ".join(["__fr1 <> __fr2", *[f"__k{i} = __j{i}" for i in range(len(keys))]])
-    return a.join(b, F.expr(cond)).selectExpr(*[q(c) for c in [*first_cols, *last_cols]])
+    # Both sides of a key come from one grouping of the rank-1 rows (a key has
+    # one of either per person), which the partitioning of ``ranked`` serves.
+    struct = lambda cols: "named_struct(" + ", ".join(f"'{o}', {q(c)}" for o, c in cols.items()) + ")"
+    known = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
+    sides = (ranked.where(f"({q(first_rank)} = 1 OR {q(last_rank)} = 1) AND {known}").groupBy(*keys)
+             .agg(F.expr(f"collect_list({struct(first_cols)}) FILTER (WHERE {q(first_rank)} = 1) AS __first"),
+                  F.expr(f"collect_list({struct(last_cols)}) FILTER (WHERE {q(last_rank)} = 1 AND "
+                         f"{q(first_rank)} <> 1) AS __last")))
+    pairs = sides.selectExpr("explode(__first) AS __f", "__last").selectExpr("__f", "explode(__last) AS __l")
+    return pairs.selectExpr(*[f"__f.{q(c)} AS {q(c)}" for c in first_cols], *[f"__l.{q(c)} AS {q(c)}" for c in last_cols])
 
 
 def pair_first_last_answers(answers: DataFrame, keys: list, date: str, time: str, uid: str,
@@ -71,5 +69,3 @@ def score_distribution(pairs: DataFrame, score_cols: dict, keys: list, count_col
     return stacked.groupBy(*keys, "ScoreType", "Score").agg(
         F.expr(f"count(DISTINCT {q(count_col)}) AS {q(out_name)}"))
 
-
-__all__ = ["pair_first_last", "pair_first_last_answers", "score_distribution", "month_label"]

@@ -2,23 +2,47 @@
 
 ``rebuild`` replaces the whole table.  ``append_month`` replaces only the
 months present in the new data (dynamic partition overwrite on ``Month``), so
-re-running a month leaves the table unchanged instead of doubling it.
-Writes are plain parquet folders; a failed task is retried by Spark and the
-commit protocol only exposes finished files.
+re-running a month leaves the table unchanged instead of doubling it.  The
+target is a parquet folder or a catalog table.  A failed task is retried by
+Spark and the commit protocol only exposes finished files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def publish(df: DataFrame, path: str, mode: str = "rebuild", month_col: str = "Month") -> None:
-    if mode == "rebuild":
-        df.write.mode("overwrite").parquet(path)
-    elif mode == "append_month":
-        (df.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(month_col)
-           .parquet(path))
-    else:
+def cast_columns(df: DataFrame, casts: dict[str, str] | None) -> DataFrame:
+    """``df`` with the output casts of a published table (column -> SQL type); other columns stay."""
+    missing = [c for c in casts or {} if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns to cast: {missing}")
+    return df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in (casts or {}).items()})
+
+
+def publish(df: DataFrame, path: str | None = None, mode: str = "rebuild", month_col: str = "Month",
+            table: str | None = None, casts: dict[str, str] | None = None) -> None:
+    """Write ``df`` to the folder ``path`` or to the catalog table ``table``."""
+    if mode not in ("rebuild", "append_month"):
         raise ValueError(f"unknown publish mode {mode!r}")
+    if (path is None) == (table is None):
+        raise ValueError("name either a path or a table")
+    df = cast_columns(df, casts)
+    if mode == "append_month":
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col)
+    else:
+        writer = df.write.mode("overwrite")
+    if path is not None:
+        writer.parquet(path)
+    elif mode == "append_month" and df.sparkSession.catalog.tableExists(table):
+        # The table's own partitioning applies; columns go by position.
+        (df.select(*df.sparkSession.table(table).columns).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    else:
+        writer.format("parquet").saveAsTable(table)
+
+
+def read_published(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """A published folder; with ``like`` its columns' types and order, so a month kept as text stays text."""
+    return spark.read.parquet(path) if like is None else spark.read.schema(like.schema).parquet(path).select(*like.columns)

@@ -63,10 +63,7 @@ def latest_by_date_then_priority(df: DataFrame, keys: list, date: str, code: str
     (lowest number), then the highest ``tiebreak``.  Rows with codes outside
     the tiers are dropped first; exact duplicates are removed (DISTINCT)."""
     allowed = ", ".join("'" + c + "'" for tier in tiers for c in tier)
-    tier = " ".join(f"WHEN {q(code)} IN ({', '.join(chr(39) + c + chr(39) for c in codes)}) THEN {i}"
-                    for i, codes in enumerate(tiers, start=1))
-    ranked = (df.where(f"{q(code)} IN ({allowed})").distinct()
-                .selectExpr("*", f"CASE {tier} END AS {q(priority_name)}"))
+    ranked = df.where(f"{q(code)} IN ({allowed})").distinct().withColumn(priority_name, code_priority(code, tiers))
     return pick_first(ranked, keys, [F.col(date), -F.col(priority_name), F.col(tiebreak)])
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.operators.lookups import small_side
 from monthwise.operators.periods import period_bounds_sql
 
 SUBMISSION_KEYS = ["UniqueSubmissionID", "AuditId"]
@@ -25,12 +24,10 @@ def latest_submission(facts: DataFrame, submissions: DataFrame, lo=None, hi=None
     """O3: facts of the latest audit of each submission, with the period columns.
 
     Inner join on ``(UniqueSubmissionID, AuditId)``; the submissions side is
-    filtered first (IsLatest = 1, period bounds as literals) and broadcast when
-    small, so the fact side is never shuffled for this join.
+    filtered first (IsLatest = 1, period bounds as literals), so it is small
+    enough for Spark to broadcast in all but the longest back series.
     """
-    s = small_side(submissions, ("latest", str(lo), str(hi), tuple(keep)),
-                   lambda: latest_submissions(submissions, lo, hi).selectExpr(
-                       "UniqueSubmissionID AS __sid", "AuditId AS __aid", *keep))
+    s = latest_submissions(submissions, lo, hi).selectExpr("UniqueSubmissionID AS __sid", "AuditId AS __aid", *keep)
     j = facts.join(s, F.expr("UniqueSubmissionID = __sid AND AuditId = __aid"))
     return j.drop("__sid", "__aid")
 
@@ -45,9 +42,8 @@ def keep_latest_audits(facts: DataFrame, submissions: DataFrame, lo=None, hi=Non
     left-semi join prunes them at the scan, e.g. one month's status rows
     instead of the whole history.
     """
-    s = small_side(submissions, ("audits", str(lo), str(hi), tuple(keys)),
-                   lambda: latest_submissions(submissions, lo, hi).selectExpr(
-                       *[f"{k} AS __a{i}" for i, k in enumerate(keys)]).distinct())
+    s = latest_submissions(submissions, lo, hi).selectExpr(
+        *[f"{k} AS __a{i}" for i, k in enumerate(keys)]).distinct()
     cond = " AND ".join(f"{k} = __a{i}" for i, k in enumerate(keys))
     return facts.join(s, F.expr(cond), "left_semi")
 

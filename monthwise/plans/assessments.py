@@ -24,24 +24,32 @@ PROVIDER = {"ProviderCode": "Organisation_Code", "ProviderName": "Organisation_N
             "RegionNameProv": "Region_Name"}
 
 
-def coded_assessments(src: Sources) -> DataFrame:
-    """Answers to the three questions at their newest audit, with provider labels."""
+def newest_answers(src: Sources) -> DataFrame:
+    """Answers to the three questions at their newest audit."""
     codes = ", ".join(f"'{c}'" for c in PRESENTEEISM_QUESTIONS)
-    answers = src.assessments.where(f"CodedAssToolType IN ({codes})")
-    latest = latest_audit_rows(answers, src.submissions)
-    return provider_geography(latest, src.prov_successor, src.prov_hierarchy, cols=PROVIDER)
+    return latest_audit_rows(src.assessments.where(f"CodedAssToolType IN ({codes})"), src.submissions)
+
+
+def coded_assessments(src: Sources) -> DataFrame:
+    """The newest answers with provider labels (one row per current provider row)."""
+    return provider_geography(newest_answers(src), src.prov_successor, src.prov_hierarchy, cols=PROVIDER)
 
 
 def presenteeism_pairs(src: Sources, params: RunParams) -> DataFrame:
-    """First and last answer per pathway and question; last dated in [floor, month]."""
+    """First and last answer per pathway and question; last dated in [floor, month].
+
+    Answers are paired before the provider is looked up, so a code with two
+    current provider rows repeats the pair but never makes one of a single answer.
+    """
     p = period_for(src, params)
     pairs = pair_first_last_answers(
-        coded_assessments(src), ["PathwayID", "CodedAssToolType"], "AssToolCompDate", "AssToolCompTime",
-        "UniqueID_IDS606", carry=["PersScore", "ProviderName", "ProviderCode", "RegionNameProv", "AuditId",
-                                  "AssToolCompDate"], lo=p.floor, hi=p.start)
+        newest_answers(src), ["PathwayID", "CodedAssToolType"], "AssToolCompDate", "AssToolCompTime",
+        "UniqueID_IDS606", carry=["PersScore", "OrgID_Provider", "AuditId", "AssToolCompDate"], lo=p.floor, hi=p.start)
+    pairs = provider_geography(pairs, src.prov_successor, src.prov_hierarchy, key="FirstOrgID_Provider",
+                               cols=PROVIDER)
     return pairs.selectExpr(
-        "PathwayID", "FirstProviderName AS `Provider Name`", "FirstProviderCode AS `Provider Code`",
-        "FirstRegionNameProv AS `Region Name`", "CodedAssToolType", "FirstPersScore", "LastPersScore",
+        "PathwayID", "ProviderName AS `Provider Name`", "ProviderCode AS `Provider Code`",
+        "RegionNameProv AS `Region Name`", "CodedAssToolType", "FirstPersScore", "LastPersScore",
         "LastAuditId AS AuditID", "date_format(LastAssToolCompDate, 'MMMM yyyy') AS Month",
         "FirstAssToolCompDate AS FirstDate", "LastAssToolCompDate AS LastDate")
 

@@ -15,7 +15,7 @@ from monthwise.plans import status as _status
 from monthwise.plans import student as _student
 from monthwise.plans.common import FIXTURE_PARAMS
 from monthwise.plans.operator_queries import OPERATOR_QUERIES
-from monthwise.sources.tables import fixture_sources
+from monthwise.sources.fixture_store import fixture_sources
 
 
 def _pipeline(fn):

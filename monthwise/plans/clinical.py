@@ -40,11 +40,14 @@ def clinical_base(src: Sources, params: RunParams, counts: DataFrame | None = No
     # Only the two support dates of the status rows reach the output, so the
     # status side is reduced to its distinct (record, dates) before the join;
     # the DISTINCT of the base would collapse the rest anyway.
-    emp = src.empstatus.selectExpr("RecordNumber AS __e_rec", "EmpSupportReferral",
-                                   "EmpSupportDischargeDate").distinct()
+    # Records outside the month go first (semi-join on the record number, whose
+    # partitioning the DISTINCT and the join then share).
+    month = r.selectExpr("RecordNumber AS __e_rec").distinct()
+    emp = (src.empstatus.selectExpr("RecordNumber AS __e_rec", "EmpSupportReferral", "EmpSupportDischargeDate")
+           .join(month, "__e_rec", "left_semi").distinct())
     j = r.join(emp, F.expr("RecordNumber = __e_rec"), "left")
     j = join_mpi(j, src)
-    j = with_sexual_orientation(j, src)
+    j = with_sexual_orientation(j, src, p.start, p.start)
     j = with_deprivation(j, src)
     if counts is None:
         counts = contact_counts(src, r)

@@ -16,6 +16,7 @@ from monthwise.operators.lookups import (COMMISSIONER_COLS, PROVIDER_COLS, commi
                                          provider_geography, snapshot_lookup)
 from monthwise.operators.periods import DEFAULT_FLOOR, Period, resolve_period
 from monthwise.operators.ranking import latest_by_date_then_priority
+from monthwise.operators.submissions import keep_latest_audits
 from monthwise.sources.tables import Sources
 
 
@@ -25,21 +26,16 @@ class RunParams:
 
     offset: int = -1
     floor: dt.date = DEFAULT_FLOOR
+    period: Period | None = None    # set by a run that has resolved it already
 
 
 # The fixture's months run 1995-01 to 2001-12 and thin out at the end, so the
 # fixture runs report 2001-06 with the whole fixture history as back series.
 FIXTURE_PARAMS = RunParams(offset=-6, floor=dt.date(1995, 1, 1))
 
-_PERIODS: dict = {}
-
-
 def period_for(src: Sources, params: RunParams) -> Period:
-    """O1, evaluated once per (sources, params): the only driver-side collect."""
-    key = (id(src), params)
-    if key not in _PERIODS:
-        _PERIODS[key] = (src, resolve_period(src.submissions, params.offset, params.floor))
-    return _PERIODS[key][1]
+    """O1 on the submissions as they are now, unless the run passes its period: the only driver-side collect."""
+    return params.period or resolve_period(src.submissions, params.offset, params.floor)
 
 
 def used_referrals(src: Sources) -> DataFrame:
@@ -63,11 +59,13 @@ def with_contact_count(df: DataFrame, counts: DataFrame, out: str) -> DataFrame:
               .drop("__ec_path", "__ec"))
 
 
-def sexual_orientation_latest(src: Sources) -> DataFrame:
-    """Newest sexual-orientation answer per (person, record, audit, submission)."""
+def sexual_orientation_latest(src: Sources, lo, hi) -> DataFrame:
+    """Newest sexual-orientation answer per (person, record, audit, submission), of the latest audits of the periods
+    in [lo, hi]: other audits can't meet a referral of these periods, and whole ranking partitions go."""
     # Only the columns the pick orders by or returns; the DISTINCT and the pick
     # see the same rows for these columns.
-    answers = src.socpercirc.select("Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID",
+    answers = keep_latest_audits(src.socpercirc, src.submissions, lo, hi, keys=("UniqueSubmissionID", "AuditId"))
+    answers = answers.select("Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID",
                                     "SocPerCircumstanceRecDate", "SocPerCircumstance", "UniqueID_IDS011")
     return latest_by_date_then_priority(
         answers, ["Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID"],
@@ -75,8 +73,8 @@ def sexual_orientation_latest(src: Sources) -> DataFrame:
         tiebreak="UniqueID_IDS011", priority_name="SocPerCircumstanceRank")
 
 
-def with_sexual_orientation(df: DataFrame, src: Sources) -> DataFrame:
-    spc = sexual_orientation_latest(src).selectExpr(
+def with_sexual_orientation(df: DataFrame, src: Sources, lo, hi) -> DataFrame:
+    spc = sexual_orientation_latest(src, lo, hi).selectExpr(
         "RecordNumber AS __s_rec", "AuditID AS __s_aid", "UniqueSubmissionID AS __s_sid",
         f"{sexual_orientation_sql('SocPerCircumstance')} AS __s_desc")
     j = df.join(spc, F.expr("RecordNumber = __s_rec AND AuditId = __s_aid AND UniqueSubmissionID = __s_sid"), "left")

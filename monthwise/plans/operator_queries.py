@@ -6,6 +6,7 @@ input; nothing is sampled or capped.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +15,20 @@ from monthwise.functions import labels as L
 from monthwise.functions.dates import month_date, month_label
 from monthwise.functions.flags import (condition_flag, days_open_bands, in_period_flag, open_caseload,
                                        same_value_flags, true_sql)
-from monthwise.functions.recode import (band, coverage_band, general_benefit, problem_descriptor, recode,
-                                        ssp_ind, status_labels)
+from monthwise.functions.recode import (band, problem_descriptor, protected_characteristics_sql, recode,
+                                        sexual_orientation_sql, status_labels_sql)
 from monthwise.operators.contacts import qualifying_contact_count
-from monthwise.operators.lookups import bounded_broadcast, current_lookup, remap_successor, snapshot_lookup
+from monthwise.operators.lookups import current_lookup, duplicate_current_codes, remap_successor, snapshot_lookup
 from monthwise.operators.pairing import pair_first_last, score_distribution
 from monthwise.operators.periods import reporting_window, resolve_period, slice_period
+from monthwise.operators.publish import publish, read_published
 from monthwise.operators.ranking import first_last_ranks, latest_by_date_then_priority, pick_first, rank_within
-from monthwise.operators.rollup import Scope, appointment_scope, category_rollup, org_rollup
+from monthwise.operators.rollup import appointment_scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_audit_rows, latest_submission
-from monthwise.plans import assessments, clinical
+from monthwise.plans import assessments, clinical, indicator
 from monthwise.plans.common import FIXTURE_PARAMS, with_geography
-from monthwise.sources.tables import fixture_sources
+from monthwise.session import checkpoint_dir
+from monthwise.sources.fixture_store import fixture_sources
 
 # Fixed parameter of the back-series slice over order months.
 SERIES_FLOOR = dt.date(1998, 1, 1)
@@ -134,10 +137,19 @@ def q_snapshot_lookup_null(spark, sf_dir):
 
 # --- O13 / O14 / O15 -------------------------------------------------------------
 def q_recode_codes(spark, sf_dir):
+    """All 13 maps: the status ones on status rows, the personal ones on people and on their answers."""
     s = _src(spark, sf_dir)
-    labels = status_labels()
-    codes = s.empstatus.select("RecordNumber", "UniqueID_IDS004", *[labels[k].alias(k) for k in labels])
-    return codes
+    traits = protected_characteristics_sql()
+    personal = {k: traits[k] for k in ("GenderDesc", "EthnicityDesc", "GenderIdentityDesc")}
+    status = status_labels_sql()
+
+    def part(df, uid, **columns):
+        names = [*status, *personal, "SexualOrientationDesc"]
+        return df.selectExpr("RecordNumber", f"CAST({uid} AS STRING) AS id", *[
+            f"{columns.get(n, 'CAST(NULL AS STRING)')} AS {n}" for n in names])
+    return (part(s.empstatus, "UniqueID_IDS004", **status)
+            .unionByName(part(s.mpi, "NULL", **personal))
+            .unionByName(part(s.socpercirc, "UniqueID_IDS011", SexualOrientationDesc=sexual_orientation_sql())))
 
 
 def q_recode_rules(spark, sf_dir):
@@ -187,10 +199,9 @@ def q_condition_flags(spark, sf_dir):
 # --- O19 -----------------------------------------------------------------------------
 def q_days_open_bands(spark, sf_dir):
     om = _order_months(spark, sf_dir)
-    # The period end is a one-row aggregate joined to every row (a broadcast of
-    # a single row), the scalar-subquery pattern.
-    end = om.agg(F.last_day(F.max("OrderDate")).alias("ReportingPeriodEndDate"))
-    o = om.select("o_orderkey", "o_orderstatus", "OrderDate").crossJoin(F.broadcast(end))
+    # The period end is a one-row aggregate, evaluated once like O1, so it is a literal in the plan.
+    end = om.agg(F.last_day(F.max("OrderDate")).alias("end")).first()["end"]
+    o = om.select("o_orderkey", "o_orderstatus", "OrderDate", F.lit(end).alias("ReportingPeriodEndDate"))
     flags = days_open_bands("OrderDate", "Open", "SinceOrder", still_open="o_orderstatus = 'P'",
                             require="o_orderkey")
     return o.select("o_orderkey", *[v.alias(k) for k, v in flags.items()])
@@ -245,11 +256,10 @@ def q_org_rollup(spark, sf_dir):
 
 
 def q_category_rollup(spark, sf_dir):
-    """The clinical-outcomes roll-up for the any-appointment scope only."""
-    s = _src(spark, sf_dir)
-    base = clinical.clinical_base(s, FIXTURE_PARAMS)
-    scope = [sc for sc in clinical.outcome_scopes() if sc.name == "Any Appointment Type"]
-    return category_rollup(base, ["Month"], clinical.CATEGORIES, scope, hidden=[clinical.DISCHARGE_FLAG])
+    """The clinical-outcomes roll-up: four levels x seven categories x three scopes."""
+    base = clinical.clinical_base(_src(spark, sf_dir), FIXTURE_PARAMS)
+    return category_rollup(base, ["Month"], clinical.CATEGORIES, clinical.outcome_scopes(),
+                           hidden=[clinical.DISCHARGE_FLAG])
 
 
 def q_appointment_scopes(spark, sf_dir):
@@ -270,7 +280,26 @@ def q_score_distribution(spark, sf_dir):
                               keys=["CodedAssToolType"])
 
 
+# --- O28 / checks --------------------------------------------------------------------------
+def q_publish_indicator(spark, sf_dir):
+    """T7 published twice by month to the shared folder, then read back: replayed months don't double."""
+    out = indicator.indicator(_src(spark, sf_dir), FIXTURE_PARAMS)
+    path = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex[:12]}"
+    for _ in range(2):
+        publish(out, path, "append_month")
+    return read_published(spark, path, like=out)
+
+
+def q_duplicate_current_codes(spark, sf_dir):
+    """Order customers as a dimension keyed by nation: every nation with several current rows is reported."""
+    dim = _read(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").withColumn(
+        "Effective_To", F.expr("CASE WHEN c_acctbal < 0 THEN DATE '2000-01-01' END"))
+    return duplicate_current_codes(dim, "c_nationkey")
+
+
 OPERATOR_QUERIES = {
+    "publish_indicator": q_publish_indicator,
+    "duplicate_current_codes": q_duplicate_current_codes,
     "reporting_window": q_reporting_window,
     "period_slice_month": q_period_slice_month,
     "period_slice_series": q_period_slice_series,
@@ -301,4 +330,4 @@ OPERATOR_QUERIES = {
     "score_distribution": q_score_distribution,
 }
 
-__all__ = ["OPERATOR_QUERIES", "Scope", "bounded_broadcast", "coverage_band", "general_benefit", "ssp_ind"]
+__all__ = ["OPERATOR_QUERIES"]

@@ -9,6 +9,8 @@ on each table.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -36,6 +38,7 @@ TABLES = {
 def build_tables(src: Sources, params: RunParams) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """The ten published DataFrames, sharing persisted stages."""
     p = period_for(src, params)
+    params = replace(params, period=p)    # one period for all tables of the run
     refs = latest_submission(used_referrals(src), src.submissions, p.floor, p.start).select("PathwayID")
     counts = contact_counts(src, refs).persist(StorageLevel.MEMORY_AND_DISK)
     sbase = status.status_base(src, params, counts).persist(StorageLevel.MEMORY_AND_DISK)

@@ -48,7 +48,7 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
         *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate")
     j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     j = join_mpi(j, src)
-    j = with_sexual_orientation(j, src)
+    j = with_sexual_orientation(j, src, p.floor, p.start)
     j = with_deprivation(j, src)
     if counts is None:
         counts = contact_counts(src, r)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.flags import in_period_flag_sql, q, true_sql
-from monthwise.operators.lookups import current_lookup, remap_successor, small_side
+from monthwise.operators.lookups import current_lookup, remap_successor
 from monthwise.operators.ranking import pick_first, rank_within
 from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import RunParams, join_mpi, period_for, used_referrals
@@ -56,7 +56,7 @@ def student_base(src: Sources, params: RunParams) -> DataFrame:
     j = current_lookup(j, "__prov", src.prov_hierarchy, "Organisation_Code",
                        {"__ph_code": "Organisation_Code", "__ph_name": "Organisation_Name"}, default=None)
     # The site is matched on the provider's hierarchy code itself (NULL when unmatched).
-    sites = small_side(src.sites, ("postcodes",), lambda: site_postcodes(src))
+    sites = site_postcodes(src)
     j = j.join(sites, F.expr("__ph_code = __site"), "left")
 
     st, n2 = f"EmployStatus = '{STUDENT_CODE}'", "TreatmentCareContact_Count >= 2"

@@ -1,14 +1,14 @@
 """Spark session settings used by tests, the bench and local runs.
 
 On a cluster the session comes from the platform; only options that are unset
-are filled in here.  ``spark.checkpoint.dir`` is read from the session and a
-scratch folder is chosen only when nothing is configured (local tests).
+are filled in here, and the number of shuffle partitions is set only when a
+caller (tests, bench) asks for it.  ``spark.checkpoint.dir`` must name a shared
+folder.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -27,37 +27,32 @@ _LOCAL_DEFAULTS = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "monthwise", extra: dict | None = None) -> SparkSession:
-    """Return (or create) a session with the settings the pipelines expect."""
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("MONTHWISE_DRIVER_MEM", "16g"))
-    for key, value in {**_LOCAL_DEFAULTS, **(extra or {})}.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    """Return the running session with unset options filled in, or create one."""
+    wanted = {**_LOCAL_DEFAULTS, **(extra or {})}
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        wanted["spark.driver.memory"] = os.environ.get("MONTHWISE_DRIVER_MEM", "16g")
+        if shuffle_partitions is not None:
+            wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        spark = builder.config(map=wanted).getOrCreate()
+    else:
+        for key, value in wanted.items():
+            if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    When the cluster configures it, that folder is used as is.  Only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="monthwise-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    """The shared folder named by ``spark.checkpoint.dir``; executors and driver must both reach it."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured

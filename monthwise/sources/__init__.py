@@ -1,3 +1,3 @@
-from monthwise.sources.tables import SCHEMAS, Sources, fixture_sources
+from monthwise.sources.tables import SCHEMAS, Sources
 
-__all__ = ["SCHEMAS", "Sources", "fixture_sources"]
+__all__ = ["SCHEMAS", "Sources"]

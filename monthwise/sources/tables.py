@@ -9,13 +9,11 @@ sampled for inference.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from monthwise.session import checkpoint_dir
 from monthwise.sources.fixture import FIXTURE_TABLES, spark_tables
 
 _TYPES = {
@@ -86,29 +84,3 @@ class Sources:
             for name in cls._NAMES.values()
         })
 
-
-_CACHE: dict = {}
-
-FACT_TABLES = {"IDS101referral", "IDS001mpi", "IDS004empstatus", "IDS011socpercircumstances", "IDS201carecontact",
-               "IDS202careactivity", "IDS606codedscoreassessmentrefer"}
-
-
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Fixture sources for ``sf_dir``, written once per session as parquet.
-
-    The projection is materialised under the session's checkpoint folder (the
-    shared folder named by ``spark.checkpoint.dir``), which cuts its lineage
-    and gives the pipelines real parquet scans with column pruning and filter
-    pushdown, as with stored domain tables.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CACHE:
-        base = f"{checkpoint_dir(spark)}/fixture-{uuid.uuid4().hex[:12]}"
-        # Fact tables are spread over one file per core so scans run in
-        # parallel (stored tables have many files); dimensions are one file.
-        files = spark.sparkContext.defaultParallelism
-        for name, df in spark_tables(spark, sf_dir).items():
-            out = df.repartition(files) if name in FACT_TABLES else df.coalesce(1)
-            out.write.mode("overwrite").parquet(f"{base}/{name}")
-        _CACHE[key] = Sources.from_parquet(spark, base)
-    return _CACHE[key]

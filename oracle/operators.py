@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from monthwise.functions import labels as L
+from oracle import values as L
 from oracle.common import (EC_CTE, GEO_COMM, GEO_PROV, GEO_PROV_CODE, case_codes, geo_joins, level_union, lit,
-                           problem_sql, status_label_sql, with_fixture)
-from oracle.pipelines import (P_IN, _assessment_ctes, _clinical, _pairs_cte, _q)
+                           problem_sql, quoted as _q, status_label_sql, with_fixture)
+from oracle.pipelines import P_IN, _assessment_ctes, _clinical, _pairs_cte, clinical_outcomes
 
 OM = ("om AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS OrderDate, "
       "CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS ReportingPeriodStartDate, "
@@ -30,8 +30,7 @@ def period_slice_series() -> str:
 def latest_submission() -> str:
     return with_fixture() + (
         "SELECT r.RecordNumber, r.PathwayID, r.UniqueSubmissionID, r.AuditId, r.ReferralRequestReceivedDate, "
-        "l.IsLatest, l.ReportingPeriodStartDate, l.ReportingPeriodEndDate FROM ref r "
-        "JOIN sub l ON r.UniqueSubmissionID = l.UniqueSubmissionID AND r.AuditId = l.AuditId WHERE l.IsLatest = 1")
+        "1 AS IsLatest, opens AS ReportingPeriodStartDate, closes AS ReportingPeriodEndDate FROM live r")
 
 
 def rank_within_key() -> str:
@@ -77,14 +76,13 @@ def first_last_ranks_null_dates() -> str:
 
 
 def latest_audit_rows() -> str:
-    x = ("ax AS (SELECT DISTINCT MAX(c.AuditId) AS AuditID, c.AssToolCompDate, c.PathwayID, c.Unique_ServiceRequestID, "
-         "c.AssToolCompTime FROM ass c JOIN sub l ON c.UniqueSubmissionID = l.UniqueSubmissionID "
-         "AND c.AuditId = l.AuditId WHERE l.IsLatest = 1 "
-         "GROUP BY c.AssToolCompDate, c.PathwayID, c.Unique_ServiceRequestID, c.AssToolCompTime, c.OrgID_Provider)")
-    return with_fixture(x) + (
-        "SELECT a.* FROM ass a JOIN ax x ON a.PathwayID = x.PathwayID "
-        "AND a.Unique_ServiceRequestID = x.Unique_ServiceRequestID AND a.AuditId = x.AuditID "
-        "AND a.AssToolCompDate = x.AssToolCompDate AND a.AssToolCompTime = x.AssToolCompTime")
+    """Answers whose audit is the newest of a group of equal answers of one provider."""
+    key = ["AssToolCompDate", "PathwayID", "Unique_ServiceRequestID", "AssToolCompTime"]
+    newest = (f"newest AS (SELECT {', '.join(key)}, max(AuditId) AS audit FROM ass, seen "
+              f"WHERE UniqueSubmissionID = sid AND AuditId = aid GROUP BY {', '.join(key)}, OrgID_Provider)")
+    same = " AND ".join(f"n.{c} = a.{c}" for c in key)
+    return with_fixture(newest) + (
+        f"SELECT a.* FROM ass a WHERE EXISTS (SELECT 1 FROM newest n WHERE n.audit = a.AuditId AND {same})")
 
 
 def successor_remap() -> str:
@@ -107,9 +105,17 @@ def snapshot_lookup_null() -> str:
 
 
 def recode_codes() -> str:
-    labels = status_label_sql("")
+    """Each map on its own column: status maps on status rows, personal ones on people and their answers."""
+    status = ", ".join(f"{e} AS {n}" for n, e in status_label_sql("").items())
+    none = ", ".join(f"NULL AS {n}" for n in status_label_sql(""))
+    people = [("Gender", L.GENDER, "GenderDesc"), ("Validated_EthnicCategory", L.ETHNICITY, "EthnicityDesc"),
+              ("GenderIdentity", L.GENDER_IDENTITY, "GenderIdentityDesc")]
+    empty = ", ".join(f"NULL AS {n}" for _, _, n in people)
     return with_fixture() + (
-        "SELECT RecordNumber, UniqueID_IDS004, " + ", ".join(f"{e} AS {n}" for n, e in labels.items()) + " FROM emp")
+        f"SELECT RecordNumber, CAST(UniqueID_IDS004 AS VARCHAR) AS id, {status}, {empty}, NULL AS SexualOrientationDesc FROM emp UNION ALL "
+        f"SELECT RecordNumber, NULL, {none}, {', '.join(f'{case_codes(c, m)} AS {n}' for c, m, n in people)}, NULL "
+        f"FROM mpi UNION ALL SELECT RecordNumber, CAST(UniqueID_IDS011 AS VARCHAR), {none}, {empty}, "
+        f"{case_codes('SocPerCircumstance', L.SEXUAL_ORIENTATION)} FROM spc")
 
 
 def recode_rules() -> str:
@@ -142,8 +148,7 @@ def in_period_flags() -> str:
         f"{f('ServDischDate', done)} AS AllFinishedTreatment, "
         f"{f('ServDischDate', done, 'lower(r.Recovery_Flag) = ' + lit('true'))} AS AllCompTreatFlagRecFlag, "
         f"{f('ServDischDate', done, 'lower(r.NotCaseness_Flag) = ' + lit('true'))} AS AllNotCaseness "
-        "FROM ref r JOIN sub l ON r.UniqueSubmissionID = l.UniqueSubmissionID AND r.AuditId = l.AuditId "
-        "WHERE l.IsLatest = 1")
+        "FROM live r")
 
 
 def condition_flags() -> str:
@@ -193,28 +198,22 @@ def qualifying_contact_count() -> str:
 
 def open_caseload() -> str:
     return with_fixture() + (
-        "SELECT r.RecordNumber, r.AuditId, l.ReportingPeriodStartDate FROM ref r "
-        "JOIN sub l ON r.UniqueSubmissionID = l.UniqueSubmissionID AND r.AuditId = l.AuditId "
-        "WHERE l.IsLatest = 1 AND ((r.ServDischDate IS NULL AND r.ReferralRequestReceivedDate <= l.ReportingPeriodEndDate) "
-        f"OR r.ServDischDate {P_IN})")
+        "SELECT r.RecordNumber, r.AuditId, opens AS ReportingPeriodStartDate FROM live r "
+        "WHERE (r.ServDischDate IS NULL AND r.ReferralRequestReceivedDate <= closes) "
+        f"OR r.ServDischDate {P_IN}")
 
 
 def org_rollup() -> str:
-    base = (f"ob AS (SELECT CAST(date_trunc('month', l.ReportingPeriodStartDate) AS DATE) AS Month, "
+    base = (f"ob AS (SELECT CAST(date_trunc('month', opens) AS DATE) AS Month, "
             f"CASE WHEN r.ReferralRequestReceivedDate {P_IN} AND r.PathwayID IS NOT NULL THEN 1 ELSE 0 END AS Referrals, "
             f"CASE WHEN r.ServDischDate {P_IN} AND r.PathwayID IS NOT NULL THEN 1 ELSE 0 END AS Discharges, "
-            f"{GEO_COMM}, {GEO_PROV}, {GEO_PROV_CODE} FROM ref r "
-            f"JOIN sub l ON r.UniqueSubmissionID = l.UniqueSubmissionID AND r.AuditId = l.AuditId "
-            f"{geo_joins()} WHERE l.IsLatest = 1)")
+            f"{GEO_COMM}, {GEO_PROV}, {GEO_PROV_CODE} FROM live r {geo_joins()})")
     tpl = ("SELECT Month, {otype} AS OrgType, {region} AS Region, {code} AS OrgCode, {name} AS OrgName, "
            "CAST(SUM(Referrals) AS BIGINT) AS Referrals, CAST(SUM(Discharges) AS BIGINT) AS Discharges "
            "FROM ob GROUP BY Month{group}")
     return with_fixture(base) + level_union(tpl)
 
 
-_CATS = [("Gender", "GenderDesc"), ("Problem Descriptor", "ProblemDescriptor"), ("Ethnicity", "EthnicityDesc"),
-         ("Age", "AgeGroups"), ("Deprivation", "IMD_Decile"), ("Gender Identity", "GenderIdentityDesc"),
-         ("Sexual Orientation", "SexualOrientationDesc")]
 _ALL_OUT = ["Referrals", "OpenReferralLessThan61DaysTimeSinceLastContact", "OpenReferral61-90DaysTimeSinceLastContact",
             "OpenReferral91-120DaysTimeSinceLastContact", "OpenReferralOver120daysTimeSinceLastContact", "Access"]
 _LAST5 = [("AllFinishedTreatment", "FinishedTreatment"), ("AllCompTreatFlagRecFlag", "RecoveryFlag"),
@@ -222,20 +221,6 @@ _LAST5 = [("AllFinishedTreatment", "FinishedTreatment"), ("AllCompTreatFlagRecFl
           ("AllCompTreatFlagRelDetFlag", "ReliableDeteriorationFlag")]
 
 
-def category_rollup() -> str:
-    sums = [f"CAST(SUM({_q('All' + o)}) AS BIGINT) AS {_q(o)}" for o in _ALL_OUT]
-    sums += [f"CAST(SUM({s}) AS BIGINT) AS {o}" for s, o in _LAST5]
-    blocks = []
-    for cat, var in _CATS:
-        tpl = (f"SELECT Month, {{otype}} AS OrgType, {{name}} AS OrgName, {{code}} AS OrgCode, {{region}} AS Region, "
-               f"'{cat}' AS Category, CAST({var} AS VARCHAR) AS Variable, 'Any Appointment Type' AS AppointmentType, "
-               f"CAST(AllTreatmentCareContact_Count AS BIGINT) AS Dosage, 'NA' AS EmpSupportDischargeDatePresent, "
-               f"{', '.join(sums)} FROM cbase "
-               f"GROUP BY Month{{group}}, {var}, AllTreatmentCareContact_Count, EmpSupportDischargeDatePresent")
-        blocks.append(level_union(tpl))
-    return _clinical("\nUNION ALL\n".join(blocks))
-
-
 def appointment_scopes() -> str:
     def part(scope, prefix, dosage, where):
         ms = [f"{_q(prefix + o)} AS {_q(o)}" for o in _ALL_OUT] + [f"{s} AS {o}" for s, o in _LAST5]
@@ -280,9 +265,7 @@ OPERATOR_ORACLE = {
     "qualifying_contact_count": qualifying_contact_count,
     "open_caseload": open_caseload,
     "org_rollup": org_rollup,
-    "category_rollup": category_rollup,
+    "category_rollup": clinical_outcomes,
     "appointment_scopes": appointment_scopes,
     "score_distribution": score_distribution,
 }
-
-__all__ = ["OPERATOR_ORACLE", "L", "case_codes"]

@@ -16,3 +16,9 @@ ORACLE = {
     "student": P.student,
 }
 ORACLE.update(OPERATOR_ORACLE)
+# Publishing and reading back changes nothing.
+ORACLE["publish_indicator"] = P.indicator
+ORACLE["duplicate_current_codes"] = lambda: """
+SELECT c_nationkey AS code, count(*) AS current_rows FROM customer
+WHERE c_acctbal >= 0 OR c_acctbal IS NULL GROUP BY c_nationkey HAVING count(*) > 1
+"""

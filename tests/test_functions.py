@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from monthwise.functions import labels as L
 from monthwise.functions.flags import days_open_bands, in_period_flag, is_true, open_caseload
-from monthwise.functions.recode import band, coverage_band, problem_descriptor, recode, ssp_ind, status_labels
+from monthwise.functions.recode import band, coverage_band, problem_descriptor, recode, ssp_spec, status_labels
 
 
 def test_nbsp_labels_are_byte_exact(spark):
@@ -54,7 +54,7 @@ def test_boolean_like_flags_fold_case(spark):
 def test_ssp_not_stated_reads_sickness_absence(spark):
     # Q12: the 'Not stated' rule tests SickAbsenceInd, not SSPInd.
     df = spark.createDataFrame([("Y", "Z"), (None, "Z"), ("Z", "N"), (None, None)], "SSPInd string, SickAbsenceInd string")
-    got = [r[0] for r in df.select(ssp_ind()).collect()]
+    got = [r[0] for r in df.selectExpr(ssp_spec().sql()).collect()]
     assert got == [L.SSP_IND["Y"], L.SSP_NOT_STATED, "Unspecified", "Unspecified"]
 
 

@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from monthwise.operators.contacts import qualifying_contact_count
@@ -169,24 +171,6 @@ def test_publish_append_month_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
-def test_resolved_lookup_equals_two_joins(spark):
-    from monthwise.operators.lookups import resolved_lookup
-    facts = spark.createDataFrame([("A",), ("B",), ("C",), ("D",), ("E",), (None,)], "code string")
-    # A moves to A2 and A3 (fan-out); B moves to a code with no current row;
-    # C is current twice; D is not current; E is unknown everywhere.
-    succ = spark.createDataFrame([("A", "A2"), ("A", "A3"), ("B", "Z")], "old string, new string")
-    dim = spark.createDataFrame([("A2", "Alpha2", None), ("A3", "Alpha3", None), ("C", "Gamma", None),
-                                 ("C", "Gamma bis", None), ("D", "Delta", D(2000, 1, 1)), ("Z", "Zed", D(1999, 1, 1))],
-                                "Organisation_Code string, Organisation_Name string, Effective_To date")
-    two = current_lookup(remap_successor(facts, "code", succ, "old", "new", "m"), "m", dim, "Organisation_Code",
-                         {"Name": "Organisation_Name"})
-    one = resolved_lookup(facts, "code", succ, "old", "new", dim, "Organisation_Code", {"Name": "Organisation_Name"})
-    key = lambda df: sorted((r.code or "-", r.Name) for r in df.collect())
-    assert key(one) == key(two)
-    assert key(one) == [("-", "Other"), ("A", "Alpha2"), ("A", "Alpha3"), ("B", "Other"), ("C", "Gamma"),
-                        ("C", "Gamma bis"), ("D", "Other"), ("E", "Other")]
-
-
 def test_keep_latest_audits_prunes_only_unreachable_rows(spark):
     from monthwise.operators.submissions import keep_latest_audits
     subs = spark.createDataFrame(SUBS, SUB_SCHEMA)   # latest audits: 11 (May), 20 (June)
@@ -200,18 +184,93 @@ def test_keep_latest_audits_prunes_only_unreachable_rows(spark):
     assert sorted(r.RecordNumber for r in kept.collect()) == [1, 3]
 
 
-def test_bounded_broadcast_falls_back_above_the_bound(spark):
-    from monthwise.operators.lookups import bounded_broadcast
-    dim = spark.range(10).toDF("k")
-    facts = spark.range(1000).toDF("k")
-    hinted = facts.join(bounded_broadcast(dim, max_rows=100), "k")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    # Above the bound no hint is added: the plan is left to Spark (here: no broadcast
-    # once automatic broadcasting is switched off).
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_second_month_is_seen_in_the_same_session(spark, tmp_path):
+    from monthwise.operators.submissions import keep_latest_audits
+    path = str(tmp_path / "subs")
+    facts = spark.createDataFrame([(1, 11), (2, 20)], "RecordNumber long, AuditId int")
+    may, june = (spark.createDataFrame([r for r in SUBS if (r in SUBS[-1:]) == late], SUB_SCHEMA) for late in (False, True))
+    may.write.parquet(path)
+    read = lambda: sorted(r.RecordNumber for r in keep_latest_audits(facts, spark.read.parquet(path)).collect())
+    first = read()
+    june.write.mode("append").parquet(path)
+    assert first != read() == [1, 2]
+
+
+def test_period_follows_the_submissions(spark, tmp_path):
+    from monthwise.plans.common import RunParams, period_for
+    from types import SimpleNamespace
+    path = str(tmp_path / "subs")
+    schema = "ReportingPeriodStartDate date, ReportingPeriodEndDate date"
+    month = lambda m: spark.createDataFrame([(D(2001, m, 1), D(2001, m, 28))], schema)
+    month(5).write.parquet(path)
+    src = SimpleNamespace(submissions=spark.read.schema(schema).parquet(path))
+    assert period_for(src, RunParams(offset=0)).start == D(2001, 5, 1)
+    month(6).write.mode("append").parquet(path)
+    src = SimpleNamespace(submissions=spark.read.schema(schema).parquet(path))
+    assert period_for(src, RunParams(offset=0)).start == D(2001, 6, 1)
+
+
+def test_session_keeps_what_is_set(spark):
+    from monthwise.session import checkpoint_dir, get_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
     try:
-        plain = facts.join(bounded_broadcast(dim, max_rows=5), "k")
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert plain.count() == 10
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "400"
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    class Bare:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None)})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Bare())
+
+
+def test_duplicate_current_codes(spark):
+    from monthwise.operators.lookups import duplicate_current_codes
+    dim = spark.createDataFrame([("A", None), ("A", None), ("B", None), ("B", D(2000, 1, 1)), ("C", D(2000, 1, 1))],
+                                "code string, Effective_To date")
+    assert [tuple(r) for r in duplicate_current_codes(dim, "code").collect()] == [("A", 2)]
+
+
+def test_a_single_answer_makes_no_pair_under_two_current_providers(spark):
+    from types import SimpleNamespace
+    from monthwise.functions.labels import PRESENTEEISM_QUESTIONS
+    from monthwise.operators.periods import Period
+    from monthwise.plans.assessments import presenteeism_pairs
+    from monthwise.plans.common import RunParams
+    question = PRESENTEEISM_QUESTIONS[0]
+    row = lambda path, uid, day: (question, D(2001, 6, day), None, path, "sr", "P1", 11, 1, uid, 5)
+    answers = spark.createDataFrame(
+        [row("one", 1, 1), row("two", 2, 1), row("two", 3, 2)],
+        "CodedAssToolType string, AssToolCompDate date, AssToolCompTime string, PathwayID string, "
+        "Unique_ServiceRequestID string, OrgID_Provider string, AuditId int, UniqueSubmissionID int, "
+        "UniqueID_IDS606 long, PersScore int").fillna({"AssToolCompTime": "10:00"})
+    src = SimpleNamespace(
+        assessments=answers,
+        submissions=spark.createDataFrame([(1, 11, 1)], "UniqueSubmissionID int, AuditId int, IsLatest int"),
+        prov_successor=spark.createDataFrame([], "Prov_original string, Prov_Successor string"),
+        prov_hierarchy=spark.createDataFrame([("P1", "Name", "R", None), ("P1", "Other name", "R", None)],
+                                             "Organisation_Code string, Organisation_Name string, Region_Name string, "
+                                             "Effective_To date"))
+    pairs = presenteeism_pairs(src, RunParams(period=Period(D(2001, 6, 30), D(2001, 6, 30), D(2001, 1, 1)))).collect()
+    assert sorted((r.PathwayID, r["Provider Name"]) for r in pairs) == [("two", "Name"), ("two", "Other name")]
+
+
+def test_first_last_pairs_of_a_record_shared_by_two_people(spark):
+    from monthwise.operators.pairing import pair_first_last
+    rows = spark.createDataFrame([("r", "p", 1, 2, "a1"), ("r", "p", 2, 1, "a2"), ("r", "q", 1, 2, "b1"),
+                                  ("r", "q", 2, 1, "b2"), ("s", "p", 1, 1, "c"), (None, "p", 1, 2, "d"),
+                                  (None, "p", 2, 1, "e")], "rec string, person string, f int, l int, v string")
+    got = pair_first_last(rows, ["rec"], "f", "l", {"rec": "rec", "first": "v"}, {"last": "v"}).collect()
+    assert sorted(map(tuple, got)) == [("r", a, b) for a in ("a1", "b1") for b in ("a2", "b2")]
+
+
+def test_publish_to_a_catalog_table_with_casts(spark):
+    june = spark.createDataFrame([("June 2001", 1.0), ("May 2001", 2.0)], "Month string, v double")
+    spark.sql("DROP TABLE IF EXISTS published_test")
+    publish(june, mode="append_month", table="published_test", casts={"v": "int"})
+    publish(june.where("v = 1"), mode="append_month", table="published_test", casts={"v": "int"})
+    assert sorted((r.Month, r.v) for r in spark.table("published_test").collect()) == [("June 2001", 1), ("May 2001", 2)]
+    assert dict(spark.table("published_test").dtypes) == {"v": "int", "Month": "string"}
+    spark.sql("DROP TABLE published_test")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from monthwise.plans import clinical, indicator
 from monthwise.plans.common import FIXTURE_PARAMS
-from monthwise.sources.tables import fixture_sources
+from monthwise.sources.fixture_store import fixture_sources
 
 from conftest import SMALL
 

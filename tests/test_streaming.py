@@ -5,7 +5,7 @@ import tempfile
 
 from monthwise.plans.common import FIXTURE_PARAMS
 from monthwise.plans.refresh import TABLES
-from monthwise.sources.tables import fixture_sources
+from monthwise.sources.fixture_store import fixture_sources
 from monthwise.streaming.refresh import start_monthly_refresh
 
 from conftest import SMALL
