@@ -114,7 +114,8 @@ def train(docs: DataFrame, id_col: str, text_col: str) -> dict:
         F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS)
     known = F.array(*[F.lit(g) for g in vocabulary if g.count(" ") == 2])
     sample = (docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(some), "id")
-              .select(F.explode(F.split("text", "\n+")).alias("line")).limit(SAMPLE_PARAGRAPHS)
+              .select(F.explode(F.split("text", "\n+")).alias("line"))
+              .orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS)
               .select(F.slice(words(F.col("line")), 1, 200).alias("w"))
               .select(F.array_distinct(F.concat(grams(F.col("w"), 2), grams(F.col("w"), 3))).alias("g"))
               .where(~F.arrays_overlap("g", known)))
