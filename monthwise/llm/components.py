@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from monthwise.llm.common import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
-                           F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points at one node at most, and none that is pointed at points on."""
+    ends = edges.selectExpr("stack(2, u, 1, 0, v, 0, 1) AS (node, points, pointed)")
+    return (ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("pointed").alias("pointed"))
+            .where("points > 1 OR points = pointed").isEmpty())
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -25,8 +26,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                     .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct(),
                     "links")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -34,8 +34,5 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         joined = large.join(lowest, "u")
         edges = written(joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

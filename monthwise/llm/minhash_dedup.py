@@ -175,17 +175,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     torn = (component_of(crowded.select("key", "rep")).groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
             .where("lo != hi").select("key"))
     torn = crowded.join(torn, "key", "left_semi").select(F.col("rep").alias("id")).distinct()
-    left = written(_rare_buckets(texts.join(torn, "id", "left_semi"), shingle, percent), "buckets")
+    left = _rare_buckets(texts.join(torn, "id", "left_semi"), shingle, percent)
     # A pair at the threshold meets under its first common shingle, where what follows must still suffice.
     enough = F.expr(f"{100 + percent} * (1 + least(n - at, centre.n - centre.at)) >= {percent} * (n + centre.n)")
     centres = CENTRES
     while True:
-        now = component_of(left).select("key", "rep", "n", "at", "c")
+        now = written(component_of(left).select("key", "rep", "n", "at", "c"), "members")
         each = now.groupBy("key", "c").agg(F.min(F.struct("rep", "n", "at")).alias("r"), F.count("*").alias("k"))
-        split = each.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
         shares = (each.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(centres)).alias("share"))
-                  .agg(F.min(F.struct("k", "r", "c")).alias("pick"))
-                  .join(split.select("key"), "key", "left_semi")
+                  .agg(F.min(F.struct("k", "r", "c")).alias("pick"), F.min("c").alias("lo"), F.max("c").alias("hi")))
+        of_key = Window.partitionBy("key")  # at most ``centres`` rows
+        shares = (shares.withColumn("lo", F.min("lo").over(of_key)).withColumn("hi", F.max("hi").over(of_key))
+                  .where("lo != hi")
                   .select("key", F.struct("pick.r.rep", "pick.r.n", "pick.r.at", "pick.c").alias("centre")))
         shares = written(shares, "centres")
         if shares.isEmpty():
@@ -198,9 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = written(confirmed(new), "linked")
         if not more.isEmpty():
             found = components(found.selectExpr("node AS a", "component AS b").unionByName(more), "a", "b")
-        left = written(now.join(shares.select("key").distinct(), "key", "left_semi").join(
-            shares.select("key", F.col("centre.rep").alias("rep")), ["key", "rep"], "left_anti")
-            .select("key", "rep", "n", "at"), "buckets")
+        left = now.join(shares.select("key").distinct(), "key", "left_semi").join(
+            shares.select("key", F.col("centre.rep").alias("rep")), ["key", "rep"], "left_anti").drop("c")
         centres *= MORE_CENTRES
 
     per_class = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
