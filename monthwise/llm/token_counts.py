@@ -11,9 +11,10 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from monthwise.llm.words import pieces
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut text before any merge.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 64 << 20
 
 
@@ -41,6 +42,25 @@ def _unpack(raw: bytes, dtype=np.uint32) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=dtype).astype(np.int64)
 
 
+def _steps(places: np.ndarray, times: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places ascending within each document, each as its distance from the one before; times alike."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((places, doc))
+    places = places[order]
+    steps = np.diff(places, prepend=0)
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][np.asarray(sizes) > 0].astype(np.int64)
+    steps[starts] = places[starts]
+    return steps, times[order]
+
+
+def _places(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What ``_steps`` was made from."""
+    total = np.cumsum(steps)
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    before = np.concatenate(([0], total))[starts]
+    return total - np.repeat(before, sizes)
+
+
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
@@ -66,7 +86,7 @@ def _split(path: str, buckets: int):
         for batch in batches:
             for part in pieces(batch, "text", BATCH_BYTES, 20_000):
                 places: dict[str, int] = {}
-                where, times, sizes, whole = [], [], [], []
+                where, times, sizes, whole = array("I"), array("I"), [], []
                 for text in part["text"].to_pylist():
                     text = text or ""
                     specials = 0
@@ -76,22 +96,25 @@ def _split(path: str, buckets: int):
                         found = Counter(chain.from_iterable(map(find, spans)))
                     else:
                         found = Counter(find(text))
-                    where.extend([places.setdefault(piece, len(places)) for piece in found])
+                    where.extend(places.setdefault(piece, len(places)) for piece in found)
                     times.extend(found.values())
                     sizes.append(len(found))
                     whole.append(specials)
                 number = TaskContext.get().partitionId() << 32 | seq
                 seq += 1
                 encoded = [p.encode() for p in places]
-                keyed = sorted((zlib.crc32(p) % buckets, p, i) for i, p in enumerate(encoded))
-                place = np.empty(len(keyed), dtype=np.int64)
-                place[[i for _, _, i in keyed]] = np.arange(len(keyed))
+                del places
+                bucket_of = np.fromiter((zlib.crc32(p) % buckets for p in encoded), np.int64, len(encoded))
+                order = np.argsort(bucket_of, kind="stable")
+                place = np.empty(len(order), dtype=np.int64)
+                place[order] = np.arange(len(order))
+                steps, times = _steps(place[np.asarray(where, dtype=np.int64)], np.asarray(times), sizes)
                 length = pc.fill_null(pc.binary_length(part["text"]), 0)
                 rows = [{"batch": number, "ids": part["id"].to_pylist(), "bytes": length.to_pylist(), "whole": whole,
-                         "sizes": _pack(sizes), "places": _pack(place[where] if where else []),
-                         "times": _pack(times)}]
-                for bucket, own in groupby(keyed, key=lambda x: x[0]):
-                    own = [p for _, p, _ in own]
+                         "sizes": _pack(sizes), "places": _pack(steps), "times": _pack(times)}]
+                edges = np.searchsorted(bucket_of[order], np.arange(buckets + 1))
+                for bucket in np.unique(bucket_of).tolist():
+                    own = [encoded[i] for i in np.sort(order[edges[bucket]:edges[bucket + 1]]).tolist()]
                     rows.append({"batch": number, "bucket": bucket, "lengths": _pack([len(p) for p in own]),
                                  "pieces": zstandard.ZstdCompressor(level=3).compress(b"".join(own))})
                 yield pa.RecordBatch.from_pylist(rows, ARROW)
@@ -122,8 +145,9 @@ def _sum(key: tuple, packed: pa.Table, counted: pa.Table) -> pa.Table:
     n = np.concatenate([np.empty(0, dtype=np.int64), *map(_unpack, counted["counts"].to_pylist())])
     out = []
     for row in packed.to_pylist():
-        each = n[_unpack(row["places"])] * _unpack(row["times"])
-        edge = np.concatenate(([0], np.cumsum(_unpack(row["sizes"]))))
+        sizes = _unpack(row["sizes"])
+        each = n[_places(_unpack(row["places"]), sizes)] * _unpack(row["times"])
+        edge = np.concatenate(([0], np.cumsum(sizes)))
         total = np.concatenate(([0], np.cumsum(each)))
         out.append(pa.table({"id": pa.array(row["ids"], pa.int64()), "n_bytes": pa.array(row["bytes"], pa.int64()),
                              "n_tokens": pa.array(total[edge[1:]] - total[edge[:-1]]
