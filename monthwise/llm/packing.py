@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col, partitions, without
+from monthwise.llm.common import col, partitions, without, written
 
 EXACT = 8192
 SHARE_ROWS = 100_000
@@ -96,6 +96,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     carried = [f"carry{i}" for i in range(len(carry))]
     rows = docs.select(col(id_col).alias("id"), measure.cast("long").alias("length"),
                        *[col(c).alias(n) for c, n in zip(carry, carried)])
+    rows = written(rows, "lengths")  # lengths are measured once
     histogram = [(r["n"], r["k"]) for r in
                  rows.groupBy(binned(F.col("length")).alias("n")).agg(F.count("*").alias("k")).collect()]
     ends = best_boundaries(histogram, buckets) or [0]
