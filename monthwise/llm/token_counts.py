@@ -30,8 +30,8 @@ from monthwise.llm.words import pieces
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind cut text before any merge.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 
 
 def _pack(values, dtype=np.uint32) -> bytes:
@@ -131,8 +131,8 @@ def _count(path: str):
             each.append([raw[i:j] for i, j in zip([0, *ends], ends)])
         distinct = list(set(chain.from_iterable(each)))
         known: dict[bytes, int] = {}
-        for begin in range(0, len(distinct), 10_000):
-            some = distinct[begin:begin + 10_000]
+        for begin in range(0, len(distinct), 2_000):
+            some = distinct[begin:begin + 2_000]
             known.update(zip(some, map(len, tokenizer.encode_batch_fast([p.decode() for p in some],
                                                                         add_special_tokens=False))))
         return pa.table({"batch": lists["batch"], "bucket": lists["bucket"],
