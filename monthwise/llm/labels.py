@@ -28,5 +28,11 @@ def with_labels(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "id")
 
 
+def with_label(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """All documents (id, text), with their label or null."""
+    few = ids.count() <= BROADCAST_LABELS
+    return docs.join(F.broadcast(ids) if few else ids, "id", "left")
+
+
 def held_out_column(id_col: str, folds: int, held_out: int) -> Column:
     return F.coalesce(fold(col(id_col), folds) == held_out, F.lit(False)).alias("held_out")

@@ -7,8 +7,14 @@ one document add nothing) and takes the discounted rest from the counts of both
     p_c(next | so far) = (max(n_c - D, 0) + D * kinds_c * p(next | so far)) / n_c(so far)
 
 A rare or new form of a known expression is so judged by the part that is known; a step that neither class has seen
-says nothing, as its shared backoff is the same for both.  Steps are hashed to ``SLOTS`` slots a level, so the model
-has a fixed size however large the corpus is, and Spark adds up its counts over all labelled training documents.
+says nothing, as its shared backoff is the same for both.  A step is known by its bytes, or for words of more than 8
+bytes by these and a 64-bit hash, so no two spellings share a count.  Counts and words grow with the corpus:
+
+1. A batch of texts is split once.  It is written as, per document, the places of its words in the batch's list with
+   their frequencies; as that list, dealt by the words' first bytes into packed buckets; and as its counts of steps.
+2. Spark adds up the counts of the steps of at most 8 bytes and the differences along each spelling.
+3. A bucket holds the words of its share from all batches, adds up their counts and continues the differences; every
+   batch gets the figures of its words back.  A word comes at most once from a batch, so no bucket is hot.
 
 Scores.  A document's figures are the length-normalised log-likelihood difference (toxic - ordinary) of its words,
 and the length-normalised parts of it beyond ``CLEAR`` thresholds, after five bytes and after whole words.  A
@@ -22,15 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col, written
-from monthwise.llm.labels import held_out_column, labelled_ids, with_labels
-from monthwise.llm.words import U, pieces, prefix_hashes
+from monthwise.llm.common import col, partitions, text_bytes, written
+from monthwise.llm.labels import held_out_column, labelled_ids, with_label
+from monthwise.llm.words import mix, pieces, plain_words
 
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
 PREFIXES = (3, 4, 5, 6, 8)
 EARLY = 3
 LEVELS = len(PREFIXES) + 1
@@ -38,50 +44,162 @@ DISCOUNT = 0.75
 FANOUT = 64
 CALIBRATION = 4096
 CLEAR = (1.0, 2.0, 3.0)
+BATCH_BYTES = 24 << 20
+BUCKET_BYTES = 32 << 20
+
+
+BATCH = ("batch long, level int, bucket int, ids array<long>, counts binary, sizes binary, places binary, "
+         "times binary, heads binary, tails binary, t binary, o binary")
+ARROW = pa.schema([("batch", pa.int64()), ("level", pa.int32()), ("bucket", pa.int32()),
+                   ("ids", pa.list_(pa.int64())), *((c, pa.binary()) for c in (
+                       "counts", "sizes", "places", "times", "heads", "tails", "t", "o"))])
+
+
+def _pack(values: np.ndarray, dtype=np.uint32) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(values.astype(dtype).tobytes())
+
+
+def _unpack(raw: bytes, dtype=np.uint32) -> np.ndarray:
+    found = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=dtype)
+    return found.astype(np.int64) if dtype == np.uint32 else found
+
+
+def _ascending(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
 
 
-def _nodes(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Plain words per text and, per level, the slot of every word's step."""
-    counts, hashes = prefix_hashes(texts, PREFIXES)
-    return counts, (hashes >> U(64 - SLOT_BITS)).astype(np.int64)
+def _distances(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=values.dtype.type(0)), np.uint64)
+
+
+def _split(buckets: int):
+    """Batches of (id, text, y) as rows of ``BATCH``: the documents (no level), the words by bucket (the last level)
+    and the steps of each level before.  Heads, and the places of a document, ascend and are written as distances."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seq = 0
+        for batch in batches:
+            for part in pieces(batch, "text", BATCH_BYTES, 20_000):
+                found = [plain_words(p["text"].to_pylist()) for p in pieces(part, "text")]
+                counts, heads, tails = (np.concatenate(x) for x in zip(*found))
+                y = part["y"].fill_null(-1).to_numpy()
+                order = np.lexsort((tails, heads, mix(heads) % np.uint64(buckets)))
+                heads, tails = heads[order], tails[order]
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = (heads[1:] != heads[:-1]) | (tails[1:] != tails[:-1])
+                place = np.empty(len(order), dtype=np.int64)
+                place[order] = np.cumsum(new) - 1
+                heads, tails = heads[new], tails[new]
+                del order, new
+                size = max(len(heads), 1)
+                pairs, times = np.unique(np.repeat(np.arange(part.num_rows), counts) * size + place,
+                                         return_counts=True)
+                doc, place = np.divmod(pairs, size)
+                distance = np.diff(place, prepend=0)
+                start = np.diff(doc, prepend=-1) > 0
+                distance[start] = place[start]
+                number = TaskContext.get().partitionId() << 32 | seq
+                seq += 1
+                rows = [{"batch": number, "ids": part["id"].to_pylist(), "counts": _pack(counts),
+                         "sizes": _pack(np.bincount(doc, minlength=part.num_rows)), "places": _pack(distance),
+                         "times": _pack(times)}]
+                used = y[doc] >= 0
+                doc, place = doc[used], place[used]
+
+                def seen(step: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+                    """Toxic and ordinary documents with each of ``n`` steps, from the step of every word."""
+                    both = np.unique(doc * max(n, 1) + step[place])  # noqa: B023
+                    at, of = both % max(n, 1), y[both // max(n, 1)]  # noqa: B023
+                    return np.bincount(at[of == 1], minlength=n), np.bincount(at[of == 0], minlength=n)
+
+                for level, n in enumerate(PREFIXES):
+                    steps, step = np.unique(heads & np.uint64((1 << 8 * n) - 1), return_inverse=True)
+                    t, o = seen(step, len(steps))
+                    rows.append({"batch": number, "level": level, "heads": _distances(steps), "t": _pack(t),
+                                 "o": _pack(o)})
+                t, o = seen(np.arange(len(heads)), len(heads))
+                edges = np.searchsorted(mix(heads) % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
+                for bucket in np.flatnonzero(np.diff(edges)).tolist():
+                    own = slice(edges[bucket], edges[bucket + 1])
+                    rows.append({"batch": number, "level": LEVELS - 1, "bucket": bucket, "heads": _distances(heads[own]),
+                                 "tails": _pack(tails[own], np.uint64), "t": _pack(t[own]), "o": _pack(o[own])})
+                yield pa.RecordBatch.from_pylist(rows, ARROW)
+    return run
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per level, step and step before: documents of the batch with it, toxic and ordinary."""
+    """A row per step of a batch: labelled documents with it, toxic and ordinary."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        counts, nodes = _nodes(batch["text"].to_pylist())
-        y = batch["y"].to_numpy()
-        doc = np.repeat(np.arange(batch.num_rows, dtype=np.int64), counts)
-        for level in range(LEVELS):
-            before = nodes[level - 1] if level else np.zeros_like(nodes[0])
-            steps, step = np.unique(before << SLOT_BITS | nodes[level], return_inverse=True)
-            seen = np.unique(doc * max(len(steps), 1) + step)
-            toxic = y[seen // max(len(steps), 1)].astype(np.int64)
-            at = seen % max(len(steps), 1)
-            t = np.bincount(at, weights=toxic, minlength=len(steps)).astype(np.int64)
-            o = np.bincount(at, minlength=len(steps)) - t
+        for row in batch.to_pylist():
+            heads = _ascending(row["heads"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(steps), level, dtype=np.int32)),
-                 pa.array((steps >> SLOT_BITS).astype(np.int32)), pa.array((steps & (SLOTS - 1)).astype(np.int32)),
-                 pa.array(t), pa.array(o)], ["level", "before", "step", "t", "o"])
+                [pa.array(np.full(len(heads), row["level"], dtype=np.int32)), pa.array(heads.view(np.int64)),
+                 pa.array(_unpack(row["t"])), pa.array(_unpack(row["o"]))], ["level", "head", "t", "o"])
+
 
+def _dealt(buckets: int):
+    """Rows of (head, early, whole) with the bucket of their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = (mix(batch["head"].to_numpy().view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["of", *batch.schema.names])
+    return run
+
+
+def _bucket(key: tuple, packed: pa.Table, before: pa.Table) -> pa.Table:
+    """Per batch and bucket: the differences of its words, summed along the spelling, early and whole."""
+    rows = packed.select(["heads", "tails", "t", "o"]).to_pylist()
+    if not rows:
+        return pa.table({c: pa.array([], t) for c, t in (("batch", pa.int64()), ("bucket", pa.int32()),
+                                                         ("early", pa.binary()), ("whole", pa.binary()))})
+    parts = [_ascending(r["heads"]) for r in rows]
+    heads, tails = np.concatenate(parts), np.concatenate([_unpack(r["tails"], np.uint64) for r in rows])
+    order = np.lexsort((tails, heads))
+    heads, tails = heads[order], tails[order]
+    new = np.ones(len(heads), dtype=bool)
+    new[1:] = (heads[1:] != heads[:-1]) | (tails[1:] != tails[:-1])
+    word = np.cumsum(new) - 1
+    t, o = (np.bincount(word, weights=np.concatenate([_unpack(r[c]) for r in rows])[order]) for c in "to")
+    of, head = np.unique(heads[new], return_inverse=True)
+    add = lambda x: np.bincount(head, weights=x)[head]
+    all_t, all_o = add(t), add(o)
+    both = np.maximum(all_t + all_o, 1)
+    shared = (np.maximum(t + o - DISCOUNT, 0) + DISCOUNT * add(t + o > 0) / FANOUT) / both
+    logs = []
+    for n, total in ((t, all_t), (o, all_o)):
+        p = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * add(n > 0) * shared) / np.maximum(total, 1)
+        logs.append(np.log(np.where(t + o > 0, np.where(total > 0, p, shared), 1)))
+    known = before["head"].to_numpy().view(np.uint64)
+    sort = np.argsort(known)
+    at = sort[np.searchsorted(known, of, sorter=sort)][head]
+    early = before["early"].to_numpy()[at]
+    whole = before["whole"].to_numpy()[at] + logs[0] - logs[1]
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = word
+    ends = np.cumsum([len(p) for p in parts])
+    out = {c: pa.array([_pack(x[back[e - len(p):e]], np.float32) for p, e in zip(parts, ends)], pa.binary())
+           for c, x in (("early", early), ("whole", whole))}
+    return pa.table({"batch": packed["batch"], "bucket": packed["bucket"], **out})
 
-def _figures(table: np.ndarray, texts: list) -> np.ndarray:
+
+def _figured(key: tuple, packed: pa.Table, found: pa.Table) -> pa.Table:
     """Per document: 1, mean difference, and per stage and threshold the mean beyond it (log of 1 + 100 times)."""
-    counts, nodes = _nodes(texts)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    n = np.maximum(counts, 1)
-    mean = lambda x: np.bincount(doc, weights=x, minlength=len(texts)) / n
-    early, whole = np.zeros(len(doc)), np.zeros(len(doc))
-    for level in range(LEVELS):
-        whole += table[level][nodes[level]]
-        if level + 1 == EARLY:
-            early = whole.copy()
-    out = [np.ones(len(texts)), mean(whole)]
-    out += [np.log1p(100 * mean(np.maximum(x - c, 0))) for x in (early, whole) for c in CLEAR]
-    return np.stack(out, axis=1)
+    found = found.sort_by("bucket")
+    early, whole = (np.concatenate([np.empty(0), *(_unpack(v, np.float32) for v in found[c].to_pylist())])
+                    for c in ("early", "whole"))
+    out = []
+    for row in packed.to_pylist():
+        sizes, times, counts = (_unpack(row[c]) for c in ("sizes", "times", "counts"))
+        total = np.concatenate(([0], np.cumsum(_unpack(row["places"]))))
+        starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        at = total[1:] - np.repeat(total[starts], sizes)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        mean = lambda v: (np.bincount(doc, weights=v[at] * times, minlength=len(counts))
+                          / np.maximum(counts, 1))
+        x = [np.ones(len(counts)), mean(whole)]
+        x += [np.log1p(100 * mean(np.maximum(v - c, 0))) for v in (early, whole) for c in CLEAR]
+        out.append(pa.table({"id": pa.array(row["ids"], pa.int64()),
+                             "x": pa.array(np.stack(x, axis=1).tolist(), pa.list_(pa.float64()))}))
+    return pa.concat_tables(out)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 100) -> np.ndarray:
@@ -99,53 +217,46 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int =
     return w
 
 
-def _scored(shared, with_y: bool):
-    """Figures of labelled documents (``with_y``), else scores."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, weights = shared.value
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                x = _figures(table, part["text"].to_pylist())
-                if with_y:
-                    yield pa.RecordBatch.from_arrays([part["y"], pa.array(x.tolist(), pa.list_(pa.float64()))],
-                                                     ["y", "x"])
-                else:
-                    score = 1 / (1 + np.exp(-np.clip(x @ weights, -50, 50)))
-                    yield pa.RecordBatch.from_arrays([part["id"], pa.array(score)], ["id", "score"])
-    return run
-
-
-def step_differences(labelled: DataFrame) -> DataFrame:
-    """(level, step, d): log-likelihood difference of each step given the one before, from (text, y) rows."""
-    counts = (labelled.select("text", "y").mapInArrow(_counted, "level int, before int, step int, t long, o long")
-              .groupBy("level", "step").agg(F.min("before").alias("before"), F.sum("t").alias("t"),
-                                            F.sum("o").alias("o")))
+def step_differences(batches: DataFrame) -> DataFrame:
+    """(head, early, whole): of all words' first 8 bytes the log-likelihood differences of their steps, each given the
+    one before, summed over the steps before ``EARLY`` and over all."""
+    counts = (batches.where(f"level < {LEVELS - 1}").select("level", "heads", "t", "o")
+              .mapInArrow(_counted, "level int, head long, t long, o long")
+              .groupBy("level", "head").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
     counts = written(counts, "counts")
-    totals = counts.groupBy("level", "before").agg(
-        F.sum("t").alias("all_t"), F.sum("o").alias("all_o"), F.count("*").alias("kinds"),
-        F.sum((F.col("t") > 0).cast("int")).alias("kinds_t"), F.sum((F.col("o") > 0).cast("int")).alias("kinds_o"))
-    shared = f"(greatest(t + o - {DISCOUNT}, 0) + {DISCOUNT} * kinds / {FANOUT}) / (all_t + all_o)"
-    p = lambda c: (f"IF(all_{c} > 0, (greatest({c} - {DISCOUNT}, 0) + {DISCOUNT} * kinds_{c} * shared) / all_{c}, "
+    shared = f"(greatest(t + o - {DISCOUNT}D, 0) + {DISCOUNT}D * kinds / {FANOUT}) / greatest(all_t + all_o, 1)"
+    p = lambda c: (f"IF(all_{c} > 0, (greatest({c} - {DISCOUNT}D, 0) + {DISCOUNT}D * kinds_{c} * shared) / all_{c}, "
                    "shared)")
-    return (counts.join(totals, ["level", "before"]).withColumn("shared", F.expr(f"CAST({shared} AS DOUBLE)"))
-            .select("level", "step", F.expr(f"CAST(ln({p('t')}) - ln({p('o')}) AS FLOAT)").alias("d")))
+    sums = None
+    for level in range(LEVELS - 1):
+        before = F.col("head").bitwiseAND(F.lit((1 << 8 * PREFIXES[level - 1]) - 1 if level else 0).cast("long"))
+        own = counts.where(F.col("level") == level).select(before.alias("before"), "head", "t", "o")
+        totals = own.groupBy("before").agg(
+            F.sum("t").alias("all_t"), F.sum("o").alias("all_o"), F.expr("count_if(t + o > 0)").alias("kinds"),
+            F.expr("count_if(t > 0)").alias("kinds_t"), F.expr("count_if(o > 0)").alias("kinds_o"))
+        if level:
+            totals = totals.join(sums, F.expr("before = of")).drop("of")
+        else:  # one row
+            totals = F.broadcast(totals.withColumn("early", F.lit(0.0)).withColumn("whole", F.lit(0.0)))
+        d = F.expr(f"IF(t + o > 0, ln({p('t')}) - ln({p('o')}), 0D)")
+        sums = own.join(totals, "before").withColumn("shared", F.expr(f"CAST({shared} AS DOUBLE)")).select(
+            F.col("head").alias("of"), (F.col("early") + d if level < EARLY else F.col("early")).alias("early"),
+            (F.col("whole") + d).alias("whole"))
+    return sums.withColumnRenamed("of", "head")
 
 
-def fit(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The table of differences (level by slot) and the logistic weights, from (id, text) and (id, y)."""
+def figures(docs: DataFrame) -> DataFrame:
+    """(id, x): the figures of every document of (id, text, y); those with a y are counted."""
     spark = docs.sparkSession
-    kept_out = (ids.where(F.pmod(F.xxhash64("id"), F.lit(5)) == 0).orderBy(F.xxhash64("id", F.lit(1)), "id")
-                .limit(CALIBRATION))
-    kept_out = written(kept_out, "calibration")
-    steps = written(step_differences(with_labels(docs, ids.join(F.broadcast(kept_out), "id", "left_anti"))), "steps")
-    table = np.zeros((LEVELS, SLOTS), dtype=np.float32)
-    for level in range(LEVELS):  # at most SLOTS rows each
-        own = steps.where(F.col("level") == level).select("step", "d").toArrow()
-        table[level, own["step"].to_numpy()] = own["d"].to_numpy()
-    rows = (with_labels(docs, kept_out).select("text", "y")
-            .mapInArrow(_scored(spark.sparkContext.broadcast((table, None)), True), "y int, x array<double>").toArrow())
-    x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(rows.num_rows, 2 + 2 * len(CLEAR))
-    return table, fit_logistic(x, rows["y"].to_numpy().astype(np.float64))
+    buckets = max(partitions(spark), text_bytes(docs, "text") // BUCKET_BYTES)
+    batches = written(docs.select("id", "text", "y").mapInArrow(_split(buckets), BATCH), "words")
+    sums = written(step_differences(batches), "sums")
+    found = (batches.where(f"level = {LEVELS - 1}").select("batch", "bucket", "heads", "tails", "t", "o")
+             .groupBy("bucket").cogroup(sums.mapInArrow(_dealt(buckets), "of int, head long, early double, whole double")
+                                        .groupBy("of"))
+             .applyInArrow(_bucket, "batch long, bucket int, early binary, whole binary"))
+    return (batches.where("level IS NULL").select("batch", "ids", "counts", "sizes", "places", "times").groupBy("batch")
+            .cogroup(found.groupBy("batch")).applyInArrow(_figured, "id long, x array<double>"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -158,9 +269,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     and not held out; repeated rows are scored each.  An empty table gives an empty result.  Other columns are
     dropped, so extra names can't clash.
     """
+    ids = labelled_ids(labels, id_col, label_col, folds, held_out)
+    kept_out = (ids.where(F.pmod(F.xxhash64("id"), F.lit(5)) == 0).orderBy(F.xxhash64("id", F.lit(1)), "id")
+                .limit(CALIBRATION))
+    kept_out = written(kept_out, "calibration")
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
-    model = fit(rows, labelled_ids(labels, id_col, label_col, folds, held_out))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # LEVELS * SLOTS numbers
-    return rows.mapInArrow(_scored(shared, False), "id long, score double").select(
+    found = figures(with_label(rows, ids.join(F.broadcast(kept_out), "id", "left_anti")))
+    found = written(found, "figures")
+    known = found.join(F.broadcast(kept_out), "id").select("y", "x").toArrow()
+    x = np.array(known["x"].to_pylist(), dtype=np.float64).reshape(known.num_rows, 2 + 2 * len(CLEAR))
+    weights = fit_logistic(x, known["y"].to_numpy().astype(np.float64))
+    z = sum((F.col("x")[i] * float(w) for i, w in enumerate(weights)), F.lit(0.0))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), z))))
+    return found.select("id", score.alias("score")).select(
         F.col("id").alias(id_col), held_out_column("id", folds, held_out), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

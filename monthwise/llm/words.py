@@ -159,8 +159,9 @@ def shingle_sets(texts: list, k: int, lower: bool = True) -> tuple[np.ndarray, n
 PLAIN = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def prefix_hashes(texts: list, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Plain words per text, and a row per size (and one for whole words): hashes of the words' first bytes."""
+def plain_words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Plain words per text; of every word its first 8 bytes (as a number, the first byte lowest) and, if it is longer,
+    its hash, else 0."""
     counts, parts = np.zeros(len(texts), dtype=np.int64), []
     for i, text in enumerate(texts):
         words = text.encode().translate(PLAIN).split() if text else []
@@ -169,8 +170,12 @@ def prefix_hashes(texts: list, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.n
             parts.append(b" ".join(words))
     buf = b" ".join(parts)
     if not buf:
-        return counts, np.empty((len(sizes) + 1, 0), dtype=U)
+        return counts, np.empty(0, dtype=U), np.empty(0, dtype=U)
     total, starts, ends = _sums(buf)
     _, down = powers(int(BYTE_BASE), len(buf) + 1)
-    cuts = [np.minimum(starts + n, ends) for n in sizes] + [ends]
-    return counts, np.stack([mix((total[e] - total[starts]) * down[starts]) for e in cuts])
+    b = np.frombuffer(buf + bytes(8), dtype=np.uint8)
+    heads = np.zeros(len(starts), dtype=U)
+    for j in range(8):
+        heads |= np.where(starts + j < ends, b[starts + j], 0).astype(U) << U(8 * j)
+    tails = mix((total[ends] - total[starts]) * down[starts]) | U(1)
+    return counts, heads, np.where(ends - starts > 8, tails, U(0))

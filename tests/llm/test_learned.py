@@ -1,7 +1,9 @@
 """Trained operators: held-out accuracy, defined results for odd rows; the pipeline against brute force."""
 
+import math
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ import corpus_pipeline as P
 from monthwise.llm import queries as Q
 from monthwise.llm.licences import TEMPLATES, scan_licences
 from monthwise.llm.quality import GatedAttention, encode, score_quality
-from monthwise.llm.toxicity import score_toxicity
+from monthwise.llm.toxicity import figures, score_toxicity
 
 from .conftest import MEDIUM, SMALL, auc
 from .test_exact import plain_contamination, plain_dedup, plain_groups
@@ -147,3 +149,46 @@ def test_pipeline_odd_rows(spark, odd_documents):
             assert got.count() <= df.count()
     kept = P.near_dedup(spark, odd, SMALL).select("doc_id", "text").collect()
     assert sum(r.doc_id == 8 for r in kept) == 2 and sum(r.doc_id is None for r in kept) == 2
+
+
+# --- whole results where they were cut -------------------------------------------------------------------------------
+
+def plain_differences(rows):
+    """Per level and step (its bytes) the log-likelihood difference, from (text, y) rows of plain words."""
+    sizes = (3, 4, 5, 6, 8, None)
+    n = Counter()
+    for text, y in rows:
+        paths = {tuple(w.encode()[:s] for s in sizes) for w in text.split()}
+        n.update({(level, y, p[level - 1] if level else b"", p[level]) for p in paths for level in range(6)})
+    steps = {(level, before, step) for level, _, before, step in n}
+    under = defaultdict(list)
+    for level, before, step in steps:
+        under[level, before].append((n[level, 1, before, step], n[level, 0, before, step]))
+    out = {}
+    for level, before, step in steps:
+        found = under[level, before]
+        t, o = n[level, 1, before, step], n[level, 0, before, step]
+        shared = (max(t + o - 0.75, 0) + 0.75 * len(found) / 64) / sum(map(sum, found))
+        p = []
+        for c, own in enumerate((t, o)):
+            total, kinds = sum(f[c] for f in found), sum(f[c] > 0 for f in found)
+            p.append((max(own - 0.75, 0) + 0.75 * kinds * shared) / total if total else shared)
+        out[level, step] = math.log(p[0]) - math.log(p[1])
+    return out
+
+
+def test_toxicity_spellings_share_no_count(spark):
+    """Of 6000 spellings some would share one of 2^20 slots; each has its own counts and totals."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789é"
+    vocabulary = ["".join(rng.choices(letters, k=rng.randrange(1, 14))) for _ in range(6000)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=60)), (0, 1, None)[i % 3]) for i in range(300)]
+    want = plain_differences([(t, y) for _, t, y in rows if y is not None])
+    x = {r.id: r.x for r in figures(spark.createDataFrame(rows, "id long, text string, y int")).collect()}
+    for i, text, _ in rows:
+        paths = [[w.encode()[:s] for s in (3, 4, 5, 6, 8, None)] for w in text.split()]
+        early, whole = (np.array([sum(want.get((level, p[level]), 0) for level in range(n)) for p in paths])
+                        for n in (3, 6))
+        plain = [1, whole.mean()] + [math.log1p(100 * np.maximum(v - c, 0).mean()) for v in (early, whole)
+                                     for c in (1, 2, 3)]
+        assert np.allclose(x[i], plain, atol=1e-4), i
