@@ -7,6 +7,11 @@ temperature on parts kept aside.  A paragraph (line) of a document can only be o
 feature: all paragraphs are scanned for two-word features in generated code against the broadcast weights, and only
 hits go on.  A family found is confirmed if the paragraph holds ``CONFIRM`` of the three-word sequences of one of the
 family's lines.
+
+Notices are often wrapped.  Each line is scanned together with the next two words of the lines after it (comment marks
+and blank lines are no words; up to ``GAP`` such characters may lie between).  Where a three-word feature runs over a
+line's end, the line and the next one with words belong together, and the whole run of lines is judged as one paragraph
+too.
 """
 
 from __future__ import annotations
@@ -15,16 +20,18 @@ import math
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import col
-from monthwise.llm.decontamination import words
+from monthwise.llm.common import col, written
+from monthwise.llm.decontamination import BETWEEN_ANY_CASE, words
 
 UNKNOWN = "unknown"
 SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 256, 2000
 CONFIRM = 0.6
 ACCEPT = 0.5
+GAP = 200
+NEXT_WORDS = (rf"\n+(?=((?:{BETWEEN_ANY_CASE[:-1]}{{0,{GAP}}}+[^{BETWEEN_ANY_CASE[1:-2]}]++){{0,2}}+))")
 
 # Notices by which public licences are named or begun.
 TEMPLATES = {
@@ -152,11 +159,14 @@ def temperature(rows: list[tuple[list[float], int]]) -> float:
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT,
                   confirm: float = CONFIRM) -> DataFrame:
-    """Licence families named in the paragraphs (lines) of every document.
+    """Licence families named in the paragraphs (lines, and runs of lines over which a notice is wrapped) of every
+    document.
 
     Returns per input row: the id, ``n_findings``, ``families`` (sorted, distinct, of accepted findings that a
     template confirms), ``findings``: array of (paragraph from 0, family, probability, similarity, confirmed) in
-    order; a finding is a paragraph whose likeliest class is a family with at least ``accept`` probability.
+    order; a finding is a paragraph whose likeliest class is a family with at least ``accept`` probability.  A run of
+    lines has the number of its first line; it takes the place of its lines' findings, but for those that confirm
+    another family.
 
     Null and empty texts, and texts without licence words, have no findings.  Ties go to the family named first.
     Null ids and repeated rows get the figures of their own text.  An empty table gives an empty result.  Other
@@ -178,18 +188,38 @@ def _scan(spark: SparkSession, docs: DataFrame, model: dict, id_col: str, text_c
     lines = lines.select("line", "of", F.size("g").alias("size"), F.explode("g").alias("gram"))
     # Both tables are as large as the templates, whatever is scanned.
     two = F.broadcast(weights.where("n = 2"))
+    # A line ends with \x02; after its words follow \x01 and the next two words, line ends between them included.
+    marked = F.regexp_replace(F.translate(col(text_col), "\x01\x02", "  "), NEXT_WORDS, "\x01$1\x02")
     paragraphs = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("h"),
-                             F.posexplode(F.split(col(text_col), "\n+")).alias("paragraph", "line"))
-    at = (paragraphs.select("id", "h", "paragraph", words(F.col("line")).alias("w"))
-          .select("id", "h", "paragraph", "w", F.posexplode("w").alias("p", "first")).where("p + 2 <= size(w)")
+                             F.posexplode(F.split(F.concat(marked, F.lit("\x01")), "\x02")).alias("paragraph", "line"))
+    after = F.substring_index("line", "\x01", -1)
+    lines_on = F.size(F.split(F.regexp_extract(after, f"^{BETWEEN_ANY_CASE}", 0), "\n+"))
+    at = (paragraphs.select("id", "h", "paragraph", words(F.col("line")).alias("w"),
+                            F.size(words(after)).alias("after"), (F.col("paragraph") + lines_on).alias("next"))
+          .select("id", "h", "paragraph", "w", "next", (F.size("w") - F.col("after")).alias("own"),
+                  F.posexplode("w").alias("p", "first")).where("p < own AND p + 2 <= size(w)")
           .withColumn("key2", F.expr("xxhash64(slice(w, p + 1, 2))")))
     pairs = at.join(two, F.expr("key2 = key AND slice(w, p + 1, 2) = seq")).select(
-        "id", "h", "paragraph", F.slice("w", F.col("p") + 1, 3).alias("three"), "seq", "weights")
-    threes = (pairs.where("size(three) = 3").select("id", "h", "paragraph", F.col("three").alias("t"))
-              .join(F.broadcast(weights.where("n = 3")), F.expr("t = seq"))
-              .select("id", "h", "paragraph", "seq", "weights"))
-    hits = (pairs.select("id", "h", "paragraph", "seq", "weights").unionByName(threes)
-            .groupBy("id", "h", "paragraph").agg(F.collect_set(F.struct("seq", "weights")).alias("hits")))
+        "id", "h", "paragraph", F.slice("w", F.col("p") + 1, 3).alias("three"), "seq", "weights",
+        F.expr("p + 2 > own").alias("over2"), F.expr("p + 3 > own").alias("over"), "next")
+    three = F.broadcast(weights.where("n = 3").select(F.col("seq").alias("seq3"), F.col("weights").alias("weights3")))
+    two_words, three_words = F.struct("seq", "weights"), F.struct(F.col("seq3").alias("seq"),
+                                                                  F.col("weights3").alias("weights"))
+    found = lambda feature, where: F.collect_set(F.when(F.expr(where), feature))
+    by_line = (pairs.join(three, F.expr("three = seq3"), "left").groupBy("id", "h", "paragraph").agg(
+                   F.concat(found(two_words, "NOT over2"), found(three_words, "NOT over AND seq3 IS NOT NULL")).alias("hits"),
+                   F.concat(found(two_words, "over2"), found(three_words, "over AND seq3 IS NOT NULL")).alias("over"),
+                   F.max(F.expr("IF(over AND seq3 IS NOT NULL, next, NULL)")).alias("next")))
+    by_line = written(by_line, "hits")  # texts are scanned once
+    in_doc = Window.partitionBy("id", "h").orderBy("paragraph")
+    by_line = (by_line.withColumn("joined", F.lag("next").over(in_doc).eqNullSafe(F.col("paragraph")))
+               .withColumn("run", F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(in_doc)))
+    runs = (by_line.groupBy("id", "h", "run").agg(
+                F.min("paragraph").alias("paragraph"), F.max("next").alias("next"),
+                F.array_distinct(F.flatten(F.collect_list(F.concat("hits", "over")))).alias("hits"))
+            .where("next IS NOT NULL").select("id", "h", "run", "paragraph", "hits", F.lit(True).alias("wide")))
+    hits = by_line.where("size(hits) > 0").select("id", "h", "run", "paragraph", "hits", F.lit(False).alias("wide"))
+    hits = hits.unionByName(runs)
     intercepts = F.array(*[F.lit(x) for x in model["intercepts"]])
     logits = F.aggregate("hits", intercepts, lambda a, x: F.zip_with(a, x["weights"], lambda p, q: p + q))
     scaled = F.transform(logits, lambda x: x / F.lit(model["temperature"]))
@@ -199,15 +229,21 @@ def _scan(spark: SparkSession, docs: DataFrame, model: dict, id_col: str, text_c
     scored = (scored.withColumn("probability", 1 / total)
               .withColumn("family", F.element_at(names, F.array_position("z", F.col("top")).cast("int")))
               .where((F.col("family") != UNKNOWN) & (F.col("probability") >= accept)))
-    compared = (scored.select("id", "h", "paragraph", "family", "probability",
+    compared = (scored.select("id", "h", "paragraph", "wide", "family", "probability",
                               F.explode(F.filter("hits", lambda x: F.size(x["seq"]) == 3)["seq"]).alias("s"))
                 .withColumn("gram", F.array_join("s", " ")).join(F.broadcast(lines), "gram")
-                .where("of = family").groupBy("id", "h", "paragraph", "line")
+                .where("of = family").groupBy("id", "h", "paragraph", "wide", "line")
                 .agg((F.count_distinct("gram") / F.first("size")).alias("share"))
-                .groupBy("id", "h", "paragraph").agg(F.max("share").alias("share")))
+                .groupBy("id", "h", "paragraph", "wide").agg(F.max("share").alias("share")))
     scored = scored.alias("s").join(compared.alias("c"), F.expr(
-        "s.id <=> c.id AND s.h = c.h AND s.paragraph = c.paragraph"), "left").select(
-        "s.id", "s.h", "s.paragraph", "family", "probability", F.coalesce("share", F.lit(0.0)).alias("similarity"))
+        "s.id <=> c.id AND s.h = c.h AND s.paragraph = c.paragraph AND s.wide = c.wide"), "left").select(
+        "s.id", "s.h", "s.run", "s.paragraph", "s.wide", "family", "probability",
+        F.coalesce("share", F.lit(0.0)).alias("similarity"))
+    # A line of a run whose family is found says no more, unless it confirms another family.
+    of_run = F.max(F.when(F.col("wide"), F.col("family"))).over(Window.partitionBy("id", "h", "run"))
+    scored = scored.withColumn("of_run", of_run).where(
+        F.col("wide") | F.col("of_run").isNull()
+        | ((F.col("of_run") != F.col("family")) & (F.col("similarity") >= confirm)))
     finding = F.struct("paragraph", "family", "probability", "similarity",
                        (F.col("similarity") >= confirm).alias("confirmed"))
     per_doc = scored.groupBy(F.col("id").alias("fid"), F.col("h").alias("fh")).agg(

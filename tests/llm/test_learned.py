@@ -1,7 +1,9 @@
 """Trained operators: held-out accuracy, defined results for odd rows; the pipeline against brute force."""
 
+import itertools
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -192,3 +194,30 @@ def test_toxicity_spellings_share_no_count(spark):
         plain = [1, whole.mean()] + [math.log1p(100 * np.maximum(v - c, 0).mean()) for v in (early, whole)
                                      for c in (1, 2, 3)]
         assert np.allclose(x[i], plain, atol=1e-4), i
+
+
+def test_licences_wrapped(spark):
+    """Notices wrapped as source files carry them, with comment marks, count as one finding at their first line."""
+    notices = {
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+               "associated documentation files (the Software), to deal in the Software without restriction",
+        "GPL": TEMPLATES["GPL"][1] + ", either version 3 of the License, or (at your option) any later version.",
+        "LGPL": TEMPLATES["LGPL"][0] + " as published by the Free Software Foundation; either version 2.1 of it",
+        "BSD": TEMPLATES["BSD"][0] + ": redistributions of source code must retain the above copyright notice",
+        "Apache-2.0": TEMPLATES["Apache-2.0"][1],
+    }
+    rows, want = [], {}
+    for family, text in notices.items():
+        for width, mark in itertools.product((40, 75), ("", " * ", "// ", "# ")):
+            lines = [mark + line for line in textwrap.wrap(text, width)]
+            for between in ("\n", f"\n{mark.rstrip()}\n"):
+                want[len(rows)] = family
+                rows.append((len(rows), f"w1 w2 w3\n\n{between.join(lines)}\n\nw4 w5 of the\nw6"))
+    want |= {len(rows): "GPL,MIT"}
+    rows.append((len(rows), "Released under the MIT License. This program is free software: you can\n"
+                 "redistribute it and/or modify it under the terms of the GNU General Public\n"
+                 "License as published by the Free Software Foundation\nReleased under the MIT License."))
+    rows += [(900, "kept in the copies of\nthe general rules\n \n" * 300), (901, "\n \n" * 100_000), (902, "\x01a\x02\nb\n")]
+    got = {r.doc_id: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: ",".join(r.families) for i, r in got.items() if r.families} == want
+    assert all(len(got[i].findings) == 1 and got[i].findings[0].paragraph == 1 for i, f in want.items() if f != "GPL,MIT")
