@@ -95,3 +95,34 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+OP11 = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(w[p + 1:p + k], ' ') FOR p IN range(len(w) - k + 1)]) AS phrase
+  FROM words, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+cuts AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[:c], ' ') AS lp, array_to_string(w[c + 1:], ' ') AS rp
+  FROM candidates, (VALUES (1), (2)) AS s(c) WHERE c < k),
+scores AS (
+  SELECT cuts.*, x.n AS l, y.n AS r,
+         (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.n AS HUGEINT) * y.n) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates t
+  ON t.lang = s.lang AND s.k = 2 AND t.k = 3 AND (t.w[:2] = s.w OR t.w[2:] = s.w) AND 100 * t.a >= 50 * s.a),
+ranked AS (
+  SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN covered USING (lang, phrase))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(totals.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

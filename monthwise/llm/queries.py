@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.llm import oracles
+from monthwise.llm.collocations import collocations
 from monthwise.llm.common import new_folder
 from monthwise.llm.decontamination import contamination
 from monthwise.llm.licences import scan_licences
@@ -80,6 +81,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +105,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc": oracles.OP4,
     "op9_exact_topk": oracles.OP9,
     "op10_minhash_near_dedup": oracles.OP10,
+    "op11_phrase_collocations": oracles.OP11,
 }
