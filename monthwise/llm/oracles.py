@@ -126,3 +126,48 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
        CAST(r AS BIGINT) AS r, CAST(totals.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+OP12 = r"""
+WITH RECURSIVE
+steps AS (
+  SELECT i, 0 AS step, i AS v FROM range(256) AS t(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+  FROM steps WHERE step < 8),
+crc_table AS (SELECT i, v FROM steps WHERE step = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents WHERE text IS NOT NULL)
+  WHERE length(run) >= 6 GROUP BY ALL),
+crcs AS (
+  SELECT doc_id, run, hex(encode(doc_id || ':' || run)) AS hx, 0 AS pos, CAST(4294967295 AS BIGINT) AS crc FROM runs
+  UNION ALL
+  SELECT doc_id, run, hx, pos + 1, xor(crc >> 8, v)
+  FROM crcs JOIN crc_table ON i = xor(crc, CAST('0x' || substr(hx, 2 * pos + 1, 2) AS BIGINT)) & 255
+  WHERE 2 * pos < length(hx)),
+hashed AS (SELECT doc_id, run, xor(crc, 4294967295) AS h FROM crcs WHERE 2 * pos = length(hx)),
+results AS (
+  SELECT c, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM runs JOIN hashed USING (doc_id, run)),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cuts AS (
+  SELECT word, n, p, left(word, p) || substr(word, p + 2) AS d
+  FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+near AS (
+  SELECT cuts.word, words.word AS other, words.n AS other_n FROM cuts JOIN words ON words.word = cuts.d
+  UNION SELECT words.word, cuts.word, cuts.n FROM cuts JOIN words ON words.word = cuts.d
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN cuts b ON a.d = b.d AND a.p = b.p AND a.word <> b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+         CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+reach AS (
+  SELECT word, word AS top, form AS next FROM forms
+  UNION ALL SELECT reach.word, forms.word, forms.form FROM reach JOIN forms ON forms.word = reach.next)
+SELECT forms.word, form, top AS root, n, n_near, form_n FROM forms JOIN reach ON reach.word = forms.word AND next IS NULL
+"""

@@ -15,6 +15,7 @@ from monthwise.llm.licences import scan_licences
 from monthwise.llm.minhash_dedup import near_duplicates
 from monthwise.llm.packing import pack
 from monthwise.llm.quality import score_quality
+from monthwise.llm.spelling_variants import spelling_variants
 from monthwise.llm.substring_dedup import dedup_substrings
 from monthwise.llm.token_counts import token_counts
 from monthwise.llm.topk_products import top_products
@@ -85,6 +86,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), typo_every=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_topk": op9_exact_topk,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -106,4 +112,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_exact_topk": oracles.OP9,
     "op10_minhash_near_dedup": oracles.OP10,
     "op11_phrase_collocations": oracles.OP11,
+    "op12_spelling_variants": oracles.OP12,
 }
