@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthwise.llm.batches import packed, unpacked
 from monthwise.llm.common import col, written
 from monthwise.llm.words import U, mix, pieces
 
@@ -110,29 +110,6 @@ def _parse(modulus: int):
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Dictionary rows as batches of about ``BATCH_BYTES`` of chunks, one row each."""
-    def row(held: list) -> pa.RecordBatch:
-        nonlocal seq
-        table = pa.Table.from_batches(held).combine_chunks()
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(table)
-        number, seq = TaskContext.get().partitionId() << 32 | seq, seq + 1
-        return pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int64()),
-                                           "chunks": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-    seq, held, size = 0, [], 0
-    for batch in batches:
-        for part in pieces(batch, "chunk", BATCH_BYTES // 4, 1 << 20):
-            held.append(part)
-            size += part["chunk"].nbytes
-            if size >= BATCH_BYTES:
-                yield row(held)
-                held, size = [], 0
-    if held:
-        yield row(held)
-
-
 class _Grams:
     """Word codes of one language's chunks in a batch; ``uses`` and the first place to count from, for every word."""
 
@@ -166,7 +143,7 @@ class _Grams:
 
 
 def _by_language(raw: bytes) -> Iterator[tuple[str, int, _Grams]]:
-    table = pa.ipc.open_stream(raw).read_all()
+    table = unpacked(raw)
     for lang in table["lang"].unique().to_pylist():
         own = table.filter(pa.compute.equal(table["lang"], lang))
         yield lang, xxhash.xxh64_intdigest(lang.encode()), _Grams(
@@ -176,7 +153,7 @@ def _by_language(raw: bytes) -> Iterator[tuple[str, int, _Grams]]:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashed two-word counts of every batch; pairs that an earlier chunk counts are named with 0, for triples."""
     for batch in batches:
-        for number, raw in zip(batch["batch"].to_pylist(), batch["chunks"].to_pylist()):
+        for number, raw in zip(batch["batch"].to_pylist(), batch["rows"].to_pylist()):
             for _, salt, grams in _by_language(raw):
                 at = np.flatnonzero(grams.left >= 2)
                 pair = grams.pair_hash(at, salt)
@@ -190,11 +167,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "uses": pa.array(np.add.reduceat(uses, new) if len(new) else uses, pa.int64())})
 
 
-def _phrases(key: tuple, packed: pa.Table, frequent: pa.Table) -> pa.Table:
+def _phrases(key: tuple, chunks: pa.Table, frequent: pa.Table) -> pa.Table:
     """Exact counts of a batch: words, frequent pairs, triples of two frequent pairs; all words as the empty phrase."""
     keep = np.unique(frequent["pair"].to_numpy().view(U))
     out = []
-    for raw in packed["chunks"].to_pylist():
+    for raw in chunks["rows"].to_pylist():
         for lang, salt, grams in _by_language(raw):
             pairs = np.flatnonzero(grams.left >= 2)
             known = np.zeros(len(grams.code) + 1, dtype=bool)
@@ -223,12 +200,12 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                        col(text_col).cast("string").alias("text"))
     dictionary = (rows.mapInArrow(_parse(modulus), "lang string, lead int, chunk string, uses long")
                   .groupBy("lang", "lead", "chunk").agg(F.sum("uses").alias("uses")))
-    packed = written(dictionary.mapInArrow(_packed, "batch long, chunks binary"), "chunks")
+    chunks = packed(dictionary, "chunk", BATCH_BYTES, "chunks")
     # A pair comes once from a batch, so no pair is hot.
     total = F.sum("uses").over(Window.partitionBy("pair"))
-    frequent = (packed.mapInArrow(_pairs, "batch long, pair long, uses long")
+    frequent = (chunks.mapInArrow(_pairs, "batch long, pair long, uses long")
                 .withColumn("total", total).where(F.col("total") >= min_count).select("batch", "pair"))
-    counts = (packed.groupBy("batch").cogroup(frequent.groupBy("batch"))
+    counts = (chunks.groupBy("batch").cogroup(frequent.groupBy("batch"))
               .applyInArrow(_phrases, "lang string, n_words int, phrase string, uses long")
               .groupBy("lang", "n_words", "phrase").agg(F.sum("uses").alias("n")))
     return counts.where((F.col("n") >= min_count) | (F.col("n_words") == 0))

@@ -171,3 +171,26 @@ reach AS (
   UNION ALL SELECT reach.word, forms.word, forms.form FROM reach JOIN forms ON forms.word = reach.next)
 SELECT forms.word, form, top AS root, n, n_near, form_n FROM forms JOIN reach ON reach.word = forms.word AND next IS NULL
 """
+
+OP13 = r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (
+  SELECT doc_id, unnest(regexp_extract_all(h, '..')) AS b, unnest(range(length(h) // 2)) AS p FROM texts),
+windows AS (
+  SELECT doc_id, p, string_agg(b, '') OVER w AS s, count(*) OVER w AS n
+  FROM bytes WINDOW w AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+firsts AS (
+  SELECT s, min(doc_id) AS first_id FROM windows WHERE n = 50 GROUP BY s HAVING min(doc_id) < max(doc_id)),
+repeats AS (SELECT doc_id, p FROM windows JOIN firsts USING (s) WHERE n = 50 AND doc_id > first_id),
+flags AS (
+  SELECT doc_id, p, b, count(r.p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM bytes LEFT JOIN repeats r USING (doc_id, p)),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS new FROM flags),
+cut AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE new) AS n_spans,
+         string_agg(b, '' ORDER BY p) FILTER (WHERE NOT gone) AS kept
+  FROM edges GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_bytes, 0) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""

@@ -15,6 +15,7 @@ from monthwise.llm.licences import scan_licences
 from monthwise.llm.minhash_dedup import near_duplicates
 from monthwise.llm.packing import pack
 from monthwise.llm.quality import score_quality
+from monthwise.llm.repeat_index import dedup_bytes
 from monthwise.llm.spelling_variants import spelling_variants
 from monthwise.llm.substring_dedup import dedup_substrings
 from monthwise.llm.token_counts import token_counts
@@ -90,6 +91,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), typo_every=199)
 
 
+def op13_repeat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_repeat_index": op13_repeat_index,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -113,4 +121,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_minhash_near_dedup": oracles.OP10,
     "op11_phrase_collocations": oracles.OP11,
     "op12_spelling_variants": oracles.OP12,
+    "op13_repeat_index": oracles.OP13,
 }
