@@ -240,9 +240,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     longer = (phrases.where("n_words = 3").selectExpr(
         "lang", "a", "explode(array(substring_index(phrase, ' ', 2), substring_index(phrase, ' ', -2))) AS phrase")
         .groupBy("lang", "phrase").agg(F.max("a").alias("cover")))
-    kept = (scored.join(longer, ["lang", "phrase"], "left")
-            .where(f"n_words = 3 OR cover IS NULL OR 100 * cover < {covered_percent} * a")
-            .select("lang", "phrase", "a", "low.l", "low.r", "low.score"))
+    kept = written(scored.join(longer, ["lang", "phrase"], "left")
+                   .where(f"n_words = 3 OR cover IS NULL OR 100 * cover < {covered_percent} * a")
+                   .selectExpr("lang", "phrase", "a", "low.l", "low.r", "low.score",
+                               "CAST(64 * ln(1 + low.score) AS INT) AS band"), "scored")
+    # Counts of bands of scores (under 900 a language) tell which ones the top can come from; only these are sorted.
+    bands = kept.groupBy("lang", "band").agg(F.count("*").alias("size"))
+    above = F.sum("size").over(Window.partitionBy("lang").orderBy(F.desc("band"))) - F.col("size")
+    needed = bands.withColumn("above", above).where(F.col("above") < top).select("lang", "band")
+    kept = kept.join(needed, ["lang", "band"], "left_semi")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
             .join(totals, "lang")
