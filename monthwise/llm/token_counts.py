@@ -14,7 +14,7 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,12 +61,26 @@ def _places(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total - np.repeat(before, sizes)
 
 
-def _tokenizer(path: str):
+def _specials(tokenizer: str) -> list[str]:
+    """Strings of added tokens, the longest first."""
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    special = sorted({t.content for t in tokenizer.get_added_tokens_decoder().values()}, key=len, reverse=True)
-    tokenizer.encode_special_tokens = True  # pre-tokens are plain text
-    return tokenizer, special
+    return sorted({t.content for t in Tokenizer.from_str(tokenizer).get_added_tokens_decoder().values()},
+                  key=len, reverse=True)
+
+
+def _tokenizer(text: str):
+    """The tokenizer of a ``.json`` text: one for each worker process, which works in its own thread alone."""
+    import os
+
+    import tokenizers
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    # Task code is unpickled for every task, so what a process keeps hangs on a module that stays.
+    kept = tokenizers.__dict__.setdefault("monthwise_kept", {})
+    if text not in kept:
+        kept.clear()
+        kept[text] = tokenizers.Tokenizer.from_str(text)
+        kept[text].encode_special_tokens = True  # pre-tokens are plain text
+    return kept[text]
 
 
 SCHEMA = ("batch long, bucket int, ids array<long>, bytes array<long>, whole array<long>, sizes binary, "
@@ -77,10 +91,9 @@ ARROW = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("ids", pa.lis
                    ("pieces", pa.binary())])
 
 
-def _split(path: str, buckets: int):
+def _split(special: list[str], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(PATTERN).findall
-        _, special = _tokenizer(path)
         cut = regex.compile("|".join(map(regex.escape, special))) if special else None
         seq = 0
         for batch in batches:
@@ -121,22 +134,20 @@ def _split(path: str, buckets: int):
     return run
 
 
-def _count(path: str):
+def _count(text: str):
     def run(key: tuple, lists: pa.Table) -> pa.Table:
-        tokenizer, _ = _tokenizer(path)
-        each = []
-        for lengths, raw in zip(lists["lengths"].to_pylist(), lists["pieces"].to_pylist()):
-            raw = zstandard.ZstdDecompressor().decompress(raw)
-            ends = np.cumsum(_unpack(lengths)).tolist()
-            each.append([raw[i:j] for i, j in zip([0, *ends], ends)])
-        distinct = list(set(chain.from_iterable(each)))
-        known: dict[bytes, int] = {}
-        for begin in range(0, len(distinct), 2_000):
-            some = distinct[begin:begin + 2_000]
-            known.update(zip(some, map(len, tokenizer.encode_batch_fast([p.decode() for p in some],
-                                                                        add_special_tokens=False))))
+        tokenizer, code, each = _tokenizer(text), {}, []
+        for lengths, raw in zip(lists["lengths"], lists["pieces"]):
+            raw = zstandard.ZstdDecompressor().decompress(raw.as_py())
+            ends = np.cumsum(_unpack(lengths.as_py())).tolist()
+            each.append(np.fromiter((code.setdefault(raw[i:j], len(code)) for i, j in zip([0, *ends], ends)),
+                                    np.uint32, len(ends)))
+        known, pieces = np.empty(len(code), dtype=np.uint32), iter(code)
+        for begin in range(0, len(code), 500):
+            some = [p.decode() for p in islice(pieces, 500)]
+            known[begin:begin + len(some)] = [len(x) for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         return pa.table({"batch": lists["batch"], "bucket": lists["bucket"],
-                         "counts": pa.array([_pack([known[p] for p in own]) for own in each], pa.binary())})
+                         "counts": pa.array([_pack(known[own]) for own in each], pa.binary())})
     return run
 
 
@@ -165,11 +176,13 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     columns are dropped, so extra names can't clash; ids are integers.
     """
     spark = docs.sparkSession
+    with open(tokenizer, encoding="utf-8") as file:
+        text = file.read()  # travels with the tasks: executors need not have the file
     buckets = max(partitions(spark), text_bytes(docs, text_col) // BUCKET_BYTES)
     rows = written(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
-                   .mapInArrow(_split(tokenizer, buckets), SCHEMA), "pretokens")
+                   .mapInArrow(_split(_specials(text), buckets), SCHEMA), "pretokens")
     counted = (rows.where("bucket IS NOT NULL").select("batch", "bucket", "lengths", "pieces").groupBy("bucket")
-               .applyInArrow(_count(tokenizer), "batch long, bucket int, counts binary"))
+               .applyInArrow(_count(text), "batch long, bucket int, counts binary"))
     packed = rows.where("bucket IS NULL").select("batch", "ids", "bytes", "whole", "sizes", "places", "times")
     out = (packed.groupBy("batch").cogroup(counted.groupBy("batch"))
            .applyInArrow(_sum, "id long, n_bytes long, n_tokens long"))
