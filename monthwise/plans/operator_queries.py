@@ -23,6 +23,7 @@ from monthwise.operators.pairing import pair_first_last, score_distribution
 from monthwise.operators.periods import reporting_window, resolve_period, slice_period
 from monthwise.operators.publish import publish, read_published
 from monthwise.operators.ranking import first_last_ranks, latest_by_date_then_priority, pick_first, rank_within
+from monthwise.operators.releases import Releases
 from monthwise.operators.rollup import appointment_scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_audit_rows, latest_submission
 from monthwise.plans import assessments, clinical, indicator
@@ -290,6 +291,36 @@ def q_publish_indicator(spark, sf_dir):
     return read_published(spark, path, like=out)
 
 
+def _month_totals(spark, sf_dir) -> DataFrame:
+    om = _order_months(spark, sf_dir).withColumnRenamed("ReportingPeriodStartDate", "Month")
+    return om.groupBy("Month", "o_orderstatus").agg(F.count("*").alias("Orders"), F.countDistinct("o_custkey").alias("Customers"))
+
+
+def q_publish_created_then_appended(spark, sf_dir):
+    """A month table created with all months before the newest, then that month appended, then the first ones again."""
+    totals = _month_totals(spark, sf_dir)
+    newest = resolve_period(_order_months(spark, sf_dir), offset=0).start
+    path = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex[:12]}"
+    older = totals.where(F.col("Month") < F.lit(newest))
+    publish(older, path, "rebuild", by_month=True)
+    publish(totals.where(F.col("Month") == F.lit(newest)), path, "append_month")
+    publish(older.where(F.col("Month") < F.lit(SERIES_FLOOR)), path, "append_month")
+    return read_published(spark, path, like=totals)
+
+
+def q_release_months(spark, sf_dir):
+    """Two tables released together, the months before SERIES_FLOOR first, the others by a later run; then joined."""
+    totals = _month_totals(spark, sf_dir)
+    old = F.col("Month") < F.lit(SERIES_FLOOR)
+    releases = Releases(spark, f"{checkpoint_dir(spark)}/releases-{uuid.uuid4().hex[:12]}")
+    for part in (totals.where(old), totals.where(~old)):
+        run = releases.begin()
+        run.write("Orders", part.select("Month", "o_orderstatus", "Orders"), "append_month")
+        run.write("Customers", part.select("Month", "o_orderstatus", "Customers"), "append_month")
+        run.commit()
+    return releases.read("Orders").join(releases.read("Customers"), ["Month", "o_orderstatus"])
+
+
 def q_duplicate_current_codes(spark, sf_dir):
     """Order customers as a dimension keyed by nation: every nation with several current rows is reported."""
     dim = _read(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").withColumn(
@@ -299,6 +330,8 @@ def q_duplicate_current_codes(spark, sf_dir):
 
 OPERATOR_QUERIES = {
     "publish_indicator": q_publish_indicator,
+    "publish_created_then_appended": q_publish_created_then_appended,
+    "release_months": q_release_months,
     "duplicate_current_codes": q_duplicate_current_codes,
     "reporting_window": q_reporting_window,
     "period_slice_month": q_period_slice_month,

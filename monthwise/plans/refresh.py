@@ -1,5 +1,10 @@
 """A whole monthly refresh: all ten tables from shared stages, then published.
 
+``release_monthly`` shows all ten tables at once, or none (``operators.releases``),
+and can recompute only the touched months of the back series
+(``plans.incremental``).  ``run_monthly`` writes plain folders or catalog tables
+one after the other, for consumers that read those.
+
 Stages used by several tables are built once: the qualifying-contact counts
 (restricted to the pathways the bases need), the status base (T1-T3) and the
 clinical base (T4-T6).  They are persisted with MEMORY_AND_DISK so a lost
@@ -9,30 +14,46 @@ on each table.
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from monthwise.operators.publish import publish
+from monthwise.operators.releases import Releases
 from monthwise.operators.submissions import latest_submission
 from monthwise.plans import assessments, clinical, indicator, status, student
 from monthwise.plans.common import RunParams, contact_counts, period_for, used_referrals
 from monthwise.sources.tables import Sources
 
-# Published tables and how each is written (rebuilt, or month replaced).
-TABLES = {
-    "FirstAndLastEmp": "rebuild",
-    "Benefits": "rebuild",
-    "FinishedTreatmentAndEmpSupp": "rebuild",
-    "ActiveEAProviders": "append_month",
-    "OpenRefsNoContact": "append_month",
-    "ClinOutcomes": "append_month",
-    "Indicator": "append_month",
-    "PresenteeismCounts": "rebuild",
-    "PresenteeismCoverage": "rebuild",
-    "Student": "append_month",
+
+
+@dataclass(frozen=True)
+class Published:
+    """How a table is written (rebuilt, or month replaced) and the types its columns are published as."""
+
+    mode: str
+    casts: dict = field(default_factory=dict)
+
+
+# The published types of labels, codes and months; sums and counts keep theirs.
+ORG_TEXT = {c: "string" for c in ("OrgType", "OrgName", "OrgCode", "Region")}
+FLAG_TEXT = {"AppointmentType": "string", "EmpSupportDischargeDatePresent": "string"}
+PUBLISHED = {
+    "FirstAndLastEmp": Published("rebuild"),
+    "Benefits": Published("rebuild", {"Month": "date", "OrganisationType": "string", "Region": "string",
+                                      "OrganisationCode": "string", "OrganisationName": "string"}),
+    "FinishedTreatmentAndEmpSupp": Published("rebuild", {"OrgType": "string", "Region": "string", "OrgName": "string",
+                                                         "AppointmentType": "string"}),
+    "ActiveEAProviders": Published("append_month"),
+    "OpenRefsNoContact": Published("append_month", ORG_TEXT | FLAG_TEXT),
+    "ClinOutcomes": Published("append_month", ORG_TEXT | FLAG_TEXT | {"Category": "string", "Variable": "string"}),
+    "Indicator": Published("append_month", ORG_TEXT),
+    "PresenteeismCounts": Published("rebuild"),
+    "PresenteeismCoverage": Published("rebuild", {"Month": "date"}),
+    "Student": Published("append_month", {"Month": "date"}),
 }
+TABLES = {name: p.mode for name, p in PUBLISHED.items()}
 
 
 def build_tables(src: Sources, params: RunParams) -> tuple[dict[str, DataFrame], list[DataFrame]]:
@@ -58,16 +79,42 @@ def build_tables(src: Sources, params: RunParams) -> tuple[dict[str, DataFrame],
     return tables, [counts, sbase, cbase]
 
 
-def run_monthly(src: Sources, params: RunParams, out_dir: str) -> dict[str, str]:
-    """Publish all ten tables under ``out_dir``; returns table -> path."""
+def run_monthly(src: Sources, params: RunParams, out_dir: str | None = None, database: str | None = None) -> dict[str, str]:
+    """Publish all ten tables under the folder ``out_dir`` or in the catalog's ``database``; table -> where.
+
+    One table after the other: a lost run leaves some of them new.  ``release_monthly`` shows all or none.
+    """
+    if (out_dir is None) == (database is None):
+        raise ValueError("name either a folder or a database")
+    tables, stages = build_tables(src, params)
+    where = {}
+    try:
+        for name, df in tables.items():
+            where[name] = f"{out_dir}/{name}" if out_dir is not None else f"{database}.{name}"
+            target = {"path": where[name]} if out_dir is not None else {"table": where[name]}
+            publish(df, mode=PUBLISHED[name].mode, casts=PUBLISHED[name].casts, **target)
+    finally:
+        for s in stages:
+            s.unpersist()
+    return where
+
+
+def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root: str,
+                    database: str | None = None) -> dict[str, dict]:
+    """Release all ten tables under ``root`` together, and as catalog views where ``database`` is named.
+
+    Returns per table what was observed while it was written (``rows``).
+    """
+    releases = Releases(spark, root)
+    run = releases.begin()
     tables, stages = build_tables(src, params)
-    paths = {}
     try:
         for name, df in tables.items():
-            path = f"{out_dir}/{name}"
-            publish(df, path, TABLES[name])
-            paths[name] = path
+            run.write(name, df, PUBLISHED[name].mode, casts=PUBLISHED[name].casts)
     finally:
         for s in stages:
             s.unpersist()
-    return paths
+    run.commit()
+    if database is not None:
+        releases.register(database, list(tables))
+    return run.metrics

@@ -22,3 +22,10 @@ ORACLE["duplicate_current_codes"] = lambda: """
 SELECT c_nationkey AS code, count(*) AS current_rows FROM customer
 WHERE c_acctbal >= 0 OR c_acctbal IS NULL GROUP BY c_nationkey HAVING count(*) > 1
 """
+_MONTH_TOTALS = """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS "Month", o_orderstatus, count(*) AS "Orders",
+       count(DISTINCT o_custkey) AS "Customers"
+FROM orders GROUP BY ALL
+"""
+ORACLE["publish_created_then_appended"] = lambda: _MONTH_TOTALS
+ORACLE["release_months"] = lambda: _MONTH_TOTALS
