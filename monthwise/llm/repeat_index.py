@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -31,11 +32,11 @@ from monthwise.llm.common import col, partitions, text_bytes, without, written
 from monthwise.llm.words import U, mix
 
 ANCHOR = 16
-BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 BLOCK = 1 << 20
 INDEX_BYTES = 4 << 20
-HELD_BYTES = 96 << 20
+HELD_BYTES = 64 << 20
 HOT = 8192
 PAIR = U(0x9E3779B97F4A7C15)
 
@@ -224,91 +225,108 @@ def marks_by_index(texts: list[bytes], ids: np.ndarray, length: int) -> np.ndarr
 
 
 class _Held:
-    """Entries of a bucket; shares of too many distinct contexts leave it as they are found."""
+    """Entries of a bucket; shares of too many distinct contexts leave it as they are found.
+
+    Contexts stay in Arrow buffers; a share is known by a hash of the text that all its windows have, so shares that meet
+    by chance only make an index larger.
+    """
+
+    COLUMNS = {"batch": np.int64, "lo": np.uint16, "hi": np.uint16, "place": np.uint16, "id": np.int64,
+               "number": np.int64, "shift": np.uint16}
 
     def __init__(self, length: int, buckets: int):
-        self.length, self.buckets, self.hot = length, buckets, set()
-        self.texts, self.bytes, self.known = [], 0, None
-        self.columns: dict[str, list] = {n: [] for n in ("batch", "lo", "hi", "place", "id", "number", "shift")}
+        self.length, self.buckets, self.hot = length, buckets, np.empty(0, dtype=U)
+        self.texts: list[pa.Array] = []
+        self.columns: dict[str, list] = {n: [np.empty(0, t)] for n, t in self.COLUMNS.items()}
+        self.bytes, self.known = 0, None
 
     def add(self, row: dict) -> None:
         raw = zstandard.ZstdDecompressor().decompress(row["texts"])
-        ends = np.cumsum(_unzip(row["sizes"], np.uint16).astype(np.int64)).tolist()
-        self.texts.extend(raw[i:j] for i, j in zip([0, *ends], ends))
-        self.bytes, self.known = self.bytes + len(raw), None
+        ends = np.cumsum(_unzip(row["sizes"], np.uint16), dtype=np.int32)
         n = len(ends)
-        for name, values in (("batch", np.full(n, row["batch"])), ("lo", np.full(n, row["lo"])),
-                             ("hi", np.full(n, row["hi"])),
-                             ("place", _unzip(row["places"], np.uint16).astype(np.int64)),
-                             ("id", np.cumsum(_unzip(row["ids"], np.int64))),
-                             ("number", np.cumsum(_unzip(row["numbers"], np.int64))),
-                             ("shift", _unzip(row["shifts"], np.uint16).astype(np.int64))):
-            self.columns[name].append(values)
-
-    def shares(self) -> tuple[dict, np.ndarray, list, np.ndarray, list]:
-        """Columns, each entry's distinct context, these contexts, each one's share, and the shares' names."""
-        if self.known:
-            return self.known
-        columns = {n: np.concatenate(v) if v else np.empty(0, np.int64) for n, v in self.columns.items()}
-        coded = pa.array(self.texts, pa.binary()).dictionary_encode()
-        code, texts = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        first = np.unique(code, return_index=True)[1]
-        names = [bytes((lo, hi)) + t[p - lo:p + self.length - hi] for t, lo, hi, p in
-                 zip(texts, *(columns[c][first].tolist() for c in ("lo", "hi", "place")))]
-        coded = pa.array(names, pa.binary()).dictionary_encode()
-        self.known = columns, code, texts, coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        self.texts.append(pa.Array.from_buffers(pa.binary(), n, [
+            None, pa.py_buffer(np.concatenate((np.zeros(1, np.int32), ends))), pa.py_buffer(raw)]))
+        self.bytes, self.known = self.bytes + len(raw), None
+        values = {"batch": np.full(n, row["batch"]), "lo": np.full(n, row["lo"]), "hi": np.full(n, row["hi"]),
+                  "place": _unzip(row["places"], np.uint16), "id": np.cumsum(_unzip(row["ids"], np.int64)),
+                  "number": np.cumsum(_unzip(row["numbers"], np.int64)), "shift": _unzip(row["shifts"], np.uint16)}
+        for name, dtype in self.COLUMNS.items():
+            self.columns[name].append(values[name].astype(dtype))
+
+    def _share(self, texts: pa.Array, first: np.ndarray, columns: dict) -> np.ndarray:
+        """A hash of what all windows of a context's share have in common, from ``lo`` before its anchor on."""
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        raw = texts.buffers()[2].to_pybytes() if texts.buffers()[2] else b""
+        words = _eights(raw, len(raw)) if raw else np.empty(0, dtype=U)
+        lo, hi = (columns[c][first].astype(np.int64) for c in ("lo", "hi"))
+        begin, left = offsets[:-1] + columns["place"][first].astype(np.int64) - lo, self.length - hi + lo
+        h = mix((lo * 256 + hi).astype(U))
+        while (left > 0).any():
+            own = np.flatnonzero(left > 0)
+            keep = np.minimum(left[own], 8).astype(U) * U(8)
+            word = words[begin[own]] & np.where(keep < 64, (U(1) << (keep % U(64))) - U(1), ~U(0))
+            h[own] = mix(h[own] * PAIR + word)
+            begin, left = begin + 8, left - 8
+        return h
+
+    def shares(self) -> tuple[dict, np.ndarray, pa.Array, np.ndarray]:
+        """Columns, each entry's distinct context, these contexts, and each one's share."""
+        if not self.known:
+            columns = {n: np.concatenate(v) for n, v in self.columns.items()}
+            self.columns = {n: [v] for n, v in columns.items()}
+            coded = pa.chunked_array(self.texts, pa.binary()).combine_chunks().dictionary_encode()
+            code, texts = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            first = np.unique(code, return_index=True)[1]
+            self.known = columns, code, texts, self._share(texts, first, columns)
         return self.known
 
     def overflow(self, last: bool) -> Iterator[dict]:
         """Entries of hot shares, dealt in halves; the others stay."""
-        if not last and self.bytes <= HELD_BYTES:
-            return
-        columns, code, _, share, names = self.shares()
-        many = np.bincount(share, minlength=len(names)) > HOT
-        self.hot.update(n for n, m in zip(names, many.tolist()) if m)
-        hot = np.fromiter((n in self.hot for n in names), bool, len(names))
-        if not hot.any():
+        if not self.texts or not last and self.bytes <= HELD_BYTES:
             return
-        leaves = hot[share][code]
-        rows: dict[tuple, list] = {}
-        for i in np.flatnonzero(leaves).tolist():
-            text, place, lo, hi = self.texts[i], *(int(columns[c][i]) for c in ("place", "lo", "hi"))
-            middle = (lo + hi) // 2
-            for a, b in ((lo, middle), (middle + 1, hi)):
-                begin, end = max(place - b, 0), min(place - a, len(text) - self.length)
-                if begin <= end:
-                    part, at = text[begin:end + self.length], place - begin
-                    name = bytes((a, b)) + part[at - a:at + self.length - b]
-                    bucket = xxhash.xxh64_intdigest(name) % self.buckets
-                    rows.setdefault((bucket, int(columns["batch"][i]), a, b), []).append(
-                        (part, at, int(columns["id"][i]), int(columns["number"][i]), int(columns["shift"][i]) + begin))
-        for (bucket, batch, a, b), own in rows.items():
-            part, at, ids, numbers, shifts = zip(*own)
-            yield _entries(bucket, batch, a, b, part, at, ids, numbers, shifts)
-        stay = np.flatnonzero(~leaves)
-        self.texts = [self.texts[i] for i in stay.tolist()]
-        self.bytes = sum(map(len, self.texts))
-        self.columns, self.known = {n: [v[stay]] for n, v in columns.items()}, None
+        columns, code, texts, share = self.shares()
+        names, size = np.unique(share, return_counts=True)
+        self.hot = np.union1d(self.hot, names[size > HOT])
+        leaves = np.isin(share, self.hot)[code]
+        if leaves.any():
+            rows: dict[tuple, list] = {}
+            for i in np.flatnonzero(leaves).tolist():
+                text, place, lo, hi = texts[code[i]].as_py(), *(int(columns[c][i]) for c in ("place", "lo", "hi"))
+                middle = (lo + hi) // 2
+                for a, b in ((lo, middle), (middle + 1, hi)):
+                    begin, end = max(place - b, 0), min(place - a, len(text) - self.length)
+                    if begin <= end:
+                        part, at = text[begin:end + self.length], place - begin
+                        name = bytes((a, b)) + part[at - a:at + self.length - b]
+                        bucket = xxhash.xxh64_intdigest(name) % self.buckets
+                        rows.setdefault((bucket, int(columns["batch"][i]), a, b), []).append(
+                            (part, at, int(columns["id"][i]), int(columns["number"][i]), int(columns["shift"][i]) + begin))
+            for (bucket, batch, a, b), own in rows.items():
+                yield _entries(bucket, batch, a, b, *zip(*own))
+            stay = np.flatnonzero(~leaves)
+            kept = texts.take(pa.array(code[stay]))
+            self.texts, self.bytes, self.known = [kept], kept.nbytes, None
+            self.columns = {n: [v[stay]] for n, v in columns.items()}
 
     def answers(self) -> Iterator[dict]:
-        columns, code, texts, share, _ = self.shares()
-        if not len(code):
+        if not self.texts:
             return
+        columns, code, texts, share = self.shares()
         least = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(least, code, columns["id"])
         marks = np.zeros(len(texts), dtype=U)
-        together = np.bincount(share)
+        _, share, together = np.unique(share, return_inverse=True, return_counts=True)
         by = np.argsort(share, kind="stable")
         by = by[together[share[by]] > 1]  # a context alone with its anchor can repeat as a whole only
-        total = np.cumsum([0, *(len(texts[i]) for i in by.tolist())])
+        size = pc.binary_length(texts).to_numpy().astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(size[by])))
         begin = 0
         for j in (*(np.flatnonzero(np.diff(share[by])) + 1).tolist(), len(by)):
             if j > begin and (j == len(by) or total[j] - total[begin] > INDEX_BYTES):
                 own = by[begin:j]
-                marks[own] = marks_by_index([texts[x] for x in own.tolist()], least[own], self.length)
+                marks[own] = marks_by_index(texts.take(pa.array(own)).to_pylist(), least[own], self.length)
                 begin = j
-        windows = np.fromiter(map(len, texts), np.int64, len(texts)) - self.length + 1
-        every = (U(1) << windows.astype(U)) - U(1)
+        every = (U(1) << (size - self.length + 1).astype(U)) - U(1)
         marks = np.where(columns["id"] > least[code], every[code], marks[code])
         hit = np.flatnonzero(marks)
         hit = hit[np.lexsort((columns["number"][hit], columns["batch"][hit]))]
@@ -366,7 +384,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     yield pa.RecordBatch.from_pylist([row], ARROW)
         for row in held.overflow(last=True):
             yield pa.RecordBatch.from_pylist([row], ARROW)
-        yield pa.RecordBatch.from_pylist(list(held.answers()), ARROW)
+        for row in held.answers():
+            yield pa.RecordBatch.from_pylist([row], ARROW)
 
     out_schema = StructType([rows.schema[n] for n in ("id", *carried)] + StructType.fromDDL(_OUT).fields)
 
