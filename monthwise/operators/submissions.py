@@ -43,7 +43,7 @@ def keep_latest_audits(facts: DataFrame, submissions: DataFrame, lo=None, hi=Non
     instead of the whole history.
     """
     s = latest_submissions(submissions, lo, hi).selectExpr(
-        *[f"{k} AS __a{i}" for i, k in enumerate(keys)]).distinct()
+        *[f"{k} AS __a{i}" for i, k in enumerate(keys)])
     cond = " AND ".join(f"{k} = __a{i}" for i, k in enumerate(keys))
     return facts.join(s, F.expr(cond), "left_semi")
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from monthwise.functions.flags import days_open_bands_sql, flag_sql, in_period_flag_sql, q, true_sql
 from monthwise.functions.recode import protected_characteristics_sql, sql_str
+from monthwise.operators.contacts import by_record
+from monthwise.operators.membership import MemberFilter
 from monthwise.operators.rollup import Scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_submission
 from monthwise.plans.common import (RunParams, contact_counts, join_mpi, period_for, used_referrals,
@@ -22,6 +24,7 @@ from monthwise.sources.tables import Sources
 
 CLIN_GEOGRAPHY = ["Sub-ICBCode", "Sub-ICBName", "ICBCode", "ICBName", "RegionNameComm", "RegionCodeComm",
                   "ProviderCode", "ProviderName", "RegionNameProv"]
+CLIN_PROVIDER = {"ProviderCode": "Organisation_Code", "ProviderName": "Organisation_Name", "RegionNameProv": "Region_Name"}
 CATEGORIES = {
     "Gender": "GenderDesc",
     "Problem Descriptor": "ProblemDescriptor",
@@ -40,21 +43,19 @@ def clinical_base(src: Sources, params: RunParams, counts: DataFrame | None = No
     # Only the two support dates of the status rows reach the output, so the
     # status side is reduced to its distinct (record, dates) before the join;
     # the DISTINCT of the base would collapse the rest anyway.
-    # Records outside the month go first (semi-join on the record number, whose
-    # partitioning the DISTINCT and the join then share).
-    month = r.selectExpr("RecordNumber AS __e_rec").distinct()
-    emp = (src.empstatus.selectExpr("RecordNumber AS __e_rec", "EmpSupportReferral", "EmpSupportDischargeDate")
-           .join(month, "__e_rec", "left_semi").distinct())
+    # Records outside the month go first, before the shuffle by record that the
+    # DISTINCT and the joins share.
+    emp = MemberFilter(r, "RecordNumber").keep(src.empstatus, "RecordNumber").selectExpr(
+        "RecordNumber AS __e_rec", "EmpSupportReferral", "EmpSupportDischargeDate")
+    emp = by_record(emp, src.stored_by_record, "__e_rec").distinct()
+    if counts is None:
+        counts = contact_counts(src, r)
+    r = by_record(with_contact_count(r, counts, "AllEmploymentSupport_Count"))
     j = r.join(emp, F.expr("RecordNumber = __e_rec"), "left")
     j = join_mpi(j, src)
     j = with_sexual_orientation(j, src, p.start, p.start)
     j = with_deprivation(j, src)
-    if counts is None:
-        counts = contact_counts(src, r)
-    j = with_contact_count(j, counts, "AllEmploymentSupport_Count")
-    j = with_geography(j, src, provider_cols={"ProviderCode": "Organisation_Code",
-                                              "ProviderName": "Organisation_Name",
-                                              "RegionNameProv": "Region_Name"})
+    j = with_geography(j, src, provider_cols=CLIN_PROVIDER)
 
     open_ref = "ServDischDate IS NULL"
     done = true_sql("CompletedTreatment_Flag")
@@ -109,12 +110,25 @@ def clinical_base(src: Sources, params: RunParams, counts: DataFrame | None = No
 
 def active_providers(src: Sources, params: RunParams, counts: DataFrame | None = None,
                      base: DataFrame | None = None) -> DataFrame:
-    """T4: providers with at least one record with a support contact, per month."""
-    base = base if base is not None else clinical_base(src, params, counts)
-    return (base.where("AllEmploymentSupport_Count > 0")
-                .selectExpr("ProviderCode AS OrgID_Provider", "ProviderName AS Prov_Name",
-                            "RegionNameProv AS Prov_Region", "Month")
-                .distinct())
+    """T4: providers with at least one record with a support contact, per month.
+
+    Without a ready base only what the list depends on is joined: referrals of the month with a count, of known
+    people, and their providers.
+    """
+    if base is None:
+        p = period_for(src, params)
+        r = latest_submission(used_referrals(src), src.submissions, p.start, p.start).selectExpr(
+            "PathwayID", "RecordNumber", "OrgID_Provider", "trunc(ReportingPeriodStartDate, 'MM') AS Month")
+        counts = counts if counts is not None else contact_counts(src, r)
+        known = MemberFilter(r, "RecordNumber").keep(src.mpi, "RecordNumber").selectExpr("RecordNumber AS __m_rec")
+        supported = (with_contact_count(r, counts, "AllEmploymentSupport_Count").where("AllEmploymentSupport_Count > 0")
+                     .join(known, F.expr("RecordNumber = __m_rec"), "left_semi")
+                     .select("OrgID_Provider", "Month").distinct())
+        base = with_geography(supported, src, commissioner=False, provider_cols=CLIN_PROVIDER)
+    else:
+        base = base.where("AllEmploymentSupport_Count > 0")
+    return base.selectExpr("ProviderCode AS OrgID_Provider", "ProviderName AS Prov_Name",
+                           "RegionNameProv AS Prov_Region", "Month").distinct()
 
 
 NO_CONTACT = ["OpenReferralLessThan61DaysReferraltoReportingPeriodEnd",

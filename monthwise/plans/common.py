@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from monthwise.functions import labels as L
 from monthwise.functions.flags import true_sql
 from monthwise.functions.recode import sexual_orientation_sql
-from monthwise.operators.contacts import qualifying_contact_count
+from monthwise.operators.contacts import by_record, qualifying_contact_count
 from monthwise.operators.lookups import (COMMISSIONER_COLS, PROVIDER_COLS, commissioner_geography,
                                          provider_geography, snapshot_lookup)
+from monthwise.operators.membership import MemberFilter
 from monthwise.operators.periods import DEFAULT_FLOOR, Period, resolve_period
 from monthwise.operators.ranking import latest_by_date_then_priority
 from monthwise.operators.submissions import keep_latest_audits
@@ -44,11 +45,14 @@ def used_referrals(src: Sources) -> DataFrame:
 
 def contact_counts(src: Sources, pathways: DataFrame | None = None) -> DataFrame:
     """O22, optionally only for ``pathways`` (the count of a pathway depends on
-    that pathway's rows alone, so restricting first gives the same numbers)."""
+    that pathway's rows alone, so restricting first gives the same numbers).
+
+    The restriction is a filter that may let others pass; their counts are right too."""
     ref = src.referral
     if pathways is not None:
-        ref = ref.join(pathways.select("PathwayID").distinct(), "PathwayID", "left_semi")
-    return qualifying_contact_count(ref, src.submissions, src.carecontact, src.careactivity, src.empstatus)
+        ref = MemberFilter(pathways, "PathwayID").keep(ref, "PathwayID")
+    return qualifying_contact_count(ref, src.submissions, src.carecontact, src.careactivity, src.empstatus,
+                                    src.stored_by_record)
 
 
 def with_contact_count(df: DataFrame, counts: DataFrame, out: str) -> DataFrame:
@@ -65,8 +69,9 @@ def sexual_orientation_latest(src: Sources, lo, hi) -> DataFrame:
     # Only the columns the pick orders by or returns; the DISTINCT and the pick
     # see the same rows for these columns.
     answers = keep_latest_audits(src.socpercirc, src.submissions, lo, hi, keys=("UniqueSubmissionID", "AuditId"))
-    answers = answers.select("Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID",
-                                    "SocPerCircumstanceRecDate", "SocPerCircumstance", "UniqueID_IDS011")
+    answers = by_record(answers.select("Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID",
+                                       "SocPerCircumstanceRecDate", "SocPerCircumstance", "UniqueID_IDS011"),
+                        src.stored_by_record)
     return latest_by_date_then_priority(
         answers, ["Person_ID", "RecordNumber", "AuditID", "UniqueSubmissionID"],
         date="SocPerCircumstanceRecDate", code="SocPerCircumstance", tiers=L.SEXUAL_ORIENTATION_TIERS,
@@ -99,9 +104,11 @@ def with_geography(df: DataFrame, src: Sources, commissioner: bool = True, provi
 
 
 def mpi_columns(src: Sources) -> DataFrame:
-    return src.mpi.selectExpr("RecordNumber AS __m_rec", "Gender", "GenderIdentity", "Validated_EthnicCategory",
-                              "LSOA", "Age_RP_EndDate")
+    return by_record(src.mpi.selectExpr("RecordNumber AS __m_rec", "Gender", "GenderIdentity",
+                                        "Validated_EthnicCategory", "LSOA", "Age_RP_EndDate"),
+                     src.stored_by_record, "__m_rec")
 
 
 def join_mpi(df: DataFrame, src: Sources) -> DataFrame:
+    """People of the records of ``df``, which is partitioned by record."""
     return df.join(mpi_columns(src), F.expr("RecordNumber = __m_rec")).drop("__m_rec")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.flags import flag_sql, in_period_sql, q, true_sql
+from monthwise.operators.contacts import by_record
 from monthwise.operators.rollup import org_rollup
 from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import RunParams, contact_counts, period_for, used_referrals, with_contact_count, \
@@ -24,12 +25,13 @@ def indicator_base(src: Sources, params: RunParams, counts: DataFrame | None = N
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
     r = r.where(in_period_sql("ServDischDate"))
-    emp = (keep_latest_audits(src.empstatus, src.submissions, p.start, p.start).where("EmpSupportInd = 'Y'")
-           .selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmpSupportInd"))
-    j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
+    emp = by_record(keep_latest_audits(src.empstatus, src.submissions, p.start, p.start).where("EmpSupportInd = 'Y'")
+                    .selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmpSupportInd"),
+                    src.stored_by_record, "__e_rec")
     if counts is None:
         counts = contact_counts(src, r)
-    j = with_contact_count(j, counts, "Count_EmpSupp")
+    r = by_record(with_contact_count(r, counts, "Count_EmpSupp"))
+    j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     j = with_geography(j, src)
     eligible, has_contact = "EmpSupportInd = 'Y'", "Count_EmpSupp > 0"
     done, path = true_sql("CompletedTreatment_Flag"), "PathwayID IS NOT NULL"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from monthwise.functions.flags import flag_sql, in_period_sql, q, same_value_flags_sql, true_sql
 from monthwise.functions import labels as L
 from monthwise.functions.recode import protected_characteristics_sql, status_recodes
+from monthwise.operators.contacts import by_record
 from monthwise.operators.pairing import pair_first_last
 from monthwise.operators.ranking import first_last_ranks
 from monthwise.operators.rollup import org_rollup
@@ -43,16 +44,18 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
     p = period_for(src, params)
     r = used_referrals(src).where(true_sql("CompletedTreatment_Flag"))
     r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period_sql("ServDischDate"))
-    emp = keep_latest_audits(src.empstatus, src.submissions, p.floor, p.start).selectExpr(
+    emp = by_record(keep_latest_audits(src.empstatus, src.submissions, p.floor, p.start).selectExpr(
         "RecordNumber AS __e_rec", "AuditId AS __e_aid", "UniqueID_IDS004", "EmployStatusRecDate",
-        *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate")
+        *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate"), src.stored_by_record, "__e_rec")
+    if counts is None:
+        counts = contact_counts(src, r)
+    # The count is the only join on the pathway; after it everything is partitioned by record, up to the rank
+    # window and T1's pairing (their keys contain the record).
+    r = by_record(with_contact_count(r, counts, "Count_EmpSupp"))
     j = r.join(emp, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"))
     j = join_mpi(j, src)
     j = with_sexual_orientation(j, src, p.floor, p.start)
     j = with_deprivation(j, src)
-    if counts is None:
-        counts = contact_counts(src, r)
-    j = with_contact_count(j, counts, "Count_EmpSupp")
     j = with_geography(j, src)
     # The eleven status labels travel as integer codes (see ``Recode``) and are
     # decoded on the published rows.
@@ -67,9 +70,7 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
         *[q(c) for c in GEOGRAPHY],
         "Count_EmpSupp",
         f"{flag_sql('EmpSupportDischargeDate IS NOT NULL')} AS EmpSupportDischargeDatePresent",
-    # One shuffle on (PathwayID, RecordNumber) serves the DISTINCT, the rank
-    # window (partitioned by a superset of these keys) and T1's self-join.
-    ).repartition("PathwayID", "RecordNumber").distinct()
+    ).distinct()
     return first_last_ranks(base, RANK_KEYS, "EmployStatusRecDate", RANK_TIEBREAK,
                             "EmpFirstRecord", "EmpLastRecord")
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions.flags import in_period_flag_sql, q, true_sql
+from monthwise.operators.contacts import by_record
 from monthwise.operators.lookups import current_lookup, remap_successor
-from monthwise.operators.ranking import pick_first, rank_within
+from monthwise.operators.ranking import pick_first
 from monthwise.operators.submissions import keep_latest_audits, latest_submission
 from monthwise.plans.common import RunParams, join_mpi, period_for, used_referrals
 from monthwise.sources.tables import Sources
@@ -24,13 +25,10 @@ STUDENT_CODE = "03"
 
 
 def site_postcodes(src: Sources) -> DataFrame:
-    """One postcode per site: the alphabetically first (O4 + rank = 1)."""
-    order = [F.col("Postcode1").asc_nulls_first(),
-             *[F.col(f"`{c}`").asc_nulls_first() for c in ("Grid Reference", "X (easting)", "Y (northing)",
-                                                            "Latitude", "Longitude", "Address4")]]
-    ranked = rank_within(src.sites, ["SiteCode"], order, "PostcodeRank")
-    return ranked.where("PostcodeRank = 1").selectExpr(
-        "SiteCode AS __site", *[f"{q(src_col)} AS {out}" for out, src_col in SITE_COLUMNS.items()])
+    """One postcode per site: the alphabetically first (rank 1 of O4, as the least row of the site)."""
+    fields = ["Postcode1", "Grid Reference", "X (easting)", "Y (northing)", "Latitude", "Longitude", "Address4"]
+    first = src.sites.groupBy("SiteCode").agg(F.min(F.struct(*[F.col(q(c)) for c in fields])).alias("site"))
+    return first.selectExpr("SiteCode AS __site", *[f"site.{q(src_col)} AS {out}" for out, src_col in SITE_COLUMNS.items()])
 
 
 def latest_status(src: Sources, lo=None, hi=None) -> DataFrame:
@@ -40,8 +38,8 @@ def latest_status(src: Sources, lo=None, hi=None) -> DataFrame:
     (a rank partition holds one audit, so the kept partitions are unchanged).
     """
     e = src.empstatus if lo is None else keep_latest_audits(src.empstatus, src.submissions, lo, hi)
-    e = e.select("RecordNumber", "AuditId", "Unique_MonthID", "EmployStatusRecDate",
-                             "UniqueID_IDS004", "EmployStatus")
+    e = by_record(e.select("RecordNumber", "AuditId", "Unique_MonthID", "EmployStatusRecDate", "UniqueID_IDS004",
+                           "EmployStatus"), src.stored_by_record)
     return pick_first(e, ["RecordNumber", "AuditId", "Unique_MonthID"],
                       [F.col("EmployStatusRecDate"), F.col("UniqueID_IDS004")])
 
@@ -49,7 +47,7 @@ def latest_status(src: Sources, lo=None, hi=None) -> DataFrame:
 def student_base(src: Sources, params: RunParams) -> DataFrame:
     p = period_for(src, params)
     r = latest_submission(used_referrals(src), src.submissions, p.start, p.start)
-    r = join_mpi(r, src)
+    r = join_mpi(by_record(r, src.stored_by_record), src)
     e = latest_status(src, p.start, p.start).selectExpr("RecordNumber AS __e_rec", "AuditId AS __e_aid", "EmployStatus")
     j = r.join(e, F.expr("RecordNumber = __e_rec AND AuditId = __e_aid"), "left")
     j = remap_successor(j, "OrgID_Provider", src.prov_successor, "Prov_original", "Prov_Successor", "__prov")

@@ -49,6 +49,8 @@ class Sources:
     prov_hierarchy: DataFrame   # Ref_ODS_Provider_Hierarchies_ICB
     deprivation: DataFrame      # Domains_Of_Deprivation_By_LSOA1
     sites: DataFrame            # REFERENCE_ODS_All_Sites
+    # Whether the fact tables are stored in equally many buckets of the record number (``sources.layout``).
+    stored_by_record: bool = False
 
     _NAMES = {
         "submissions": "IsLatest_SubmissionID",
