@@ -107,7 +107,8 @@ class Contexts:
         self.start, self.stop = join(start, np.int64), join(stop, np.int64)
         self.place = join(anchor, np.int64) - self.start
         self.id = ids[np.searchsorted(ends, self.start, side="right")]
-        bucket = ((join(hashes, U) >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+        # Anchors have small hashes by choice: scrambled again, they spread over all buckets.
+        bucket = ((mix(join(hashes, U), seed=1) >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
         seen: dict[bytes, int] = {}
         self.number = np.fromiter((seen.setdefault(self.raw[i:j], len(seen)) for i, j in
                                    zip(self.start.tolist(), (self.stop + length).tolist())), np.int64, len(self.start))
