@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from monthwise.functions.flags import q
 
@@ -48,10 +49,20 @@ def pair_first_last_answers(answers: DataFrame, keys: list, date: str, time: str
     columns: keys, ``First<c>`` and ``Last<c>`` for each carried column, and
     ``n_answers``.
     """
-    fields = [f"'__d', {q(date)}", f"'__t', {q(time)}", f"'__u', -{q(uid)}", *[f"'{c}', {q(c)}" for c in carry]]
-    row = "named_struct(" + ", ".join(fields) + ")"
-    agg = answers.groupBy(*keys).agg(F.expr("count(1) AS n_answers"), F.expr(f"min({row}) AS __first"),
-                                     F.expr(f"max({row}) AS __last"))
+    carried = ", ".join(f"'{c}', {q(c)}" for c in carry)
+    if isinstance(answers.schema[uid].dataType, NumericType):
+        row = f"named_struct('__d', {q(date)}, '__t', {q(time)}, '__u', -{q(uid)}, {carried})"
+        agg = answers.groupBy(*keys).agg(F.expr("count(1) AS n_answers"), F.expr(f"min({row}) AS __first"),
+                                         F.expr(f"max({row}) AS __last"))
+    else:
+        # Text ids can't be negated: of the answers of one moment the highest id comes first, the lowest last.
+        row = f"named_struct('__u', {q(uid)}, {carried})"
+        moments = answers.groupBy(*keys, F.col(q(date)).alias("__d"), F.col(q(time)).alias("__t")).agg(
+            F.expr("count(1) AS __n"), F.expr(f"max({row}) AS __high"), F.expr(f"min({row}) AS __low"))
+        side = "named_struct('__d', __d, '__t', __t, {})".format
+        taken = lambda s: side(", ".join(f"'{c}', {s}.{q(c)}" for c in carry))
+        agg = moments.groupBy(*keys).agg(F.expr("sum(__n) AS n_answers"), F.expr(f"min({taken('__high')}) AS __first"),
+                                         F.expr(f"max({taken('__low')}) AS __last"))
     out = agg.where(f"n_answers >= 2 AND __last.__d BETWEEN DATE '{lo}' AND DATE '{hi}'")
     return out.selectExpr(*[q(k) for k in keys], "n_answers",
                           *[f"__first.{q(c)} AS {q('First' + c)}" for c in carry],

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.functions.flags import q
+from monthwise.session import checkpoint_dir
 
 
 def _col(c) -> Column:
@@ -25,11 +26,46 @@ def _col(c) -> Column:
 
 
 def rank_within(df: DataFrame, keys: list, order: list, name: str) -> DataFrame:
-    """1-based ``row_number`` per key in ``order`` (Columns with asc/desc)."""
+    """1-based ``row_number`` per key in ``order`` (Columns with asc/desc).
+
+    A key's rows are ranked in one task: for keys that a domain bounds.  ``rank_in_shares`` ranks keys of any size."""
     w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
     return df.select("*", F.row_number().over(w).cast("bigint").alias(name))
 
 
+def range_shares(df: DataFrame, keys: list, order: list, shares: int) -> DataFrame:
+    """``df`` with a column ``__share``: ranges of (keys, order) of about one size; a key may span many.
+
+    The ranges come from a sample, so they are fixed by a checkpoint: what is counted and what is ranked agree, also
+    when tasks are lost.
+    """
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(shares, *[_col(k) for k in keys], *order)
+    return ranged.withColumn("__share", F.spark_partition_id()).checkpoint()
+
+
+def rank_in_shares(df: DataFrame, keys: list, order: list, name: str, shares: int | None = None) -> DataFrame:
+    """O4 for keys of any size: 1-based rank per key in ``order`` (which must tell all rows of a key apart).
+
+    Each share of the range is ranked on its own; a row's rank adds the rows that its key has in earlier shares, which
+    are counted first (at most ``shares`` counts a key).  One key with most of the rows is spread over most shares.
+    """
+    shares = shares or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = range_shares(df, keys, order, shares)
+    names = [f"__k{i}" for i in range(len(keys))]
+    counts = shared.groupBy(*[_col(k).alias(n) for k, n in zip(keys, names)], F.col("__share").alias("__s")).agg(
+        F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*names).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*names, "__s", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    own = Window.partitionBy("__share", *[_col(k) for k in keys]).orderBy(*order)
+    ranked = shared.withColumn("__rank", F.row_number().over(own))
+    same = F.col("__share") == F.col("__s")
+    for k, n in zip(keys, names):
+        same = same & _col(k).eqNullSafe(F.col(n))
+    return (ranked.join(before, same)
+            .select(*[F.col(q(c)) for c in df.columns], (F.col("__rank") + F.col("__before")).cast("bigint").alias(name)))
+
+
 def pick_first(df: DataFrame, keys: list, prefer: list) -> DataFrame:
     """The single best row per key.
 

@@ -97,8 +97,13 @@ class Scope:
 
 
 def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, hidden: list,
-                    levels: list = LEVELS, flag_col: str = "EmpSupportDischargeDatePresent") -> DataFrame:
-    """O25 + O26: every level x category x scope cell in one aggregate.
+                    levels: list = LEVELS, flag_col: str = "EmpSupportDischargeDatePresent",
+                    finest_first: bool = True) -> DataFrame:
+    """O25 + O26: every level x category x scope cell.
+
+    With ``finest_first`` rows fan out to scopes and categories only and are summed at the finest grain of all levels
+    (provider and Sub-ICB together); the levels are rolled up from those sums, not from rows.  Without, rows fan out to
+    all cells of one aggregate: one shuffle less, for inputs with hardly any rows a cell.
 
     ``categories`` maps Category label -> column giving ``Variable``.  Each row
     contributes to every scope whose filter it passes.  ``hidden`` columns are
@@ -113,12 +118,16 @@ def category_rollup(df: DataFrame, keys: list, categories: dict, scopes: list, h
     hid = [f"__h{i}" for i in range(len(hidden))]
     base = df.selectExpr(*[q(k) for k in keys], *[f"{q(h)} AS {a}" for h, a in zip(hidden, hid)],
                          f"{cats} AS __cats", f"{_levels_array(levels)} AS __lvls", f"explode({scope_arr}) AS __sc")
-    fanned = base.selectExpr("*", "explode(__cats) AS __cat").selectExpr("*", "explode(__lvls) AS __lvl")
     group = [*keys, *ORG_NAMES, "Category", "Variable", "AppointmentType", "Dosage", flag_col, *hid]
-    flat = fanned.selectExpr(
-        *[q(k) for k in keys], *[f"__lvl.{n} AS {n}" for n in ORG_NAMES], "__cat.Category AS Category",
-        "__cat.Variable AS Variable", "__sc.AppointmentType AS AppointmentType", "__sc.Dosage AS Dosage",
-        f"__sc.{q(flag_col)} AS {q(flag_col)}", *hid, *[f"__sc.{q(m)} AS {q(m)}" for m in measures])
+    cells = [*[q(k) for k in keys], "__cat.Category AS Category", "__cat.Variable AS Variable",
+             "__sc.AppointmentType AS AppointmentType", "__sc.Dosage AS Dosage", f"__sc.{q(flag_col)} AS {q(flag_col)}",
+             *hid, *[f"__sc.{q(m)} AS {q(m)}" for m in measures], "__lvls"]
+    fanned = base.selectExpr("*", "explode(__cats) AS __cat").selectExpr(*cells)
+    if finest_first:
+        fine = [c for c in group if c not in ORG_NAMES]
+        fanned = fanned.groupBy(*fine, "__lvls").agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
+    flat = fanned.selectExpr("*", "explode(__lvls) AS __lvl").selectExpr(
+        *[q(c) for c in group if c not in ORG_NAMES], *[f"__lvl.{n} AS {n}" for n in ORG_NAMES], *[q(m) for m in measures])
     out = flat.groupBy(*group).agg(*[F.expr(f"sum({q(m)}) AS {q(m)}") for m in measures])
     return out.selectExpr(*[q(k) for k in keys], "OrgType", "OrgName", "OrgCode", "Region", "Category",
                           "Variable", "AppointmentType", "Dosage", q(flag_col), *[q(m) for m in measures])

@@ -18,11 +18,12 @@ from monthwise.functions.flags import (condition_flag, days_open_bands, in_perio
 from monthwise.functions.recode import (band, problem_descriptor, protected_characteristics_sql, recode,
                                         sexual_orientation_sql, status_labels_sql)
 from monthwise.operators.contacts import qualifying_contact_count
+from monthwise.operators.distinct import distinct_counts, distinct_partials, merge_partials
 from monthwise.operators.lookups import current_lookup, duplicate_current_codes, remap_successor, snapshot_lookup
 from monthwise.operators.pairing import pair_first_last, score_distribution
 from monthwise.operators.periods import reporting_window, resolve_period, slice_period
 from monthwise.operators.publish import publish, read_published
-from monthwise.operators.ranking import first_last_ranks, latest_by_date_then_priority, pick_first, rank_within
+from monthwise.operators.ranking import first_last_ranks, latest_by_date_then_priority, pick_first, rank_in_shares, rank_within
 from monthwise.operators.releases import Releases
 from monthwise.operators.rollup import appointment_scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_audit_rows, latest_submission
@@ -85,6 +86,13 @@ def q_rank_within_key(spark, sf_dir):
     return rank_within(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], "EventRank")
 
 
+def q_rank_hot_key(spark, sf_dir):
+    """Three keys, each with a large share of all rows: ranked in shares with counted offsets."""
+    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return rank_in_shares(li, ["l_returnflag"], [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(),
+                                                 F.col("l_linenumber").asc()], "PriceRank")
+
+
 def q_pick_latest_left_join(spark, sf_dir):
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_name")
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -321,6 +329,16 @@ def q_release_months(spark, sf_dir):
     return releases.read("Orders").join(releases.read("Customers"), ["Month", "o_orderstatus"])
 
 
+def q_distinct_over_months(spark, sf_dir):
+    """Customers per order status and priority: one partial table a year, merged, then counted; some ids are no numbers."""
+    o = _read(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate").selectExpr(
+        "o_orderstatus", "o_orderpriority", "year(o_orderdate) AS y",
+        "CASE WHEN o_custkey % 11 = 0 THEN 'C' || o_custkey ELSE CAST(o_custkey AS STRING) END AS id")
+    keys = ["o_orderstatus", "o_orderpriority"]
+    parts = [distinct_partials(o.where(years), keys, "id") for years in ("y < 1994", "y BETWEEN 1994 AND 1996", "y > 1996")]
+    return distinct_counts(merge_partials(parts, keys), keys, "Customers")
+
+
 def q_duplicate_current_codes(spark, sf_dir):
     """Order customers as a dimension keyed by nation: every nation with several current rows is reported."""
     dim = _read(spark, sf_dir, "customer", "c_nationkey", "c_acctbal").withColumn(
@@ -332,6 +350,8 @@ OPERATOR_QUERIES = {
     "publish_indicator": q_publish_indicator,
     "publish_created_then_appended": q_publish_created_then_appended,
     "release_months": q_release_months,
+    "distinct_over_months": q_distinct_over_months,
+    "rank_hot_key": q_rank_hot_key,
     "duplicate_current_codes": q_duplicate_current_codes,
     "reporting_window": q_reporting_window,
     "period_slice_month": q_period_slice_month,

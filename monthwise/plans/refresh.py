@@ -17,12 +17,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from monthwise.operators.publish import publish
 from monthwise.operators.releases import Releases
 from monthwise.operators.submissions import latest_submission
-from monthwise.plans import assessments, clinical, indicator, status, student
+from monthwise.plans import assessments, clinical, incremental as incremental_plan, indicator, status, student
 from monthwise.plans.common import RunParams, contact_counts, period_for, used_referrals
 from monthwise.sources.tables import Sources
 
@@ -56,18 +57,25 @@ PUBLISHED = {
 TABLES = {name: p.mode for name, p in PUBLISHED.items()}
 
 
-def build_tables(src: Sources, params: RunParams) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """The ten published DataFrames, sharing persisted stages."""
+def build_tables(src: Sources, params: RunParams,
+                 back_series: bool = True) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """The ten published DataFrames (without T1-T3 unless ``back_series``), sharing persisted stages."""
     p = period_for(src, params)
     params = replace(params, period=p)    # one period for all tables of the run
-    refs = latest_submission(used_referrals(src), src.submissions, p.floor, p.start).select("PathwayID")
+    first = p.floor if back_series else p.start
+    refs = latest_submission(used_referrals(src), src.submissions, first, p.start).select("PathwayID")
     counts = contact_counts(src, refs).persist(StorageLevel.MEMORY_AND_DISK)
-    sbase = status.status_base(src, params, counts).persist(StorageLevel.MEMORY_AND_DISK)
     cbase = clinical.clinical_base(src, params, counts).persist(StorageLevel.MEMORY_AND_DISK)
-    tables = {
-        "FirstAndLastEmp": status.first_and_last_status(src, params, base=sbase),
-        "Benefits": status.benefits(src, params, base=sbase),
-        "FinishedTreatmentAndEmpSupp": status.finished_treatment(src, params, base=sbase),
+    tables, stages = {}, [counts, cbase]
+    if back_series:
+        sbase = status.status_base(src, params, counts).persist(StorageLevel.MEMORY_AND_DISK)
+        stages.append(sbase)
+        tables = {
+            "FirstAndLastEmp": status.first_and_last_status(src, params, base=sbase),
+            "Benefits": status.benefits(src, params, base=sbase),
+            "FinishedTreatmentAndEmpSupp": status.finished_treatment(src, params, base=sbase),
+        }
+    tables |= {
         "ActiveEAProviders": clinical.active_providers(src, params, base=cbase),
         "OpenRefsNoContact": clinical.open_refs_no_contact(src, params, base=cbase),
         "ClinOutcomes": clinical.clinical_outcomes(src, params, base=cbase),
@@ -76,7 +84,7 @@ def build_tables(src: Sources, params: RunParams) -> tuple[dict[str, DataFrame],
         "PresenteeismCoverage": assessments.assessment_coverage(src, params),
         "Student": student.student(src, params),
     }
-    return tables, [counts, sbase, cbase]
+    return tables, stages
 
 
 def run_monthly(src: Sources, params: RunParams, out_dir: str | None = None, database: str | None = None) -> dict[str, str]:
@@ -99,22 +107,47 @@ def run_monthly(src: Sources, params: RunParams, out_dir: str | None = None, dat
     return where
 
 
-def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root: str,
-                    database: str | None = None) -> dict[str, dict]:
+def _observed_lookup(dim: DataFrame, code: str) -> tuple[DataFrame, Observation]:
+    """A dimension that reports its current rows and the codes that have several, wherever it is next read."""
+    current = "Effective_To IS NULL"
+    seen = Observation()
+    marked = dim.selectExpr("*", f"{current} AS __current",
+                            f"ROW_NUMBER() OVER (PARTITION BY {code}, {current} ORDER BY {code}) AS __copy")
+    # A code with several current rows has exactly one second row.
+    return marked.observe(seen, F.expr(f"count_if(__current) AS current_rows"),
+                          F.expr("count_if(__current AND __copy = 2) AS duplicate_codes")).drop("__current", "__copy"), seen
+
+
+def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root: str, database: str | None = None,
+                    incremental: bool = True) -> dict[str, dict]:
     """Release all ten tables under ``root`` together, and as catalog views where ``database`` is named.
 
-    Returns per table what was observed while it was written (``rows``).
+    With ``incremental``, T1-T3 of a root that has a release already are recomputed for touched months only
+    (``plans.incremental``).  Returns what was observed while the tables were written, without another job: ``rows``
+    per table, and ``current_rows`` and ``duplicate_codes`` of the two hierarchies (a duplicate code repeats rows).
     """
     releases = Releases(spark, root)
     run = releases.begin()
-    tables, stages = build_tables(src, params)
+    params = replace(params, period=period_for(src, params))
+    p = params.period
+    _, parts = releases.current()
+    months = None
+    if incremental and incremental_plan.SNAPSHOT in parts:
+        months = incremental_plan.touched_months(src, releases.read(incremental_plan.SNAPSHOT), p)
+    comm, comm_seen = _observed_lookup(src.comm_hierarchy, "Organisation_Code")
+    prov, prov_seen = _observed_lookup(src.prov_hierarchy, "Organisation_Code")
+    watched = replace(src, comm_hierarchy=comm, prov_hierarchy=prov)
+    tables, stages = build_tables(watched, params, back_series=months is None)
     try:
         for name, df in tables.items():
             run.write(name, df, PUBLISHED[name].mode, casts=PUBLISHED[name].casts)
+        for name, (df, replaced) in (incremental_plan.status_tables(src, params, months) if months else {}).items():
+            run.write(name, df, "append_month", casts=PUBLISHED[name].casts, replaces=replaced)
     finally:
         for s in stages:
             s.unpersist()
+    run.write(incremental_plan.SNAPSHOT, incremental_plan.audit_snapshot(src, p), month_col="ReportingPeriodStartDate")
     run.commit()
     if database is not None:
-        releases.register(database, list(tables))
-    return run.metrics
+        releases.register(database, list(PUBLISHED))
+    return run.metrics | {"commissioner hierarchy": comm_seen.get, "provider hierarchy": prov_seen.get}

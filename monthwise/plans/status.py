@@ -15,6 +15,7 @@ from monthwise.functions.flags import flag_sql, in_period_sql, q, same_value_fla
 from monthwise.functions import labels as L
 from monthwise.functions.recode import protected_characteristics_sql, status_recodes
 from monthwise.operators.contacts import by_record
+from monthwise.operators.membership import MemberFilter
 from monthwise.operators.pairing import pair_first_last
 from monthwise.operators.ranking import first_last_ranks
 from monthwise.operators.rollup import org_rollup
@@ -38,11 +39,16 @@ RANK_KEYS = ["Person_ID", "PathwayID", "RecordNumber"]
 RANK_TIEBREAK = [c for c in BASE_COLUMNS if c not in (*RANK_KEYS, "EmployStatusRecDate")]
 
 
-def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None) -> DataFrame:
+def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None,
+                pathways: DataFrame | None = None) -> DataFrame:
     """DISTINCT status rows with labels, characteristics and geography, ranked
-    (``EmpFirstRecord`` ascending, ``EmpLastRecord`` descending by date)."""
+    (``EmpFirstRecord`` ascending, ``EmpLastRecord`` descending by date).
+
+    With ``pathways``, all rows of these pathways, and maybe those of others."""
     p = period_for(src, params)
     r = used_referrals(src).where(true_sql("CompletedTreatment_Flag"))
+    if pathways is not None:
+        r = MemberFilter(pathways, "PathwayID").keep(r, "PathwayID")
     r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period_sql("ServDischDate"))
     emp = by_record(keep_latest_audits(src.empstatus, src.submissions, p.floor, p.start).selectExpr(
         "RecordNumber AS __e_rec", "AuditId AS __e_aid", "UniqueID_IDS004", "EmployStatusRecDate",

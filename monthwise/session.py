@@ -48,6 +48,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def join_on_stored_partitioning(spark: SparkSession) -> None:
+    """Let joins on several keys use a partitioning by one of them.
+
+    Facts are partitioned (or stored) by record number; joins on record, audit and contact need no other exchange.  By
+    default Spark deals both sides again by all keys of such a join.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; executors and driver must both reach it."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from monthwise.session import join_on_stored_partitioning
 from monthwise.sources.fixture import FIXTURE_TABLES, spark_tables
 
 _TYPES = {
@@ -81,6 +82,7 @@ class Sources:
     @classmethod
     def from_parquet(cls, spark: SparkSession, base_dir: str) -> "Sources":
         """Domain tables stored as ``{base_dir}/{table}/`` parquet folders."""
+        join_on_stored_partitioning(spark)
         return cls.from_tables({
             name: spark.read.schema(SCHEMAS[name]).parquet(f"{base_dir}/{name}")
             for name in cls._NAMES.values()

@@ -29,3 +29,11 @@ FROM orders GROUP BY ALL
 """
 ORACLE["publish_created_then_appended"] = lambda: _MONTH_TOTALS
 ORACLE["release_months"] = lambda: _MONTH_TOTALS
+ORACLE["distinct_over_months"] = lambda: """
+SELECT o_orderstatus, o_orderpriority, count(DISTINCT o_custkey) AS "Customers" FROM orders GROUP BY ALL
+"""
+ORACLE["rank_hot_key"] = lambda: """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, row_number() OVER (
+  PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS "PriceRank"
+FROM lineitem
+"""
