@@ -19,11 +19,12 @@ def packed(df: DataFrame, text: str, size: int, name: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq, held, held_bytes = 0, [], 0
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
 
         def row() -> pa.RecordBatch:
             nonlocal seq
             table, sink = pa.Table.from_batches(held), pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, table.schema, options=options) as out:
                 out.write_table(table.combine_chunks())
             number, seq = TaskContext.get().partitionId() << 32 | seq, seq + 1
             return pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int64()),

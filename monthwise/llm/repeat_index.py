@@ -2,16 +2,19 @@
 
 Method: run-length index (a run-compressed Burrows-Wheeler transform with sampled run ends).
 
-1. Documents are written as packed batches of about ``BATCH_BYTES``, read twice.  In every window of ``length`` bytes the ``ANCHOR`` bytes with the smallest hash are its anchor; consecutive windows with one anchor form
-   a context of at most 2 * length - ANCHOR bytes.  Equal windows have equal anchors at equal places.
-2. A batch sends each distinct context once, with its smallest id, to the bucket of its anchor, packed.
-3. A bucket lays contexts with a common anchor one after another, sorts their suffixes, and keeps of the transform only
+1. Documents are written as packed batches of about ``BATCH_BYTES``.  In every window of ``length`` bytes the ``ANCHOR``
+   bytes with the smallest hash are its anchor; consecutive windows with one anchor form a context of at most
+   2 * length - ANCHOR bytes.  Equal windows have equal anchors at equal places.
+2. Batches send short hashes of their anchors; buckets answer which of them other batches have too (a hash shared by
+   chance only lets more through).  Only contexts of anchors that occur twice go on.
+3. A batch sends each distinct context once, with its smallest id, to the bucket of its anchor, packed.
+4. A bucket lays contexts with a common anchor one after another, sorts their suffixes, and keeps of the transform only
    its run heads: text position, the position of the suffix before (where the last run ends) and their common length.
    Streaming over the text, every other position's neighbour and matching length follow from the last sample.  Matches
    of ``length`` bytes link windows into classes; a window whose class has a smaller id is marked.
-4. An anchor with more than ``HOT`` distinct contexts is dealt again, in halves of where windows start before it, each
+5. An anchor with more than ``HOT`` distinct contexts is dealt again, in halves of where windows start before it, each
    by the longer text that all its windows share, until a share is small or a single window.
-5. Marks meet their batch and merge into maximal removed spans.
+6. Marks meet their batch and merge into maximal removed spans.
 """
 
 from __future__ import annotations
@@ -33,9 +36,9 @@ from monthwise.llm.words import U, mix
 
 ANCHOR = 16
 BATCH_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
-BLOCK = 1 << 20
-INDEX_BYTES = 4 << 20
+BUCKET_BYTES = 6 << 20
+BLOCK = 1 << 16
+INDEX_BYTES = 1 << 19
 HELD_BYTES = 64 << 20
 HOT = 8192
 PAIR = U(0x9E3779B97F4A7C15)
@@ -72,51 +75,49 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Contexts:
-    """Runs of windows with one anchor in a batch of documents, and the distinct texts among them.
+    """Runs of windows with one anchor in a batch of documents.
 
-    A run covers the windows from ``start`` to ``stop`` (of their first bytes); its anchor is ``place`` bytes in.
+    A run covers the windows from ``start`` to ``stop`` (of their first bytes); its anchor is ``place`` bytes in and has
+    the hash ``anchor``.
     """
 
-    def __init__(self, texts: list, ids: np.ndarray, has_id: np.ndarray, length: int, buckets: int):
-        raws = [t.encode() if t else b"" for t in texts]
+    def __init__(self, table: pa.Table, length: int):
+        raws = [t.encode() if t else b"" for t in table["text"].to_pylist()]
         self.size = np.fromiter(map(len, raws), np.int64, len(raws))
         self.begin = np.cumsum(self.size) - self.size
         self.raw = b"".join(raws)
         del raws
         ends = self.begin + self.size
-        start, stop, anchor, hashes = [], [], [], []
-        for a in range(0, max(len(self.raw) - length + 1, 0), BLOCK):
+        inside = np.ones(len(self.raw), dtype=bool)
+        for i, j, known in zip(self.begin.tolist(), ends.tolist(), table["id"].is_valid().to_pylist()):
+            inside[max(j - length + 1, i) if known else i:j] = False
+        start, stop, place, anchor = ([np.empty(0, t)] for t in (np.int64, np.int64, np.int64, U))
+        for a in range(0, max(len(self.raw) - length + 1, 0), BLOCK):  # blocks that fit a core's cache
             part = self.raw[a:a + BLOCK + length - 1]
+            own = np.flatnonzero(inside[a:a + len(part) - length + 1])
+            if not len(own):
+                continue
             n = len(part) - ANCHOR + 1
             words = _eights(part, len(part))
             h = mix(words[:n] * PAIR + mix(words[8:8 + n]))
             # Ties of the leading hash bits go to the first place, in every window alike.
             low = _least((h & ~U((1 << 22) - 1)) | np.arange(n, dtype=U), length - ANCHOR + 1)
-            at = np.arange(len(part) - length + 1)
-            doc = np.searchsorted(ends, at + a, side="right")
-            own = np.flatnonzero((at + a + length <= ends[doc]) & has_id[doc])
-            if not len(own):
-                continue
-            place = (low[own] & U((1 << 22) - 1)).astype(np.int64)
-            new = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(own) != 1)))
+            at = (low[own] & U((1 << 22) - 1)).astype(np.int64)
+            new = np.flatnonzero(np.append(True, (np.diff(at) != 0) | (np.diff(own) != 1)))
             start.append(own[new] + a)
             stop.append(own[np.append(new[1:], len(own)) - 1] + a)
-            anchor.append(place[new] + a)
-            hashes.append(h[place[new]])
-        join = lambda parts, dtype: np.concatenate(parts) if parts else np.empty(0, dtype)
-        self.start, self.stop = join(start, np.int64), join(stop, np.int64)
-        self.place = join(anchor, np.int64) - self.start
-        self.id = ids[np.searchsorted(ends, self.start, side="right")]
+            place.append(at[new] - own[new])
+            anchor.append(h[at[new]])
+        self.start, self.stop = np.concatenate(start), np.concatenate(stop)
+        self.place, anchor = np.concatenate(place), np.concatenate(anchor)
         # Anchors have small hashes by choice: scrambled again, they spread over all buckets.
-        bucket = ((mix(join(hashes, U), seed=1) >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-        seen: dict[bytes, int] = {}
-        self.number = np.fromiter((seen.setdefault(self.raw[i:j], len(seen)) for i, j in
-                                   zip(self.start.tolist(), (self.stop + length).tolist())), np.int64, len(self.start))
-        self.texts = list(seen)
-        first = np.unique(self.number, return_index=True)[1]
-        self.text_place, self.text_bucket = self.place[first], bucket[first]
-        self.least = np.full(len(self.texts), np.iinfo(np.int64).max)
-        np.minimum.at(self.least, self.number, self.id)
+        self.anchor = mix(anchor, seed=1)
+        self.id = table["id"].fill_null(0).to_numpy()[np.searchsorted(ends, self.start, side="right")]
+
+    def shares(self, buckets: int) -> np.ndarray:
+        """Bucket of each anchor and the 32 bits of its hash that tell anchors of a bucket apart, in one number."""
+        bucket = (self.anchor >> U(32)) * U(buckets) >> U(32)
+        return (bucket << U(32) | self.anchor & U(0xFFFFFFFF)).astype(np.int64)
 
 
 #: Contexts of one batch in one bucket (or marks for a batch); lo and hi: how far before the anchor windows may start.
@@ -361,28 +362,60 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = max(partitions(docs.sparkSession), -(-text_bytes(docs, text_col) // BUCKET_BYTES))
     far = length - ANCHOR
 
-    def contexts(table: pa.Table) -> Contexts:
-        return Contexts(table["text"].to_pylist(), table["id"].fill_null(0).to_numpy(),
-                        np.asarray(table["id"].is_valid()), length, buckets)
+    def contexts(raw) -> Contexts:
+        return Contexts(unpacked(raw.as_buffer()).select(["id", "text"]), length)
 
-    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, raw in zip(batch["batch"].to_pylist(), batch["rows"]):
-                found = contexts(unpacked(raw.as_buffer()).select(["id", "text"]))
-                by = np.argsort(found.text_bucket, kind="stable")
-                for own in np.split(by, np.flatnonzero(np.diff(found.text_bucket[by])) + 1):
-                    if len(own):
-                        yield pa.RecordBatch.from_pylist([_entries(
-                            int(found.text_bucket[own[0]]), number, 0, far, [found.texts[x] for x in own.tolist()],
-                            found.text_place[own], found.least[own], own, np.zeros(len(own)))], ARROW)
+                both = np.unique(contexts(raw).shares(buckets))
+                yield pa.RecordBatch.from_pylist([
+                    {"bucket": int(own[0] >> 32), "batch": number, "anchors": _zip(_steps(own & 0xFFFFFFFF), np.uint32)}
+                    for own in np.split(both, np.flatnonzero(np.diff(both >> 32)) + 1) if len(own)], ANCHORS)
+
+    def repeated(key: tuple, table: pa.Table) -> pa.Table:
+        each = [np.cumsum(_unzip(x, np.uint32), dtype=np.int64) for x in table["anchors"].to_pylist()]
+        value, times = np.unique(np.concatenate(each), return_counts=True)
+        again = value[times > 1]
+        kept = [_zip(_steps(own[np.isin(own, again, assume_unique=True)]), np.uint32) for own in each]
+        return pa.table({"bucket": table["bucket"], "batch": table["batch"], "anchors": pa.array(kept, pa.binary())})
+
+    def sent(key: tuple, batch: pa.Table, answers: pa.Table) -> pa.Table:
+        number, found = key[0].as_py(), contexts(batch["rows"][0])
+        share = found.shares(buckets)
+        elsewhere = [np.empty(0, np.int64), *(b << 32 | np.cumsum(_unzip(x, np.uint32), dtype=np.int64) for b, x in
+                                              zip(answers["bucket"].to_pylist(), answers["anchors"].to_pylist()))]
+        _, inverse, times = np.unique(share, return_inverse=True, return_counts=True)
+        run = np.flatnonzero(np.isin(share, np.concatenate(elsewhere)) | (times[inverse] > 1))
+        seen: dict[bytes, int] = {}
+        text = np.fromiter((seen.setdefault(found.raw[i:j], len(seen)) for i, j in zip(
+            found.start[run].tolist(), (found.stop[run] + length).tolist())), np.int64, len(run))
+        texts, first = list(seen), run[np.unique(text, return_index=True)[1]]
+        least = np.full(len(texts), np.iinfo(np.int64).max)
+        np.minimum.at(least, text, found.id[run])
+        # What the batch knows by itself: runs that repeat a context of it, and those with a larger id than another.
+        whole = found.id[run] > least[text]
+        told = np.flatnonzero(whole | (first[text] != run))
+        out = [{"batch": number, "bucket": number % buckets, "numbers": _zip(_steps(run[told]), np.int64),
+                "ids": _zip(first[text[told]], np.int64), "shifts": _zip(whole[told], np.uint16)}] if len(told) else []
+        bucket = share[first] >> 32
+        by = np.argsort(bucket, kind="stable")
+        for own in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
+            if len(own):
+                out.append(_entries(int(bucket[own[0]]), number, 0, far, [texts[x] for x in own.tolist()],
+                                    found.place[first[own]], least[own], first[own], np.zeros(len(own))))
+        return pa.Table.from_pylist(out, ARROW)
 
     def answered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(length, buckets)
         for batch in batches:
-            for i in range(batch.num_rows):
-                held.add(batch.slice(i, 1).to_pylist()[0])
-                for row in held.overflow(last=False):
+            for row in batch.to_pylist():
+                if row["texts"] is None:
                     yield pa.RecordBatch.from_pylist([row], ARROW)
+                    continue
+                held.add(row)
+                for more in held.overflow(last=False):
+                    yield pa.RecordBatch.from_pylist([more], ARROW)
         for row in held.overflow(last=True):
             yield pa.RecordBatch.from_pylist([row], ARROW)
         for row in held.answers():
@@ -392,18 +425,23 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(key: tuple, batch: pa.Table, answers: pa.Table) -> pa.Table:
         table = unpacked(batch["rows"][0].as_buffer())
-        found = contexts(table)
-        marks = np.zeros(len(found.texts), dtype=U)
-        for numbers, shifts, bits in zip(*(answers[c].to_pylist() for c in ("numbers", "shifts", "marks"))):
-            np.bitwise_or.at(marks, np.cumsum(_unzip(numbers, np.int64)),
-                             _unzip(bits, np.uint64) << _unzip(shifts, np.uint16).astype(U))
-        whole = found.id > found.least[found.number]
+        found = Contexts(table, length)
+        marks, whole = np.zeros(len(found.start), dtype=U), np.zeros(len(found.start), dtype=bool)
+        answers = answers.to_pylist()
+        for row in answers:
+            if row["marks"] is not None:
+                np.bitwise_or.at(marks, np.cumsum(_unzip(row["numbers"], np.int64)),
+                                 _unzip(row["marks"], np.uint64) << _unzip(row["shifts"], np.uint16).astype(U))
+        for row in answers:
+            if row["marks"] is None:
+                run = np.cumsum(_unzip(row["numbers"], np.int64))
+                marks[run] = marks[_unzip(row["ids"], np.int64)]
+                whole[run] = _unzip(row["shifts"], np.uint16) > 0
         change = np.zeros(len(found.raw) + 1, dtype=np.int32)
         np.add.at(change, found.start[whole], 1)
         np.add.at(change, found.stop[whole] + length, -1)
-        part = np.flatnonzero(~whole & (marks[found.number] != 0))
-        bits = np.unpackbits(marks[found.number[part]].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1,
-                             bitorder="little")
+        part = np.flatnonzero(~whole & (marks != 0))
+        bits = np.unpackbits(marks[part].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         run, place = np.nonzero(bits)
         at = found.start[part[run]] + place
         np.add.at(change, at, 1)
@@ -415,23 +453,27 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)).tolist()
             spans.append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
             removed.append(int(own.sum()))
-            kept.append(raw[i:j][~own].tobytes())
+            kept.append(raw[i:j][~own].tobytes() if edges else found.raw[i:j])
         return pa.table({n: table[n] for n in ("id", *carried)} | {
             "n_bytes": pa.array(found.size, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
             "kept": pa.array(kept, pa.binary()), "removed": pa.array(spans, _SPANS)})
 
-    todo, marks = batches.mapInArrow(sent, ENTRIES), None
+    short = "bucket long, batch long, anchors binary"
+    elsewhere = batches.mapInArrow(anchors, short).groupBy("bucket").applyInArrow(repeated, short)
+    todo = batches.groupBy("batch").cogroup(elsewhere.groupBy("batch")).applyInArrow(sent, ENTRIES)
+    answers = None
     while True:
         done = written(todo.groupBy("bucket").applyInArrow(answered, ENTRIES), "repeats")
-        part = done.where("marks IS NOT NULL").select("batch", "numbers", "shifts", "marks")
-        marks = part if marks is None else marks.unionByName(part)
-        todo = done.where("marks IS NULL")
+        part = done.where("texts IS NULL").select("batch", "numbers", "ids", "shifts", "marks")
+        answers = part if answers is None else answers.unionByName(part)
+        todo = done.where("texts IS NOT NULL")
         if todo.isEmpty():
             break
-    out = batches.groupBy("batch").cogroup(marks.groupBy("batch")).applyInArrow(cut, out_schema)
+    out = batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(cut, out_schema)
     return out.select(F.col("id").alias(id_col), *[F.col(n).alias(c) for c, n in zip(carry, carried)],
                       "n_bytes", "n_removed", "kept", "removed")
 
 
+ANCHORS = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("anchors", pa.binary())])
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _OUT = "n_bytes long, n_removed long, kept binary, removed array<struct<start:long,end:long>>"
