@@ -1,20 +1,21 @@
 """Packing by optimal length buckets.
 
-The histogram of lengths (exact up to 8192, then within 1/4096) goes to the driver: its size depends on the longest
-text, not on the number of documents.  Dynamic programming over it chooses at most ``buckets`` boundaries so that
+The exact histogram of lengths goes to the driver.  Different lengths are few: as many need at least half their
+square of tokens, so all texts together, T tokens, have at most sqrt(2 T) of them.  Dynamic programming over it chooses at most ``buckets`` boundaries so that
 padding every document to its boundary adds the fewest tokens in all.  Inside a bucket, documents form batches of at
-most ``budget`` padded tokens.  Positions in a bucket are counted in shares (by a hash of the id) and offset by the
+most ``budget`` padded tokens.  Positions in a bucket are counted in shares (by a number given to each row) and offset by the
 shares before, so no task holds a whole bucket.
 """
 
 from __future__ import annotations
 
+from array import array
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import col, partitions, without, written
 
-EXACT = 8192
 SHARE_ROWS = 100_000
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -24,12 +25,6 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")).cast("long")
 
 
-def binned(length: Column) -> Column:
-    """The length rounded up to its bin: itself up to EXACT, then multiples of a 4096th of its power of two."""
-    step = F.when(length <= EXACT, 1).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(length)) - 12)).cast("long")
-    return (F.ceil(length / step) * step).cast("long")
-
-
 def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
     """Boundaries (ascending, the last is the longest length) with the least padding over ``(length, count)`` pairs.
 
@@ -45,7 +40,7 @@ def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]
         tokens.append(tokens[-1] + n * k)
     m = len(lengths)
     best = [0] + [lengths[j - 1] * count[j] - tokens[j] for j in range(1, m + 1)]
-    starts = [[0] * (m + 1)]
+    starts = [array("l", [0]) * (m + 1)]
     for _ in range(1, min(buckets, m)):
         hull: list[tuple[int, int, int]] = []  # (slope, height, start) with falling slopes
         at, now, start = 0, [0] * (m + 1), [0] * (m + 1)
@@ -65,7 +60,7 @@ def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]
             now[j] = hull[at][0] * x + hull[at][1] + x * count[j] - tokens[j]
             start[j] = hull[at][2]
         best = now
-        starts.append(start)
+        starts.append(array("l", start))
     ends, j = [], m
     for start in reversed(starts):
         if j == 0:
@@ -79,14 +74,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
          length: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Put every document into a batch of documents of like length.
 
-    ``length`` is any whole-number column (default: the words of the text).  Returns per input row: the id,
+    ``length`` is any whole-number column (default: the words of the text, so the budget is in words; for a model's
+    tokens pass their counts).  Returns per input row: the id,
     ``carry`` columns, ``length``, ``bucket`` (from 0, ascending lengths), ``padded`` (the bucket's boundary),
     ``batch`` (from 0 inside the bucket) and ``slot`` (from 0 inside the batch).  A batch holds
     ``max(1, budget // padded)`` documents, the last of a bucket perhaps fewer; a document longer than the budget is
     a batch of its own, whole.
 
     Null and empty texts have length 0 and are packed too, so are rows with a null id; a negative or null length
-    counts as 0.  Equal ids, ties and repeated rows take neighbouring slots in any order.  An empty table gives an
+    counts as 0.  Equal ids, ties and repeated rows take their slots in any order.  An empty table gives an
     empty result.  Columns not named are dropped, and a result
     column takes the place of a carried one of its name.
     """
@@ -96,19 +92,20 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     carried = [f"carry{i}" for i in range(len(carry))]
     rows = docs.select(col(id_col).alias("id"), measure.cast("long").alias("length"),
                        *[col(c).alias(n) for c, n in zip(carry, carried)])
-    rows = written(rows, "lengths")  # lengths are measured once
+    # Lengths are measured once.  A written number for each row spreads rows that are alike over all shares.
+    rows = written(rows.withColumn("spread", F.xxhash64(F.monotonically_increasing_id())), "lengths")
     histogram = [(r["n"], r["k"]) for r in
-                 rows.groupBy(binned(F.col("length")).alias("n")).agg(F.count("*").alias("k")).collect()]
+                 rows.groupBy(F.col("length").alias("n")).agg(F.count("*").alias("k")).collect()]
     ends = best_boundaries(histogram, buckets) or [0]
     shares = max(partitions(spark), -(-sum(k for _, k in histogram) // SHARE_ROWS))
-    bucket = F.coalesce(*[F.when(binned(F.col("length")) <= end, i) for i, end in enumerate(ends)])
+    bucket = F.coalesce(*[F.when(F.col("length") <= end, i) for i, end in enumerate(ends)])
     padded = F.element_at(F.array(*[F.lit(end).cast("long") for end in ends]), F.col("bucket") + 1)
     placed = (rows.withColumn("bucket", bucket).withColumn("padded", padded)
-              .withColumn("share", F.pmod(F.xxhash64("id", "length"), F.lit(shares))))
+              .withColumn("share", F.pmod("spread", F.lit(shares))))
     sizes = placed.groupBy("bucket", "share").agg(F.count("*").alias("k"))
     before = Window.partitionBy("bucket").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "share", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket", "share").orderBy("id", "length")
+    inside = Window.partitionBy("bucket", "share").orderBy("spread")
     counted = placed.withColumn("at", F.row_number().over(inside) - 1).join(offsets, ["bucket", "share"])
     place = F.col("offset") + F.col("at")
     capacity = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("padded", F.lit(1)))).cast("long")
