@@ -1,9 +1,9 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The windows of the benchmark (``window`` consecutive words; a shorter item is one window) form a hash table that is
-broadcast while their count, taken first, stays within ``BROADCAST_WINDOWS``; a larger benchmark is joined by
-shuffle.  Every window of every document is hashed in one pass of generated code and looked up; equal hashes are
-verified on the words.  Only hits are shuffled.
+The windows of the benchmark (``window`` consecutive words; a shorter item is one window) form a hash table.  Every
+window of every document is hashed in one pass of generated code and looked up; equal hashes are verified on the words.
+Spark broadcasts the table by its size in bytes, and then only hits are shuffled; beyond that size both sides are dealt
+by the hash, a document's window travelling with its own words alone, so bytes grow with the text, not with its square.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from monthwise.llm.common import col, without
 
-BROADCAST_WINDOWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -52,20 +51,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     column takes the place of a carried one of its name.
     """
     carry = without(carry, id_col, "n_words", "n_hit", "n_items", "items", "spans", "contaminated")
-    found = benchmark_windows(benchmark, item_col, item_text, window).cache()
-    try:
-        sizes = {r["len"]: r["n"] for r in found.groupBy("len").agg(F.count("*").alias("n")).collect()}
-    finally:
-        found.unpersist()
-    looked_up = F.broadcast(found) if sum(sizes.values()) <= BROADCAST_WINDOWS else found
+    found = benchmark_windows(benchmark, item_col, item_text, window)
+    lengths = [r["len"] for r in found.select("len").distinct().collect()]  # ``window`` at most
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("h"), words(col(text_col)).alias("w"))
     at = rows.select("id", "h", "w", F.posexplode("w").alias("p", "first")).drop("first")
-    if len(sizes) == 1:
-        at = at.withColumn("n", F.lit(next(iter(sizes))))
+    if len(lengths) == 1:
+        at = at.withColumn("n", F.lit(lengths[0]))
     else:
-        at = at.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>")))
-    at = at.where("p + n <= size(w)").withColumn("key2", F.expr("xxhash64(slice(w, p + 1, n))"))
-    hits = at.join(looked_up, F.expr("key2 = key AND n = len AND slice(w, p + 1, n) = seq"))
+        at = at.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>")))
+    at = at.where("p + n <= size(w)").select("id", "h", "p", "n", F.expr("slice(w, p + 1, n)").alias("own"))
+    hits = at.withColumn("key2", F.xxhash64("own")).join(found, F.expr("key2 = key AND n = len AND own = seq"))
     per_doc = hits.select("id", "h", "p", "n", "items").groupBy("id", "h").agg(
         F.sort_array(F.collect_set(F.struct("p", (F.col("p") + F.col("n")).alias("e")))).alias("all"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
