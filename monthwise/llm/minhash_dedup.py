@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from monthwise.llm.common import col, written
+from monthwise.llm.common import col, without, written
 from monthwise.llm.components import components
 from monthwise.llm.words import U, mix, pieces, shingle_sets
 
@@ -69,7 +70,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: int, bins: int, orders: np.nda
     return sig
 
 
-def _sketch(shingle: int, bands: int, rows: int):
+def _sketch(shingle: int, bands: int, rows: int, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = _orders(bands * rows)
         odd = mix(np.arange(1, rows + 1, dtype=U), 1) | U(1)
@@ -89,8 +90,9 @@ def _sketch(shingle: int, bands: int, rows: int):
                 ends = np.concatenate(([0], np.cumsum((size > 0) * bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], pa.array(size, pa.int64()), pa.array(fp[0]), pa.array(fp[1]),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))],
-                    ["id", "n", "fp1", "fp2", "keys"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64))),
+                     *[part[c] for c in carried]],
+                    ["id", "n", "fp1", "fp2", "keys", *carried])
     return run
 
 
@@ -133,12 +135,12 @@ def _confirm(shingle: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80) -> DataFrame:
+                    percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
     """Link documents with ``100 * |A & B| >= percent * |A | B|`` on their sets of ``shingle``-word shingles.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; with fewer words than ``shingle`` the whole sequence
-    is the one shingle.  Returns per input row: the id, ``n_shingles``, ``component_id`` (smallest id reachable,
-    itself included) and ``kept`` (id = component_id).
+    is the one shingle.  Returns per input row: the id, ``carry`` columns (narrow ones: they are written along),
+    ``n_shingles``, ``component_id`` (smallest id reachable, itself included) and ``kept`` (id = component_id).
 
     Null, empty and blank texts: ``n_shingles`` 0, linked with nothing, kept.  Null id: the row takes no part,
     ``component_id`` null and ``kept`` true.  Repeated rows are linked like any copies; texts that share an id are
@@ -146,9 +148,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives an empty result.  Other columns are dropped, so extra names can't clash; ids are integers.
     """
     bands, rows = bands_for(percent)
-    rows_in = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
-    sketch = written(rows_in.mapInArrow(_sketch(shingle, bands, rows),
-                                        "id long, n long, fp1 long, fp2 long, keys array<long>"), "sketch")
+    carry = without(carry, id_col, "n_shingles", "component_id", "kept")
+    carried = [f"carry{i}" for i in range(len(carry))]
+    rows_in = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"),
+                          *[col(c).alias(n) for c, n in zip(carry, carried)])
+    fields = StructType.fromDDL("id long, n long, fp1 long, fp2 long, keys array<long>").fields
+    sketch = written(rows_in.mapInArrow(_sketch(shingle, bands, rows, carried),
+                                        StructType([*fields, *[rows_in.schema[n] for n in carried]])), "sketch")
+    rows_in = rows_in.select("id", "text")
     known = sketch.where("n > 0 AND id IS NOT NULL")
     smallest = math.ceil(percent / (100 - percent)) if percent < 100 else 2 ** 62
     classes = known.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep"))
@@ -184,11 +191,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         each = now.groupBy("key", "c").agg(F.min(F.struct("rep", "n", "at")).alias("r"), F.count("*").alias("k"))
         shares = (each.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(centres)).alias("share"))
                   .agg(F.min(F.struct("k", "r", "c")).alias("pick"), F.min("c").alias("lo"), F.max("c").alias("hi")))
-        of_key = Window.partitionBy("key")  # at most ``centres`` rows
-        shares = (shares.withColumn("lo", F.min("lo").over(of_key)).withColumn("hi", F.max("hi").over(of_key))
-                  .where("lo != hi")
-                  .select("key", F.struct("pick.r.rep", "pick.r.n", "pick.r.at", "pick.c").alias("centre")))
-        shares = written(shares, "centres")
+        shares = written(shares, "shares")
+        # Combined before the shuffle: a key with many shares is no large group.
+        torn = shares.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("key")
+        shares = written(shares.join(torn, "key", "left_semi").select(
+            "key", F.struct("pick.r.rep", "pick.r.n", "pick.r.at", "pick.c").alias("centre")), "centres")
         if shares.isEmpty():
             break
         paired = now.join(shares, "key")
@@ -207,5 +214,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component"))
     out = sketch.drop("keys").join(per_class, ["fp1", "fp2", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select(F.col("id").alias(id_col), *[F.col(n).alias(c) for c, n in zip(carry, carried)],
+                      F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
