@@ -11,6 +11,7 @@ is not inflated where ``sl`` allows a seek, and never decoded otherwise.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import struct
 import uuid
@@ -182,19 +183,43 @@ class WarcReader(DataSourceReader):
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    def _row(self, values: dict, block: bytes) -> dict:
-        """The record's columns from its headers and its whole block (or the block's HTTP headers alone)."""
-        http, _, body = block.partition(b"\r\n\r\n")
-        size = next(int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.lower() == b"content-length")
+    def _row(self, values: dict, found: dict, block: bytes) -> dict:
+        """The record's columns from its headers and its whole block (or as much of it as holds its HTTP headers).
+
+        An HTTP message's payload is what follows its headers, as it is stored (a chunked body stays chunked); of any
+        other record it is the block.  A revisit has none: its size is the one that its HTTP headers name.
+        """
+        length, size, body = int(found["content-length"]), None, block
+        if self._is_http(found):
+            http, blank, body = block.partition(b"\r\n\r\n")
+            named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")[1:])}
+            size = max(length - len(http) - len(blank), 0)
+            if values["record_type"] == "revisit" and named.get(b"content-length", b"").isdigit():
+                size = int(named[b"content-length"])
+        else:
+            size = length
         if self.verify and values["record_type"] == "response":
-            if len(body) != size or hashlib.sha256(body).hexdigest() != values["payload_digest"]:
-                raise ValueError(f"{values['record_id']}: the payload doesn't match its digest")
-        response = values["record_type"] == "response"
-        return values | {"payload_bytes": size, "payload": body if self.payload and response else None}
+            self._check(values, found, body, size)
+        revisit = values["record_type"] == "revisit"
+        return values | {"payload_bytes": size, "payload": body if self.payload and not revisit else None}
 
     @staticmethod
-    def _headers(raw: bytes) -> tuple[dict, int]:
-        lines = raw.decode("utf-8").split("\r\n")
+    def _is_http(found: dict) -> bool:
+        return found.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+
+    @staticmethod
+    def _check(values: dict, found: dict, body: bytes, size: int) -> None:
+        """Digests that are known by their label: sha256 as hex, sha1 as base 32 (the usual one of crawls)."""
+        label = found.get("warc-payload-digest", "").partition(":")[0].strip().lower()
+        have = {"sha256": lambda: hashlib.sha256(body).hexdigest(),
+                "sha1": lambda: base64.b32encode(hashlib.sha1(body).digest()).decode().lower()}.get(label)
+        if len(body) != size or have is not None and have() != values["payload_digest"]:
+            raise ValueError(f"{values['record_id']}: the payload doesn't match its digest")
+
+    @staticmethod
+    def _headers(raw: bytes) -> tuple[dict, dict]:
+        """The columns' values and all headers (names in lower case)."""
+        lines = raw.decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")
         found = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
@@ -202,7 +227,7 @@ class WarcReader(DataSourceReader):
         for name in ("record_id", "refers_to"):
             values[name] = values[name] and values[name].strip("<>")
         values["payload_digest"] = values["payload_digest"] and values["payload_digest"].partition(":")[2].lower()
-        return values, int(found["content-length"])
+        return values, found
 
     @property
     def _needs_body(self) -> bool:
@@ -218,11 +243,17 @@ class WarcReader(DataSourceReader):
                 head += more
             if not head.strip():
                 return
+            if b"\r\n\r\n" not in head:
+                raise ValueError("the archive ends inside a record")
             end = head.index(b"\r\n\r\n")
-            values, length = self._headers(head[:end])
+            values, found = self._headers(head[:end])
+            length = int(found["content-length"])
             if self.wanted(values):
                 file.seek(begin + end + 4)
-                yield self._row(values, file.read(length if self._needs_body else min(length, HEAD_BYTES)))
+                block = file.read(length if self._needs_body else min(length, HEAD_BYTES))
+                while not self._needs_body and self._is_http(found) and b"\r\n\r\n" not in block and len(block) < length:
+                    block += file.read(min(length - len(block), HEAD_BYTES))
+                yield self._row(values, found, block)
             file.seek(begin + end + 4 + length + 4)
 
     def _zipped(self, file) -> Iterator[dict]:
@@ -239,8 +270,8 @@ class WarcReader(DataSourceReader):
             while b"\r\n\r\n" not in plain and not inflate.eof and (data := file.read(HEAD_BYTES)):
                 plain += inflate.decompress(data)
             head, _, block = plain.partition(b"\r\n\r\n")
-            values, length = self._headers(head)
-            wanted = self.wanted(values)
+            values, found = self._headers(head)
+            length, wanted = int(found["content-length"]), self.wanted(values)
             if wanted and self._needs_body or size is None:
                 parts = [block]
                 while not inflate.eof and (data := file.read(1 << 16)):
@@ -252,10 +283,11 @@ class WarcReader(DataSourceReader):
                 block = b"".join(parts)
                 size = file.tell() - len(inflate.unused_data) - begin
             elif wanted:
-                while b"\r\n\r\n" not in block and not inflate.eof and (data := file.read(HEAD_BYTES)):
+                while (self._is_http(found) and b"\r\n\r\n" not in block and not inflate.eof
+                       and (data := file.read(HEAD_BYTES))):
                     block += inflate.decompress(data)
             if wanted:
-                yield self._row(values, block[:length])
+                yield self._row(values, found, block[:length])
             file.seek(begin + size)
 
 

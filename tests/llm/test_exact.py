@@ -366,3 +366,80 @@ def test_pack_query_has_the_least_padding(spark):
         best = [0] + [min(best[i] + costs[i, j] for i in range(j)) for j in range(1, n + 1)]
     assert sum(r.padded - r.length for r in got) == best[n]
     assert sum(r.padded - r.length for r in got) == padding(histogram, sorted({r.padded for r in got}))
+
+
+# --- ordinary archives -----------------------------------------------------------------------------------------------
+
+def _record(kind, block, extra=(), content="application/http; msgtype=response"):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{kind}>", f"Content-Type: {content}", *extra,
+            f"Content-Length: {len(block)}"]
+    return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+@pytest.mark.parametrize("payload", [False, True])
+def test_ordinary_crawl_archives_are_read(spark, tmp_path, zipped, payload):
+    """warcinfo, request, conversion, resource and chunked or length-less responses, long HTTP headers, sha1 digests."""
+    import base64
+    import gzip
+    body = b"5\r\nhello\r\n0\r\n\r\n"
+    sha1 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + body
+    long = b"HTTP/1.1 200 OK\r\nX-Long: " + b"x" * 9000 + b"\r\nContent-Length: 3\r\n\r\nabc"
+    records = {
+        "warcinfo": (_record("warcinfo", b"software: x\r\n", content="application/warc-fields"), 13, b"software: x\r\n"),
+        "request": (_record("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", content="application/http; msgtype=request"), 0, b""),
+        "response": (_record("response", chunked, [f"WARC-Payload-Digest: sha1:{sha1}"]), len(body), body),
+        "conversion": (_record("conversion", "plain text é".encode(), content="text/plain"), 13, "plain text é".encode()),
+        "metadata": (_record("metadata", b"", content="application/warc-fields"), 0, b""),
+        "resource": (_record("resource", b"\r\n\r\n", content="image/png"), 4, b"\r\n\r\n"),
+        "revisit": (_record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 77\r\n\r\n"), 77, None),
+        "continuation": (_record("continuation", long), 3, b"abc"),
+    }
+    raw = [r for r, _, _ in records.values()]
+    name = "a.warc.gz" if zipped else "a.warc"
+    (tmp_path / name).write_bytes(b"".join(map(gzip.compress, raw)) if zipped else b"".join(raw))
+    got = {r.record_type: r for r in read_archive(spark, f"file://{tmp_path}", payload=payload, verify=True).collect()}
+    assert {k: r.payload_bytes for k, r in got.items()} == {k: n for k, (_, n, _) in records.items()}
+    for kind, (_, _, want) in records.items():
+        have = got[kind].payload
+        assert (have is None) if not payload or want is None else bytes(have) == want
+
+
+# --- large benchmarks, long texts, and rows that share an id ------------------------------------------------------------
+
+def test_contamination_by_shuffle_join_gives_the_same(spark):
+    """Without any broadcast both sides are dealt by the hash, documents by single windows."""
+    docs, benchmark = Q.table(spark, SMALL, "documents"), Q.table(spark, SMALL, "benchmark")
+    want = sorted(map(repr, contamination(docs, benchmark).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = contamination(docs, benchmark)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in text
+        assert sorted(map(repr, df.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_boundaries_of_long_texts_are_real_lengths(spark):
+    lengths = [1, 5, 8192, 8193, 8193, 65_537, 70_001, 70_003]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)] + [(None, 8193)] * 4, "doc_id long, n long")
+    got = pack(rows.withColumn("text", F.lit("")), buckets=3, budget=20_000, length=F.col("n")).collect()
+    every = lengths + [8193] * 4
+    want = best_boundaries([(n, every.count(n)) for n in sorted(set(every))], 3)
+    assert sorted({r.padded for r in got}) == want and set(want) <= set(lengths)
+    assert len({(r.bucket, r.batch, r.slot) for r in got}) == len(every)
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, c), (3, c), (3, a), (8, a), (9, b), (9, b), (None, c), (None, c), (None, None), (10, None), (10, None), (11, "")]
+    docs = spark.createDataFrame([(i, t, "x", len(t or "")) for i, t in rows], "doc_id long, text string, text_hash string, n_chars int")
+    got = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted(
+        [(1, c), (3, a), (9, b), (None, c), (None, c), (None, None), (10, None), (11, "")], key=key)
