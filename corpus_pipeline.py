@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import col, written
@@ -39,13 +39,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, and one of rows that repeat it; null ids stay."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
-    rows, _ = _renamed(left)
-    again = Window.partitionBy("doc_id", "text_hash").orderBy("text_hash")
-    rows = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("again", F.row_number().over(again))
-    return _restored(rows.where("again = 1 OR doc_id IS NULL"), docs)
+    """One document of each group of near copies stays, and one of rows that repeat it; null ids stay.
+
+    A row is known by its id and a hash of its text, so texts that share an id are decided on their own.
+    """
+    rows, _ = _renamed(docs)
+    known = rows.where("doc_id IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    gone = near_duplicates(known, carry=("text_hash",)).where("NOT kept").select("doc_id", "text_hash").distinct()
+    left = known.join(gone, ["doc_id", "text_hash"], "left_anti").dropDuplicates(["doc_id", "text_hash"])
+    return _restored(left.drop("text_hash").unionByName(rows.where("doc_id IS NULL")), docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
