@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset in a local session."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="monthwise-llm-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -52,6 +52,30 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation",
     ],
+    "AGPL": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation",
+    ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    ],
+    "CC0-1.0": [
+        "Released under CC0 1.0 Universal, public domain dedication.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    ],
     "LGPL": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License",
@@ -108,7 +132,8 @@ def _training_lines() -> list[tuple[str, str, int]]:
     return out
 
 
-def train(docs: DataFrame, id_col: str, text_col: str) -> dict:
+def train(docs: DataFrame, id_col: str, text_col: str, sample_documents: int = SAMPLE_DOCUMENTS,
+          sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> dict:
     """Classes, intercepts, temperature and the weights of each feature."""
     spark = docs.sparkSession
     lines = spark.createDataFrame(_training_lines(), "family string, text string, part int")
@@ -118,12 +143,12 @@ def train(docs: DataFrame, id_col: str, text_col: str) -> dict:
     vocabulary = [r["g"] for r in lines.where(F.col("family") != UNKNOWN).select(F.explode("g").alias("g")).distinct()
                   .orderBy("g").collect()]
     some = docs.where(col(id_col).isNotNull()).select(col(id_col).alias("id")).distinct().orderBy(
-        F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS)
+        F.xxhash64("id"), "id").limit(sample_documents)
     known = F.array(*[F.lit(g) for g in vocabulary if g.count(" ") == 2])
     sample = (docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(some), "id")
               .select(F.explode(F.split("text", "\n+")).alias("line"))
-              .orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS)
-              .select(F.slice(words(F.col("line")), 1, 200).alias("w"))
+              .orderBy(F.xxhash64("line"), "line").limit(sample_paragraphs)
+              .select(words(F.col("line")).alias("w"))
               .select(F.array_distinct(F.concat(grams(F.col("w"), 2), grams(F.col("w"), 3))).alias("g"))
               .where(~F.arrays_overlap("g", known)))
     rows = lines.unionByName(sample.select(F.lit(UNKNOWN).alias("family"),
@@ -158,7 +183,8 @@ def temperature(rows: list[tuple[list[float], int]]) -> float:
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT,
-                  confirm: float = CONFIRM) -> DataFrame:
+                  confirm: float = CONFIRM, sample_documents: int = SAMPLE_DOCUMENTS,
+                  sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> DataFrame:
     """Licence families named in the paragraphs (lines, and runs of lines over which a notice is wrapped) of every
     document.
 
@@ -168,12 +194,15 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines has the number of its first line; it takes the place of its lines' findings, but for those that confirm
     another family.
 
+    Only the unknown class is fitted on the scanned table, by ``sample_paragraphs`` whole lines of ``sample_documents``
+    documents that share no three words with a template, chosen by their hashes; every line of every document is scanned.
+
     Null and empty texts, and texts without licence words, have no findings.  Ties go to the family named first.
     Null ids and repeated rows get the figures of their own text.  An empty table gives an empty result.  Other
     columns are dropped, so extra names can't clash.
     """
     spark = docs.sparkSession
-    model = train(docs, id_col, text_col)
+    model = train(docs, id_col, text_col, sample_documents, sample_paragraphs)
     return _scan(spark, docs, model, id_col, text_col, accept, confirm)
 
 
