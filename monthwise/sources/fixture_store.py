@@ -21,9 +21,11 @@ FACT_TABLES = {"IDS101referral", "IDS001mpi", "IDS004empstatus", "IDS011socperci
 
 
 def _root(spark: SparkSession) -> str:
-    """The session's shared folder; a scratch folder only where it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-            or tempfile.mkdtemp(prefix="monthwise-fixture-", dir="/tmp"))
+    """The session's shared folder; a scratch folder only where it is unset in a local session (tests, bench)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    return root or tempfile.mkdtemp(prefix="monthwise-fixture-", dir="/tmp")
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
