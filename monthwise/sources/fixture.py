@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthwise.functions import labels as L
+
 # Driver columns the projection reads (keeps the parquet scans narrow).
 DRIVER_COLUMNS = {
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"],
@@ -58,6 +60,11 @@ class FixtureTable:
 # ---------------------------------------------------------------------------
 # The projection specs of FIXTURES.md section 2.
 # ---------------------------------------------------------------------------
+def _cases(key: str, values: list) -> str:
+    """``CASE key WHEN 0 THEN first value ...``: the n-th value for remainder n, null for None and beyond."""
+    return f"case {key} " + " ".join(f"when {n} then '{v}'" for n, v in enumerate(values) if v is not None) + " end"
+
+
 FIXTURE_TABLES = [
     FixtureTable("IsLatest_SubmissionID", "months_x_v2", [
         ("UniqueSubmissionID", "int", "sid"),
@@ -93,14 +100,15 @@ FIXTURE_TABLES = [
         ("ReliableDeterioration_Flag", "string", "case when o_orderkey%7=3 then 'True' else 'False' end"),
         ("Age_ReferralRequest_ReceivedDate", "int",
          "case when o_custkey%29=0 then null else cast(14+o_custkey%70 as int) end"),
-        ("PresentingComplaintHigherCategory", "string",
-         "case o_orderkey%4 when 0 then 'Depression' when 1 then 'Anxiety and stress related disorders (Total)' "
-         "when 2 then 'Unspecified' end"),
-        ("PresentingComplaintLowerCategory", "string",
-         "case o_orderkey%3 when 0 then 'F400 - Agoraphobia' when 1 then 'F401 - Social phobias' end"),
-        ("PrimaryPresentingComplaint", "string", "case when o_orderkey%8=3 then 'Other recorded problems' end"),
-        ("SecondaryPresentingComplaint", "string",
-         "case when o_orderkey%7=0 then 'F42 - Obsessive-compulsive disorder' end"),
+        # Every complaint rule meets rows: each higher category, each lower one under anxiety, none, and an unlisted one.
+        ("PresentingComplaintHigherCategory", "string", _cases("o_orderkey%9", [
+            *(code for code, _ in L.PROBLEM_HIGHER), L.ANXIETY, L.ANXIETY, "F99 - Unlisted"])),
+        ("PresentingComplaintLowerCategory", "string", _cases("o_custkey%14", [
+            *(code for code, _ in L.PROBLEM_ANXIETY_LOWER), "F99 - Unlisted"])),
+        ("PrimaryPresentingComplaint", "string", _cases("o_orderkey%16", [
+            None, L.ANXIETY, None, "Other recorded problems", None, "Depression"])),
+        ("SecondaryPresentingComplaint", "string", _cases("o_orderkey%13", [
+            "F42 - Obsessive-compulsive disorder", None, "F99 - Unlisted", None, None, "F400 - Agoraphobia"])),
     ], where="v=1 or o_orderkey%5=0"),
     FixtureTable("IDS001mpi", "r0", [
         ("RecordNumber", "bigint", "o_orderkey"),
@@ -117,7 +125,7 @@ FIXTURE_TABLES = [
     ]),
     FixtureTable("IDS004empstatus", "lineitem_r0", [
         ("RecordNumber", "bigint", "o_orderkey"),
-        ("AuditId", "int", "sid*10+1"),
+        ("AuditId", "int", "sid*10+case when (l_orderkey+l_linenumber)%17=0 then 0 else 1 end"),
         ("Unique_MonthID", "int", "sid"),
         ("UniqueID_IDS004", "string", _UID),
         ("EmployStatusRecDate", "date", "case when l_linenumber<>7 then rd + cast(l_quantity as int) end"),
@@ -162,7 +170,7 @@ FIXTURE_TABLES = [
         ("RecordNumber", "bigint", "o_orderkey"),
         ("PathwayID", "bigint", "o_orderkey"),
         ("UniqueSubmissionID", "int", "sid"),
-        ("AuditId", "int", "sid*10+1"),
+        ("AuditId", "int", "sid*10+case when l_orderkey%19=0 then 0 else 1 end"),
         ("CareContactID", "string", _UID),
         ("CareContDate", "date", "rd + cast(l_quantity as int)*3"),
         ("AttendOrDNACode", "string", "cast(1+l_linenumber%7 as string)"),

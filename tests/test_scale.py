@@ -221,3 +221,16 @@ def test_pairs_of_answers_with_text_ids(spark):
     df = spark.createDataFrame(data, "p long, d date, t int, n long, s string, score int")
     one = lambda uid: pair_first_last_answers(df, ["p"], "d", "t", uid, ["score", "n"], "2001-05-01", "2001-06-01")
     assert rows(one("s")) == rows(one("n"))
+
+
+# --- the fixture reaches the rules -----------------------------------------------------------------------------------
+
+def test_every_complaint_rule_and_stale_audits_meet_rows(spark):
+    from monthwise.functions import labels as L
+    from monthwise.functions.recode import problem_descriptor
+    src = fixture_sources(spark, SMALL)
+    met = {r[0] for r in src.referral.select(problem_descriptor()).distinct().collect()}
+    assert met == {lab for _, lab in [*L.PROBLEM_HIGHER, *L.PROBLEM_ANXIETY_LOWER]} | {L.PROBLEM_NO_CODE, L.PROBLEM_OTHER}
+    latest = src.submissions.where("IsLatest = 1").select("AuditId")
+    for facts in (src.empstatus, src.carecontact):
+        assert not facts.join(latest, "AuditId", "left_anti").isEmpty()
