@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from monthwise.operators.ranking import first_last_ranks, latest_by_date_then_pr
 from monthwise.operators.releases import Releases
 from monthwise.operators.rollup import appointment_scope, category_rollup, org_rollup
 from monthwise.operators.submissions import latest_audit_rows, latest_submission
-from monthwise.plans import assessments, clinical, indicator
-from monthwise.plans.common import FIXTURE_PARAMS, with_geography
+from monthwise.plans import assessments, clinical, incremental, indicator, status
+from monthwise.plans.common import FIXTURE_PARAMS, period_for, with_geography
 from monthwise.session import checkpoint_dir
 from monthwise.sources.fixture_store import fixture_sources
 
@@ -329,6 +330,24 @@ def q_release_months(spark, sf_dir):
     return releases.read("Orders").join(releases.read("Customers"), ["Month", "o_orderstatus"])
 
 
+def q_benefits_by_touched_months(spark, sf_dir):
+    """T2 released for the month before, then brought to the report month by its touched months alone."""
+    src = _src(spark, sf_dir)
+    releases = Releases(spark, f"{checkpoint_dir(spark)}/series-{uuid.uuid4().hex[:12]}")
+    before = replace(FIXTURE_PARAMS, offset=FIXTURE_PARAMS.offset - 1)
+    run = releases.begin()
+    run.write("Benefits", status.benefits(src, before))
+    run.write(incremental.SNAPSHOT, incremental.audit_snapshot(src, period_for(src, before)),
+              month_col="ReportingPeriodStartDate")
+    run.commit()
+    months = incremental.touched_months(src, releases.read(incremental.SNAPSHOT), period_for(src, FIXTURE_PARAMS))
+    rows, replaced = incremental.status_tables(src, FIXTURE_PARAMS, months)["Benefits"]
+    run = releases.begin()
+    run.write("Benefits", rows, "append_month", replaces=replaced)
+    run.commit()
+    return releases.read("Benefits")
+
+
 def q_distinct_over_months(spark, sf_dir):
     """Customers per order status and priority: one partial table a year, merged, then counted; some ids are no numbers."""
     o = _read(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate").selectExpr(
@@ -351,6 +370,7 @@ OPERATOR_QUERIES = {
     "publish_created_then_appended": q_publish_created_then_appended,
     "release_months": q_release_months,
     "distinct_over_months": q_distinct_over_months,
+    "benefits_by_touched_months": q_benefits_by_touched_months,
     "rank_hot_key": q_rank_hot_key,
     "duplicate_current_codes": q_duplicate_current_codes,
     "reporting_window": q_reporting_window,
