@@ -23,6 +23,7 @@ from monthwise.llm.labels import held_out_column, labelled_ids, with_labels
 from monthwise.llm.words import U, pieces, word_hashes
 
 PASSAGE = 64
+PIECE_BYTES = 1 << 20  # of text encoded at once
 HASHED = 64
 SAMPLE = 4096
 HIDDEN, GATE = 24, 12
@@ -134,7 +135,7 @@ class GatedAttention:
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in pieces(batch, "text"):
+        for part in pieces(batch, "text", PIECE_BYTES):
             doc, x = encode(part["text"].to_pylist())
             cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
@@ -160,7 +161,7 @@ def fit(docs: DataFrame, ids: DataFrame) -> GatedAttention:
 def _scored(model: GatedAttention):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 doc, x = encode(part["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in part.schema.names],
                                                   pa.array(model.score(x, doc))], [*part.schema.names, "score"])
