@@ -76,7 +76,7 @@ def _sketch(shingle: int, bands: int, rows: int, carried: list[str]):
         odd = mix(np.arange(1, rows + 1, dtype=U), 1) | U(1)
         own = mix(np.arange(1, bands + 1, dtype=U), 2)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 1 << 20):
                 n = part.num_rows
                 doc, h = shingle_sets(part["text"].to_pylist(), shingle)
                 size = np.bincount(doc, minlength=n)
@@ -99,7 +99,7 @@ def _sketch(shingle: int, bands: int, rows: int, carried: list[str]):
 def _shingles(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 1 << 20):
                 doc, h = shingle_sets(part["text"].to_pylist(), shingle)
                 n = np.bincount(doc, minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
