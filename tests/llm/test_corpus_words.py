@@ -16,8 +16,6 @@ from monthwise.llm.collocations import collocations
 from monthwise.llm.repeat_index import dedup_bytes
 from monthwise.llm.spelling_variants import near_words, spelling_variants, vocabulary
 
-from .conftest import MEDIUM, multiset, run_sql
-
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -256,11 +254,3 @@ def test_repeat_index_long_text_crosses_blocks(spark, monkeypatch):
     got = {r.doc_id: (hashlib.sha256(r.kept).hexdigest(), r.n_removed)
            for r in dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: (hashlib.sha256(kept).hexdigest(), n) for i, _, _, n, kept, _ in plain_bytes(rows, 50)}
-
-
-@pytest.mark.parametrize("name", ["op11_phrase_collocations", "op12_spelling_variants"])
-def test_matches_sql_on_more_rows(spark, name):
-    from monthwise.llm import queries as Q
-    got = Q.QUERIES[name](spark, MEDIUM)
-    columns, rows = run_sql(Q.ORACLE_SQL[name], MEDIUM)
-    assert multiset(got.columns, got.collect()) == multiset(columns, rows)
