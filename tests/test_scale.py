@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from monthwise.operators import distinct as D
 from monthwise.operators.contacts import qualifying_contact_count
+from monthwise.operators.lookups import by_code, current_lookup, remap_successor
 from monthwise.operators.membership import MemberFilter
 from monthwise.operators.pairing import pair_first_last_answers
 from monthwise.operators.ranking import range_shares, rank_in_shares, rank_within
 from monthwise.operators.releases import Releases
 from monthwise.plans import clinical, incremental, refresh, status
 from monthwise.plans.common import FIXTURE_PARAMS, contact_counts
+from monthwise.sources import fixture, fixture_store
 from monthwise.sources.fixture_store import fixture_sources
 from monthwise.sources.layout import store_by_record, stored_sources
 
@@ -232,3 +234,65 @@ def test_every_complaint_rule_and_stale_audits_meet_rows(spark):
     latest = src.submissions.where("IsLatest = 1").select("AuditId")
     for facts in (src.empstatus, src.carecontact):
         assert not facts.join(latest, "AuditId", "left_anti").isEmpty()
+
+
+# --- fixture tables and lookups on large tables ----------------------------------------------------------------------
+
+def test_fixture_joins_large_tables_once(spark, tmp_path):
+    """What several facts start from is kept, and the facts are read from it without a shuffle of their own."""
+    kept = []
+
+    def keep(name, df):
+        kept.append(name)
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+
+    tables = fixture.spark_tables(spark, SMALL, keep)
+    assert kept == ["r0", "lineitem_r0"]
+    plain = fixture.spark_tables(spark, SMALL)
+    for name in fixture_store.FACT_TABLES:
+        assert not re.search(r"Exchange (hash|range|RoundRobin)", plan(tables[name])), name
+        assert rows(tables[name]) == rows(plain[name])
+
+
+def test_large_fixture_is_written_as_it_is(spark, monkeypatch):
+    small = fixture_sources(spark, SMALL)
+    monkeypatch.setattr(fixture_store, "_STORED", {})
+    monkeypatch.setattr(fixture_store, "SMALL_ROWS", 0)
+    monkeypatch.setattr(type(small.referral), "repartition", lambda *_: pytest.fail("dealt again"))
+    large = fixture_sources(spark, SMALL)
+    for attr in large._NAMES:
+        assert rows(getattr(large, attr)) == rows(getattr(small, attr)), attr
+
+
+def test_lookup_by_code_leaves_facts_where_they_are(spark, tmp_path):
+    """A dimension too large to broadcast, few codes on many rows: codes that fan out, unknown ones and null alike."""
+    spark.range(20000).selectExpr("'S' || id AS Organisation_Code", "'Provider number ' || id AS Organisation_Name",
+                                  "CASE WHEN id % 7 = 0 THEN DATE '2000-01-01' END AS Effective_To").union(
+        spark.sql("SELECT 'S2', 'second name', CAST(NULL AS DATE)")).write.parquet(f"{tmp_path}/dim")
+    spark.range(20000).where("id % 10 = 3").selectExpr("'S' || id AS old", "'S' || (id + 1) AS new").write.parquet(
+        f"{tmp_path}/moved")
+    dim, moved = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("dim", "moved"))
+    facts = spark.range(3000).selectExpr("id", "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 50 = 1 THEN 'none' "
+                                         "ELSE 'S' || (id % 10) END AS org")
+
+    def look_up(df):
+        df = remap_successor(df, "org", moved, "old", "new", "to")
+        return current_lookup(df, "to", dim, "Organisation_Code", {"name": "Organisation_Name"})
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        got = by_code(facts, "org", facts, look_up)
+        text = plan(got)
+        assert "SortMergeJoin" in plan(look_up(facts)) and "SortMergeJoin" not in text
+        assert not re.search("Exchange hashpartitioning", text)
+        assert rows(got) == rows(look_up(facts)) and got.columns == look_up(facts).columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_status_rows_are_dealt_as_codes(spark):
+    """Status labels are coded before the status rows are dealt by record, and organisations come by broadcast."""
+    text = plan(status.status_base(fixture_sources(spark, SMALL), FIXTURE_PARAMS))
+    assert "__e_EmployStatus" not in text and "__prov_code" not in text
