@@ -50,9 +50,13 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
     if pathways is not None:
         r = MemberFilter(pathways, "PathwayID").keep(r, "PathwayID")
     r = latest_submission(r, src.submissions, p.floor, p.start).where(in_period_sql("ServDischDate"))
+    # The eleven status labels travel as integer codes (see ``Recode``) from the scan on and are decoded on the
+    # published rows.
+    codes = status_recodes()
     emp = by_record(keep_latest_audits(src.empstatus, src.submissions, p.floor, p.start).selectExpr(
         "RecordNumber AS __e_rec", "AuditId AS __e_aid", "UniqueID_IDS004", "EmployStatusRecDate",
-        *[f"{c} AS __e_{c}" for c in STATUS_FIELDS], "EmpSupportDischargeDate"), src.stored_by_record, "__e_rec")
+        *[f"{codes[c].code_sql()} AS {c}" for c in [*STATUS_FIELDS, "GeneralBenefitReceived"]],
+        "EmpSupportDischargeDate"), src.stored_by_record, "__e_rec")
     if counts is None:
         counts = contact_counts(src, r)
     # The count is the only join on the pathway; after it everything is partitioned by record, up to the rank
@@ -63,15 +67,11 @@ def status_base(src: Sources, params: RunParams, counts: DataFrame | None = None
     j = with_sexual_orientation(j, src, p.floor, p.start)
     j = with_deprivation(j, src)
     j = with_geography(j, src)
-    # The eleven status labels travel as integer codes (see ``Recode``) and are
-    # decoded on the published rows.
-    codes = status_recodes("__e_")
     chars = protected_characteristics_sql()
     base = j.selectExpr(
         "date_format(ReportingPeriodStartDate, 'MMMM yyyy') AS Month",
         "Person_ID", "PathwayID", "__e_rec AS RecordNumber", "UniqueID_IDS004", "EmployStatusRecDate",
-        *[f"{codes[c].code_sql()} AS {c}" for c in STATUS_FIELDS],
-        f"{codes['GeneralBenefitReceived'].code_sql()} AS GeneralBenefitReceived",
+        *STATUS_FIELDS, "GeneralBenefitReceived",
         *[f"{chars[c]} AS {c}" if c in chars else q(c) for c in CHARACTERISTICS],
         *[q(c) for c in GEOGRAPHY],
         "Count_EmpSupp",
