@@ -26,8 +26,8 @@ from pyspark.sql.types import StructType
 from monthwise.llm.common import col, partitions, text_bytes, without
 from monthwise.llm.words import U, Words, owners, window_hashes, word_hashes
 
-BATCH_BYTES = 12 << 20
-BUCKET_WINDOWS = 1 << 21
+BATCH_BYTES = 6 << 20
+BUCKET_WINDOWS = 1 << 20
 BYTES_PER_WORD = 6
 LOW56 = U((1 << 56) - 1)
 
@@ -92,9 +92,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     size = text_bytes(docs, text_col)
     batches = max(partitions(spark), -(-size // BATCH_BYTES))
     buckets = max(partitions(spark), -(-size // BYTES_PER_WORD // BUCKET_WINDOWS))
-    carried = [f"__carry{i}" for i in range(len(carry))]
+    # A text that is carried is the one that is judged: it goes through the shuffles and the tasks once.
+    carried = ["__text" if c == text_col else f"__carry{i}" for i, c in enumerate(carry)]
     rows = docs.select(col(id_col).cast("long").alias("__id"), col(text_col).alias("__text"),
-                       *[col(c).alias(n) for c, n in zip(carry, carried)])
+                       *[col(c).alias(n) for c, n in zip(carry, carried) if n != "__text"])
     rows = rows.withColumn("__batch", F.pmod(F.xxhash64("__id", "__text"), F.lit(batches)))
 
     def sent(key: tuple, table: pa.Table) -> pa.Table:

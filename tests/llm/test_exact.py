@@ -69,6 +69,17 @@ def test_substring_dedup_odd_rows(spark, odd_documents):
         assert r.n_removed == n - len(kept.split()) == sum(s.end - s.start for s in r.removed)
 
 
+def test_substring_dedup_deals_a_carried_text_once(spark):
+    same = " ".join(map(str, range(20)))
+    docs = spark.createDataFrame([(1, same, "x"), (2, f"a  b {same}", None), (3, None, "y")], "doc_id long, text string, tag string")
+    out = dedup_substrings(docs, carry=("text", "tag"))
+    assert out.columns[:3] == ["doc_id", "text", "tag"]
+    assert {r.doc_id: (r.text, r.tag, r.n_removed) for r in out.collect()} == {
+        1: (same, "x", 0), 2: (f"a  b {same}", None, 20), 3: (None, "y", 0)}
+    dealt = out._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.count("text#") and "__carry0" not in dealt and "__carry1" in dealt
+
+
 def test_substring_dedup_random_texts_and_empty_table(spark):
     rng = random.Random(5)
     rows = [(rng.randrange(40), " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 40)))) for _ in range(120)]
