@@ -7,7 +7,8 @@ Method: prefix-free parsing.
    the number of times the parse uses it.
 2. n-grams are counted inside distinct chunks, weighted by that number.  Words that a chunk shares with the one before
    it (``lead``) are counted there only, so every occurrence counts once.
-3. Hashed two-word counts show which pairs can reach ``min_count`` at all (a shared hash only lets more through).
+3. Hashed two-word counts, sent packed to buckets of the hash, show which pairs can reach ``min_count`` at all (a
+   shared hash only lets more through).
    Exact counts by text are made for single words, for those pairs, and for triples whose two pairs are both left.
 4. Joins on the counted phrases give the parts' frequencies, the weakest cut and the longer phrases that stand for a
    shorter one.
@@ -22,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm.batches import packed, unpacked
-from monthwise.llm.common import col, written
+from monthwise.llm.common import col, partitions, written
 from monthwise.llm.words import U, mix, pieces
 
 #: One chunk in about this many words; a run without a hashed cut is cut after LONGEST words.
@@ -34,6 +36,8 @@ MODULUS = 12
 LONGEST = 64
 BLOCK_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
+BUCKET_PAIRS = 1 << 20
+BYTES_PER_WORD = 6
 PAIR = U(0x9E3779B97F4A7C15)
 
 #: A-Z lower-cased, piece separators as one byte that UTF-8 never has, tabs as blanks.
@@ -150,26 +154,53 @@ def _by_language(raw: bytes) -> Iterator[tuple[str, int, _Grams]]:
             own["chunk"].cast(pa.binary()).to_pylist(), own["lead"].to_numpy().astype(np.int64), own["uses"].to_numpy())
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashed two-word counts of every batch; pairs that an earlier chunk counts are named with 0, for triples."""
-    for batch in batches:
-        for number, raw in zip(batch["batch"].to_pylist(), batch["rows"].to_pylist()):
-            for _, salt, grams in _by_language(raw):
-                at = np.flatnonzero(grams.left >= 2)
-                pair = grams.pair_hash(at, salt)
-                uses = np.where(grams.place[at] + 2 > grams.lead[at], grams.uses[at], 0)
+def _pairs(buckets: int):
+    """Hashed two-word counts of every batch, packed by bucket of the hash; pairs that an earlier chunk counts are named
+    with 0, for triples."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, raw in zip(batch["batch"].to_pylist(), batch["rows"].to_pylist()):
+                found, times = [np.empty(0, U)], [np.empty(0, np.int64)]
+                for _, salt, grams in _by_language(raw):
+                    at = np.flatnonzero(grams.left >= 2)
+                    found.append(grams.pair_hash(at, salt))
+                    times.append(np.where(grams.place[at] + 2 > grams.lead[at], grams.uses[at], 0))
+                pair, uses = np.concatenate(found), np.concatenate(times)
                 order = np.argsort(pair, kind="stable")
                 pair, uses = pair[order], uses[order]
                 new = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.empty(0, np.int64)
+                pair, uses = pair[new], np.add.reduceat(uses, new) if len(new) else uses
+                bucket = (pair >> U(32)) * U(buckets) >> U(32)  # ascending, as the hashes are
+                cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(pair) else new
+                ends = np.append(cuts[1:], len(pair)) if len(cuts) else cuts
                 yield pa.RecordBatch.from_pydict({
-                    "batch": pa.array(np.full(len(new), number), pa.int64()),
-                    "pair": pa.array(pair[new].view(np.int64)),
-                    "uses": pa.array(np.add.reduceat(uses, new) if len(new) else uses, pa.int64())})
+                    "bucket": pa.array(bucket[cuts].astype(np.int64), pa.int64()),
+                    "batch": pa.array(np.full(len(cuts), number), pa.int64()),
+                    "pairs": pa.array([pair[i:j].tobytes() for i, j in zip(cuts, ends)], pa.binary()),
+                    "uses": pa.array([zstandard.compress(uses[i:j].tobytes(), 1) for i, j in zip(cuts, ends)], pa.binary())})
+    return run
+
+
+def _frequent(min_count: int):
+    """What batches sent to a bucket, answered with the pairs that occur ``min_count`` times in all of them together."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        each = [np.frombuffer(x, U) for x in table["pairs"].to_pylist()]
+        uses = np.concatenate([np.frombuffer(zstandard.decompress(x), np.int64) for x in table["uses"].to_pylist()])
+        pair = np.concatenate(each)
+        order = np.argsort(pair, kind="stable")
+        ordered = pair[order]
+        new = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        keep = np.empty(len(pair), dtype=bool)
+        keep[order] = np.repeat(np.add.reduceat(uses[order], new) >= min_count, np.diff(np.append(new, len(pair))))
+        ends = np.cumsum([len(x) for x in each])
+        return pa.table({"batch": table["batch"], "pairs": pa.array(
+            [own[keep[end - len(own):end]].tobytes() for own, end in zip(each, ends.tolist())], pa.binary())})
+    return run
 
 
 def _phrases(key: tuple, chunks: pa.Table, frequent: pa.Table) -> pa.Table:
     """Exact counts of a batch: words, frequent pairs, triples of two frequent pairs; all words as the empty phrase."""
-    keep = np.unique(frequent["pair"].to_numpy().view(U))
+    keep = np.sort(np.concatenate([np.empty(0, U), *(np.frombuffer(x, U) for x in frequent["pairs"].to_pylist())]))
     out = []
     for raw in chunks["rows"].to_pylist():
         for lang, salt, grams in _by_language(raw):
@@ -202,9 +233,9 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                   .groupBy("lang", "lead", "chunk").agg(F.sum("uses").alias("uses")))
     chunks = packed(dictionary, "chunk", BATCH_BYTES, "chunks")
     # A pair comes once from a batch, so no pair is hot.
-    total = F.sum("uses").over(Window.partitionBy("pair"))
-    frequent = (chunks.mapInArrow(_pairs, "batch long, pair long, uses long")
-                .withColumn("total", total).where(F.col("total") >= min_count).select("batch", "pair"))
+    buckets = max(partitions(docs.sparkSession), -(-chunks.count() * (BATCH_BYTES // BYTES_PER_WORD) // BUCKET_PAIRS))
+    frequent = (chunks.mapInArrow(_pairs(buckets), "bucket long, batch long, pairs binary, uses binary")
+                .groupBy("bucket").applyInArrow(_frequent(min_count), "batch long, pairs binary"))
     counts = (chunks.groupBy("batch").cogroup(frequent.groupBy("batch"))
               .applyInArrow(_phrases, "lang string, n_words int, phrase string, uses long")
               .groupBy("lang", "n_words", "phrase").agg(F.sum("uses").alias("n")))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from monthwise.llm import collocations as C
@@ -91,6 +92,35 @@ def test_collocation_scores_pass_64_bits(spark):
     assert row.s == 10 ** 6 * a * a // (a * 3 * a)
 
 
+@pytest.mark.parametrize("min_count", [1, 3])
+def test_packed_pairs_are_counted_over_batches(min_count):
+    """Every batch gets back, from all buckets, just its pairs that occur often enough in all batches together."""
+    rng = random.Random(min_count)
+    chunks = [[(rng.choice(["a", "b"]), 0, " ".join(rng.choices("pqrstu", k=rng.randrange(1, 6))), rng.randrange(1, 3))
+               for _ in range(12)] for _ in range(4)]
+    wanted, sent = Counter(), []
+    for number, own in enumerate(chunks):
+        table = pa.table({n: pa.array(v, t) for n, v, t in zip(("lang", "lead", "chunk", "uses"), zip(*own), (
+            pa.string(), pa.int32(), pa.string(), pa.int64()))})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        batch = pa.RecordBatch.from_pydict({"batch": [number], "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+        sent += pa.Table.from_batches(C._pairs(3)(iter([batch]))).to_pylist()
+        for lang, _, chunk, uses in own:
+            for pair in zip(chunk.split(), chunk.split()[1:]):
+                wanted[lang, pair] += uses
+    assert {r["bucket"] for r in sent} <= {0, 1, 2}
+    got = defaultdict(set)
+    for bucket in {r["bucket"] for r in sent}:
+        table = pa.Table.from_pylist([r for r in sent if r["bucket"] == bucket])
+        for r in C._frequent(min_count)((pa.scalar(bucket),), table).to_pylist():
+            got[r["batch"]] |= set(np.frombuffer(r["pairs"], np.uint64).tolist())
+    for number, own in enumerate(chunks):
+        pairs = {(lang, pair) for lang, _, chunk, _ in own for pair in zip(chunk.split(), chunk.split()[1:])}
+        assert len(got[number]) == sum(wanted[p] >= min_count for p in pairs)
+
+
 def test_collocations_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert collocations(empty).collect() == []
