@@ -3,8 +3,8 @@
 The exact histogram of lengths goes to the driver.  Different lengths are few: as many need at least half their
 square of tokens, so all texts together, T tokens, have at most sqrt(2 T) of them.  Dynamic programming over it chooses at most ``buckets`` boundaries so that
 padding every document to its boundary adds the fewest tokens in all.  Inside a bucket, documents form batches of at
-most ``budget`` padded tokens.  Positions in a bucket are counted in shares (by a number given to each row) and offset by the
-shares before, so no task holds a whole bucket.
+most ``budget`` padded tokens.  Positions in a bucket are counted in shares (by a number given to each row, or by
+id on request) and offset by the shares before, so no task holds a whole bucket.
 """
 
 from __future__ import annotations
@@ -71,7 +71,8 @@ def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 16, budget: int = 65_536,
-         length: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+         length: Column | None = None, carry: tuple[str, ...] = (),
+         by_id: bool = False) -> DataFrame:
     """Put every document into a batch of documents of like length.
 
     ``length`` is any whole-number column (default: the words of the text, so the budget is in words; for a model's
@@ -82,8 +83,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     a batch of its own, whole.
 
     Null and empty texts have length 0 and are packed too, so are rows with a null id; a negative or null length
-    counts as 0.  Equal ids, ties and repeated rows take their slots in any order.  An empty table gives an
-    empty result.  Columns not named are dropped, and a result
+    counts as 0.  Equal ids, ties and repeated rows take their slots in any order; with ``by_id`` the
+    slots of ids with at most ``SHARE_ROWS`` rows follow from the ids, not from the order that rows come in.  An empty
+    table gives an empty result.  Columns not named are dropped, and a result
     column takes the place of a carried one of its name.
     """
     carry = without(carry, id_col, "length", "bucket", "padded", "batch", "slot")
@@ -93,19 +95,28 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     rows = docs.select(col(id_col).alias("id"), measure.cast("long").alias("length"),
                        *[col(c).alias(n) for c, n in zip(carry, carried)])
     # Lengths are measured once.  A written number for each row spreads rows that are alike over all shares.
-    rows = written(rows.withColumn("spread", F.xxhash64(F.monotonically_increasing_id())), "lengths")
+    rows = written(rows.withColumn("number", F.xxhash64(F.monotonically_increasing_id())), "lengths")
     histogram = [(r["n"], r["k"]) for r in
                  rows.groupBy(F.col("length").alias("n")).agg(F.count("*").alias("k")).collect()]
     ends = best_boundaries(histogram, buckets) or [0]
     shares = max(partitions(spark), -(-sum(k for _, k in histogram) // SHARE_ROWS))
     bucket = F.coalesce(*[F.when(F.col("length") <= end, i) for i, end in enumerate(ends)])
     padded = F.element_at(F.array(*[F.lit(end).cast("long") for end in ends]), F.col("bucket") + 1)
+    place_by, order = F.col("number"), ["number"]
+    if by_id:
+        rows = rows.withColumn("spread", F.xxhash64("id"))
+        # At most one id in SHARE_ROWS rows is crowded.
+        crowded = (rows.groupBy("spread").agg(F.count("*").alias("k")).where(F.col("k") > SHARE_ROWS)
+                   .select("spread", F.lit(True).alias("crowded")))
+        rows = rows.join(F.broadcast(crowded), "spread", "left")
+        place_by = F.when(F.col("crowded"), F.col("number")).otherwise(F.col("spread"))
+        order = ["spread", "id", "length", "number"]
     placed = (rows.withColumn("bucket", bucket).withColumn("padded", padded)
-              .withColumn("share", F.pmod("spread", F.lit(shares))))
+              .withColumn("share", F.pmod(place_by, F.lit(shares))))
     sizes = placed.groupBy("bucket", "share").agg(F.count("*").alias("k"))
     before = Window.partitionBy("bucket").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "share", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket", "share").orderBy("spread")
+    inside = Window.partitionBy("bucket", "share").orderBy(*order)
     counted = placed.withColumn("at", F.row_number().over(inside) - 1).join(offsets, ["bucket", "share"])
     place = F.col("offset") + F.col("at")
     capacity = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("padded", F.lit(1)))).cast("long")

@@ -363,6 +363,22 @@ def test_pack_fills_batches(spark, odd_documents):
     assert pack(odd_documents.limit(0)).collect() == []
 
 
+def test_pack_slots_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    """The same rows dealt otherwise get the same slots; a crowded id and null ids fill theirs without gaps."""
+    monkeypatch.setattr("monthwise.llm.packing.SHARE_ROWS", 40)
+    rows = [(i, " ".join("w" * (1 + i % 7))) for i in range(120)] + [(5, "w"), (5, "w w"), (None, None)]
+    crowd = [(7, "w w w")] * 90 + [(None, "")] * 90
+    one, other = (sorted(map(tuple, pack(spark.createDataFrame(r, "doc_id long, text string").repartition(n), budget=12,
+                             by_id=True).collect()), key=repr) for r, n in ((rows, 1), (rows[::-1], 5)))
+    assert one == other
+    got = pack(spark.createDataFrame(rows + crowd, "doc_id long, text string"), budget=12, by_id=True).collect()
+    places = {}
+    for r in got:
+        places.setdefault(r.bucket, []).append(r.batch * max(1, 12 // max(r.padded, 1)) + r.slot)
+    assert len(got) == len(rows) + len(crowd)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_pack_query_has_the_least_padding(spark):
     got = Q.QUERIES["op8_packing"](spark, SMALL).collect()
     count = {}
