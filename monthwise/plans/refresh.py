@@ -118,13 +118,25 @@ def _observed_lookup(dim: DataFrame, code: str) -> tuple[DataFrame, Observation]
                           F.expr("count_if(__current AND __copy = 2) AS duplicate_codes")).drop("__current", "__copy"), seen
 
 
+class Seen(dict):
+    """Figures of the published tables written; those of ``inputs`` are found by name, but not listed."""
+
+    def __init__(self, tables: dict[str, dict], inputs: dict[str, dict]):
+        super().__init__(tables)
+        self.inputs = inputs
+
+    def __missing__(self, name: str) -> dict:
+        return self.inputs[name]
+
+
 def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root: str, database: str | None = None,
-                    incremental: bool = True) -> dict[str, dict]:
+                    incremental: bool = True) -> Seen:
     """Release all ten tables under ``root`` together, and as catalog views where ``database`` is named.
 
     With ``incremental``, T1-T3 of a root that has a release already are recomputed for touched months only
     (``plans.incremental``).  Returns what was observed while the tables were written, without another job: ``rows``
-    per table, and ``current_rows`` and ``duplicate_codes`` of the two hierarchies (a duplicate code repeats rows).
+    per published table; by name also those of the audit snapshot, and ``current_rows`` and ``duplicate_codes`` of the two
+    hierarchies (a duplicate code repeats rows).
     """
     releases = Releases(spark, root)
     run = releases.begin()
@@ -137,7 +149,7 @@ def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root:
     comm, comm_seen = _observed_lookup(src.comm_hierarchy, "Organisation_Code")
     prov, prov_seen = _observed_lookup(src.prov_hierarchy, "Organisation_Code")
     watched = replace(src, comm_hierarchy=comm, prov_hierarchy=prov)
-    tables, stages = build_tables(watched, params, back_series=months is None)
+    tables, stages = build_tables(watched, params, months is None)
     try:
         for name, df in tables.items():
             run.write(name, df, PUBLISHED[name].mode, casts=PUBLISHED[name].casts)
@@ -150,4 +162,6 @@ def release_monthly(spark: SparkSession, src: Sources, params: RunParams, root:
     run.commit()
     if database is not None:
         releases.register(database, list(PUBLISHED))
-    return run.metrics | {"commissioner hierarchy": comm_seen.get, "provider hierarchy": prov_seen.get}
+    inputs = {incremental_plan.SNAPSHOT: run.metrics.pop(incremental_plan.SNAPSHOT),
+              "commissioner hierarchy": comm_seen.get, "provider hierarchy": prov_seen.get}
+    return Seen(run.metrics, inputs)

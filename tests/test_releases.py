@@ -110,3 +110,10 @@ def test_a_lost_run_leaves_all_tables_as_they_were(spark, tmp_path, monkeypatch)
     types = {n: dict(r.read(n).dtypes) for n in refresh.TABLES}
     for name, p in refresh.PUBLISHED.items():
         assert {c: types[name][c] for c in p.casts} == p.casts
+
+
+def test_figures_list_published_tables_and_find_inputs_by_name():
+    seen = refresh.Seen({"Student": {"rows": 3}}, {"provider hierarchy": {"current_rows": 2}})
+    assert set(seen) == {"Student"} and seen["provider hierarchy"]["current_rows"] == 2
+    with pytest.raises(KeyError):
+        seen["no such table"]
