@@ -2,19 +2,22 @@
 
 Method: run-length index (a run-compressed Burrows-Wheeler transform with sampled run ends).
 
-1. Documents are written as packed batches of about ``BATCH_BYTES``.  In every window of ``length`` bytes the ``ANCHOR``
-   bytes with the smallest hash are its anchor; consecutive windows with one anchor form a context of at most
-   2 * length - ANCHOR bytes.  Equal windows have equal anchors at equal places.
-2. Batches send short hashes of their anchors; buckets answer which of them other batches have too (a hash shared by
-   chance only lets more through).  Only contexts of anchors that occur twice go on.
-3. A batch sends each distinct context once, with its smallest id, to the bucket of its anchor, packed.
+1. Documents are written as packed units of about ``UNIT`` batches of ``BATCH_BYTES``, which a task reads a batch at a
+   time.  In every window of ``length`` bytes the ``ANCHOR`` bytes with the smallest hash are its anchor; consecutive
+   windows with one anchor form a context of at most 2 * length - ANCHOR bytes.  Equal windows have equal anchors at equal
+   places.
+2. Units send short hashes of their anchors in order; buckets answer by a bit each which of them other units have too (a
+   hash shared by chance only lets more through).  Only contexts of anchors that occur twice go on.
+3. A unit sends its distinct contexts, about ``SENT_BYTES`` at a time and each with its smallest id, to the buckets of
+   their anchors, packed.  Units and buckets are large, as every unit has a row for every bucket.
 4. A bucket lays contexts with a common anchor one after another, sorts their suffixes, and keeps of the transform only
    its run heads: text position, the position of the suffix before (where the last run ends) and their common length.
    Streaming over the text, every other position's neighbour and matching length follow from the last sample.  Matches
-   of ``length`` bytes link windows into classes; a window whose class has a smaller id is marked.
+   of ``length`` bytes link windows into classes; a window whose class has a smaller id is marked.  Contexts that have
+   neither half of where windows start in common with another need no index.
 5. An anchor with more than ``HOT`` distinct contexts is dealt again, in halves of where windows start before it, each
    by the longer text that all its windows share, until a share is small or a single window.
-6. Marks meet their batch and merge into maximal removed spans.
+6. Marks meet their unit and merge into maximal removed spans.
 """
 
 from __future__ import annotations
@@ -36,24 +39,52 @@ from monthwise.llm.words import U, mix
 
 ANCHOR = 16
 BATCH_BYTES = 4 << 20
-BUCKET_BYTES = 6 << 20
+UNIT = 4
+SENT_BYTES = 12 << 20
+ANCHORS_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 BLOCK = 1 << 16
-INDEX_BYTES = 1 << 19
+INDEX_BYTES = 1 << 18
 HELD_BYTES = 64 << 20
+SHARE_ROWS = 1 << 14
 HOT = 8192
 PAIR = U(0x9E3779B97F4A7C15)
 
 
-def _zip(values, dtype) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.asarray(values, dtype=dtype).tobytes())
+def _zip(*columns: np.ndarray) -> bytes:
+    """Columns of one length, one after another."""
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([c.tobytes() for c in columns]))
 
 
-def _unzip(raw: bytes, dtype) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=dtype)
+def _unzip(raw, *dtypes) -> list[np.ndarray]:
+    raw, kinds, begin, out = zstandard.ZstdDecompressor().decompress(raw), [*map(np.dtype, dtypes)], 0, []
+    n = len(raw) // sum(k.itemsize for k in kinds)
+    for kind in kinds:
+        out.append(np.frombuffer(raw, dtype=kind, offset=begin, count=n))
+        begin += n * kind.itemsize
+    return out
+
+
+def _steps(values: np.ndarray, dtype) -> np.ndarray:
+    """Differences; the sums of these, in the same dtype, are the values again."""
+    values = values.astype(dtype)
+    return np.diff(values, prepend=values.dtype.type(0))
 
 
-def _steps(values: np.ndarray) -> np.ndarray:
-    return np.diff(values, prepend=np.int64(0))
+def _cuts(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where runs of equal keys begin and end."""
+    edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True]))).tolist() if len(keys) else [0]
+    return zip(edges[:-1], edges[1:])
+
+
+def _sorted(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of ``width`` bits, equal ones by place, and the keys in it; one sort of plain numbers if both fit."""
+    bits = max(len(keys) - 1, 1).bit_length()
+    if width + bits > 64:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    both = np.sort(keys.astype(U) << U(bits) | np.arange(len(keys), dtype=U))
+    return (both & U((1 << bits) - 1)).astype(np.int64), both >> U(bits)
 
 
 def _eights(raw: bytes, n: int) -> np.ndarray:
@@ -74,6 +105,21 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def _raw(table: pa.Table) -> tuple[bytes, np.ndarray]:
+    """All texts one after another, and the bytes of each."""
+    text = table["text"].combine_chunks().fill_null("").cast(pa.binary())
+    offsets = np.frombuffer(text.buffers()[1], dtype=np.int32, count=len(text) + 1, offset=4 * text.offset) \
+        if len(text) else np.zeros(1, np.int32)
+    data = text.buffers()[2]
+    raw = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if data else b""
+    return raw, np.diff(offsets).astype(np.int64)
+
+
+def _cuts_of(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """A unit's rows, about ``BATCH_BYTES`` of text at a time."""
+    return _cuts((np.cumsum(size) - size) // BATCH_BYTES)
+
+
 class Contexts:
     """Runs of windows with one anchor in a batch of documents.
 
@@ -81,16 +127,13 @@ class Contexts:
     the hash ``anchor``.
     """
 
-    def __init__(self, table: pa.Table, length: int):
-        raws = [t.encode() if t else b"" for t in table["text"].to_pylist()]
-        self.size = np.fromiter(map(len, raws), np.int64, len(raws))
-        self.begin = np.cumsum(self.size) - self.size
-        self.raw = b"".join(raws)
-        del raws
-        ends = self.begin + self.size
+    def __init__(self, raw: bytes, size: np.ndarray, known: np.ndarray, length: int):
+        self.raw = raw
+        begin = np.cumsum(size) - size
+        ends = begin + size
         inside = np.ones(len(self.raw), dtype=bool)
-        for i, j, known in zip(self.begin.tolist(), ends.tolist(), table["id"].is_valid().to_pylist()):
-            inside[max(j - length + 1, i) if known else i:j] = False
+        for i, j, whole in zip(begin.tolist(), ends.tolist(), (~known).tolist()):
+            inside[i if whole else max(j - length + 1, i):j] = False
         start, stop, place, anchor = ([np.empty(0, t)] for t in (np.int64, np.int64, np.int64, U))
         for a in range(0, max(len(self.raw) - length + 1, 0), BLOCK):  # blocks that fit a core's cache
             part = self.raw[a:a + BLOCK + length - 1]
@@ -112,54 +155,84 @@ class Contexts:
         self.place, anchor = np.concatenate(place), np.concatenate(anchor)
         # Anchors have small hashes by choice: scrambled again, they spread over all buckets.
         self.anchor = mix(anchor, seed=1)
-        self.id = table["id"].fill_null(0).to_numpy()[np.searchsorted(ends, self.start, side="right")]
+
+
+class UnitContexts:
+    """Contexts of a unit; they start at positions in all its text."""
+
+    def __init__(self, raw: pa.Scalar, length: int):
+        # The first two columns of a unit are id and text.
+        with pa.ipc.open_stream(raw.as_buffer(), options=pa.ipc.IpcReadOptions(included_fields=[0, 1])) as stream:
+            table = stream.read_all()
+        known = table["id"].is_valid().to_numpy()
+        self.ids, (self.raw, size) = table["id"].fill_null(0).to_numpy(), _raw(table)
+        del table
+        self.ends = np.cumsum(size)
+        parts = [[np.empty(0, t) for t in (np.uint32, np.uint8, np.uint8, U)]]
+        for i, j in _cuts_of(size):
+            begin = int(self.ends[i] - size[i])
+            part = Contexts(self.raw[begin:int(self.ends[j - 1])], size[i:j], known[i:j], length)
+            parts.append(((part.start + begin).astype(np.uint32), (part.stop - part.start + 1).astype(np.uint8),
+                          part.place.astype(np.uint8), part.anchor))
+        self.start, self.windows, self.place, self.anchor = map(np.concatenate, zip(*parts))
+
+    def id(self, run: np.ndarray) -> np.ndarray:
+        return self.ids[np.searchsorted(self.ends, self.start[run], side="right")]
 
     def shares(self, buckets: int) -> np.ndarray:
         """Bucket of each anchor and the 32 bits of its hash that tell anchors of a bucket apart, in one number."""
-        bucket = (self.anchor >> U(32)) * U(buckets) >> U(32)
-        return (bucket << U(32) | self.anchor & U(0xFFFFFFFF)).astype(np.int64)
+        return _bucket(self.anchor, buckets) << U(32) | self.anchor & U(0xFFFFFFFF)
 
 
-#: Contexts of one batch in one bucket (or marks for a batch); lo and hi: how far before the anchor windows may start.
-ENTRIES = ("bucket long, batch long, lo int, hi int, texts binary, sizes binary, places binary, ids binary, "
-           "numbers binary, shifts binary, marks binary")
-ARROW = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())]
-                  + [(n, pa.binary()) for n in ("texts", "sizes", "places", "ids", "numbers", "shifts", "marks")])
+def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    return (anchor >> U(32)) * U(buckets) >> U(32)
 
 
-def _entries(bucket: int, batch: int, lo: int, hi: int, texts: list, places, ids, numbers, shifts) -> dict:
-    return {"bucket": bucket, "batch": batch, "lo": lo, "hi": hi,
-            "texts": zstandard.ZstdCompressor(level=3).compress(b"".join(texts)),
-            "sizes": _zip([len(t) for t in texts], np.uint16), "places": _zip(places, np.uint16),
-            "ids": _zip(_steps(np.asarray(ids)), np.int64), "numbers": _zip(_steps(np.asarray(numbers)), np.int64),
-            "shifts": _zip(shifts, np.uint16)}
+#: Contexts of one unit in one bucket; lo and hi: how far before the anchor windows may start.  Without texts an answer for
+#: a unit: marks of windows (lo 0), or repeats that it found by itself (lo 1).
+ENTRIES = "bucket long, batch long, lo int, hi int, texts binary, figures binary"
+ARROW = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()),
+                   ("texts", pa.binary()), ("figures", pa.binary())])
+FIGURES = (np.uint8, np.uint8, np.int64, np.uint32)  # of texts: bytes, place of the anchor, id (steps), start (steps)
+MARKS = (np.uint32, np.uint64)  # start (steps), a bit for each window from there on
+TOLD = (np.uint32, np.uint32, np.uint8, np.uint8)  # start (steps), start of the equal one that was sent, windows, 1: all
 
 
-def _suffix_order(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _entry(bucket: int, batch: int, lo: int, hi: int, texts, sizes, places, ids, starts) -> tuple:
+    """A row of contexts; ``texts``: all their bytes."""
+    figures = _zip(np.asarray(sizes, np.uint8), np.asarray(places, np.uint8), _steps(np.asarray(ids), np.int64),
+                   _steps(np.asarray(starts), np.uint32))
+    return bucket, batch, lo, hi, zstandard.ZstdCompressor(level=3).compress(texts), figures
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * 6, ARROW)],
+                                      schema=ARROW)
+
+
+def _suffix_order(raw: bytes, ends: np.ndarray) -> np.ndarray:
     """Suffixes in order; one ends where its context does, and equal ones follow their contexts' order."""
-    n = len(symbols)
-    at, key = np.arange(n), np.zeros(n, dtype=np.int64)
-    for j in range(7):
-        key = key << 9 | np.where(at + j < ends, symbols[np.minimum(at + j, n - 1)], 0)
-    rank, done, longest = np.empty(n, dtype=np.int64), 7, int((ends - at).max(initial=0))
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    new = np.append(True, sorted_key[1:] != sorted_key[:-1])
+    n = len(raw)
+    at, bits = np.arange(n), n.bit_length()
+    # Five bytes, and how many of them are there: that tells an end from a zero byte.
+    left = np.minimum(ends - at, 5).astype(U)
+    gone = (U(5) - left) << U(3)
+    key = (_eights(raw, n).byteswap() >> U(24) >> gone << gone) << U(3) | left
+    order, key = _sorted(key, 43)
+    new = np.append(True, key[1:] != key[:-1])
+    rank, done, longest = np.empty(n, dtype=np.int64), 5, int((ends - at).max(initial=0))
     rank[order] = np.maximum.accumulate(np.where(new, at, 0))
     while done < longest:
         # Only suffixes that share their rank with another are told further apart.
-        tied = ~(new & np.append(new[1:], True))
-        slots = np.flatnonzero(tied)
+        slots = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(slots):
             break
         own = order[slots]
         after = np.where(own + done < ends[own], rank[np.minimum(own + done, n - 1)] + 1, 0)
-        pair = rank[own] << 32 | after
-        by = np.argsort(pair, kind="stable")
-        own, pair = own[by], pair[by]
-        order[slots] = own
-        new[slots] = np.append(True, pair[1:] != pair[:-1])
-        rank[order] = np.maximum.accumulate(np.where(new, at, 0))
+        by, pair = _sorted(rank[own] << bits | after, 2 * bits)
+        own, first = own[by], np.append(True, pair[1:] != pair[:-1])
+        order[slots], new[slots] = own, first
+        rank[own] = np.maximum.accumulate(np.where(first, slots, 0))
         done *= 2
     return order
 
@@ -173,12 +246,11 @@ class RunLengthIndex:
         self.first = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(texts)), sizes)
         ends = (self.first + sizes - 1)[owner]
-        at = np.arange(len(raw))
-        inside = at < ends
-        symbols = np.where(inside, np.frombuffer(raw, dtype=np.uint8).astype(np.int64) + 1, 0)
-        order = _suffix_order(symbols, ends)
-        before = np.where(at == self.first[owner], 0, symbols[at - 1])[order]
-        head = np.append(True, (before[1:] != before[:-1]) | (before[1:] == 0))
+        order = _suffix_order(raw, ends)
+        before, opens = np.frombuffer(raw, dtype=np.uint8)[order - 1], np.zeros(len(raw), dtype=bool)
+        opens[self.first] = True  # nothing stands before a context
+        opens = opens[order]
+        head = np.append(True, (before[1:] != before[:-1]) | opens[1:] | opens[:-1])
         heads = np.flatnonzero(head)
         self.position, self.before = order[heads], order[heads - 1]
         words, common = _eights(raw, len(raw)), np.zeros(len(heads), dtype=np.int64)
@@ -233,97 +305,123 @@ class _Held:
     by chance only make an index larger.
     """
 
-    COLUMNS = {"batch": np.int64, "lo": np.uint16, "hi": np.uint16, "place": np.uint16, "id": np.int64,
-               "number": np.int64, "shift": np.uint16}
+    COLUMNS = {"batch": np.int64, "lo": np.uint8, "hi": np.uint8, "place": np.uint8, "id": np.int64, "start": np.int64}
 
     def __init__(self, length: int, buckets: int):
         self.length, self.buckets, self.hot = length, buckets, np.empty(0, dtype=U)
         self.texts: list[pa.Array] = []
         self.columns: dict[str, list] = {n: [np.empty(0, t)] for n, t in self.COLUMNS.items()}
-        self.bytes, self.known = 0, None
-
-    def add(self, row: dict) -> None:
-        raw = zstandard.ZstdDecompressor().decompress(row["texts"])
-        ends = np.cumsum(_unzip(row["sizes"], np.uint16), dtype=np.int32)
-        n = len(ends)
-        self.texts.append(pa.Array.from_buffers(pa.binary(), n, [
-            None, pa.py_buffer(np.concatenate((np.zeros(1, np.int32), ends))), pa.py_buffer(raw)]))
+        self.bytes, self.most, self.known = 0, HELD_BYTES, None
+
+    def add(self, batch: int, lo: int, hi: int, texts, figures) -> None:
+        raw = zstandard.ZstdDecompressor().decompress(texts)
+        size, place, ids, start = _unzip(figures, *FIGURES)
+        n, offsets = len(size), np.zeros(len(size) + 1, np.int32)
+        np.cumsum(size, out=offsets[1:])
+        self.texts.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw)]))
         self.bytes, self.known = self.bytes + len(raw), None
-        values = {"batch": np.full(n, row["batch"]), "lo": np.full(n, row["lo"]), "hi": np.full(n, row["hi"]),
-                  "place": _unzip(row["places"], np.uint16), "id": np.cumsum(_unzip(row["ids"], np.int64)),
-                  "number": np.cumsum(_unzip(row["numbers"], np.int64)), "shift": _unzip(row["shifts"], np.uint16)}
-        for name, dtype in self.COLUMNS.items():
-            self.columns[name].append(values[name].astype(dtype))
-
-    def _share(self, texts: pa.Array, first: np.ndarray, columns: dict) -> np.ndarray:
-        """A hash of what all windows of a context's share have in common, from ``lo`` before its anchor on."""
-        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1]
-        raw = texts.buffers()[2].to_pybytes() if texts.buffers()[2] else b""
-        words = _eights(raw, len(raw)) if raw else np.empty(0, dtype=U)
-        lo, hi = (columns[c][first].astype(np.int64) for c in ("lo", "hi"))
-        begin, left = offsets[:-1] + columns["place"][first].astype(np.int64) - lo, self.length - hi + lo
-        h = mix((lo * 256 + hi).astype(U))
-        while (left > 0).any():
-            own = np.flatnonzero(left > 0)
-            keep = np.minimum(left[own], 8).astype(U) * U(8)
-            word = words[begin[own]] & np.where(keep < 64, (U(1) << (keep % U(64))) - U(1), ~U(0))
-            h[own] = mix(h[own] * PAIR + word)
-            begin, left = begin + 8, left - 8
-        return h
-
-    def shares(self) -> tuple[dict, np.ndarray, pa.Array, np.ndarray]:
-        """Columns, each entry's distinct context, these contexts, and each one's share."""
+        values = {"batch": np.full(n, batch), "lo": np.full(n, lo, np.uint8), "hi": np.full(n, hi, np.uint8), "place": place,
+                  "id": np.cumsum(ids), "start": np.cumsum(start, dtype=np.uint32).astype(np.int64)}
+        for name, column in values.items():
+            self.columns[name].append(column)
+
+    def _share(self, texts: pa.Array, own: np.ndarray, place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """A hash of what windows that start from ``lo`` to ``hi`` before the anchor have in common; 0 if not ``own``."""
+        offsets, out = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1), np.zeros(len(texts), dtype=U)
+        for i in range(0, len(texts), SHARE_ROWS):
+            x = i + np.flatnonzero(own[i:i + SHARE_ROWS])
+            a, b = int(offsets[i]), int(offsets[min(i + SHARE_ROWS, len(texts))])
+            words = _eights(texts.buffers()[2].slice(a, b - a).to_pybytes(), b - a)
+            begin, left = offsets[x] - a + place[x] - lo[x], self.length - hi[x] + lo[x]
+            h = mix((lo[x] * 256 + hi[x]).astype(U))
+            while (left > 0).any():
+                y = np.flatnonzero(left > 0)
+                keep = np.minimum(left[y], 8).astype(U) * U(8)
+                word = words[begin[y]] & np.where(keep < 64, (U(1) << (keep % U(64))) - U(1), ~U(0))
+                h[y] = mix(h[y] * PAIR + word)
+                begin, left = begin + 8, left - 8
+            out[x] = h
+        return out
+
+    def _halves(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each distinct context whether another has the common text of its windows in the first half of the places
+        where windows start, and in the second; ``times``: how many a context counts for."""
+        columns, _, texts, first, share = self.shares()
+        place, lo, hi = (columns[c][first].astype(np.int64) for c in ("place", "lo", "hi"))
+        middle, last = (lo + hi) // 2, place - (pc.binary_length(texts).to_numpy().astype(np.int64) - self.length)
+        out = []
+        for a, b, has in ((lo, middle, last <= middle), (middle + 1, hi, place > middle)):
+            own, found = np.flatnonzero(has), np.zeros(len(texts), dtype=bool)
+            if len(own):
+                order, h = _sorted(mix(share * PAIR + self._share(texts, has, place, a, b))[own], 64)
+                group = np.cumsum(np.append(False, h[1:] != h[:-1]))
+                found[own[order]] = np.bincount(group, weights=times[own[order]])[group] > 1
+            out.append(found)
+        return out[0], out[1]
+
+    def shares(self) -> tuple[dict, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Columns, each entry's distinct context, these contexts, the first entry and the share of each."""
         if not self.known:
             columns = {n: np.concatenate(v) for n, v in self.columns.items()}
             self.columns = {n: [v] for n, v in columns.items()}
-            coded = pa.chunked_array(self.texts, pa.binary()).combine_chunks().dictionary_encode()
-            code, texts = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-            first = np.unique(code, return_index=True)[1]
-            self.known = columns, code, texts, self._share(texts, first, columns)
+            coded = pa.chunked_array(self.texts, pa.binary()).dictionary_encode()  # one for all chunks
+            code = np.concatenate([x.indices.to_numpy() for x in coded.chunks]).astype(np.int64)
+            texts = coded.chunk(0).dictionary
+            first = np.empty(len(texts), dtype=np.int64)
+            first[code[::-1]] = np.arange(len(code))[::-1]
+            self.known = columns, code, texts, first, self._share(
+                texts, np.ones(len(texts), dtype=bool), *(columns[c][first].astype(np.int64) for c in ("place", "lo", "hi")))
         return self.known
 
-    def overflow(self, last: bool) -> Iterator[dict]:
+    def overflow(self, last: bool) -> Iterator[tuple]:
         """Entries of hot shares, dealt in halves; the others stay."""
-        if not self.texts or not last and self.bytes <= HELD_BYTES:
+        if not self.texts or not last and self.bytes <= self.most:
             return
-        columns, code, texts, share = self.shares()
+        columns, code, texts, _, share = self.shares()
         names, size = np.unique(share, return_counts=True)
+        whole = np.setdiff1d(names[size > HOT], self.hot) if last else []  # all their entries are here
         self.hot = np.union1d(self.hot, names[size > HOT])
-        leaves = np.isin(share, self.hot)[code]
+        leaves = np.isin(share, self.hot)
         if leaves.any():
+            # What no other entry can have, in a share that is here as a whole, needs no dealing.
+            halves = [found | ~np.isin(share, whole) for found in self._halves(np.bincount(code, minlength=len(texts)))]
+            leaves = leaves[code]
             rows: dict[tuple, list] = {}
-            for i in np.flatnonzero(leaves).tolist():
+            for i in np.flatnonzero(leaves & (halves[0] | halves[1])[code]).tolist():
                 text, place, lo, hi = texts[code[i]].as_py(), *(int(columns[c][i]) for c in ("place", "lo", "hi"))
                 middle = (lo + hi) // 2
-                for a, b in ((lo, middle), (middle + 1, hi)):
+                for (a, b), found in zip(((lo, middle), (middle + 1, hi)), halves):
                     begin, end = max(place - b, 0), min(place - a, len(text) - self.length)
-                    if begin <= end:
+                    if begin <= end and found[code[i]]:
                         part, at = text[begin:end + self.length], place - begin
                         name = bytes((a, b)) + part[at - a:at + self.length - b]
                         bucket = xxhash.xxh64_intdigest(name) % self.buckets
                         rows.setdefault((bucket, int(columns["batch"][i]), a, b), []).append(
-                            (part, at, int(columns["id"][i]), int(columns["number"][i]), int(columns["shift"][i]) + begin))
+                            (part, len(part), at, int(columns["id"][i]), int(columns["start"][i]) + begin))
             for (bucket, batch, a, b), own in rows.items():
-                yield _entries(bucket, batch, a, b, *zip(*own))
+                parts, *figures = zip(*own)
+                yield _entry(bucket, batch, a, b, b"".join(parts), *figures)
             stay = np.flatnonzero(~leaves)
             kept = texts.take(pa.array(code[stay]))
-            self.texts, self.bytes, self.known = [kept], kept.nbytes, None
+            self.texts, self.bytes, self.known = [kept] if len(stay) else [], kept.nbytes, None
             self.columns = {n: [v[stay]] for n, v in columns.items()}
+        self.most = max(HELD_BYTES, 2 * self.bytes)  # looked at again when it has doubled
 
-    def answers(self) -> Iterator[dict]:
+    def answers(self) -> Iterator[tuple]:
         if not self.texts:
             return
-        columns, code, texts, share = self.shares()
+        columns, code, texts, _, share = self.shares()
         least = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(least, code, columns["id"])
         marks = np.zeros(len(texts), dtype=U)
-        _, share, together = np.unique(share, return_inverse=True, return_counts=True)
-        by = np.argsort(share, kind="stable")
-        by = by[together[share[by]] > 1]  # a context alone with its anchor can repeat as a whole only
+        # A context alone with its anchor, or alone with both halves of it, can repeat as a whole only.
+        one, two = self._halves(np.ones(len(texts), dtype=np.int64))
+        by = np.flatnonzero(one | two)
+        by = by[np.argsort(share[by], kind="stable")]
         size = pc.binary_length(texts).to_numpy().astype(np.int64)
         total = np.concatenate(([0], np.cumsum(size[by])))
         begin = 0
-        for j in (*(np.flatnonzero(np.diff(share[by])) + 1).tolist(), len(by)):
+        for _, j in _cuts(share[by]):
             if j > begin and (j == len(by) or total[j] - total[begin] > INDEX_BYTES):
                 own = by[begin:j]
                 marks[own] = marks_by_index(texts.take(pa.array(own)).to_pylist(), least[own], self.length)
@@ -331,13 +429,11 @@ class _Held:
         every = (U(1) << (size - self.length + 1).astype(U)) - U(1)
         marks = np.where(columns["id"] > least[code], every[code], marks[code])
         hit = np.flatnonzero(marks)
-        hit = hit[np.lexsort((columns["number"][hit], columns["batch"][hit]))]
+        hit = hit[np.lexsort((columns["start"][hit], columns["batch"][hit]))]
         batch = columns["batch"][hit]
-        cuts = np.flatnonzero(np.append(True, batch[1:] != batch[:-1])) if len(hit) else np.empty(0, np.int64)
-        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(hit)]):
+        for i, j in _cuts(batch):
             own = hit[i:j]
-            yield {"batch": int(batch[i]), "numbers": _zip(_steps(columns["number"][own]), np.int64),
-                   "shifts": _zip(columns["shift"][own], np.uint16), "marks": _zip(marks[own], np.uint64)}
+            yield 0, int(batch[i]), 0, 0, None, _zip(_steps(columns["start"][own], np.uint32), marks[own])
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
@@ -358,105 +454,143 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     carried = [f"carry{i}" for i in range(len(carry))]
     rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"),
                        *[col(c).alias(n) for c, n in zip(carry, carried)])
-    batches = packed(rows, "text", BATCH_BYTES, "texts")
-    buckets = max(partitions(docs.sparkSession), -(-text_bytes(docs, text_col) // BUCKET_BYTES))
+    batches = packed(rows, "text", UNIT * BATCH_BYTES, "texts")
+    size = text_bytes(docs, text_col)
+    buckets, wide = (max(partitions(docs.sparkSession), -(-size // b)) for b in (BUCKET_BYTES, ANCHORS_BYTES))
     far = length - ANCHOR
 
-    def contexts(raw) -> Contexts:
-        return Contexts(unpacked(raw.as_buffer()).select(["id", "text"]), length)
-
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, raw in zip(batch["batch"].to_pylist(), batch["rows"]):
-                both = np.unique(contexts(raw).shares(buckets))
-                yield pa.RecordBatch.from_pylist([
-                    {"bucket": int(own[0] >> 32), "batch": number, "anchors": _zip(_steps(own & 0xFFFFFFFF), np.uint32)}
-                    for own in np.split(both, np.flatnonzero(np.diff(both >> 32)) + 1) if len(own)], ANCHORS)
+                own = np.sort(UnitContexts(raw, length).shares(wide))
+                own = own[np.flatnonzero(np.append(True, own[1:] != own[:-1])[:len(own)])]
+                bucket, own = (own >> U(32)).astype(np.int64), own.astype(np.uint32)
+                cuts = [*_cuts(bucket)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(bucket[i]) for i, _ in cuts], pa.int64()), pa.array([number] * len(cuts), pa.int64()),
+                    pa.array([_zip(_steps(own[i:j], np.uint32)) for i, j in cuts], pa.binary())], schema=ANCHORS)
 
     def repeated(key: tuple, table: pa.Table) -> pa.Table:
-        each = [np.cumsum(_unzip(x, np.uint32), dtype=np.int64) for x in table["anchors"].to_pylist()]
-        value, times = np.unique(np.concatenate(each), return_counts=True)
-        again = value[times > 1]
-        kept = [_zip(_steps(own[np.isin(own, again, assume_unique=True)]), np.uint32) for own in each]
-        return pa.table({"bucket": table["bucket"], "batch": table["batch"], "anchors": pa.array(kept, pa.binary())})
+        each = [np.cumsum(_unzip(x.as_buffer(), np.uint32)[0], dtype=np.uint32) for x in table["anchors"]]
+        order, value = _sorted(np.concatenate(each), 32)
+        same, again = value[1:] == value[:-1], np.zeros(len(value), dtype=bool)
+        again[order[1:][same]] = again[order[:-1][same]] = True
+        ends = np.cumsum([*map(len, each)]).tolist()
+        bits = [np.packbits(again[i:j]).tobytes() for i, j in zip([0, *ends], ends)]
+        return pa.table({"bucket": table["bucket"], "batch": table["batch"], "anchors": pa.array(bits, pa.binary())})
 
     def sent(key: tuple, batch: pa.Table, answers: pa.Table) -> pa.Table:
-        number, found = key[0].as_py(), contexts(batch["rows"][0])
-        share = found.shares(buckets)
-        elsewhere = [np.empty(0, np.int64), *(b << 32 | np.cumsum(_unzip(x, np.uint32), dtype=np.int64) for b, x in
-                                              zip(answers["bucket"].to_pylist(), answers["anchors"].to_pylist()))]
-        _, inverse, times = np.unique(share, return_inverse=True, return_counts=True)
-        run = np.flatnonzero(np.isin(share, np.concatenate(elsewhere)) | (times[inverse] > 1))
-        seen: dict[bytes, int] = {}
-        text = np.fromiter((seen.setdefault(found.raw[i:j], len(seen)) for i, j in zip(
-            found.start[run].tolist(), (found.stop[run] + length).tolist())), np.int64, len(run))
-        texts, first = list(seen), run[np.unique(text, return_index=True)[1]]
-        least = np.full(len(texts), np.iinfo(np.int64).max)
-        np.minimum.at(least, text, found.id[run])
-        # What the batch knows by itself: runs that repeat a context of it, and those with a larger id than another.
-        whole = found.id[run] > least[text]
-        told = np.flatnonzero(whole | (first[text] != run))
-        out = [{"batch": number, "bucket": number % buckets, "numbers": _zip(_steps(run[told]), np.int64),
-                "ids": _zip(first[text[told]], np.int64), "shifts": _zip(whole[told], np.uint16)}] if len(told) else []
-        bucket = share[first] >> 32
-        by = np.argsort(bucket, kind="stable")
-        for own in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
-            if len(own):
-                out.append(_entries(int(bucket[own[0]]), number, 0, far, [texts[x] for x in own.tolist()],
-                                    found.place[first[own]], least[own], first[own], np.zeros(len(own))))
-        return pa.Table.from_pylist(out, ARROW)
+        pa.default_memory_pool().release_unused()  # what the unit before had
+        number, found, out = key[0].as_py(), UnitContexts(batch["rows"][0], length), []
+        order, share = _sorted(found.shares(wide), 32 + wide.bit_length())
+        # Anchors in the order in which they were sent: one bit for each distinct one.
+        group = np.cumsum(np.append(False, share[1:] != share[:-1])) if len(share) else order
+        times = np.bincount(group)
+        bucket = share[np.cumsum(times) - times] >> U(32)
+        answers = answers.sort_by("bucket")["anchors"].to_pylist()
+        again = [np.empty(0, np.uint8), *(np.unpackbits(np.frombuffer(x, np.uint8), count=j - i) for x, (i, j) in
+                                           zip(answers, _cuts(bucket), strict=True))]
+        run = np.sort(order[((np.concatenate(again) > 0) | (times > 1))[group]])
+        del order, share, group
+        begin, ids = found.start[run].astype(np.int64), found.id(run)
+        ends = begin + found.windows[run] + length - 1
+        part = np.cumsum(ends - begin) // SENT_BYTES
+        for i, j in _cuts(part):
+            own, own_ids = run[i:j], ids[i:j]
+            coded = pa.array([found.raw[a:b] for a, b in zip(begin[i:j].tolist(), ends[i:j].tolist())],
+                             pa.binary()).dictionary_encode()
+            code, texts = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            first = np.empty(len(texts), dtype=np.int64)
+            first[code[::-1]] = own[::-1]
+            least = np.full(len(texts), np.iinfo(np.int64).max)
+            np.minimum.at(least, code, own_ids)
+            # What the unit knows by itself: runs that repeat a context of it, and those with a larger id than another.
+            whole = own_ids > least[code]
+            told = np.flatnonzero(whole | (first[code] != own))
+            if len(told):
+                t = own[told]
+                out.append((number % buckets, number, 1, 0, None, _zip(
+                    _steps(found.start[t], np.uint32), found.start[first[code[told]]],
+                    found.windows[t], whole[told].astype(np.uint8))))
+            bucket = _bucket(found.anchor[first], buckets).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            texts, first, least, bucket = texts.take(pa.array(by)), first[by], least[by], bucket[by]
+            offsets, raw = np.frombuffer(texts.buffers()[1], dtype=np.int32), texts.buffers()[2]
+            for a, b in _cuts(bucket):
+                x = first[a:b]
+                out.append(_entry(int(bucket[a]), number, 0, far, raw.slice(int(offsets[a]), int(offsets[b] - offsets[a])),
+                                  np.diff(offsets[a:b + 1]), found.place[x], least[a:b], found.start[x]))
+        return pa.Table.from_batches([_rows(out)])
 
     def answered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(length, buckets)
+        pa.default_memory_pool().release_unused()  # what the group before had
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["texts"] is None:
-                    yield pa.RecordBatch.from_pylist([row], ARROW)
-                    continue
-                held.add(row)
-                for more in held.overflow(last=False):
-                    yield pa.RecordBatch.from_pylist([more], ARROW)
-        for row in held.overflow(last=True):
-            yield pa.RecordBatch.from_pylist([row], ARROW)
-        for row in held.answers():
-            yield pa.RecordBatch.from_pylist([row], ARROW)
+            for number, lo, hi, texts, figures in zip(*(batch[c].to_pylist() for c in ("batch", "lo", "hi")),
+                                                      batch["texts"], batch["figures"]):
+                if texts.is_valid:
+                    held.add(number, lo, hi, texts.as_buffer(), figures.as_buffer())
+                    if more := [*held.overflow(last=False)]:
+                        yield _rows(more)
+            yield batch.filter(batch["texts"].is_null()).select(ARROW.names)
+            batch = texts = figures = None
+        yield _rows([*held.overflow(last=True)])
+        yield _rows([*held.answers()])
 
     out_schema = StructType([rows.schema[n] for n in ("id", *carried)] + StructType.fromDDL(_OUT).fields)
 
     def cut(key: tuple, batch: pa.Table, answers: pa.Table) -> pa.Table:
-        table = unpacked(batch["rows"][0].as_buffer())
-        found = Contexts(table, length)
-        marks, whole = np.zeros(len(found.start), dtype=U), np.zeros(len(found.start), dtype=bool)
-        answers = answers.to_pylist()
-        for row in answers:
-            if row["marks"] is not None:
-                np.bitwise_or.at(marks, np.cumsum(_unzip(row["numbers"], np.int64)),
-                                 _unzip(row["marks"], np.uint64) << _unzip(row["shifts"], np.uint16).astype(U))
-        for row in answers:
-            if row["marks"] is None:
-                run = np.cumsum(_unzip(row["numbers"], np.int64))
-                marks[run] = marks[_unzip(row["ids"], np.int64)]
-                whole[run] = _unzip(row["shifts"], np.uint16) > 0
-        change = np.zeros(len(found.raw) + 1, dtype=np.int32)
-        np.add.at(change, found.start[whole], 1)
-        np.add.at(change, found.stop[whole] + length, -1)
-        part = np.flatnonzero(~whole & (marks != 0))
-        bits = np.unpackbits(marks[part].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        run, place = np.nonzero(bits)
-        at = found.start[part[run]] + place
-        np.add.at(change, at, 1)
-        np.add.at(change, at + length, -1)
-        gone = np.cumsum(change[:-1]) > 0
-        raw, kept, spans, removed = np.frombuffer(found.raw, dtype=np.uint8), [], [], []
-        for i, j in zip(found.begin.tolist(), (found.begin + found.size).tolist()):
-            own = gone[i:j]
-            edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0)).tolist()
-            spans.append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
-            removed.append(int(own.sum()))
-            kept.append(raw[i:j][~own].tobytes() if edges else found.raw[i:j])
-        return pa.table({n: table[n] for n in ("id", *carried)} | {
-            "n_bytes": pa.array(found.size, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-            "kept": pa.array(kept, pa.binary()), "removed": pa.array(spans, _SPANS)})
+        table, out, begin = unpacked(batch["rows"][0].as_buffer()), [], 0
+        marked = np.zeros(pc.sum(pc.binary_length(table["text"])).as_py() or 0, dtype=bool)  # windows, by their start
+        told = []
+        for kind, raw in zip(answers["lo"].to_pylist(), answers["figures"]):
+            if kind:
+                start, *others = _unzip(raw.as_buffer(), *TOLD)
+                told.append((np.cumsum(start, dtype=np.uint32).astype(np.int64), *others))
+                continue
+            start, marks = _unzip(raw.as_buffer(), *MARKS)
+            bits = np.unpackbits(marks.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            run, place = np.nonzero(bits)
+            marked[np.cumsum(start, dtype=np.uint32)[run].astype(np.int64) + place] = True
+        for all_windows in (False, True):  # marks of equal contexts first, as those for all windows are of one run only
+            for start, first, windows, whole in told:
+                for i in range(0, len(start), BLOCK):
+                    own = np.arange(i, min(i + BLOCK, len(start)))
+                    own = own[whole[own] > 0] if all_windows else own
+                    for k in range(int(windows[own].max(initial=0))):
+                        own = own[windows[own] > k]
+                        marked[start[own] + k] |= all_windows or marked[first[own].astype(np.int64) + k]
+        for i, j in _cuts_of(pc.fill_null(pc.binary_length(table["text"]), 0).to_numpy().astype(np.int64)):
+            part = table.slice(i, j - i)
+            raw, size = _raw(part)
+            own = marked[begin:begin + len(raw)]
+            begin += len(raw)
+            change = np.zeros(len(raw) + 1, dtype=np.int8)
+            at = np.flatnonzero(own)
+            change[at] += 1
+            change[at + length] -= 1
+            gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+            # Spans don't reach into the next text.
+            edge, full = np.cumsum(size) - size, size > 0
+            opens, ends = gone.copy(), gone.copy()
+            opens[1:] &= ~gone[:-1]
+            opens[edge[full]] = gone[edge[full]]
+            ends[:-1] &= ~gone[1:]
+            ends[edge[full] + size[full] - 1] = gone[edge[full] + size[full] - 1]
+            opens, ends = np.flatnonzero(opens), np.flatnonzero(ends) + 1
+            edges = np.append(edge, len(raw))
+            cuts = np.searchsorted(opens, edges)
+            base = np.repeat(edge, np.diff(cuts))
+            spans = pa.StructArray.from_arrays([pa.array(opens - base, pa.int64()), pa.array(ends - base, pa.int64())],
+                                               ["start", "end"])
+            removed = np.concatenate(([0], np.cumsum(ends - opens)))[cuts]
+            kept = np.frombuffer(raw, dtype=np.uint8)[~gone]
+            out.append(pa.table({n: part[n] for n in ("id", *carried)} | {
+                "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(np.diff(removed), pa.int64()),
+                "kept": pa.Array.from_buffers(pa.binary(), len(size), [
+                    None, pa.py_buffer((edges - removed).astype(np.int32)), pa.py_buffer(kept)]),
+                "removed": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans).cast(_SPANS)}))
+        return pa.concat_tables(out)
 
     short = "bucket long, batch long, anchors binary"
     elsewhere = batches.mapInArrow(anchors, short).groupBy("bucket").applyInArrow(repeated, short)
@@ -464,7 +598,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     answers = None
     while True:
         done = written(todo.groupBy("bucket").applyInArrow(answered, ENTRIES), "repeats")
-        part = done.where("texts IS NULL").select("batch", "numbers", "ids", "shifts", "marks")
+        part = done.where("texts IS NULL").select("batch", "lo", "figures")
         answers = part if answers is None else answers.unionByName(part)
         todo = done.where("texts IS NOT NULL")
         if todo.isEmpty():

@@ -251,6 +251,52 @@ def test_repeat_index_matches_brute_force(spark, monkeypatch, length, hot):
     assert sorted(map(repr, found)) == sorted(map(repr, plain_bytes(rows, length)))
 
 
+def test_repeat_index_rows_between_units_and_buckets(spark, monkeypatch):
+    """Steps exchange a row for each unit and bucket; one for each batch and bucket grew with the square of the input."""
+    monkeypatch.setattr(R, "BATCH_BYTES", 2000)
+    packed, written, rows = R.packed, R.written, {}
+
+    def counted(make):
+        def run(*args):
+            out = make(*args)
+            rows[args[-1]] = rows.get(args[-1], 0) + out.count()
+            return out
+        return run
+    monkeypatch.setattr(R, "packed", counted(packed))
+    monkeypatch.setattr(R, "written", counted(written))
+    rng = random.Random(5)
+    common = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    texts = [(i, "".join(rng.choice("abcdefgh ") for _ in range(990)) + common) for i in range(64)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r.n_removed for r in dedup_bytes(docs).collect()}
+    assert found == {i: n for i, _, _, n, _, _ in plain_bytes(texts, 50)}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows["texts"] <= 64 // 2 and rows["repeats"] <= rows["texts"] * (buckets + 1)
+
+
+def test_repeat_index_small_sendings_and_holdings(spark, monkeypatch):
+    for name, value in (("BATCH_BYTES", 400), ("SENT_BYTES", 300), ("HELD_BYTES", 1), ("SHARE_ROWS", 3), ("HOT", 3)):
+        monkeypatch.setattr(R, name, value)
+    rows = repeat_rows(9, n=40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(3)
+    found = [(r.doc_id, r.text, r.n_bytes, r.n_removed, bytes(r.kept), [(s.start, s.end) for s in r.removed])
+             for r in dedup_bytes(docs, carry=("text",)).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, plain_bytes(rows, 50)))
+
+
+def test_repeat_index_held_contexts_are_coded_as_they_double(monkeypatch):
+    """Beyond ``HELD_BYTES`` every added row had all held contexts coded again."""
+    monkeypatch.setattr(R, "HELD_BYTES", 1)
+    rng, held, coded = random.Random(6), R._Held(50, 8), []
+    share = held._share
+    monkeypatch.setattr(held, "_share", lambda *args: coded.append(len(args[0])) or share(*args))
+    for i in range(200):
+        text = bytes(rng.choice(b"abcdefgh") for _ in range(60))
+        held.add(*R._entry(0, i, 0, 34, text, [60], [20], [i], [7])[1:])
+        assert not [*held.overflow(last=False)]
+    assert len(coded) <= 10 and sum(coded) <= 2 * 200
+
+
 def test_repeat_index_odd_rows_and_nothing(spark, odd_documents):
     want = plain_bytes([(r.doc_id, r.text) for r in odd_documents.collect() if len(r.text or "") < 10_000], 50)
     docs = odd_documents.where("text IS NULL OR length(text) < 10000")
